@@ -125,14 +125,18 @@ def where_state_changes(rows: DataFrame, line: Timeline, window: WindowSpec) ->
     )
 
 
-def change_points(rows: DataFrame, line: Timeline, *slice_column: str) -> DataFrame:
+def change_points(rows: DataFrame, line: Timeline, *slice_column: str,
+                  folded: bool = False) -> DataFrame:
+    """First reports and changes. ``folded`` rows have one row per key and instant."""
     window = Window.partitionBy(*line.key, *slice_column).orderBy(*line.order())
-    reports = last_at_each_instant(line.reports(rows), line, window)
+    reports = line.reports(rows)
+    if not folded:
+        reports = last_at_each_instant(reports, line, window)
     return where_state_changes(reports, line, window)
 
 
 def build(rows: DataFrame, line: Timeline, sliced: bool = False,
-          final_state: bool = False) -> DataFrame:
+          final_state: bool = False, folded: bool = False) -> DataFrame:
     """Intervals for every key of ``rows``.
 
     Adds ``opened_at``, ``closed_at`` (open end when still in force), ``seq``
@@ -141,16 +145,16 @@ def build(rows: DataFrame, line: Timeline, sliced: bool = False,
     columns is given as a struct.
     With ``sliced`` the rows must carry the slice column of :func:`in_slices`.
     """
-    out = _build_sliced(rows, line) if sliced else _build_whole(rows, line)
+    out = _build_sliced(rows, line, folded) if sliced else _build_whole(rows, line, folded)
     return out if final_state else out.drop("final")
 
 
-def _build_whole(rows: DataFrame, line: Timeline) -> DataFrame:
+def _build_whole(rows: DataFrame, line: Timeline, folded: bool) -> DataFrame:
     key = Window.partitionBy(*line.key)
     window = key.orderBy(line.at)
     whole_key = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
-        change_points(rows, line)
+        change_points(rows, line, folded=folded)
         .withColumns({
             "seq": F.row_number().over(window),
             "closed_at": F.coalesce(F.lead(line.at).over(window), open_end()),
@@ -160,12 +164,13 @@ def _build_whole(rows: DataFrame, line: Timeline) -> DataFrame:
     )
 
 
-def _build_sliced(rows: DataFrame, line: Timeline) -> DataFrame:
+def _build_sliced(rows: DataFrame, line: Timeline, folded: bool) -> DataFrame:
     part = [*line.key, SLICE]
     # Copies of one instant are folded before they can meet in one task.
+    instants = rows if folded else fold_instants(line.reports(rows), line, part)
     local = Window.partitionBy(*part).orderBy(line.at)
     found = (
-        change_points(fold_instants(rows, line, part), line, SLICE)
+        change_points(instants, line, SLICE, folded=True)
         .withColumns({
             "_nth": F.row_number().over(local),
             "_next": F.lead(line.at).over(local),
@@ -232,3 +237,26 @@ def _across_slices(found: DataFrame, line: Timeline, part: list[str]) -> DataFra
             F.last("_last").over(whole).alias("_key_final"),
         )
     )
+
+
+def with_next(rows: DataFrame, key: list[str], at: str, tie: list[str],
+              out: str, sliced: bool = False) -> DataFrame:
+    """Add the ``at`` of the next row of the same key as ``out``.
+
+    With ``sliced`` the look-ahead stays within (key, slice) and the first row of
+    the next slice is fetched from a table with one row per (key, slice).
+    """
+    part = [*key, SLICE] if sliced else key
+    found = rows.withColumn(out, F.lead(at).over(Window.partitionBy(*part).orderBy(at, *tie)))
+    if not sliced:
+        return found
+    starts = (
+        rows.where(F.col(SLICE).isNotNull()).groupBy(*part).agg(F.min(at).alias("_starts"))
+        .withColumn("_next_start",
+                    F.lead("_starts").over(Window.partitionBy(*key).orderBy(SLICE)))
+        .drop("_starts")
+    )
+    return (
+        found.join(starts, part, "left")
+        .withColumn(out, F.coalesce(out, "_next_start")).drop("_next_start", SLICE)
+    )

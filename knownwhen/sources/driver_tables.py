@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from knownwhen.functions.values import quarter_of
+from knownwhen.sources.schemas import raw_columns
+
 # Source tag, concept, statement.
 CONCEPTS = [
     ("AF", "NET_INCOME", "IS"), ("AO", "NET_INCOME", "IS"),
@@ -67,3 +70,125 @@ def source_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 def period_end(accepted: str = "accepted_ts", years_back: str = "years_back") -> Column:
     return F.make_date(F.year(accepted) - F.col(years_back), F.lit(12), F.lit(31))
+
+
+# ---------------------------------------------------------------- raw text with faults
+# A fault depends on key columns only, so the counts repeat at every size.
+
+RAW_CONCEPTS = [c for c in CONCEPTS if c[0] != "RO"]
+
+
+def raw_concept_map(spark: SparkSession) -> DataFrame:
+    rows = ", ".join(f"('{s}', '{c}', '{st}')" for s, c, st in RAW_CONCEPTS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS m(src_tag, canonical_tag, statement)")
+
+
+def _every(column: str, n: int, rest: int = 0) -> Column:
+    return F.col(column) % n == rest
+
+
+def _accession(order_key: str) -> Column:
+    well_formed = F.concat(
+        F.format_string("%010d", F.col(order_key)), F.lit("-00-"),
+        F.format_string("%06d", F.col(order_key) % 1000000))
+    return F.when(_every(order_key, 199), F.col(order_key).cast("string")).otherwise(well_formed)
+
+
+def _day_text(year: Column) -> Column:
+    return F.concat(year.cast("string"), F.lit("1231"))
+
+
+def raw_submissions(spark: SparkSession, folder: str) -> DataFrame:
+    form = F.col("o_orderpriority")
+    filled = {
+        "adsh": _accession("o_orderkey"),
+        "cik": F.when(_every("o_orderkey", 211), "x").otherwise(F.col("o_custkey").cast("string")),
+        "name": F.concat(F.lit('Company "'), F.col("o_custkey").cast("string"), F.lit('"')),
+        "sic": F.col("o_orderstatus"),
+        "fye": F.lit("1231"),
+        "form": F.when(form == "1-URGENT", "8-K").when(form == "2-HIGH", "10-K/A")
+                 .when(form == "5-LOW", "10-Q").otherwise("10-K"),
+        "period": F.when(_every("o_orderkey", 223), "19xx0101")
+                   .when(_every("o_orderkey", 227), "20301231")
+                   .otherwise(_day_text(F.year("o_orderdate") - 1)),
+        "fy": (F.year("o_orderdate") - 1).cast("string"),
+        "fp": F.lit("FY"),
+        "filed": F.date_format("o_orderdate", "yyyyMMdd"),
+        "accepted": F.when(_every("o_orderkey", 229), "bad").otherwise(
+            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")),
+        "prevrpt": F.when(_every("o_orderkey", 5), "1").otherwise("0"),
+        "detail": F.lit("1"),
+    }
+    empty = F.lit(None).cast("string")
+    return table(spark, folder, "orders").select(
+        *[filled.get(c, empty).alias(c) for c in raw_columns("sub")],
+        quarter_of("o_orderdate").alias("quarter"))
+
+
+def raw_facts(spark: SparkSession, folder: str) -> DataFrame:
+    text = "string"
+    dated = table(spark, folder, "lineitem").join(
+        table(spark, folder, "orders").select(
+            F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey")
+    year = F.year("o_orderdate") - 1 - F.col("l_linenumber") % 2
+    return dated.select(
+        _accession("l_orderkey").alias("adsh"),
+        F.concat("l_returnflag", "l_linestatus").alias("tag"),
+        F.when(_every("l_partkey", 31), F.col("l_orderkey").cast(text))
+         .otherwise("us-gaap/2024").alias("version"),
+        F.when(_every("l_suppkey", 23) & _every("l_partkey", 41), "9999")
+         .when(_every("l_partkey", 43), "19791231").otherwise(_day_text(year)).alias("ddate"),
+        F.when(_every("l_partkey", 29), "2").when(F.col("l_returnflag") == "N", "0")
+         .otherwise("4").alias("qtrs"),
+        F.when(_every("l_partkey", 19), "EUR").otherwise("USD").alias("uom"),
+        F.when(_every("l_partkey", 7), "Seg=A").when(_every("l_partkey", 7, 1), "  ")
+         .alias("segments"),
+        F.when(_every("l_partkey", 53), "Sub").alias("coreg"),
+        F.when(_every("l_partkey", 47), "abc")
+         .when(~_every("l_partkey", 59), F.col("l_quantity").cast(text)).alias("value"),
+        F.lit(None).cast(text).alias("footnote"),
+        quarter_of("o_orderdate").alias("quarter"))
+
+
+# What the six source tags are called where names matter.
+TAG_NAMES = {"AF": "Revenues", "AO": "ProceedsFromSaleOfProperty", "NF": "AssetsCurrent",
+             "NO": "NetIncomeLoss", "RF": "EarningsPerShareBasic", "RO": "CostOfGoodsSold"}
+
+
+def named_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw facts with spelled-out tags, and rare tags below the usual threshold."""
+    name = F.lit(None).cast("string")
+    for code, tag in TAG_NAMES.items():
+        name = F.when(F.col("tag") == code, tag).otherwise(name)
+    rare = F.concat(F.lit("RareTag"), F.substring("value", 1, 1))
+    return raw_facts(spark, folder).withColumn(
+        "tag", F.when(F.col("ddate") == "19791231", rare).otherwise(name))
+
+
+def raw_tags(spark: SparkSession, folder: str) -> DataFrame:
+    """Taxonomy entries: each tag once per quarter it is used in."""
+    used = raw_facts(spark, folder).select(
+        "tag", "quarter", F.col("version").startswith("us-gaap").alias("standard")).distinct()
+    filled = {
+        "tag": F.col("tag"),
+        "version": F.when(F.col("standard"), "us-gaap/2024").otherwise("filer"),
+        "custom": F.when(F.col("standard"), "0").otherwise("1"),
+        "abstract": F.lit("0"), "datatype": F.lit("monetary"),
+        "iord": F.when(F.col("tag").startswith("N"), "I").otherwise("D"),
+        "tlabel": F.concat(F.lit("Label "), F.col("tag")),
+    }
+    empty = F.lit(None).cast("string")
+    return used.select(*[filled.get(c, empty).alias(c) for c in raw_columns("tag")], "quarter")
+
+
+def raw_presentation(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each distinct tag of a filing is shown."""
+    shown = raw_facts(spark, folder).select("adsh", "tag", "version", "quarter").distinct()
+    filled = {
+        "adsh": F.col("adsh"), "report": F.lit("1"), "line": F.lit("1"),
+        "stmt": F.when(F.col("tag").startswith("N"), "BS").otherwise("IS"),
+        "inpth": F.lit("0"), "rfile": F.lit("H"), "tag": F.col("tag"),
+        "version": F.col("version"),
+        "plabel": F.concat(F.lit('As "shown": '), F.col("tag")), "negating": F.lit("0"),
+    }
+    return shown.select(*[filled[c].alias(c) for c in raw_columns("pre")], "quarter")
