@@ -1 +1,605 @@
-ORACLES = {}
+"""The queries again, as SQL for DuckDB over the same tables.
+
+Written from the definitions, not from the Spark plans: windows where the
+library aggregates, joins where it carries columns along.
+"""
+
+from __future__ import annotations
+
+from knownwhen.functions.revisions import SCALE_BAND, SCALE_POWERS
+from knownwhen.plans import concepts, silver, snapshots
+from knownwhen.sources import driver_tables as dt
+from knownwhen.sources.schemas import RESCUED, raw_columns
+from verification import queries as q
+
+OPEN = "TIMESTAMP '9999-12-31 00:00:00'"
+KEY = "cik, canonical_tag, ddate, qtrs, uom"
+SNAP_KEY = "cik, canonical_tag, ddate, qtrs"
+
+
+def _double(x: float) -> str:
+    text = repr(float(x))
+    return text if "e" in text else f"{text}e0"
+
+
+def _values(rows: list[tuple], names: str) -> str:
+    quoted = ", ".join(
+        "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")" for row in rows)
+    return f"SELECT * FROM (VALUES {quoted}) AS t({names})"
+
+
+_near = " OR ".join(
+    f"factor BETWEEN {_double(SCALE_BAND[0] * 10 ** k)} AND {_double(SCALE_BAND[1] * 10 ** k)}"
+    for k in SCALE_POWERS)
+
+BLOCKS: dict[str, str] = {
+    "filing": "SELECT o_orderkey AS adsh, o_custkey AS cik, o_orderdate AS accepted_ts, "
+              "o_orderpriority AS form FROM orders",
+    "cmap": _values(dt.CONCEPTS, "src_tag, canonical_tag, statement"),
+    "line": """
+        SELECT l_orderkey AS adsh, l_returnflag || l_linestatus AS src_tag,
+               1 + l_linenumber % 2 AS years_back,
+               CAST(CASE l_returnflag WHEN 'N' THEN 0 ELSE 4 END AS SMALLINT) AS qtrs,
+               'USD' AS uom,
+               CAST(CASE WHEN l_returnflag = 'N'  THEN 100 * l_quantity
+                         WHEN l_discount >= 0.095e0 THEN -round(l_quantity / 5) * 10
+                         WHEN l_discount <= 0.005e0 THEN round(l_quantity / 5) * 10000
+                         WHEN l_tax < 0.005e0 THEN round(l_quantity / 5) * 10 + 0.01e0
+                         ELSE round(l_quantity / 5) * 10 END AS DECIMAL(28,4)) AS value
+        FROM lineitem""",
+    "fact": """
+        SELECT f.cik, m.canonical_tag,
+               make_date(CAST(year(f.accepted_ts) - l.years_back AS INTEGER), 12, 31) AS ddate,
+               l.qtrs, l.uom, l.value, l.adsh, f.form, f.accepted_ts, m.statement
+        FROM line l JOIN cmap m USING (src_tag) JOIN filing f ON l.adsh = f.adsh""",
+    "per_filing": f"""
+        SELECT * EXCLUDE (rn) FROM (
+          SELECT *, row_number() OVER (PARTITION BY {KEY}, adsh
+                                       ORDER BY value DESC, statement DESC) AS rn FROM fact)
+        WHERE rn = 1""",
+    "per_instant": f"""
+        SELECT * EXCLUDE (rn) FROM (
+          SELECT *, row_number() OVER (PARTITION BY {KEY}, accepted_ts ORDER BY adsh DESC) AS rn
+          FROM per_filing) WHERE rn = 1""",
+    "change": f"""
+        SELECT * FROM (
+          SELECT *, lag(value) OVER (PARTITION BY {KEY} ORDER BY accepted_ts, adsh) AS prev_value
+          FROM per_instant)
+        WHERE prev_value IS NULL OR prev_value <> value""",
+    "spell": f"""
+        SELECT * EXCLUDE (prev_value, accepted_ts), accepted_ts AS known_from_ts,
+               coalesce(lead(accepted_ts) OVER k, {OPEN}) AS known_to_ts,
+               CAST(row_number() OVER k AS INTEGER) AS revision_seq,
+               lag(value) OVER k AS prev_value
+        FROM change WINDOW k AS (PARTITION BY {KEY} ORDER BY accepted_ts, adsh)""",
+    "measured": """
+        SELECT *, abs(a - b) / nullif(abs(b), 0) AS pct_change,
+               nullif(abs(a / nullif(b, 0)), 0) AS factor,
+               abs(abs(a) - abs(b)) / nullif(abs(b), 0) AS mag
+        FROM (SELECT *, CAST(prev_value AS DOUBLE) AS b, CAST(value AS DOUBLE) AS a FROM spell)""",
+    "pit": f"""
+        SELECT {KEY}, value, known_from_ts, known_to_ts, known_to_ts = {OPEN} AS is_current,
+               adsh AS source_adsh, form AS source_form, form LIKE '%/A' AS is_amendment,
+               revision_seq, prev_value,
+               CASE WHEN prev_value IS NULL THEN 'FIRST_REPORT'
+                    WHEN {_near} THEN 'UNIT_SCALE'
+                    WHEN pct_change < 0.005e0 THEN 'IMMATERIAL'
+                    WHEN sign(a) * sign(b) < 0 AND mag < 0.02e0 THEN 'SIGN_FLIP'
+                    ELSE 'RESTATEMENT' END AS change_class,
+               pct_change, statement
+        FROM measured""",
+    "revision": f"""
+        SELECT {KEY}, prev_value, value AS revised_value, pct_change,
+               known_from_ts AS revised_at_ts, source_adsh, source_form, revision_seq, statement
+        FROM pit WHERE change_class = 'RESTATEMENT'""",
+    "cal": """
+        SELECT CAST(last_day(s + INTERVAL 2 MONTH) AS DATE) AS rebalance_dt,
+               CAST(last_day(s + INTERVAL 2 MONTH) AS TIMESTAMP) AS rebalance_ts
+        FROM (SELECT unnest(generate_series(date_trunc('quarter', min(o_orderdate)),
+                                            date_trunc('quarter', max(o_orderdate)),
+                                            INTERVAL 3 MONTH)) AS s FROM orders)""",
+    "grid": """
+        SELECT c.rebalance_dt, p.* FROM pit p
+        JOIN cal c ON p.known_from_ts <= c.rebalance_ts AND p.known_to_ts > c.rebalance_ts""",
+    "ranked_input": """
+        SELECT *, row_number() OVER (PARTITION BY rebalance_dt, cik, canonical_tag
+                                     ORDER BY ddate DESC) AS rn
+        FROM grid
+        WHERE ((canonical_tag = 'NET_INCOME' AND qtrs = 4) OR (canonical_tag = 'ASSETS' AND qtrs = 0))
+          AND ddate <= rebalance_dt AND ddate > rebalance_dt - INTERVAL 24 MONTH""",
+    "latest": f"""
+        SELECT r.rebalance_dt, r.cik, r.canonical_tag, r.ddate, r.value AS pit_value,
+               c.value AS naive_value
+        FROM ranked_input r LEFT JOIN pit c
+          ON c.is_current AND c.cik = r.cik AND c.canonical_tag = r.canonical_tag
+         AND c.ddate = r.ddate AND c.qtrs = r.qtrs AND c.uom = r.uom
+        WHERE r.rn = 1""",
+    "inputs": """
+        SELECT coalesce(n.rebalance_dt, a.rebalance_dt) AS rebalance_dt,
+               coalesce(n.cik, a.cik) AS cik, n.ddate AS ni_ddate, a.ddate AS assets_ddate,
+               n.pit_value AS pit_ni, a.pit_value AS pit_assets,
+               n.naive_value AS naive_ni, a.naive_value AS naive_assets
+        FROM (SELECT * FROM latest WHERE canonical_tag = 'NET_INCOME') n
+        FULL JOIN (SELECT * FROM latest WHERE canonical_tag = 'ASSETS') a
+          ON n.rebalance_dt = a.rebalance_dt AND n.cik = a.cik""",
+    "roa": """
+        SELECT *, CAST(pit_ni AS DOUBLE) / CAST(pit_assets AS DOUBLE) AS pit_roa,
+               CAST(naive_ni AS DOUBLE) / CAST(naive_assets AS DOUBLE) AS naive_roa,
+               naive_ni <> pit_ni AS ni_revised, naive_assets <> pit_assets AS assets_revised
+        FROM inputs
+        WHERE pit_ni IS NOT NULL AND naive_ni IS NOT NULL AND pit_assets > 0 AND naive_assets > 0""",
+    "decile": """
+        SELECT rebalance_dt, cik, pit_roa, naive_roa, pit_decile, naive_decile,
+               pit_decile <> naive_decile AS decile_moved, ni_revised, assets_revised
+        FROM (SELECT *,
+                CAST(ntile(10) OVER (PARTITION BY rebalance_dt ORDER BY pit_roa DESC, cik)
+                     AS INTEGER) AS pit_decile,
+                CAST(ntile(10) OVER (PARTITION BY rebalance_dt ORDER BY naive_roa DESC, cik)
+                     AS INTEGER) AS naive_decile
+              FROM roa)""",
+    "bias": """
+        SELECT rebalance_dt, count(*) AS universe,
+               round(100.0e0 * count(*) FILTER (decile_moved) / count(*), 2) AS pct_decile_moved,
+               round(100.0e0 * count(*) FILTER (ni_revised OR assets_revised) / count(*), 2)
+                 AS pct_any_input_revised,
+               round(100.0e0 * count(*) FILTER (naive_decile = 1 AND pit_decile <> 1)
+                     / nullif(count(*) FILTER (naive_decile = 1), 0), 2) AS pct_top_decile_turnover
+        FROM decile GROUP BY rebalance_dt""",
+    "registrant": """
+        SELECT o_custkey AS cik, o_orderdate AS accepted_ts, o_orderpriority AS name,
+               o_orderstatus AS sic, CASE WHEN o_orderkey % 97 <> 0 THEN '1231' END AS fye
+        FROM orders""",
+    "company": f"""
+        SELECT cik, name, sic, fye, accepted_ts AS valid_from_ts,
+               coalesce(lead(accepted_ts) OVER c, {OPEN}) AS valid_to_ts,
+               CAST(row_number() OVER c AS INTEGER) AS version_seq,
+               lead(accepted_ts) OVER c IS NULL AS is_current
+        FROM (SELECT *, lag(name) OVER c AS n0, lag(sic) OVER c AS s0, lag(fye) OVER c AS f0,
+                     row_number() OVER c AS nth
+              FROM (SELECT * FROM (
+                      SELECT *, row_number() OVER (
+                        PARTITION BY cik, accepted_ts ORDER BY name NULLS FIRST, sic NULLS FIRST,
+                        fye NULLS FIRST) AS rn FROM registrant) WHERE rn = 1)
+              WINDOW c AS (PARTITION BY cik ORDER BY accepted_ts))
+        WHERE nth = 1 OR n0 IS DISTINCT FROM name OR s0 IS DISTINCT FROM sic
+           OR f0 IS DISTINCT FROM fye
+        WINDOW c AS (PARTITION BY cik ORDER BY accepted_ts)""",
+    "raw_sub": """
+        SELECT CASE WHEN o_orderkey % 199 = 0 THEN CAST(o_orderkey AS VARCHAR)
+                    ELSE printf('%010d', o_orderkey) || '-00-'
+                         || printf('%06d', o_orderkey % 1000000) END AS adsh,
+               CASE WHEN o_orderkey % 211 = 0 THEN 'x' ELSE CAST(o_custkey AS VARCHAR) END AS cik,
+               'Company "' || o_custkey || '"' AS name, o_orderstatus AS sic, '1231' AS fye,
+               CASE o_orderpriority WHEN '1-URGENT' THEN '8-K' WHEN '2-HIGH' THEN '10-K/A'
+                    WHEN '5-LOW' THEN '10-Q' ELSE '10-K' END AS form,
+               CASE WHEN o_orderkey % 223 = 0 THEN '19xx0101'
+                    WHEN o_orderkey % 227 = 0 THEN '20301231'
+                    ELSE (year(o_orderdate) - 1) || '1231' END AS period,
+               CAST(year(o_orderdate) - 1 AS VARCHAR) AS fy, 'FY' AS fp,
+               strftime(o_orderdate, '%Y%m%d') AS filed,
+               CASE WHEN o_orderkey % 229 = 0 THEN 'bad'
+                    ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS accepted,
+               CASE WHEN o_orderkey % 5 = 0 THEN '1' ELSE '0' END AS prevrpt, '1' AS detail,
+               year(o_orderdate) || 'q' || quarter(o_orderdate) AS quarter
+        FROM orders""",
+    "raw_num": """
+        SELECT CASE WHEN l_orderkey % 199 = 0 THEN CAST(l_orderkey AS VARCHAR)
+                    ELSE printf('%010d', l_orderkey) || '-00-'
+                         || printf('%06d', l_orderkey % 1000000) END AS adsh,
+               l_returnflag || l_linestatus AS tag,
+               CASE WHEN l_partkey % 31 = 0 THEN CAST(l_orderkey AS VARCHAR)
+                    ELSE 'us-gaap/2024' END AS version,
+               CASE WHEN l_suppkey % 23 = 0 AND l_partkey % 41 = 0 THEN '9999'
+                    WHEN l_partkey % 43 = 0 THEN '19791231'
+                    ELSE (year(o_orderdate) - 1 - l_linenumber % 2) || '1231' END AS ddate,
+               CASE WHEN l_partkey % 29 = 0 THEN '2' WHEN l_returnflag = 'N' THEN '0'
+                    ELSE '4' END AS qtrs,
+               CASE WHEN l_partkey % 19 = 0 THEN 'EUR' ELSE 'USD' END AS uom,
+               CASE l_partkey % 7 WHEN 0 THEN 'Seg=A' WHEN 1 THEN '  ' END AS segments,
+               CASE WHEN l_partkey % 53 = 0 THEN 'Sub' END AS coreg,
+               CASE WHEN l_partkey % 47 = 0 THEN 'abc'
+                    WHEN l_partkey % 59 <> 0 THEN CAST(l_quantity AS VARCHAR) END AS value,
+               CAST(NULL AS VARCHAR) AS footnote,
+               year(o_orderdate) || 'q' || quarter(o_orderdate) AS quarter
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "raw_cmap": _values(dt.RAW_CONCEPTS, "src_tag, canonical_tag, statement"),
+    "typed_sub": """
+        SELECT *, CASE WHEN accepted_ts IS NULL THEN 'accepted_unparseable'
+                       WHEN period_dt IS NULL THEN 'period_unparseable'
+                       WHEN cik_n IS NULL THEN 'cik_null'
+                       WHEN accepted_ts < CAST(period_dt AS TIMESTAMP) THEN 'accepted_before_period'
+                  END AS _reject_reason
+        FROM (SELECT *, try_strptime(accepted, '%Y-%m-%d %H:%M:%S') AS accepted_ts,
+                     CAST(try_strptime(period, '%Y%m%d') AS DATE) AS period_dt,
+                     CAST(try_strptime(filed, '%Y%m%d') AS DATE) AS filed_dt,
+                     TRY_CAST(cik AS BIGINT) AS cik_n FROM raw_sub)""",
+    "silver_sub": f"""
+        SELECT adsh, cik_n AS cik, name, sic, form, form LIKE '%/A' AS is_amendment, period_dt,
+               filed_dt, accepted_ts, TRY_CAST(fy AS INTEGER) AS fy, fp, fye,
+               prevrpt = '1' AS prevrpt_flag, CAST(NULL AS VARCHAR) AS former,
+               CAST(NULL AS VARCHAR) AS changed, detail, quarter
+        FROM typed_sub WHERE _reject_reason IS NULL AND form IN {silver.FORMS_IN_SCOPE}""",
+    "typed_num": """
+        SELECT *, CASE WHEN ddate_dt IS NULL THEN 'ddate_unparseable'
+                       WHEN value IS NOT NULL AND value_dec IS NULL THEN 'value_uncastable'
+                       WHEN ddate_dt < DATE '1990-01-01' THEN 'ddate_implausible'
+                  END AS _reject_reason
+        FROM (SELECT *, CAST(try_strptime(ddate, '%Y%m%d') AS DATE) AS ddate_dt,
+                     TRY_CAST(qtrs AS SMALLINT) AS qtrs_i,
+                     TRY_CAST(value AS DECIMAL(28,4)) AS value_dec FROM raw_num)""",
+    "outcome_num": """
+        SELECT t.*, m.src_tag, m.canonical_tag, m.statement,
+               CASE WHEN _reject_reason IS NOT NULL THEN _reject_reason
+                    WHEN trim(coalesce(segments, '')) <> '' OR trim(coalesce(coreg, '')) <> ''
+                      THEN 'segment'
+                    WHEN uom IS DISTINCT FROM 'USD' THEN 'non_usd'
+                    WHEN version IS NULL OR version NOT LIKE 'us-gaap%' THEN 'custom_tag'
+                    WHEN qtrs_i IS NULL OR qtrs_i NOT IN (0, 1, 4) THEN 'qtrs'
+                    WHEN value_dec IS NULL THEN 'null_value'
+                    WHEN m.src_tag IS NULL THEN 'unmapped'
+                    ELSE 'kept' END AS outcome
+        FROM typed_num t LEFT JOIN raw_cmap m ON t.tag = m.src_tag""",
+    "silver_num": """
+        SELECT adsh, src_tag, canonical_tag, statement, ddate_dt AS ddate, qtrs_i AS qtrs, uom,
+               value_dec AS value, version, footnote, quarter
+        FROM outcome_num WHERE outcome = 'kept'""",
+    "outcome_sub": f"""
+        SELECT *, CASE WHEN _reject_reason IS NOT NULL THEN _reject_reason
+                       WHEN form NOT IN {silver.FORMS_IN_SCOPE} THEN 'form'
+                       ELSE 'kept' END AS outcome FROM typed_sub""",
+    "tag_name": _values(list(dt.TAG_NAMES.items()), "code, tag"),
+    "named": """
+        SELECT r.* REPLACE (CASE WHEN r.ddate = '19791231' THEN 'RareTag' || substr(r.value, 1, 1)
+                                 ELSE t.tag END AS tag)
+        FROM raw_num r LEFT JOIN tag_name t ON r.tag = t.code""",
+    "usable": """
+        SELECT tag, adsh FROM named
+        WHERE trim(coalesce(segments, '')) = '' AND trim(coalesce(coreg, '')) = ''
+          AND uom = 'USD' AND version LIKE 'us-gaap%' AND value IS NOT NULL""",
+    "candidate": """
+        SELECT tag, count(DISTINCT adsh) AS filings FROM usable GROUP BY tag
+        HAVING count(DISTINCT adsh) >= 0.05e0 * (SELECT count(DISTINCT adsh) FROM usable)""",
+    "curated": _values([r[:5] for r in concepts.CURATED],
+                       "src_tag, canonical_tag, statement, mapping_method, confidence"),
+    "full_map": "SELECT * FROM curated UNION ALL SELECT tag, tag, CASE "
+                + " ".join(
+                    "WHEN " + " OR ".join(f"lower(tag) LIKE '%{w.lower()}%'" for w in words)
+                    + f" THEN '{name}'" for name, words in concepts.STATEMENT_WORDS.items())
+                + " ELSE 'IS' END, 'SELF', 'HIGH' FROM candidate "
+                  "WHERE tag NOT IN (SELECT src_tag FROM curated)",
+    "quarter_link": """
+        SELECT DISTINCT year(o_orderdate) || 'q' || quarter(o_orderdate) AS quarter FROM orders""",
+    "control": """
+        SELECT quarter, 'https://example.org/' || quarter || '.zip' AS zip_url,
+               CASE WHEN quarter >= '1999' THEN 'PENDING'
+                    ELSE CASE right(quarter, 1) WHEN '1' THEN 'DONE' WHEN '2' THEN 'PENDING'
+                         WHEN '3' THEN 'FAILED' ELSE 'RUNNING' END END AS status,
+               CASE WHEN quarter >= '1999' THEN 0 ELSE 1 END AS attempts,
+               CAST(NULL AS VARCHAR) AS last_error,
+               CASE WHEN quarter >= '1999' THEN TIMESTAMP '2025-01-01 00:00:00'
+                    ELSE TIMESTAMP '2024-01-01 00:00:00' END AS discovered_at
+        FROM quarter_link""",
+    "snap_a": "",
+    "snap_b": "",
+    "diff": """
+        SELECT a.cik, a.canonical_tag, a.ddate, a.qtrs, a.value AS value_a, a.adsh AS adsh_a,
+               a.accepted_ts AS accepted_ts_a, b.value AS value_b, b.adsh AS adsh_b,
+               b.accepted_ts AS accepted_ts_b, b.value - a.value AS delta,
+               abs(CAST(b.value AS DOUBLE) - CAST(a.value AS DOUBLE))
+                 / nullif(abs(CAST(a.value AS DOUBLE)), 0) * 100 AS pct,
+               abs(CAST(b.value AS DOUBLE) / nullif(CAST(a.value AS DOUBLE), 0)) AS factor
+        FROM snap_a a JOIN snap_b b ON a.cik = b.cik AND a.canonical_tag = b.canonical_tag
+         AND a.ddate = b.ddate AND a.qtrs = b.qtrs""",
+}
+for _name, _year in (("snap_a", 1997), ("snap_b", 1998)):
+    BLOCKS[_name] = f"""
+        SELECT {SNAP_KEY}, value, adsh, accepted_ts FROM (
+          SELECT *, row_number() OVER (PARTITION BY {SNAP_KEY}
+                                       ORDER BY accepted_ts DESC, adsh DESC, value DESC) AS rn
+          FROM fact WHERE year(accepted_ts) = {_year}) WHERE rn = 1"""
+
+_FACT = ["filing", "cmap", "line", "fact"]
+_PIT = [*_FACT, "per_filing", "per_instant", "change", "spell", "measured", "pit"]
+_ROA = [*_PIT, "cal", "grid", "ranked_input", "latest", "inputs"]
+_DEC = [*_ROA, "roa", "decile"]
+_NUM = ["raw_num", "raw_cmap", "typed_num", "outcome_num", "silver_num"]
+_SUB = ["raw_sub", "typed_sub", "silver_sub"]
+_MAP = ["raw_num", "tag_name", "named", "usable", "candidate", "curated", "full_map"]
+_DIFF = [*_FACT, "snap_a", "snap_b", "diff"]
+
+
+def _sql(blocks: list[str], select: str) -> str:
+    if not blocks:
+        return select
+    return "WITH " + ",\n".join(f"{b} AS ({BLOCKS[b]})" for b in blocks) + "\n" + select
+
+
+def _check(name: str, violation: str, rows: str) -> str:
+    return (f"SELECT '{name}' AS \"check\", count(*) FILTER ({violation}) AS violations, "
+            f"count(*) AS checked FROM ({rows})")
+
+
+_NEXT = (f"SELECT known_to_ts, lead(known_from_ts) OVER (PARTITION BY {KEY} "
+         "ORDER BY known_from_ts, known_to_ts) AS next_from FROM pit")
+_CHECKS = {
+    "inv_i1_no_overlap": _check("I1_no_overlap", "next_from < known_to_ts", _NEXT),
+    "inv_i2_one_open": _check(
+        "I2_one_open", "n <> 1", "SELECT sum(CASE WHEN is_current THEN 1 ELSE 0 END) AS n "
+        f"FROM pit GROUP BY {KEY}"),
+    "inv_i3_no_gap": _check("I3_no_gap", "next_from <> known_to_ts", _NEXT),
+    "inv_i4_source_match": _check(
+        "I4_source_match", "known_from_ts <> accepted_ts",
+        "SELECT known_from_ts, accepted_ts FROM pit JOIN filing ON source_adsh = adsh"),
+    "inv_i4b_zero_width": _check(
+        "I4b_zero_width", "known_from_ts >= known_to_ts", "SELECT * FROM pit"),
+    "inv_i6_seq_contiguous": _check(
+        "I6_seq_contiguous", "mx <> n",
+        f"SELECT max(revision_seq) AS mx, count(*) AS n FROM pit GROUP BY {KEY}"),
+}
+
+_CHANGED = "coalesce(pct > 1, false)"
+_RATE = f"count(*) AS n, round(100.0e0 * count(*) FILTER ({_CHANGED}) / count(*), 1) AS chg_pct"
+
+
+def _profile(kind: str, source: str, filled: set[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{kind}' AS kind, '{c}' AS \"column\", count(*) AS \"rows\", "
+        f"count({c if c in filled else 'NULL'}) AS filled, "
+        f"CAST(count({c if c in filled else 'NULL'}) AS DOUBLE) / count(*) AS populated "
+        f"FROM {source}" for c in [*raw_columns(kind), RESCUED])
+
+
+_SUB_FILLED = set("adsh cik name sic fye form period fy fp filed accepted prevrpt detail".split())
+_TAGS = ("(SELECT DISTINCT tag, quarter, CASE WHEN version LIKE 'us-gaap%' THEN 'us-gaap/2024' "
+         "ELSE 'filer' END AS version, '1' AS custom, '0' AS abstract, 'm' AS datatype, "
+         "'D' AS iord, 'l' AS tlabel FROM raw_num)")
+_PRES = ("(SELECT DISTINCT adsh, tag, version, quarter, '1' AS report, '1' AS line, 'BS' AS stmt, "
+         "'0' AS inpth, 'H' AS rfile, 'p' AS plabel, '0' AS negating FROM raw_num)")
+
+
+def _rates(table: str, source: str, rules: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS \"table\", '{rule}' AS rule, count(*) AS \"rows\", "
+        f"count(*) FILTER (NOT coalesce({ok}, false)) AS breaches, "
+        f"CAST(count(*) FILTER (NOT coalesce({ok}, false)) AS DOUBLE) / count(*) AS rate "
+        f"FROM {source}" for rule, ok in rules.items())
+
+
+_WELL_FORMED = f"regexp_matches(adsh, '{silver.ACCESSION_FORMAT}')"
+
+
+def _reconcile(table: str, source: str, breaks: tuple[str, ...]) -> str:
+    return (f"SELECT '{table}' AS \"table\", count(*) AS bronze, "
+            "count(*) FILTER (outcome = 'kept') AS silver, "
+            f"count(*) FILTER (outcome IN {breaks}) AS quarantine, "
+            f"count(*) FILTER (outcome <> 'kept' AND outcome NOT IN {breaks}) AS excluded, "
+            f"true AS reconciles FROM {source}")
+
+
+_BINS = " ".join(
+    f"WHEN pct > {_double(lo)} AND pct <= {_double(hi)} THEN '{snapshots.bin_label(lo, hi)}'"
+    for lo, hi in zip(snapshots.BIN_EDGES, snapshots.BIN_EDGES[1:]))
+_ARTEFACTS = " UNION ALL ".join(
+    [f"SELECT 'identical' AS artefact, count(*) AS n FROM diff "
+     f"WHERE factor > {_double(snapshots.SAME_BAND[0])} AND factor < {_double(snapshots.SAME_BAND[1])}"]
+    + [f"SELECT 'scale_1e{k}', count(*) FROM diff WHERE factor > {_double(10.0 ** k * 0.99)} "
+       f"AND factor < {_double(10.0 ** k * 1.01)}" for k in snapshots.SCALE_POWERS]
+    + ["SELECT 'sign_flip', count(*) FROM diff WHERE sign(value_a) <> sign(value_b)"])
+_BUCKETS = {
+    "large_pct_nonrevenue": "pct > 15 AND canonical_tag <> 'REVENUE' AND abs(value_a) > 40",
+    "small_material": "pct BETWEEN 1 AND 5 AND abs(value_a) > 1000",
+    "sign_flip": "sign(value_a) <> sign(value_b)",
+    "balance_sheet": "qtrs = 0 AND pct > 10 AND abs(value_a) > 1000",
+}
+
+ORACLES: dict[str, str] = {
+    "fact_filing_join": _sql(
+        ["filing", "line"], "SELECT l.adsh, src_tag, qtrs, uom, value, cik, accepted_ts, form "
+        "FROM line l JOIN filing f ON l.adsh = f.adsh"),
+    "concept_map_apply": _sql(
+        ["cmap", "line"], "SELECT adsh, src_tag, canonical_tag, statement, qtrs, value "
+        "FROM line JOIN cmap USING (src_tag)"),
+    "dedup_per_filing": _sql([*_FACT, "per_filing"], "SELECT * FROM per_filing"),
+    "dedup_per_instant": _sql([*_FACT, "per_filing", "per_instant"], "SELECT * FROM per_instant"),
+    "change_points": _sql(
+        [*_FACT, "per_filing", "per_instant", "change"],
+        f"SELECT {KEY}, accepted_ts, adsh, value, prev_value FROM change"),
+    "knowledge_intervals": _sql(_PIT, "SELECT * FROM pit"),
+    "publish_roundtrip": _sql(_PIT, "SELECT * FROM pit"),
+    "revision_class": _sql(
+        _PIT, "SELECT canonical_tag, change_class, count(*) AS n, min(pct_change) AS min_pct, "
+        "max(pct_change) AS max_pct FROM pit GROUP BY ALL"),
+    "fact_revision": _sql([*_PIT, "revision"], "SELECT * FROM revision"),
+    "fundamental_as_of": _sql(
+        _PIT, f"SELECT {KEY}, value, known_from_ts, source_adsh, revision_seq FROM pit "
+        f"WHERE known_from_ts <= TIMESTAMP '{q.AS_OF}' AND known_to_ts > TIMESTAMP '{q.AS_OF}'"),
+    "asof_grid": _sql([*_PIT, "cal", "grid"],
+                      f"SELECT rebalance_dt, {KEY}, value, revision_seq FROM grid"),
+    "scd2_build": _sql(["registrant", "company"], "SELECT * FROM company"),
+    "concept_candidates": _sql(_MAP[:5], "SELECT * FROM candidate"),
+    "concept_map_build": _sql(_MAP, "SELECT * FROM full_map"),
+    "dim_concept": _sql(
+        _MAP, "SELECT canonical_tag, statement, count(*) AS n_source_tags, "
+        "string_agg(DISTINCT src_tag, ',' ORDER BY src_tag) AS source_tags, "
+        "max(mapping_method) AS mapping_method, min(confidence) AS min_confidence, "
+        "CASE min(CASE confidence WHEN 'LOW' THEN 1 WHEN 'MEDIUM' THEN 2 ELSE 3 END) "
+        "WHEN 1 THEN 'LOW' WHEN 2 THEN 'MEDIUM' ELSE 'HIGH' END AS weakest_confidence "
+        "FROM full_map GROUP BY canonical_tag, statement"),
+    "concept_lineage": _sql(
+        _MAP, "SELECT canonical_tag, count(*) AS n_source_tags, "
+        "string_agg(src_tag, ',' ORDER BY src_tag) AS tags, "
+        "CAST(coalesce(sum(facts), 0) AS BIGINT) AS facts FROM full_map LEFT JOIN "
+        "(SELECT tag, count(*) AS facts FROM named GROUP BY tag) ON src_tag = tag "
+        "WHERE mapping_method <> 'SELF' GROUP BY canonical_tag"),
+    "concept_coverage": _sql(
+        ["raw_num", "raw_cmap"], """
+        SELECT canonical_tag, filings, filings_best_tag, filings_mapped,
+               round(100.0e0 * filings_best_tag / filings, 2) AS pct_best_tag,
+               round(100.0e0 * filings_mapped / filings, 2) AS pct_mapped
+        FROM (SELECT canonical_tag, count(DISTINCT adsh) AS filings_mapped
+              FROM raw_num JOIN raw_cmap ON tag = src_tag GROUP BY 1)
+        JOIN (SELECT canonical_tag, max(n) AS filings_best_tag FROM (
+                SELECT canonical_tag, src_tag, count(DISTINCT adsh) AS n
+                FROM raw_num JOIN raw_cmap ON tag = src_tag GROUP BY 1, 2) GROUP BY 1)
+          USING (canonical_tag),
+        (SELECT count(DISTINCT adsh) AS filings FROM raw_num)"""),
+    "rebalance_calendar": _sql(["cal"], "SELECT * FROM cal"),
+    "factor_input_asof": _sql(_ROA, "SELECT * FROM inputs"),
+    "roa_comparison": _sql([*_ROA, "roa"], "SELECT * FROM roa"),
+    "roa_deciles": _sql(_DEC, "SELECT * FROM decile"),
+    "bias_by_quarter": _sql([*_DEC, "bias"], "SELECT * FROM bias"),
+    "bias_window": _sql(
+        [*_DEC, "bias"], "SELECT rebalance_dt, pct_decile_moved, pct_top_decile_turnover, "
+        f"pct_any_input_revised FROM bias WHERE rebalance_dt < DATE '{q.CENSOR_FROM}' "
+        "ORDER BY rebalance_dt"),
+    "coverage_by_quarter": _sql(
+        _NUM, "SELECT quarter, count(DISTINCT adsh) AS filings, count(*) AS facts "
+        "FROM silver_num GROUP BY quarter"),
+    "fact_explorer": _sql(
+        _PIT, "SELECT ddate, value, known_from_ts, known_to_ts, revision_seq, change_class, "
+        f"round(pct_change * 100, 2) AS pct FROM pit WHERE cik = {q.EXPLORED} "
+        "AND canonical_tag = 'NET_INCOME' AND qtrs = 4"),
+    "restatement_monitor": _sql(
+        [*_PIT, "revision", "registrant", "company"], f"""
+        SELECT c.name AS company, r.canonical_tag, r.ddate, r.qtrs, r.prev_value,
+               r.revised_value, round(r.pct_change * 100, 1) AS pct_change, r.revised_at_ts,
+               r.source_form
+        FROM revision r LEFT JOIN company c ON r.cik = c.cik AND c.is_current
+        WHERE abs(r.prev_value) > {q.MONITOR_ABOVE}
+        ORDER BY abs(r.pct_change) DESC, r.cik, r.canonical_tag, r.ddate, r.qtrs, r.uom,
+                 r.revised_at_ts LIMIT 200"""),
+    **{name: _sql(_PIT, select) for name, select in _CHECKS.items()},
+    "invariant_report": _sql(
+        _PIT, "SELECT *, violations = 0 AS passed FROM ("
+        + " UNION ALL ".join(f"({s})" for s in _CHECKS.values()) + ")"),
+    "key_sample": _sql(
+        _PIT, f"""
+        SELECT {KEY}, value, known_from_ts, known_to_ts FROM pit JOIN (
+          SELECT DISTINCT {KEY}, md5(concat_ws('|', cik, canonical_tag, ddate, qtrs, uom,
+                                               '{q.SEED}')) AS spot
+          FROM pit WHERE revision_seq > 1 ORDER BY spot, {KEY} LIMIT 300) USING ({KEY})"""),
+    "equivalence_check": _sql(
+        _PIT, f"""
+        SELECT count(*) AS keys_built, count(*) AS keys_rebuilt, count(*) AS keys_in_both,
+               CAST(0 AS BIGINT) AS keys_only_built, CAST(0 AS BIGINT) AS keys_only_rebuilt,
+               CAST(0 AS BIGINT) AS keys_differing, CAST(sum(n) AS BIGINT) AS intervals
+        FROM (SELECT count(*) AS n FROM pit GROUP BY {KEY})"""),
+    "bronze_read": _sql(
+        ["raw_sub", "raw_num"], " UNION ALL ".join([
+            _profile("sub", "raw_sub", _SUB_FILLED),
+            _profile("num", "raw_num", set(raw_columns("num"))),
+            _profile("tag", _TAGS, set("tag version custom abstract datatype iord tlabel".split())),
+            _profile("pre", _PRES, set(raw_columns("pre")))])),
+    "bronze_rescue": _sql(
+        ["raw_num"], """
+        SELECT quarter, count(*) AS "rows", count(*) FILTER (d IN ('3', '7')) AS rescued,
+               count(*) FILTER (d = '3') AS too_long,
+               count(*) FILTER (d NOT IN ('3', '7') AND value IS NOT NULL) AS sound_values
+        FROM (SELECT *, right(split_part(adsh, '-', 1), 1) AS d FROM raw_num) GROUP BY quarter"""),
+    "bronze_provenance": _sql(
+        ["raw_sub"], "SELECT adsh, quarter, true AS has_time, true AS has_file FROM raw_sub"),
+    "bronze_stream": _sql(
+        ["raw_sub", "raw_num"], """
+        SELECT 'sub' AS kind, quarter, count(*) AS "rows", count(DISTINCT adsh) AS filings
+        FROM raw_sub GROUP BY quarter UNION ALL
+        SELECT 'num', quarter, count(*), count(DISTINCT adsh) FROM raw_num GROUP BY quarter"""),
+    "silver_stream": _sql(_NUM, "SELECT * EXCLUDE (footnote) FROM silver_num"),
+    "full_refresh": _sql(
+        _NUM, "SELECT canonical_tag, count(*) AS facts, CAST(sum(value) AS DECIMAL(38,4)) AS total "
+        "FROM silver_num GROUP BY canonical_tag"),
+    "raw_manifest": _sql(
+        ["raw_sub", "raw_num"], "SELECT quarter, sub_rows, num_rows FROM (SELECT quarter, "
+        "count(*) AS sub_rows FROM raw_sub GROUP BY 1) FULL JOIN (SELECT quarter, "
+        "count(*) AS num_rows FROM raw_num GROUP BY 1) USING (quarter)"),
+    "column_profile": _sql(["raw_num"], " UNION ALL ".join(
+        f"SELECT quarter, count(*) AS \"rows\", '{c}' AS \"column\", count({c}) AS filled, "
+        f"CAST(count({c}) AS DOUBLE) / count(*) AS populated FROM raw_num GROUP BY quarter"
+        for c in raw_columns("num"))),
+    "silver_sub": _sql(_SUB, "SELECT * FROM silver_sub"),
+    "silver_num": _sql(_NUM, "SELECT * FROM silver_num"),
+    "quarantine_route": _sql(
+        ["raw_num", "typed_num", "raw_sub", "typed_sub"], """
+        SELECT 'num' AS "table", adsh, _reject_reason, quarter FROM typed_num
+        WHERE _reject_reason IS NOT NULL UNION ALL
+        SELECT 'sub', adsh, _reject_reason, quarter FROM typed_sub
+        WHERE _reject_reason IS NOT NULL"""),
+    "exclusion_funnel": _sql(
+        _NUM[:4], 'SELECT outcome, count(*) AS "rows" FROM outcome_num GROUP BY outcome'),
+    "reconcile_layers": _sql(
+        [*_NUM[:4], "raw_sub", "typed_sub", "outcome_sub"],
+        _reconcile("num", "outcome_num", silver.FACT_BREAKS) + " UNION ALL "
+        + _reconcile("sub", "outcome_sub", silver.SUBMISSION_BREAKS)),
+    "quality_rates": _sql(
+        ["raw_num", "typed_num", "raw_sub", "typed_sub"],
+        _rates("num", "typed_num", {
+            "ddate_not_null": "ddate_dt IS NOT NULL",
+            "ddate_plausible": "ddate_dt >= DATE '1990-01-01'",
+            "value_castable": "value IS NULL OR value_dec IS NOT NULL",
+            "value_not_null": "value_dec IS NOT NULL",
+            "qtrs_valid": "qtrs_i IN (0, 1, 4)"}) + " UNION ALL "
+        + _rates("sub", "typed_sub", {
+            "accepted_ts_not_null": "accepted_ts IS NOT NULL",
+            "period_dt_not_null": "period_dt IS NOT NULL",
+            "cik_not_null": "cik_n IS NOT NULL",
+            "accepted_after_period": "accepted_ts >= CAST(period_dt AS TIMESTAMP)",
+            "adsh_well_formed": _WELL_FORMED})),
+    "expect_warn": _sql(
+        _SUB, f'SELECT count(*) AS written, count(*) AS "rows", '
+        f"count(*) FILTER (NOT {_WELL_FORMED}) AS adsh_well_formed, "
+        "count(*) FILTER (fp IS NULL) AS fp_known FROM silver_sub"),
+    "expect_fail": _sql(_SUB, "SELECT form, count(*) AS filings FROM silver_sub GROUP BY form"),
+    "control_merge": _sql(["quarter_link", "control"], "SELECT * FROM control"),
+    "control_transition": _sql(
+        ["quarter_link", "control"], """
+        SELECT quarter,
+               CASE WHEN status = 'DONE' OR right(quarter, 1) IN ('1', '2') THEN 'DONE'
+                    WHEN right(quarter, 1) = '3' THEN 'FAILED' ELSE 'RUNNING' END AS status,
+               CAST(CASE WHEN status = 'DONE' THEN attempts ELSE attempts + 1 END AS INTEGER)
+                 AS attempts,
+               CASE WHEN moved THEN n * 100 END AS bytes_downloaded,
+               CAST(CASE WHEN moved THEN 1 END AS INTEGER) AS files_extracted,
+               CASE WHEN moved THEN n END AS sub_rows,
+               CASE WHEN status <> 'DONE' AND right(quarter, 1) = '3'
+                    THEN substr('cant read ' || repeat('x', 1000), 1, 900) END AS last_error,
+               CASE WHEN moved THEN TIMESTAMP '2025-02-01 00:00:00' END AS completed_at
+        FROM (SELECT *, status <> 'DONE' AND right(quarter, 1) IN ('1', '2') AS moved FROM control)
+        JOIN (SELECT year(o_orderdate) || 'q' || quarter(o_orderdate) AS quarter, count(*) AS n
+              FROM orders GROUP BY 1) USING (quarter)"""),
+    "control_status": _sql(
+        ["quarter_link", "control"], "SELECT status, count(*) AS n, "
+        "CASE WHEN status <> 'DONE' THEN string_agg(quarter, ',' ORDER BY quarter) END AS pending "
+        "FROM control GROUP BY status"),
+    "link_discovery": """
+        SELECT regexp_extract(zip_url, '([a-z]+)$', 1) AS quarter, zip_url FROM (
+          SELECT DISTINCT CASE WHEN h LIKE 'http%' THEN h ELSE 'https://example.org' || h END
+                 AS zip_url
+          FROM (SELECT unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS h FROM pages))
+        WHERE regexp_extract(zip_url, '([a-z]+)$', 1) <> ''""",
+    "snapshot_resolve": _sql([*_FACT, "snap_b"], "SELECT * FROM snap_b"),
+    "snapshot_diff": _sql(_DIFF, "SELECT * EXCLUDE (factor) FROM diff"),
+    "snapshot_rates": _sql(
+        _DIFF, f"SELECT canonical_tag AS grouped, {_RATE} FROM diff GROUP BY 1 UNION ALL "
+        f"SELECT 'qtrs ' || qtrs, {_RATE} FROM diff GROUP BY 1"),
+    "snapshot_artefacts": _sql(_DIFF, _ARTEFACTS),
+    "snapshot_histogram": _sql(
+        _DIFF, f"SELECT bin, count(*) AS n FROM (SELECT CASE {_BINS} END AS bin FROM diff) "
+        "WHERE bin IS NOT NULL GROUP BY bin"),
+    "snapshot_year_mix": _sql(
+        _DIFF, "SELECT CAST(year(ddate) AS INTEGER) AS year, count(*) AS n FROM diff GROUP BY 1"),
+    "snapshot_candidates": _sql(
+        _DIFF, f"SELECT {SNAP_KEY}, value_a, value_b, pct FROM diff WHERE {_CHANGED} AND qtrs = 4 "
+        "AND pct BETWEEN 3 AND 90 AND abs(value_a) > 20 "
+        f"ORDER BY abs(value_a) DESC, {SNAP_KEY} LIMIT 25"),
+    "snapshot_buckets": _sql(
+        _DIFF, f"SELECT bucket, CAST(place AS INTEGER) AS place, {SNAP_KEY}, value_a, value_b, pct "
+        "FROM (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY abs(value_a) DESC, "
+        f"{SNAP_KEY}) AS place FROM ("
+        + " UNION ALL ".join(f"SELECT '{b}' AS bucket, * FROM diff WHERE {_CHANGED} AND {rule}"
+                             for b, rule in _BUCKETS.items()) + ")) WHERE place <= 8"),
+    "snapshot_largest": _sql(
+        _DIFF, f"SELECT {SNAP_KEY}, value_a, value_b, pct, adsh_a, adsh_b FROM diff "
+        f"WHERE {_CHANGED} ORDER BY pct DESC, {SNAP_KEY} LIMIT 15"),
+    "filing_path": _sql(
+        _SUB, "SELECT adsh, cik, 'https://example.org/data/' || cik || '/' "
+        "|| replace(adsh, '-', '') || '/' AS path FROM silver_sub"),
+}
