@@ -1,0 +1,24 @@
+"""Proven upper bounds on group sizes, cheapest question first.
+
+The row count of a stored table is answered from file footers. Only when that
+bound is too weak are groups counted, combined on the map side.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def group_size_within(rows: DataFrame, by: list[str], limit: int) -> bool:
+    """Is every ``by`` group at most ``limit`` rows?"""
+    if rows.count() <= limit:
+        return True
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.agg(F.max("_n")).first()[0] <= limit
+
+
+def distinct_at_most(rows: DataFrame, columns: list[str], enough: int) -> int:
+    """An upper bound on the distinct values; exact when the row count exceeds ``enough``."""
+    total = rows.count()
+    return total if total <= enough else rows.select(*columns).distinct().count()

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from knownwhen.functions.values import open_end
+from knownwhen.operators.bounds import group_size_within
 
 # Rows of one key that a single task may sort and scan.
 ROWS_PER_TASK = 2_000_000
@@ -65,9 +66,7 @@ def plan_slices(events: DataFrame, entity: list[str], at: str,
     returned. Otherwise the result has (entity, day, slice) for the entities
     above the limit: consecutive days, about ``limit`` instants per slice.
     """
-    per_entity = events.groupBy(*entity).agg(F.count("*").alias("_n"))
-    largest = per_entity.agg(F.max("_n")).first()[0]
-    if largest is None or largest <= limit:
+    if group_size_within(events, entity, limit):
         return None
     return slice_days(events, entity, at, limit)
 

@@ -107,9 +107,12 @@ def rebuilt(attributed: DataFrame, filings: DataFrame,
     slices = tl.slice_days(filings, ["cik"], "accepted_ts", limit)
     rows = tl.in_slices(attributed, slices, ["cik"], "accepted_ts")
     part = [*KEY, tl.SLICE]
-    # Copies of an instant are folded first: last filing, then its largest value.
-    instants = rows.where(F.col("value").isNotNull()).groupBy(*part, "accepted_ts").agg(
-        F.max_by("value", F.struct("adsh", "value")).alias("value"))
+    # Copies are folded first: largest value of a filing, then the last filing of an instant.
+    instants = (
+        rows.where(F.col("value").isNotNull())
+        .groupBy(*part, "accepted_ts", "adsh").agg(F.max("value").alias("value"))
+        .groupBy(*part, "accepted_ts").agg(F.max_by("value", "adsh").alias("value"))
+    )
     listed = instants.groupBy(*part).agg(
         F.array_sort(F.collect_list(F.struct("accepted_ts", "value"))).alias("told"))
     runs = listed.select(*part, F.filter(

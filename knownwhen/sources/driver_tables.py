@@ -47,14 +47,19 @@ def concept_map(spark: SparkSession) -> DataFrame:
 
 
 def _reported() -> Column:
-    tens = F.round(F.col("l_quantity") / 5) * 10
+    """Line quantities, bucketed so that repeats, sign flips and scale errors occur.
+
+    Whole numbers are built as integers: they convert to decimals much faster.
+    """
+    exact = "decimal(28,4)"
+    tens = F.floor(F.col("l_quantity") / 5 + 0.5) * 10
     return (
-        F.when(F.col("l_returnflag") == "N", F.col("l_quantity") * 100)
-        .when(F.col("l_discount") >= 0.095, -tens)
-        .when(F.col("l_discount") <= 0.005, tens * 1000)
-        .when(F.col("l_tax") < 0.005, tens + 0.01)
-        .otherwise(tens)
-    ).cast("decimal(28,4)")
+        F.when(F.col("l_returnflag") == "N", F.floor(F.col("l_quantity") * 100 + 0.5).cast(exact))
+        .when(F.col("l_discount") >= 0.095, (-tens).cast(exact))
+        .when(F.col("l_discount") <= 0.005, (tens * 1000).cast(exact))
+        .when(F.col("l_tax") < 0.005, (tens + 0.01).cast(exact))
+        .otherwise(tens.cast(exact))
+    )
 
 
 def source_facts(spark: SparkSession, folder: str) -> DataFrame:

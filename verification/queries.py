@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from knownwhen.functions.values import quarter_of
-from knownwhen.operators import asof, dedup, quality
+from knownwhen.operators import asof, bounds, dedup, quality
 from knownwhen.operators import timeline as tl
 from knownwhen.plans import (
     concepts, control, dimensions, factors, gold, invariants, monitor, silver, snapshots)
@@ -41,11 +41,10 @@ def mapped_facts(spark: SparkSession, d: str) -> DataFrame:
     return dt.source_facts(spark, d).join(dt.concept_map(spark), "src_tag")
 
 
-def attributed(spark: SparkSession, d: str, *extra: str) -> DataFrame:
-    """Facts with their filing, copies folded first."""
-    facts = mapped_facts(spark, d).select(
-        "adsh", "canonical_tag", "statement", "years_back", "qtrs", "uom", "value", *extra)
-    joined = gold.attach_filings(gold.fact_rows(facts), dt.filings(spark, d))
+def attributed(spark: SparkSession, d: str) -> DataFrame:
+    """Facts with concept and filing. Copies are folded before anything is joined."""
+    folded = gold.fact_rows(dt.source_facts(spark, d)).join(dt.concept_map(spark), "src_tag")
+    joined = gold.attach_filings(folded.drop("src_tag"), dt.filings(spark, d))
     return joined.withColumn("ddate", dt.period_end()).drop("years_back")
 
 
@@ -61,13 +60,10 @@ def comparison(spark: SparkSession, d: str) -> DataFrame:
     return factors.roa_comparison(pit(spark, d, today=True), calendar(spark, d), FACTOR)
 
 
-def companies(spark: SparkSession, d: str) -> int:
-    """No date can have more companies than ever filed."""
-    return dt.filings(spark, d).agg(F.count_distinct("cik")).first()[0]
-
-
 def deciles(spark: SparkSession, d: str) -> DataFrame:
-    return factors.roa_deciles(comparison(spark, d), largest=companies(spark, d))
+    # No date can have more companies than ever filed.
+    companies = bounds.distinct_at_most(dt.filings(spark, d), ["cik"], tl.ROWS_PER_TASK)
+    return factors.roa_deciles(comparison(spark, d), largest=companies)
 
 
 def revisions(spark: SparkSession, d: str) -> DataFrame:
@@ -90,16 +86,13 @@ def concept_map_apply(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def dedup_per_filing(spark: SparkSession, d: str) -> DataFrame:
-    facts = mapped_facts(spark, d).drop("src_tag")
-    best = dedup.one_per_filing(
-        facts, ["canonical_tag", "years_back", "qtrs", "uom"], "adsh", "value")
-    return gold.attach_filings(best, dt.filings(spark, d)).withColumn(
-        "ddate", dt.period_end()).drop("years_back")
+    return dedup.one_per_filing(attributed(spark, d), KEY, "adsh", "value")
 
 
 @query
 def dedup_per_instant(spark: SparkSession, d: str) -> DataFrame:
-    return dedup.one_per_instant(attributed(spark, d), KEY, "accepted_ts", "adsh")
+    per_filing = dedup.one_per_filing(attributed(spark, d), KEY, "adsh", "value")
+    return dedup.one_per_instant(per_filing, KEY, "accepted_ts", "adsh")
 
 
 @query
@@ -545,7 +538,7 @@ def link_discovery(spark: SparkSession, d: str) -> DataFrame:
 
 def _snapshot(spark: SparkSession, d: str, year: int) -> DataFrame:
     filings = snapshots.in_window(dt.filings(spark, d), f"{year}-01-01", f"{year + 1}-01-01")
-    facts = gold.fact_rows(mapped_facts(spark, d).drop("src_tag", "statement"))
+    facts = gold.fact_rows(dt.source_facts(spark, d)).join(dt.concept_map(spark), "src_tag")
     dated = gold.attach_filings(facts, filings).withColumn("ddate", dt.period_end())
     return snapshots.resolve(dated, CONCEPT_NAMES)
 
