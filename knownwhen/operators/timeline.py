@@ -76,6 +76,8 @@ def slice_days(events: DataFrame, entity: list[str], at: str, limit: int) -> Dat
 
     Distinct instants are counted per day first, so the running total below
     has one row per calendar day of an entity, whatever the number of events.
+    A day is never cut: filings are stamped to the second, so it holds at most
+    86,400 instants.
     """
     per_day = (
         events.groupBy(*entity, at).agg(F.count("*").alias("_n"))

@@ -67,12 +67,8 @@ def candidates(raw_facts: DataFrame, common_from: float = COMMON_FROM) -> DataFr
         & F.col("version").startswith(STANDARD_TAXONOMY) & F.col("value").isNotNull())
     pairs = usable.select("tag", "adsh").distinct()
     per_tag = pairs.groupBy("tag").agg(F.count("adsh").alias("filings"))
-    total = pairs.agg(F.count_distinct("adsh").alias("_all"))
-    # The right side is a single row.
-    return (
-        per_tag.join(F.broadcast(total), F.col("filings") >= F.col("_all") * common_from)
-        .select("tag", "filings")
-    )
+    total = pairs.agg(F.count_distinct("adsh"))
+    return per_tag.where(F.col("filings") >= total.scalar() * common_from)
 
 
 def build_map(decided: DataFrame, found: DataFrame) -> DataFrame:
@@ -122,9 +118,9 @@ def coverage(raw_facts: DataFrame, concept_map: DataFrame) -> DataFrame:
     )
     by_concept = mapped.select("canonical_tag", "adsh").distinct().groupBy("canonical_tag").agg(
         F.count(F.lit(1)).alias("filings_mapped"))
-    total = pairs.agg(F.count_distinct("adsh").alias("filings"))
+    total = pairs.agg(F.count_distinct("adsh"))
     return (
-        by_concept.join(by_tag, "canonical_tag").crossJoin(F.broadcast(total))
+        by_concept.join(by_tag, "canonical_tag").withColumn("filings", total.scalar())
         .select("canonical_tag", "filings", "filings_best_tag", "filings_mapped",
                 share(F.col("filings_best_tag"), F.col("filings")).alias("pct_best_tag"),
                 share(F.col("filings_mapped"), F.col("filings")).alias("pct_mapped"))

@@ -36,6 +36,14 @@ def fact_rows(facts: DataFrame) -> DataFrame:
     return fold_copies(facts.where(F.col("value").isNotNull()), "value")
 
 
+def pit_from_silver(facts: DataFrame, submissions: DataFrame, *,
+                    limit: int = tl.ROWS_PER_TASK, today: bool = False) -> DataFrame:
+    """Knowledge intervals from typed facts and submissions."""
+    used = facts.select("adsh", "canonical_tag", "statement", "ddate", "qtrs", "uom", "value")
+    return fundamental_pit(attach_filings(fact_rows(used), submissions), submissions,
+                           limit=limit, today=today)
+
+
 def fundamental_pit(attributed: DataFrame, filings: DataFrame, *,
                     limit: int = tl.ROWS_PER_TASK, today: bool = False) -> DataFrame:
     """Knowledge intervals of ``attributed`` facts (see :func:`attach_filings`).

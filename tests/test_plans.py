@@ -5,7 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from knownwhen.operators import ranking
-from knownwhen.plans import concepts, control, dimensions, factors, snapshots
+from knownwhen.plans import (
+    concepts, control, dimensions, factors, gold, invariants, silver, snapshots)
+from knownwhen.sources import driver_tables as dt
+from knownwhen.sources.shared import settle
+from verification.queries import _raw
 from tests.helpers import fact, frame, filings_of, intervals
 
 
@@ -195,3 +199,17 @@ def test_snapshot_keeps_the_latest_and_only_totals(spark):
 def test_filing_path(spark):
     df = spark.createDataFrame([(7, "0001-22-3")], "cik long, adsh string")
     assert snapshots.filing_path(df, "b/", "adsh").first().path == "b/7/0001223/"
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 5])
+def test_raw_to_gold(spark, small, limit):
+    """Faulty raw rows end to end; every invariant holds with and without slices."""
+    subs = silver.submissions(_raw(dt.raw_submissions(spark, small)))
+    facts = silver.facts(_raw(dt.raw_facts(spark, small)), dt.raw_concept_map(spark))
+    pit = settle(gold.pit_from_silver(facts, subs, limit=limit), "pit")
+    assert pit.columns == gold.PIT_COLUMNS
+    report = invariants.report(pit, subs).collect()
+    assert all(r.passed and r.checked > 500 for r in report)
+    named = {r.tag for r in pit.select(F.col("canonical_tag").alias("tag")).distinct().collect()}
+    assert named == {"NET_INCOME", "ASSETS", "REVENUE"}
+    assert pit.where("is_amendment").count() > 0

@@ -41,29 +41,32 @@ def mapped_facts(spark: SparkSession, d: str) -> DataFrame:
     return dt.source_facts(spark, d).join(dt.concept_map(spark), "src_tag")
 
 
-def attributed(spark: SparkSession, d: str) -> DataFrame:
+def attributed(spark: SparkSession, d: str, filings: DataFrame | None = None) -> DataFrame:
     """Facts with concept and filing. Copies are folded before anything is joined."""
     folded = gold.fact_rows(dt.source_facts(spark, d)).join(dt.concept_map(spark), "src_tag")
-    joined = gold.attach_filings(folded.drop("src_tag"), dt.filings(spark, d))
+    if filings is None:
+        filings = dt.filings(spark, d)
+    joined = gold.attach_filings(folded.drop("src_tag"), filings)
     return joined.withColumn("ddate", dt.period_end()).drop("years_back")
 
 
-def pit(spark: SparkSession, d: str, today: bool = False) -> DataFrame:
-    return gold.fundamental_pit(attributed(spark, d), dt.filings(spark, d), today=today)
+def pit(spark: SparkSession, d: str, filings: DataFrame | None = None,
+        today: bool = False) -> DataFrame:
+    if filings is None:
+        filings = dt.filings(spark, d)
+    return gold.fundamental_pit(attributed(spark, d, filings), filings, today=today)
 
 
-def calendar(spark: SparkSession, d: str) -> DataFrame:
-    return factors.calendar_of(dt.filings(spark, d))
-
-
-def comparison(spark: SparkSession, d: str) -> DataFrame:
-    return factors.roa_comparison(pit(spark, d, today=True), calendar(spark, d), FACTOR)
+def comparison(spark: SparkSession, d: str, filings: DataFrame) -> DataFrame:
+    return factors.roa_comparison(
+        pit(spark, d, filings, today=True), factors.calendar_of(filings), FACTOR)
 
 
 def deciles(spark: SparkSession, d: str) -> DataFrame:
+    filings = dt.filings(spark, d)
     # No date can have more companies than ever filed.
-    companies = bounds.distinct_at_most(dt.filings(spark, d), ["cik"], tl.ROWS_PER_TASK)
-    return factors.roa_deciles(comparison(spark, d), largest=companies)
+    companies = bounds.distinct_at_most(filings, ["cik"], tl.ROWS_PER_TASK)
+    return factors.roa_deciles(comparison(spark, d, filings), largest=companies)
 
 
 def revisions(spark: SparkSession, d: str) -> DataFrame:
@@ -126,7 +129,8 @@ def fundamental_as_of(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def asof_grid(spark: SparkSession, d: str) -> DataFrame:
-    return asof.as_of_grid(pit(spark, d), calendar(spark, d)).select(
+    filings = dt.filings(spark, d)
+    return asof.as_of_grid(pit(spark, d, filings), factors.calendar_of(filings)).select(
         "rebalance_dt", *KEY, "value", "revision_seq")
 
 
@@ -180,17 +184,19 @@ def concept_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def rebalance_calendar(spark: SparkSession, d: str) -> DataFrame:
-    return calendar(spark, d)
+    return factors.calendar_of(dt.filings(spark, d))
 
 
 @query
 def factor_input_asof(spark: SparkSession, d: str) -> DataFrame:
-    return factors.latest_inputs(pit(spark, d, today=True), calendar(spark, d), FACTOR)
+    filings = dt.filings(spark, d)
+    return factors.latest_inputs(
+        pit(spark, d, filings, today=True), factors.calendar_of(filings), FACTOR)
 
 
 @query
 def roa_comparison(spark: SparkSession, d: str) -> DataFrame:
-    return comparison(spark, d)
+    return comparison(spark, d, dt.filings(spark, d))
 
 
 @query
@@ -231,7 +237,8 @@ def restatement_monitor(spark: SparkSession, d: str) -> DataFrame:
 
 def _invariant(name: str) -> None:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return invariants.CHECKS[name](pit(spark, d), dt.filings(spark, d))
+        filings = dt.filings(spark, d)
+        return invariants.CHECKS[name](pit(spark, d, filings), filings)
     run.__name__ = name
     query(run)
 
@@ -242,7 +249,8 @@ for _name in invariants.CHECKS:
 
 @query
 def invariant_report(spark: SparkSession, d: str) -> DataFrame:
-    return invariants.report(settle(pit(spark, d), "pit"), dt.filings(spark, d))
+    filings = dt.filings(spark, d)
+    return invariants.report(settle(pit(spark, d, filings), "pit"), filings)
 
 
 @query
@@ -254,7 +262,8 @@ def key_sample(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def equivalence_check(spark: SparkSession, d: str) -> DataFrame:
-    rows, filings = attributed(spark, d), dt.filings(spark, d)
+    filings = dt.filings(spark, d)
+    rows = attributed(spark, d, filings)
     return invariants.equivalence(
         gold.fundamental_pit(rows, filings), invariants.rebuilt(rows, filings))
 
