@@ -59,9 +59,20 @@ def ratio(top: ColumnOrName, bottom: ColumnOrName) -> Column:
     return col_of(top).cast("double") / F.nullif(col_of(bottom).cast("double"), F.lit(0.0))
 
 
+def rounded(x: ColumnOrName, digits: int) -> Column:
+    """Half-up rounding of a double by its decimal value.
+
+    Eight places are settled first, so the last binary digit of a quotient does
+    not decide a tie. Numbers too large for that are rounded as they are.
+    """
+    c = col_of(x)
+    settled = F.round(c.try_cast("decimal(38,8)"), digits).cast("double")
+    return F.coalesce(settled, F.round(c, digits))
+
+
 def share(part: Column, whole: Column, digits: int = 2) -> Column:
     """Percentage of ``whole`` that is ``part``, rounded half up."""
-    return F.round(F.lit(100.0) * ratio(part, whole), digits)
+    return rounded(ratio(part * F.lit(100.0), whole), digits)
 
 
 def quarter_token(path: ColumnOrName) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from knownwhen.functions.values import rounded
+
 
 def coverage_by_quarter(facts: DataFrame) -> DataFrame:
     """Filings and facts per quarter.
@@ -16,13 +18,15 @@ def coverage_by_quarter(facts: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("filings"), F.sum("_n").alias("facts")).orderBy("quarter")
 
 
-def fact_explorer(pit: DataFrame, cik: int, concept: str, qtrs: int) -> DataFrame:
-    """Everything ever believed about one concept of one company."""
-    chosen = (F.col("cik") == cik) & (F.col("canonical_tag") == concept) & (F.col("qtrs") == qtrs)
+def fact_explorer(pit: DataFrame, concept: str, qtrs: int, cik: int | None = None) -> DataFrame:
+    """Everything ever believed about one concept, of one company or of each."""
+    chosen = (F.col("canonical_tag") == concept) & (F.col("qtrs") == qtrs)
+    if cik is not None:
+        chosen = chosen & (F.col("cik") == cik)
     return pit.where(chosen).select(
-        "ddate", "value", "known_from_ts", "known_to_ts", "revision_seq", "change_class",
-        F.round(F.col("pct_change") * 100, 2).alias("pct"),
-    ).orderBy("ddate", "known_from_ts")
+        "cik", "ddate", "value", "known_from_ts", "known_to_ts", "revision_seq", "change_class",
+        rounded(F.col("pct_change") * 100, 2).alias("pct"),
+    ).orderBy("cik", "ddate", "known_from_ts")
 
 
 def restatement_monitor(revisions: DataFrame, companies: DataFrame, above: float,
@@ -37,5 +41,5 @@ def restatement_monitor(revisions: DataFrame, companies: DataFrame, above: float
     names = companies.where("is_current").select("cik", F.col("name").alias("company"))
     return largest.join(names, "cik", "left").orderBy(*rank).select(
         "company", "canonical_tag", "ddate", "qtrs", "prev_value", "revised_value",
-        F.round(F.col("pct_change") * 100, 1).alias("pct_change"), "revised_at_ts",
+        rounded(F.col("pct_change") * 100, 1).alias("pct_change"), "revised_at_ts",
         "source_form")

@@ -4,9 +4,11 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from knownwhen.functions.revisions import relative_change
+from knownwhen.functions.values import rounded
 from knownwhen.operators import ranking
 from knownwhen.plans import (
-    concepts, control, dimensions, factors, gold, invariants, silver, snapshots)
+    concepts, control, dimensions, factors, gold, invariants, monitor, silver, snapshots)
 from knownwhen.sources import driver_tables as dt
 from knownwhen.sources.shared import settle
 from verification.queries import _raw
@@ -213,3 +215,18 @@ def test_raw_to_gold(spark, small, limit):
     named = {r.tag for r in pit.select(F.col("canonical_tag").alias("tag")).distinct().collect()}
     assert named == {"NET_INCOME", "ASSETS", "REVENUE"}
     assert pit.where("is_amendment").count() > 0
+
+
+def test_explorer_shows_one_company_in_timeline_order(spark):
+    pit = intervals(spark, roa_rows())
+    got = monitor.fact_explorer(pit, "NET_INCOME", 4, cik=1).collect()
+    assert [(r.cik, int(r.value), r.pct) for r in got] == [(1, 10, None), (1, 30, 200.0)]
+    assert monitor.fact_explorer(pit, "NET_INCOME", 4).count() == 7
+
+
+def test_rounding_ties_follow_the_decimal_value(spark):
+    rows = [(40.0, 30.01), (8.0, 9.0), (1.0, 1e40)]
+    df = spark.createDataFrame(rows, "b double, a double")
+    got = [r.pct for r in df.select(
+        rounded(relative_change("b", "a") * 100, 2).alias("pct")).collect()]
+    assert got[:2] == [24.98, 12.5] and got[2] > 1e41

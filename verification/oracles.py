@@ -22,6 +22,10 @@ def _double(x: float) -> str:
     return text if "e" in text else f"{text}e0"
 
 
+def _round(x: str, digits: int) -> str:
+    return f"CAST(round(CAST({x} AS DECIMAL(38,8)), {digits}) AS DOUBLE)"
+
+
 def _values(rows: list[tuple], names: str) -> str:
     quoted = ", ".join(
         "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in row) + ")" for row in rows)
@@ -137,13 +141,15 @@ BLOCKS: dict[str, str] = {
                 CAST(ntile(10) OVER (PARTITION BY rebalance_dt ORDER BY naive_roa DESC, cik)
                      AS INTEGER) AS naive_decile
               FROM roa)""",
-    "bias": """
+    "bias": f"""
         SELECT rebalance_dt, count(*) AS universe,
-               round(100.0e0 * count(*) FILTER (decile_moved) / count(*), 2) AS pct_decile_moved,
-               round(100.0e0 * count(*) FILTER (ni_revised OR assets_revised) / count(*), 2)
+               {_round("100.0e0 * count(*) FILTER (decile_moved) / count(*)", 2)}
+                 AS pct_decile_moved,
+               {_round("100.0e0 * count(*) FILTER (ni_revised OR assets_revised) / count(*)", 2)}
                  AS pct_any_input_revised,
-               round(100.0e0 * count(*) FILTER (naive_decile = 1 AND pit_decile <> 1)
-                     / nullif(count(*) FILTER (naive_decile = 1), 0), 2) AS pct_top_decile_turnover
+               {_round("100.0e0 * count(*) FILTER (naive_decile = 1 AND pit_decile <> 1) "
+                       "/ nullif(count(*) FILTER (naive_decile = 1), 0)", 2)}
+                 AS pct_top_decile_turnover
         FROM decile GROUP BY rebalance_dt""",
     "registrant": """
         SELECT o_custkey AS cik, o_orderdate AS accepted_ts, o_orderpriority AS name,
@@ -338,7 +344,8 @@ _CHECKS = {
 }
 
 _CHANGED = "coalesce(pct > 1, false)"
-_RATE = f"count(*) AS n, round(100.0e0 * count(*) FILTER ({_CHANGED}) / count(*), 1) AS chg_pct"
+_RATE = ("count(*) AS n, "
+         + _round(f"100.0e0 * count(*) FILTER ({_CHANGED}) / count(*)", 1) + " AS chg_pct")
 
 
 def _profile(kind: str, source: str, filled: set[str]) -> str:
@@ -432,10 +439,10 @@ ORACLES: dict[str, str] = {
         "(SELECT tag, count(*) AS facts FROM named GROUP BY tag) ON src_tag = tag "
         "WHERE mapping_method <> 'SELF' GROUP BY canonical_tag"),
     "concept_coverage": _sql(
-        ["raw_num", "raw_cmap"], """
+        ["raw_num", "raw_cmap"], f"""
         SELECT canonical_tag, filings, filings_best_tag, filings_mapped,
-               round(100.0e0 * filings_best_tag / filings, 2) AS pct_best_tag,
-               round(100.0e0 * filings_mapped / filings, 2) AS pct_mapped
+               {_round("100.0e0 * filings_best_tag / filings", 2)} AS pct_best_tag,
+               {_round("100.0e0 * filings_mapped / filings", 2)} AS pct_mapped
         FROM (SELECT canonical_tag, count(DISTINCT adsh) AS filings_mapped
               FROM raw_num JOIN raw_cmap ON tag = src_tag GROUP BY 1)
         JOIN (SELECT canonical_tag, max(n) AS filings_best_tag FROM (
@@ -456,13 +463,13 @@ ORACLES: dict[str, str] = {
         _NUM, "SELECT quarter, count(DISTINCT adsh) AS filings, count(*) AS facts "
         "FROM silver_num GROUP BY quarter"),
     "fact_explorer": _sql(
-        _PIT, "SELECT ddate, value, known_from_ts, known_to_ts, revision_seq, change_class, "
-        f"round(pct_change * 100, 2) AS pct FROM pit WHERE cik = {q.EXPLORED} "
-        "AND canonical_tag = 'NET_INCOME' AND qtrs = 4"),
+        _PIT, "SELECT cik, ddate, value, known_from_ts, known_to_ts, revision_seq, change_class, "
+        + _round("pct_change * 100", 2) + " AS pct FROM pit WHERE canonical_tag = 'NET_INCOME' "
+        "AND qtrs = 4"),
     "restatement_monitor": _sql(
         [*_PIT, "revision", "registrant", "company"], f"""
         SELECT c.name AS company, r.canonical_tag, r.ddate, r.qtrs, r.prev_value,
-               r.revised_value, round(r.pct_change * 100, 1) AS pct_change, r.revised_at_ts,
+               r.revised_value, {_round("r.pct_change * 100", 1)} AS pct_change, r.revised_at_ts,
                r.source_form
         FROM revision r LEFT JOIN company c ON r.cik = c.cik AND c.is_current
         WHERE abs(r.prev_value) > {q.MONITOR_ABOVE}

@@ -26,7 +26,6 @@ FACTOR = factors.Factor(top=("NET_INCOME", 4), bottom=("ASSETS", 0))
 CENSOR_FROM = "2000-06-30"
 CONCEPT_NAMES = ["NET_INCOME", "ASSETS", "REVENUE"]
 MONITOR_ABOVE = 50.0
-EXPLORED = 7
 SEED = "42"
 
 
@@ -224,7 +223,7 @@ def coverage_by_quarter(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def fact_explorer(spark: SparkSession, d: str) -> DataFrame:
-    return monitor.fact_explorer(pit(spark, d), EXPLORED, "NET_INCOME", 4)
+    return monitor.fact_explorer(pit(spark, d), "NET_INCOME", 4)
 
 
 @query
