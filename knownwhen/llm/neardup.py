@@ -331,6 +331,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = WORDS, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``."""
+    tx.bounded_batches(docs.sparkSession)
     docs = tx.documents(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = settle(features(docs, words), "near-features")
     usable = rows.filter("n_shingles > 0 and doc_id is not null")

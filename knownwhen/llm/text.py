@@ -20,6 +20,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession, size: str = "8m", rows: int = 2000) -> None:
+    """From now on this session hands Python small batches: a batch is held by the executor and
+    by its Python worker at once, outside the heap, and grows by doubling."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text); whatever other columns there are can't clash."""
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
