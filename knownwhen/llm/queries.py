@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from knownwhen.llm import neardup
+from knownwhen.llm import decontam, langid, mixing, neardup, tokenfile
 from knownwhen.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,27 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
     return f
 
 
+@query
+def op3_source_mixing(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"))
+
+
+@query
+def op4_token_blocks(spark: SparkSession, d: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return tokenfile.documents(tokenfile.written(table(spark, d, "documents"), path))
+
+
 @query
 def op6_minhash_neardup(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, d, "documents"))
+
+
+@query
+def op8_language_id(spark: SparkSession, d: str) -> DataFrame:
+    return langid.languages(table(spark, d, "documents"))
+
+
+@query
+def op9_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontam.decontaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
