@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from knownwhen.llm import decontam, langid, mixing, neardup, tokenfile
+from knownwhen.llm import decontam, langid, mixing, neardup, sharding, tokenfile, warc
 from knownwhen.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,11 @@ def op6_minhash_neardup(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, d, "documents"))
 
 
+@query
+def op7_warc_chunks(spark: SparkSession, d: str) -> DataFrame:
+    return warc.archived(table(spark, d, "pages"))
+
+
 @query
 def op8_language_id(spark: SparkSession, d: str) -> DataFrame:
     return langid.languages(table(spark, d, "documents"))
@@ -43,3 +48,8 @@ def op8_language_id(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op9_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontam.decontaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query
+def op10_vector_sharding(spark: SparkSession, d: str) -> DataFrame:
+    return sharding.sharded(table(spark, d, "documents"))
