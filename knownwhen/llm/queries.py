@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from knownwhen.llm import decontam, langid, mixing, neardup, sharding, tokenfile, warc
+from knownwhen.llm import (
+    decontam, html_text, langid, mixing, neardup, pii, sharding, tokenfile, topk, warc)
+from knownwhen.llm.oracles import ORACLES  # noqa: F401 - read by the entry
 from knownwhen.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]):
@@ -19,6 +21,16 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
     return f
 
 
+@query
+def op1_exact_topk(spark: SparkSession, d: str) -> DataFrame:
+    return topk.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op2_personal_data(spark: SparkSession, d: str) -> DataFrame:
+    return pii.personal_data(table(spark, d, "documents"))
+
+
 @query
 def op3_source_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"))
@@ -30,6 +42,11 @@ def op4_token_blocks(spark: SparkSession, d: str) -> DataFrame:
     return tokenfile.documents(tokenfile.written(table(spark, d, "documents"), path))
 
 
+@query
+def op5_html_text(spark: SparkSession, d: str) -> DataFrame:
+    return html_text.extracted(table(spark, d, "pages"))
+
+
 @query
 def op6_minhash_neardup(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, d, "documents"))
