@@ -259,6 +259,28 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
         run, "doc_id long, lang_pred string, score double")
 
 
+def accepted(docs: DataFrame, model: Model | None, least_score: float,
+             text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, whole, whose language is known with at least ``least_score``."""
+    tx.bounded_batches(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letters, known = _letters(), sent.value
+
+        def sure(text: str | None) -> bool:
+            return known is not None and has_letter(text) and (
+                known.predict(ngram_counts(text, letters))[1] >= least_score)
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, tx.ROWS):
+                part = batch.slice(at, tx.ROWS)
+                texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
+                yield part.filter(pa.array([sure(t) for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def learnable(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", "lang").filter(~held_out(F.col("doc_id")))
 
