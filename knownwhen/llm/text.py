@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 #: Rows that are turned into Python objects at a time.
 ROWS = 256
@@ -20,6 +22,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@contextmanager
+def holding() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Gives a function that keeps a frame on the executors' disks while the block runs.
+
+    What is lost with an executor is computed again, so a frame that is kept must not
+    depend on how rows are dealt out. Results that outlive the block have to be written.
+    """
+    kept: list[DataFrame] = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        kept.append(df.persist(StorageLevel.DISK_ONLY))
+        return kept[-1]
+
+    try:
+        yield hold
+    finally:
+        for df in kept:
+            df.unpersist()
+
+
 def bounded_batches(spark: SparkSession, size: str = "8m", rows: int = 2000) -> None:
     """From now on this session hands Python small batches: a batch is held by the executor and
     by its Python worker at once, outside the heap, and grows by doubling."""
