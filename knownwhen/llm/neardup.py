@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -191,8 +191,8 @@ def pruned(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT,
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, hold: Callable[[DataFrame], DataFrame],
-              words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT
+              ) -> DataFrame:
     """The pairs that are links by their full sets, which are built again from the texts."""
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,8 +214,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, hold: Callable[[DataFrame], Dat
                 names=["a", "b"])
 
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = hold(docs.join(wanted, "doc_id", "left_semi").mapInArrow(
-        sets_of, "node long, members binary"))
+    sets = tx.stored(docs.join(wanted, "doc_id", "left_semi").mapInArrow(
+        sets_of, "node long, members binary"), "near-sets")
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("set_a")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("members").alias("set_b")), "b"))
     return both.select("a", "b", "set_a", "set_b").mapInArrow(linked, "a long, b long")
@@ -338,35 +338,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``, written and read back."""
     tx.bounded_batches(docs.sparkSession)
     docs = tx.documents(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    with tx.holding() as hold:
-        rows = hold(features(docs, words))
-        usable = rows.filter("n_shingles > 0 and doc_id is not null")
-        groups = hold(usable.groupBy("fp_hi", "fp_lo").agg(F.min("doc_id").alias("node")))
-        # Rows that repeat a doc_id give one node row per set.
-        nodes = usable.select("fp_hi", "fp_lo", F.col("doc_id").alias("node"), "n_shingles", "sig",
-                              "bands").join(groups, ["fp_hi", "fp_lo", "node"], "left_semi")
-        nodes = hold(nodes.dropDuplicates(["fp_hi", "fp_lo", "node"]))
-        bands = nodes.select("node", F.explode("bands").alias("key"))
-
-        tried = hold(pruned(_bucket_ends(bands), nodes, percent, miss))
-        links = confirmed(tried, docs, hold, words, percent)
-        # Rows that share a doc_id are one document: tie their sets' nodes together.
-        of = usable.select("doc_id", "fp_hi", "fp_lo").join(groups, ["fp_hi", "fp_lo"]).select(
-            "doc_id", "node")
-        ends = of.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("last"))
-        ends = ends.filter("a < last").select("doc_id", "a")
-        same = of.join(ends, "doc_id").filter("node <> a").select("a", F.col("node").alias("b"))
-        first = hold(links.union(same))
-        labels = components(first)
-        rest = hold(_block_pairs(bands, nodes, labels, percent=percent, miss=miss))
-        more = hold(confirmed(rest, docs, hold, words, percent))
-        if not more.isEmpty():
-            labels = components(first.union(more))
-
-        out = rows.select("doc_id", "n_shingles", "fp_hi", "fp_lo").join(
-            groups, ["fp_hi", "fp_lo"], "left").join(labels, "node", "left")
-        known = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-        component = F.when(known, F.coalesce("component", "node")).otherwise(F.col("doc_id"))
-        out = out.select("doc_id", "n_shingles", component.alias("component_id"))
-        return settle(out.withColumn("kept", F.coalesce(
-            F.col("doc_id") == F.col("component_id"), F.lit(True))), "near-duplicates")
+    rows = settle(features(docs, words), "near-features")
+    usable = rows.filter("n_shingles > 0 and doc_id is not null")
+    groups = usable.groupBy("fp_hi", "fp_lo").agg(F.min("doc_id").alias("node"))
+    # Rows that repeat a doc_id give one node row per set.
+    nodes = usable.select("fp_hi", "fp_lo", F.col("doc_id").alias("node"), "n_shingles", "sig",
+                          "bands").join(groups, ["fp_hi", "fp_lo", "node"], "left_semi")
+    nodes = tx.stored(nodes.dropDuplicates(["fp_hi", "fp_lo", "node"]), "near-nodes")
+    bands = nodes.select("node", F.explode("bands").alias("key"))
+
+    tried = tx.stored(pruned(_bucket_ends(bands), nodes, percent, miss), "near-pairs", few=True)
+    links = confirmed(tried, docs, words, percent)
+    # Rows that share a doc_id are one document: tie their sets' nodes together.
+    of = usable.select("doc_id", "fp_hi", "fp_lo").join(groups, ["fp_hi", "fp_lo"]).select(
+        "doc_id", "node")
+    ends = of.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("last"))
+    ends = ends.filter("a < last").select("doc_id", "a")
+    same = of.join(ends, "doc_id").filter("node <> a").select("a", F.col("node").alias("b"))
+    first = tx.stored(links.union(same), "near-links", few=True)
+    labels = components(first)
+    rest = tx.stored(_block_pairs(bands, nodes, labels, percent=percent, miss=miss), "near-pairs",
+                     few=True)
+    more = tx.stored(confirmed(rest, docs, words, percent), "near-links", few=True)
+    if not more.isEmpty():
+        labels = components(first.union(more))
+
+    out = rows.select("doc_id", "n_shingles", "fp_hi", "fp_lo").join(
+        groups, ["fp_hi", "fp_lo"], "left").join(labels, "node", "left")
+    known = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    component = F.when(known, F.coalesce("component", "node")).otherwise(F.col("doc_id"))
+    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    return tx.stored(out.withColumn("kept", F.coalesce(
+        F.col("doc_id") == F.col("component_id"), F.lit(True))), "near-duplicates")

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
+
+from knownwhen.sources.shared import settle
 
 #: Rows that are turned into Python objects at a time.
 ROWS = 256
@@ -22,24 +22,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@contextmanager
-def holding() -> Iterator[Callable[[DataFrame], DataFrame]]:
-    """Gives a function that keeps a frame on the executors' disks while the block runs.
-
-    What is lost with an executor is computed again, so a frame that is kept must not
-    depend on how rows are dealt out. Results that outlive the block have to be written.
-    """
-    kept: list[DataFrame] = []
-
-    def hold(df: DataFrame) -> DataFrame:
-        kept.append(df.persist(StorageLevel.DISK_ONLY))
-        return kept[-1]
-
-    try:
-        yield hold
-    finally:
-        for df in kept:
-            df.unpersist()
+def stored(df: DataFrame, label: str, few: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from there, in not many more files than there
+    are cores. ``few``: the rows are few for the work that they take, so they are dealt anew
+    after it, and the work keeps its own tasks."""
+    cores = max(2, df.sparkSession.sparkContext.defaultParallelism)
+    return settle(df.repartition(cores) if few else df.coalesce(2 * cores), label)
 
 
 def bounded_batches(spark: SparkSession, size: str = "8m", rows: int = 2000) -> None:
