@@ -19,7 +19,7 @@ block; ids beyond it are exceptions. A block ends with a document once it has
 which then hold nothing else, so no block grows with a document.
 
 Texts are encoded by the tokenizers library. Since its pre-tokens never reach
-over blanks, a text's ids are those of its words, one after the other; words met
+over blanks, a text's ids are those of its pieces, one after the other; pieces met
 before are looked up, and only new ones are encoded.
 
 Defined results: null and empty texts have the end id alone. A null doc_id comes
@@ -31,6 +31,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,40 +46,96 @@ from knownwhen.sources.shared import settle
 BLOCK = 8192
 END = 1
 PERCENTILES = (90, 95, 99, 100)
-#: Words whose ids a Python worker remembers.
-MEMORY = 300_000
+#: Pieces of text whose ids a Python worker remembers at least, and twice as many at most.
+MEMORY = 150_000
 
 _SCHEMA = ("shard int, block int, first long, n int, base int, width int, packed binary, "
            "exc_at binary, exc_value binary, "
            "docs array<struct<doc_id:long,start:long,n:int>>, chain long")
 #: Blanks at which a text may be cut. Rarer white space stays inside a word.
 _BLANK = re.compile(r"[ \t\r\n]+")
+#: The tokenizer's pre-tokens of lower-case Latin-1 text: endings, letters, one digit, others.
+_TOKENS = re.compile(
+    r"'(?:s|t|re|ve|m|ll|d)|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+    r"|[^\t-\r \x85\xa0a-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+")
 
 
 # ------------------------------------------------------------------ tokenizing
 
 class WordIds:
-    """Ids of texts; remembers the words of earlier texts."""
+    """Ids of texts; remembers the pieces of earlier texts.
+
+    Texts of Latin-1 characters are cut into the tokenizer's own pre-tokens here: such
+    characters are in normal form already, and their lower case depends on nothing else.
+    Other texts, and those that name special tokens, are cut at blanks only.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memory: dict[str, np.ndarray] = {}
+        # The last token of every pre-token, and no other, has this mark.
+        self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends[number] = token.endswith("</w>")
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}  # met before the last ``MEMORY`` new pieces
+
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(
+            parts, add_special_tokens=False)]
+
+    def _encode_tokens(self, parts: list[str]) -> list[bytes]:
+        """Pre-tokens are encoded together and told apart by their last tokens."""
+        ids = np.array(self.tokenizer.encode_batch_fast(
+            [" ".join(parts)], add_special_tokens=False)[0].ids, np.uint32)
+        stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        if len(stops) != len(parts):
+            return self._encode(parts)
+        data, begin, out = ids.tobytes(), 0, []
+        for stop in stops.tolist():
+            out.append(data[begin:stop])
+            begin = stop
+        return out
+
+    def _learn(self, parts: set[str], encode) -> None:
+        unknown = []
+        for part in parts.difference(self.new):
+            known = self.old.get(part)
+            if known is None:
+                unknown.append(part)
+            else:
+                self.new[part] = known
+        for at in range(0, len(unknown), 4096):
+            some = unknown[at:at + 4096]
+            self.new.update(zip(some, encode(some)))
 
     def of(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [_BLANK.split(t) if t else [] for t in texts]
-        memory = self.memory
-        if len(memory) > MEMORY:
-            memory.clear()
-        new = list({w for words in split for w in words if w not in memory})
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(
-                    part, add_special_tokens=False)):
-                memory[word] = np.array(found.ids, np.uint32).tobytes()
-        return [np.frombuffer(b"".join([memory[w] for w in words]), np.uint32)
-                for words in split]
+        if len(self.new) > MEMORY:
+            self.old, self.new = self.new, {}
+        tokens: list[list[str] | None] = []
+        words: list[list[str] | None] = []
+        for text in texts:
+            plain = _is_latin(text) if text else True
+            tokens.append(_TOKENS.findall(text.lower()) if text and plain else [] if plain else None)
+            words.append(None if plain else _BLANK.split(text))
+        self._learn(set(chain.from_iterable(t for t in tokens if t)), self._encode_tokens)
+        # Words are kept under a key that no pre-token has.
+        self._learn({f" {w}" for w in chain.from_iterable(w for w in words if w)}, self._encode)
+        get = self.new.__getitem__
+        return [np.frombuffer(b"".join(
+            map(get, t) if t is not None else [get(f" {x}") for x in w]), np.uint32)
+            for t, w in zip(tokens, words)]
+
+
+def _is_latin(text: str) -> bool:
+    if "<|" in text:
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def _word_ids(path: str) -> WordIds:

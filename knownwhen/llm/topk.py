@@ -168,7 +168,7 @@ def resolved(candidates: DataFrame, names: np.ndarray, vectors: list[np.ndarray]
             q = np.stack([vectors[i] for i in of])
             slices = _parts(x.shape[1], nodes)
             local = [_products(q[:, s], x[:, s]) for s in slices]
-            low = np.array([cutoffs.get(int(names[i]), np.iinfo(np.int64).min) for i in of])
+            low = np.array([cutoffs.get(int(names[i]), -(1 << 61)) for i in of])
             enough = -(-low // len(slices))  # the uniform threshold, rounded up
             near = np.zeros(local[0].shape, bool)
             for part in local:
