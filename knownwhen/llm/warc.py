@@ -4,11 +4,13 @@
    each with the length and the SHA-1 of the payload up to there; the last row of
    a record therefore has the digest of the whole.
 2. Of records with equal payloads of ``LEAST`` bytes or more, the one with the
-   largest id is the response, the others are revisits of it.
+   largest id is the response, the others are revisits of it. This is decided on
+   ids, lengths and digests alone.
 3. ``write``: every chunk is one WARC record. The chunks after the first are
    ``continuation`` records of a segmented record (WARC 1.1, section 6.9), so the
-   writer never holds a whole payload. Spark's text writer puts the records into
-   the files, with the blank lines between records as its line separator.
+   writer never holds a copy of a whole payload. Spark's text writer puts the
+   records into (compressed) files, with the blank lines between records as its
+   line separator.
 4. ``read``: files are split at the head lines of records and read in parallel.
    Chunks of one record are put in order and digested one after the other.
 
@@ -16,7 +18,8 @@ No chunk holds the head line of a record, since a payload is always cut inside
 such a text, so that splitting is exact for any payload.
 
 Defined results: a null payload is an empty one. A null id makes a response that
-nothing refers to. Rows that repeat id and payload: one is the response.
+nothing refers to. Rows that repeat both id and payload are treated alike, so all
+of them are responses if that id is the largest.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from knownwhen.llm import text as tx
-from knownwhen.sources.shared import new_folder, settle
+from knownwhen.sources.shared import new_folder
 
 CHUNK = 1 << 18
 LEAST = 1000
@@ -41,10 +44,9 @@ HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-_CHUNKS = ("record long, chunk int, last boolean, page_id long, url string, data binary, "
-           "bytes_so_far long, sha1_so_far string")
-_READ = ("record string, segment int, total long, page_id long, record_type string, "
-         "refers_to long, payload_bytes long, payload_digest string, part binary")
+_CHUNKS = "page_id long, chunk int, last boolean, bytes_so_far long, sha1_so_far string"
+_READ = ("record string, segment int, page_id long, record_type string, refers_to long, "
+         "payload_bytes long, payload_digest string, part binary")
 
 
 def cut(data: bytes, size: int = CHUNK) -> Iterator[bytes]:
@@ -60,109 +62,117 @@ def cut(data: bytes, size: int = CHUNK) -> Iterator[bytes]:
             begin = stop
 
 
+def chunk_rows(data: bytes, size: int = CHUNK) -> Iterator[dict]:
+    """The rows of one record, with what is known of the payload so far."""
+    digest, length = hashlib.sha1(), 0
+    for number, part in enumerate(cut(data, size)):
+        digest.update(part)
+        length += len(part)
+        yield {"chunk": number, "last": length == len(data), "data": part,
+               "bytes_so_far": length, "sha1_so_far": digest.hexdigest()}
+
+
 def chunks(pages: DataFrame, size: int = CHUNK) -> DataFrame:
-    """The chunked record table of (page_id, url, payload)."""
+    """The chunked record table of (page_id, url, payload), without the payload's bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        record = TaskContext.get().partitionId() << 33
-        for rows in tx.slices(batches, 32):
-            out: list[dict] = []
-            held = 0
-            for page_id, url, payload in zip(rows["page_id"], rows["url"], rows["payload"]):
-                data = (payload or "").encode("utf-8", "surrogatepass")
-                digest, length = hashlib.sha1(), 0
-                for number, part in enumerate(cut(data, size)):
-                    digest.update(part)
-                    length += len(part)
-                    out.append({"record": record, "chunk": number, "last": length == len(data),
-                                "page_id": page_id, "url": url, "data": part,
-                                "bytes_so_far": length, "sha1_so_far": digest.hexdigest()})
-                    held += len(part)
-                    if held >= 4 * size:
-                        yield pa.RecordBatch.from_pylist(out, schema=_chunk_schema())
-                        out, held = [], 0
-                record += 1
+        for rows in tx.slices(batches, 64):
+            out = [{"page_id": page_id} | {k: v for k, v in row.items() if k != "data"}
+                   for page_id, payload in zip(rows["page_id"], rows["payload"])
+                   for row in chunk_rows(_bytes(payload), size)]
             yield pa.RecordBatch.from_pylist(out, schema=_chunk_schema())
 
     return pages.mapInArrow(run, _CHUNKS)
 
 
+def _bytes(payload: str | None) -> bytes:
+    return (payload or "").encode("utf-8", "surrogatepass")
+
+
 def _chunk_schema() -> pa.Schema:
-    return pa.schema([("record", pa.int64()), ("chunk", pa.int32()), ("last", pa.bool_()),
-                      ("page_id", pa.int64()), ("url", pa.string()), ("data", pa.binary()),
+    return pa.schema([("page_id", pa.int64()), ("chunk", pa.int32()), ("last", pa.bool_()),
                       ("bytes_so_far", pa.int64()), ("sha1_so_far", pa.string())])
 
 
-def decisions(table: DataFrame, least: int = LEAST) -> DataFrame:
-    """(record, total, digest, segmented, target record and id of its response or null)."""
-    whole = table.filter("last").select(
-        "record", "page_id", F.col("bytes_so_far").alias("total"),
-        F.col("sha1_so_far").alias("digest"), (F.col("chunk") > 0).alias("segmented"))
-    named = whole.filter(F.col("page_id").isNotNull() & (F.col("total") >= least))
-    first = named.groupBy("digest", "total").agg(
-        F.max(F.struct("page_id", "record")).alias("top")).select(
-        "digest", "total", F.col("top.record").alias("to_record"),
-        F.col("top.page_id").alias("to_page"))
-    # Records that are their own response need no target.
-    joined = whole.join(first, ["digest", "total"], "left")
-    away = (F.col("to_record") != F.col("record")) & F.col("page_id").isNotNull()
-    return joined.select(
-        "record", "total", "digest", "segmented",
-        F.when(away, F.col("to_record")).alias("to_record"),
-        F.when(away, F.col("to_page")).alias("to_page"))
+def revisits(table: DataFrame, least: int = LEAST) -> DataFrame:
+    """(page_id, digest, to_page): the records that only refer to another one."""
+    whole = table.filter("last and page_id is not null").filter(
+        F.col("bytes_so_far") >= least).select("page_id", F.col("sha1_so_far").alias("digest"))
+    latest = whole.groupBy("digest").agg(
+        F.max("page_id").alias("to_page"), F.min("page_id").alias("least_page"))
+    latest = latest.filter("least_page < to_page").drop("least_page")
+    return whole.join(latest, "digest").filter("page_id < to_page").distinct()
 
 
 def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
-          payload_col: str = "html", size: int = CHUNK, least: int = LEAST) -> str:
+          payload_col: str = "html", size: int = CHUNK, least: int = LEAST,
+          compression: str = "gzip") -> str:
     """Write the archives to the shared folder; returns their path."""
     spark = pages.sparkSession
     tx.bounded_batches(spark)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"),
                         F.col(url_col).cast("string").alias("url"),
                         F.col(payload_col).alias("payload"))
-    table = settle(chunks(rows, size), "warc-chunks")
-    decided = decisions(table, least)
-    # A revisit has a head only: its first row stands for it.
-    rows = table.join(decided, "record").filter("to_record is null or chunk = 0")
+    away = revisits(tx.stored(chunks(rows, size), "warc-chunks"), least).select(
+        F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "to_page")
+    digest = F.sha1(F.coalesce(F.col("payload"), F.lit("")).cast("binary"))
+    decided = rows.withColumn("digest", digest)
+    decided = decided.join(away, (decided["page_id"] == away["_page"])
+                           & (decided["digest"] == away["_digest"]), "left").select(
+        "page_id", "url", "payload", "digest", "to_page")
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        copy = TaskContext.get().partitionId() << 33
         for rows in tx.slices(batches, 32):
-            out = [_record({k: rows[k][i] for k in rows}) for i in range(len(rows["record"]))]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
+            out: list[bytes] = []
+            held = 0
+            for i in range(len(rows["page_id"])):
+                row = {k: rows[k][i] for k in rows if k != "payload"} | {"copy": copy + i}
+                data = _bytes(rows["payload"][i])
+                for part in chunk_rows(data, size):
+                    out.append(_record(row | part, len(data)))
+                    held += len(out[-1])
+                    if held >= 4 * size:
+                        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+                        out, held = [], 0
+                    if row["to_page"] is not None:
+                        break  # a revisit has a head only
+            copy += len(rows["page_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
-    lines = rows.mapInArrow(records, "value binary").select(F.col("value").cast("string"))
+    lines = decided.mapInArrow(records, "value binary").select(F.col("value").cast("string"))
     path = new_folder(spark, "warc")
-    lines.write.option("lineSep", BLANK).text(path)
+    lines.write.options(lineSep=BLANK, compression=compression).text(path)
     return path
 
 
-def _name(record: int, page_id: int | None, chunk: int = 0) -> str:
-    return f"<urn:page:{'' if page_id is None else page_id}:{record}:{chunk}>"
+def _name(page_id: int | None, digest: str, chunk: int = 0) -> str:
+    return f"<urn:page:{'' if page_id is None else page_id}:{digest}:{chunk}>"
 
 
-def _record(row: dict) -> bytes:
+def _record(row: dict, total: int) -> bytes:
     """One WARC record without the blank lines that end it."""
-    revisit, first = row["to_record"] is not None, row["chunk"] == 0
+    revisit, first = row["to_page"] is not None, row["chunk"] == 0
     kind = "revisit" if revisit else "response" if first else "continuation"
     body = b"" if revisit else (HTTP if first else b"") + row["data"]
-    head = [("WARC-Type", kind), ("WARC-Record-ID", _name(row["record"], row["page_id"],
-                                                          row["chunk"])),
+    name = _name(row["page_id"], row["digest"])
+    head = [("WARC-Type", kind),
+            ("WARC-Record-ID", _name(row["page_id"], row["digest"], row["chunk"])),
             ("WARC-Date", DATE)]
     if row["url"] is not None:
         head.append(("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", lambda c: f"%{ord(c[0]):02X}",
                                                row["url"])))
     if first:
-        head += [("WARC-Payload-Digest", f"sha1:{row['digest']}"),
-                 ("X-Payload-Length", str(row["total"]))]
+        head += [("WARC-Payload-Digest", f"sha1:{row['digest']}"), ("X-Payload-Length", str(total))]
     if revisit:
         head += [("WARC-Profile", PROFILE),
-                 ("WARC-Refers-To", _name(row["to_record"], row["to_page"]))]
-    elif row["segmented"]:
-        head.append(("WARC-Segment-Number", str(row["chunk"] + 1)))
+                 ("WARC-Refers-To", _name(row["to_page"], row["digest"]))]
+    elif not first or not row["last"]:
+        head += [("WARC-Segment-Number", str(row["chunk"] + 1)), ("X-Copy", str(row["copy"]))]
         if not first:
-            head.append(("WARC-Segment-Origin-ID", _name(row["record"], row["page_id"])))
+            head.append(("WARC-Segment-Origin-ID", name))
         if row["last"]:
-            head.append(("WARC-Segment-Total-Length", str(len(HTTP) + row["total"])))
+            head.append(("WARC-Segment-Total-Length", str(len(HTTP) + total)))
     if first:
         head.append(("Content-Type", "application/http; msgtype=response"))
     head.append(("Content-Length", str(len(body))))
@@ -221,7 +231,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _read_schema() -> pa.Schema:
-    return pa.schema([("record", pa.string()), ("segment", pa.int32()), ("total", pa.int64()),
+    return pa.schema([("record", pa.string()), ("segment", pa.int32()),
                       ("page_id", pa.int64()), ("record_type", pa.string()),
                       ("refers_to", pa.int64()), ("payload_bytes", pa.int64()),
                       ("payload_digest", pa.string()), ("part", pa.binary())])
@@ -230,9 +240,9 @@ def _read_schema() -> pa.Schema:
 def _row(head: dict[str, str], body: bytes) -> dict:
     name, kind = head["WARC-Record-ID"], head["WARC-Type"]
     payload = body.removeprefix(HTTP) if kind == "response" else body
-    row = {"record": head.get("WARC-Segment-Origin-ID", name), "page_id": _page(name),
-           "record_type": "response" if kind == "continuation" else kind,
-           "total": int(head.get("WARC-Segment-Total-Length", 0))}
+    origin = head.get("WARC-Segment-Origin-ID", name)
+    row = {"record": f"{origin}{head.get('X-Copy', '')}", "page_id": _page(name),
+           "record_type": "response" if kind == "continuation" else kind}
     if "WARC-Segment-Number" in head:
         return row | {"segment": int(head["WARC-Segment-Number"]), "part": payload}
     if kind == "revisit":

@@ -31,11 +31,9 @@ def expected(rows):
     for i, b, d in digest:
         if i is not None and len(b) >= 1000:
             top[d] = max(top.get(d, i), i)
-    out, done = [], set()
+    out = []
     for i, b, d in digest:
-        own = i is None or len(b) < 1000 or (i == top[d] and d not in done)
-        if i is not None and i == top.get(d):
-            done.add(d)
+        own = i is None or len(b) < 1000 or i == top[d]
         out.append((i, len(b), d, "response" if own else "revisit", None if own else top[d]))
     return sorted(out, key=repr)
 
