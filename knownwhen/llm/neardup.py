@@ -6,17 +6,19 @@ words (a shorter text is one shingle). Two documents are linked when
 
 1. One signature per document; documents with equal sets are one *node*, so
    copies cost one row each and are never paired.
-2. Nodes that share a band of the signature are candidates. Every bucket first
-   pairs its members with its smallest and its largest node only, which already
-   joins large groups of near copies in a number of pairs that grows with their
-   size, not with its square.
+2. Nodes that share a band of the signature are candidates. At first the members
+   of a bucket of a few bands are paired with its smallest node only, which joins
+   large groups of near copies in a number of pairs that grows with their size,
+   not with its square. Then, in the buckets of all bands that hold several
+   components, one node of each component is paired with one of the largest.
 3. A pair's signatures are compared in batches. It is dropped once the posterior
    probability that its similarity reaches the threshold is below
    ``miss``; survivors are confirmed on the full sets.
-4. Buckets that still hold more than one component are compared inside blocks
-   of ``BLOCK`` members, members of one component never with each other, and
-   only survivors leave the task. No bucket is capped. The comparisons left grow
-   with the square of a bucket only where its members are not linked.
+4. Buckets that still hold several components are compared inside cells: nodes
+   outside the bucket's largest component with all nodes, never within one
+   component, and only survivors leave the task. No bucket is capped. The
+   comparisons left grow with the square of a bucket only where its nodes are
+   not linked.
 
 Defined results: null and empty texts and texts without words have an empty set
 and are linked with nothing. Rows with equal doc_id count as one document. A
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from knownwhen.llm import text as tx
@@ -46,6 +48,10 @@ BATCH = 32
 MISS = 1e-7
 #: Members of a bucket that one task compares with as many others.
 BLOCK = 128
+#: Bands of the first round.
+FIRST_BANDS = 4
+#: Words of 64 bits of the filter that finds the documents of candidate pairs.
+FILTER_WORDS = 1 << 18
 
 _PRIME = 0x9E3779B97F4A7C15
 _FEATURES = ("doc_id long, n_shingles long, fp_hi long, fp_lo long, sig binary, "
@@ -213,8 +219,19 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: in
                 [pa.array([v for v, k in zip(rows[n], keep) if k], pa.int64()) for n in ("a", "b")],
                 names=["a", "b"])
 
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = tx.stored(docs.join(wanted, "doc_id", "left_semi").mapInArrow(
+    # A bitmap of fixed size, broadcast, instead of a shuffle of all texts. What passes it by
+    # chance finds no pair below.
+    def places(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(64 * FILTER_WORDS))
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).select(
+        places("node").alias("place"))
+    bits = wanted.groupBy(F.shiftright("place", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, int(place & 63))")).alias("bits"))
+    found = docs.withColumn("place", places("doc_id")).withColumn(
+        "word", F.shiftright("place", 6)).join(F.broadcast(bits), "word").filter(
+        F.expr("(shiftright(bits, int(place & 63)) & 1L) = 1L"))
+    sets = tx.stored(found.select("doc_id", "text").mapInArrow(
         sets_of, "node long, members binary"), "near-sets")
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("set_a")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("members").alias("set_b")), "b"))
@@ -223,46 +240,80 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: in
 
 # ------------------------------------------------------------------ candidates
 
-def _bucket_ends(bands: DataFrame) -> DataFrame:
-    """Each node with the smallest and the largest node of each of its buckets."""
-    ends = bands.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
-    ends = ends.filter(F.col("first") < F.col("last"))
-    near = bands.join(ends, "key")
-    low = near.filter(F.col("node") > F.col("first")).select(
-        F.col("first").alias("a"), F.col("node").alias("b"))
-    high = near.filter((F.col("node") < F.col("last")) & (F.col("node") > F.col("first"))).select(
-        F.col("node").alias("a"), F.col("last").alias("b"))
-    return low.union(high).distinct()
+def _stars(bands: DataFrame) -> DataFrame:
+    """Each node with the smallest node of each of its buckets."""
+    firsts = bands.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last"))
+    firsts = firsts.filter("a < last").select("key", "a")
+    return bands.join(firsts, "key").filter("node > a").select(
+        "a", F.col("node").alias("b")).distinct()
 
 
-def _block_pairs(bands: DataFrame, nodes: DataFrame, labels: DataFrame, block: int = BLOCK,
+def _placed(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, component) for every band of every node."""
+    rows = nodes.select("node", "bands").join(labels, "node", "left")
+    return rows.select(F.explode("bands").alias("key"), "node",
+                       F.coalesce("component", "node").alias("component"))
+
+
+def _parts(placed: DataFrame) -> DataFrame:
+    """For each component of a bucket: how many nodes it has there, and one of them."""
+    return placed.groupBy("key", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("rep"))
+
+
+def _mixed_buckets(parts: DataFrame) -> DataFrame:
+    """Buckets with several components: their nodes, and the largest component."""
+    return parts.groupBy("key").agg(
+        F.count(F.lit(1)).alias("components"), F.sum("n").alias("n"),
+        F.max(F.struct("n", "component", "rep")).alias("top")).filter("components > 1")
+
+
+def _between_components(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """In every bucket, one node of the largest component with one of each other."""
+    parts = _parts(_placed(nodes, labels))
+    tops = _mixed_buckets(parts).select("key", F.col("top.rep").alias("top"))
+    both = parts.select("key", "rep").join(tops, "key").filter("rep <> top")
+    return both.select(F.least("rep", "top").alias("a"), F.greatest("rep", "top").alias("b")
+                       ).distinct()
+
+
+def _block_pairs(nodes: DataFrame, labels: DataFrame, block: int = BLOCK,
                  percent: int = PERCENT, miss: float = MISS) -> DataFrame:
     """Surviving pairs of different components inside the buckets that hold several."""
-    placed = bands.join(labels, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("key").agg(
-        F.count(F.lit(1)).alias("members"), F.min("component").alias("low"),
-        F.max("component").alias("high")).filter("low < high")
-    mixed = mixed.select("key", F.ceil(F.col("members") / block).cast("int").alias("parts"))
+    placed = _placed(nodes, labels)
+    mixed = _mixed_buckets(_parts(placed)).select(
+        "key", F.col("top.component").alias("major"),
+        F.ceil(F.col("n") / block).cast("int").alias("all_parts"),
+        F.ceil((F.col("n") - F.col("top.n")) / block).cast("int").alias("other_parts"))
     rows = placed.join(mixed, "key")
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    # A member of part p meets the parts 0..p as (q, p) and the parts p.. as (p, q).
-    cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda q: F.struct(
-        F.least(q, F.col("part")).alias("i"), F.greatest(q, F.col("part")).alias("j")))
-    rows = rows.withColumn("part", part).select(
-        "key", "node", "component", "part", F.explode(cells).alias("cell"))
-    rows = rows.select("node", "component", "part",
-                       F.xxhash64("key", "cell.i", "cell.j").alias("cell"),
-                       F.expr("cell.i = cell.j").alias("inner"))
+    # A small bucket is one cell. In larger ones every part of the nodes outside the largest
+    # component meets every part of all nodes.
+    spot = F.xxhash64("node")
+    other = F.pmod(spot, F.col("other_parts")).cast("int")
+    any_part = F.pmod(spot, F.col("all_parts")).cast("int")
+
+    def cells(i, j, role: int):
+        return F.struct(i.alias("i"), j.alias("j"), F.lit(role).alias("role"))
+
+    zero = F.lit(0)
+    as_any = F.transform(F.sequence(zero, F.col("other_parts") - 1),
+                         lambda i: cells(i, any_part, 1))
+    as_other = F.when(F.col("component") != F.col("major"), F.transform(
+        F.sequence(zero, F.col("all_parts") - 1), lambda j: cells(other, j, 2)))
+    in_cells = F.when(F.col("all_parts") == 1, F.array(cells(zero, zero, 3))).when(
+        F.col("component") == F.col("major"), as_any).otherwise(F.concat(as_any, as_other))
+    rows = rows.select("key", "node", "component", F.explode(in_cells).alias("cell"))
+    rows = rows.select("node", "component", F.col("cell.role").alias("role"),
+                       F.xxhash64("key", "cell.i", "cell.j").alias("cell"))
     rows = rows.join(nodes.select("node", "n_shingles", "sig"), "node")
-    rows = rows.repartition("cell").sortWithinPartitions("cell", "part")
+    rows = rows.repartition("cell").sortWithinPartitions("cell")
     steps = least_matches(percent, miss=miss)
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
         node = rows["node"].to_numpy()
         comp = rows["component"].to_numpy()
         size = rows["n_shingles"].to_numpy()
-        part, inner = rows["part"].to_numpy(), rows["inner"].to_numpy(zero_copy_only=False)
+        role = rows["role"].to_numpy()
         sig = _signature_rows(rows["sig"])
         cell = rows["cell"].to_numpy()
         cuts = np.flatnonzero(np.diff(cell)) + 1
@@ -270,9 +321,10 @@ def _block_pairs(bands: DataFrame, nodes: DataFrame, labels: DataFrame, block: i
         for begin, end in zip([0, *cuts], [*cuts, len(cell)]):
             if end - begin < 2:
                 continue
-            i, j = np.triu_indices(end - begin, 1)
-            i, j = i + begin, j + begin
-            want = (comp[i] != comp[j]) & (inner[i] | (part[i] != part[j]))
+            others = np.flatnonzero(role[begin:end] & 2) + begin
+            every = np.flatnonzero(role[begin:end] & 1) + begin
+            i, j = np.repeat(others, len(every)), np.tile(every, len(others))
+            want = (comp[i] != comp[j]) & ((role[i] != 3) | (node[i] < node[j]))
             want &= np.minimum(size[i], size[j]) * 100 >= np.maximum(size[i], size[j]) * percent
             i, j = i[want], j[want]
             keep = surviving(sig[i], sig[j], steps)
@@ -345,23 +397,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = usable.select("fp_hi", "fp_lo", F.col("doc_id").alias("node"), "n_shingles", "sig",
                           "bands").join(groups, ["fp_hi", "fp_lo", "node"], "left_semi")
     nodes = tx.stored(nodes.dropDuplicates(["fp_hi", "fp_lo", "node"]), "near-nodes")
-    bands = nodes.select("node", F.explode("bands").alias("key"))
 
-    tried = tx.stored(pruned(_bucket_ends(bands), nodes, percent, miss), "near-pairs", few=True)
-    links = confirmed(tried, docs, words, percent)
+    def links(pairs: DataFrame) -> DataFrame:
+        tried = tx.stored(pairs, "near-pairs", few=True)
+        return tx.stored(confirmed(tried, docs, words, percent), "near-links", few=True)
+
     # Rows that share a doc_id are one document: tie their sets' nodes together.
     of = usable.select("doc_id", "fp_hi", "fp_lo").join(groups, ["fp_hi", "fp_lo"]).select(
         "doc_id", "node")
     ends = of.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("last"))
     ends = ends.filter("a < last").select("doc_id", "a")
     same = of.join(ends, "doc_id").filter("node <> a").select("a", F.col("node").alias("b"))
-    first = tx.stored(links.union(same), "near-links", few=True)
-    labels = components(first)
-    rest = tx.stored(_block_pairs(bands, nodes, labels, percent=percent, miss=miss), "near-pairs",
-                     few=True)
-    more = tx.stored(confirmed(rest, docs, words, percent), "near-links", few=True)
+    few = nodes.select("node", F.explode(F.slice("bands", 1, FIRST_BANDS)).alias("key"))
+    edges = links(pruned(_stars(few), nodes, percent, miss)).union(
+        tx.stored(same, "near-links", few=True))
+    labels = components(edges)
+    edges = edges.union(links(pruned(_between_components(nodes, labels), nodes, percent, miss)))
+    labels = components(edges)
+    more = links(_block_pairs(nodes, labels, percent=percent, miss=miss))
     if not more.isEmpty():
-        labels = components(first.union(more))
+        labels = components(edges.union(more))
 
     out = rows.select("doc_id", "n_shingles", "fp_hi", "fp_lo").join(
         groups, ["fp_hi", "fp_lo"], "left").join(labels, "node", "left")
