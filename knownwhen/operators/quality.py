@@ -14,7 +14,11 @@ def _breach(rule: Column) -> Column:
 
 
 def watch(rows: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
-    """Pass every row on and count breaches while the rows are written."""
+    """Pass every row on and count breaches while the rows are written.
+
+    Nothing that reads its input twice (a range partitioning does, to sample it) may
+    follow before the write; :func:`knownwhen.sources.tables.publish` sees to that.
+    """
     seen = Observation()
     counts = [F.count_if(_breach(rule)).alias(name) for name, rule in rules.items()]
     return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen

@@ -6,20 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from knownwhen.operators.timeline import ROWS_PER_TASK
 from knownwhen.sources.shared import settle
 
 
-def ntile(rows: DataFrame, by: list[str], order: list[Column], tiles: int, out: str,
-          largest: int | None = None) -> DataFrame:
+def ntile(rows: DataFrame, by: list[str], order: list[Column], tiles: int, out: str) -> DataFrame:
     """Add the ``tiles``-quantile number within each ``by`` group as ``out``.
 
-    ``order`` must be total. With a known bound on the ``largest`` group that
-    fits one task this is the built-in window function; otherwise the rows are
-    range-sorted across the cluster and numbered from partition totals.
+    ``order`` must be total. Rows are range-sorted across the cluster and numbered
+    from partition totals, so a group may be of any size.
     """
-    if largest is not None and largest <= ROWS_PER_TASK:
-        return rows.withColumn(out, F.ntile(tiles).over(Window.partitionBy(*by).orderBy(*order)))
     numbered = with_position(rows, by, order)
     size = F.col("_size").cast("long")
     base, longer = F.floor(size / tiles), size % tiles

@@ -5,14 +5,12 @@ public. A state is in force from the instant it was reported until the instant
 a different state replaces it; repeats open nothing, and of several reports at
 one instant only the last in tie order counts.
 
-Two plans give the same rows:
-
-* **whole** - one window per key. Used when the largest key is known to fit one
-  task (see :func:`plan_slices`).
-* **sliced** - entities with too many instants are cut into runs of days.
-  Windows run per (key, slice); what crosses a cut (the state carried in, the
-  number of changes before, the next change after) travels in one row per
-  (key, slice). No task ever holds more than a slice.
+A key may have more reports than one task should hold. Entities with many instants
+are therefore cut into slices of time, and windows run per (key, slice). What
+crosses a cut (the state carried in, the number of changes before, the next change
+after) travels in one row per (key, slice). Entities without slices have a NULL
+slice, so one plan serves keys of any size, and the slice table is data like any
+other: nothing is counted while the plan is made.
 """
 
 from __future__ import annotations
@@ -24,10 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from knownwhen.functions.values import open_end
-from knownwhen.operators.bounds import group_size_within
 
-# Rows of one key that a single task may sort and scan.
-ROWS_PER_TASK = 2_000_000
+# Instants of an entity that a slice holds, about.
+SLICE_INSTANTS = 2_000_000
+# Parts a day is cut into at most: its seconds.
+DAY_PARTS = 86_400
 
 SLICE = "_slice"
 
@@ -57,27 +56,15 @@ class Timeline:
 # ---------------------------------------------------------------- slices
 
 def plan_slices(events: DataFrame, entity: list[str], at: str,
-                limit: int = ROWS_PER_TASK) -> DataFrame | None:
-    """Decide from the (small) event table whether any key could be too large.
-
-    ``events`` holds one row per report of an entity, for example one per
-    filing. A key of an entity has at most one surviving row per event, so if no
-    entity has more than ``limit`` events every key fits one task and None is
-    returned. Otherwise the result has (entity, day, slice) for the entities
-    above the limit: consecutive days, about ``limit`` instants per slice.
-    """
-    if group_size_within(events, entity, limit):
-        return None
-    return slice_days(events, entity, at, limit)
-
-
-def slice_days(events: DataFrame, entity: list[str], at: str, limit: int) -> DataFrame:
+                limit: int = SLICE_INSTANTS) -> DataFrame:
     """Slices for entities with more than ``limit`` events.
 
-    Distinct instants are counted per day first, so the running total below
-    has one row per calendar day of an entity, whatever the number of events.
-    A day is never cut: filings are stamped to the second, so it holds at most
-    86,400 instants.
+    ``events`` is the (small) table with one row per report of an entity, for example
+    one per filing; a key of an entity has at most one surviving row per event. The
+    result has (entity, day, slice, parts): consecutive days share a slice until it
+    holds about ``limit`` instants; a day with more is cut into ``parts`` of equal
+    length. Distinct instants are counted per day first, so the running total has one
+    row per calendar day of an entity, whatever the number of events.
     """
     per_day = (
         events.groupBy(*entity, at).agg(F.count("*").alias("_n"))
@@ -86,34 +73,32 @@ def slice_days(events: DataFrame, entity: list[str], at: str, limit: int) -> Dat
     )
     days = Window.partitionBy(*entity)
     before = days.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    parts = F.least(F.ceil(F.col("_instants") / limit), F.lit(DAY_PARTS)).cast("int")
     return (
         per_day
         .withColumn("_total", F.sum("_events").over(days))
         .withColumn("_before", F.coalesce(F.sum("_instants").over(before), F.lit(0)))
         .where(F.col("_total") > limit)
-        .select(*entity, "_day", (F.col("_before") / limit).cast("int").alias(SLICE))
+        .select(*entity, "_day", parts.alias("_parts"),
+                F.floor(F.col("_before") / limit).alias("_run"))
     )
 
 
 def in_slices(events: DataFrame, slices: DataFrame, entity: list[str], at: str) -> DataFrame:
-    """Add the slice number to ``events``; NULL for entities that need none."""
+    """Add the slice to ``events``; NULL for entities that need none."""
+    second = F.hour(at) * 3600 + F.minute(at) * 60 + F.floor(F.second(at))
+    # A full day starts a run of its own, so its parts follow each other in order.
+    part = F.floor(second * F.col("_parts") / DAY_PARTS)
+    number = (F.col("_run") * 2 + (F.col("_parts") > 1).cast("int")) * DAY_PARTS + part
     return (
         events.withColumn("_day", F.to_date(at))
-        .join(slices, [*entity, "_day"], "left").drop("_day")
+        .join(slices, [*entity, "_day"], "left")
+        .withColumn(SLICE, number.cast("bigint")).drop("_day", "_parts", "_run")
     )
 
 
 # ---------------------------------------------------------------- building
 
-def last_at_each_instant(rows: DataFrame, line: Timeline, window: WindowSpec) -> DataFrame:
-    following = F.lead(line.at).over(window)
-    return (
-        rows.withColumn("_following", following)
-        .where(F.col("_following").isNull() | (F.col("_following") > F.col(line.at)))
-        .drop("_following")
-    )
-
-
 def where_state_changes(rows: DataFrame, line: Timeline, window: WindowSpec) -> DataFrame:
     """Keep first rows and rows whose state differs from the one before.
 
@@ -126,52 +111,21 @@ def where_state_changes(rows: DataFrame, line: Timeline, window: WindowSpec) ->
     )
 
 
-def change_points(rows: DataFrame, line: Timeline, *slice_column: str,
-                  folded: bool = False) -> DataFrame:
-    """First reports and changes. ``folded`` rows have one row per key and instant."""
-    window = Window.partitionBy(*line.key, *slice_column).orderBy(*line.order())
-    reports = line.reports(rows)
-    if not folded:
-        reports = last_at_each_instant(reports, line, window)
-    return where_state_changes(reports, line, window)
-
-
-def build(rows: DataFrame, line: Timeline, sliced: bool = False,
-          final_state: bool = False, folded: bool = False) -> DataFrame:
-    """Intervals for every key of ``rows``.
+def build(rows: DataFrame, line: Timeline, final_state: bool = False,
+          folded: bool = False) -> DataFrame:
+    """Intervals for every key of ``rows``, which carry the slice of :func:`in_slices`.
 
     Adds ``opened_at``, ``closed_at`` (open end when still in force), ``seq``
     and ``prior`` (the replaced state, NULL for the first report); with
     ``final_state`` also ``final``, the state in force today. A state of several
-    columns is given as a struct.
-    With ``sliced`` the rows must carry the slice column of :func:`in_slices`.
+    columns is given as a struct. ``folded`` rows have one row per key and instant.
     """
-    out = _build_sliced(rows, line, folded) if sliced else _build_whole(rows, line, folded)
-    return out if final_state else out.drop("final")
-
-
-def _build_whole(rows: DataFrame, line: Timeline, folded: bool) -> DataFrame:
-    key = Window.partitionBy(*line.key)
-    window = key.orderBy(line.at)
-    whole_key = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return (
-        change_points(rows, line, folded=folded)
-        .withColumns({
-            "seq": F.row_number().over(window),
-            "closed_at": F.coalesce(F.lead(line.at).over(window), open_end()),
-            "final": F.last(line.stated()).over(whole_key),
-        })
-        .withColumnsRenamed({line.at: "opened_at", "_prior": "prior"})
-    )
-
-
-def _build_sliced(rows: DataFrame, line: Timeline, folded: bool) -> DataFrame:
     part = [*line.key, SLICE]
     # Copies of one instant are folded before they can meet in one task.
     instants = rows if folded else fold_instants(line.reports(rows), line, part)
     local = Window.partitionBy(*part).orderBy(line.at)
     found = (
-        change_points(instants, line, SLICE, folded=True)
+        where_state_changes(line.reports(instants), line, local)
         .withColumns({
             "_nth": F.row_number().over(local),
             "_next": F.lead(line.at).over(local),
@@ -183,7 +137,7 @@ def _build_sliced(rows: DataFrame, line: Timeline, folded: bool) -> DataFrame:
     # A slice whose first state equals the one carried in opens nothing there.
     repeats = F.coalesce(F.col("_repeats"), F.lit(False))
     first = F.col("_nth") == 1
-    return (
+    out = (
         joined.where(~(first & repeats))
         .withColumns({
             "seq": (F.col("_nth") - repeats.cast("int")
@@ -196,6 +150,7 @@ def _build_sliced(rows: DataFrame, line: Timeline, folded: bool) -> DataFrame:
         .drop("_nth", "_next", "_local_final", "_prior", "_repeats", "_changes_before",
               "_next_slice_change", "_carried", "_key_final", SLICE)
     )
+    return out if final_state else out.drop("final")
 
 
 def fold_instants(rows: DataFrame, line: Timeline, part: list[str]) -> DataFrame:
@@ -240,17 +195,14 @@ def _across_slices(found: DataFrame, line: Timeline, part: list[str]) -> DataFra
     )
 
 
-def with_next(rows: DataFrame, key: list[str], at: str, tie: list[str],
-              out: str, sliced: bool = False) -> DataFrame:
+def with_next(rows: DataFrame, key: list[str], at: str, tie: list[str], out: str) -> DataFrame:
     """Add the ``at`` of the next row of the same key as ``out``.
 
-    With ``sliced`` the look-ahead stays within (key, slice) and the first row of
-    the next slice is fetched from a table with one row per (key, slice).
+    The look-ahead stays within (key, slice); the first row of the next slice is
+    fetched from a table with one row per (key, slice).
     """
-    part = [*key, SLICE] if sliced else key
+    part = [*key, SLICE]
     found = rows.withColumn(out, F.lead(at).over(Window.partitionBy(*part).orderBy(at, *tie)))
-    if not sliced:
-        return found
     starts = (
         rows.where(F.col(SLICE).isNotNull()).groupBy(*part).agg(F.min(at).alias("_starts"))
         .withColumn("_next_start",

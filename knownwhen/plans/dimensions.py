@@ -12,7 +12,7 @@ COMPANY_LINE = tl.Timeline(
     key=("cik",), at="accepted_ts", state=("name", "sic", "fye"), entity=("cik",))
 
 
-def company_scd2(filings: DataFrame, limit: int = tl.ROWS_PER_TASK) -> DataFrame:
+def company_scd2(filings: DataFrame, limit: int = tl.SLICE_INSTANTS) -> DataFrame:
     """One row per company and run of unchanged attributes.
 
     Of several filings at one instant the smallest (name, sic, fye) counts,
@@ -26,9 +26,7 @@ def company_scd2(filings: DataFrame, limit: int = tl.ROWS_PER_TASK) -> DataFrame
         .select("cik", "accepted_ts", "_a.name", "_a.sic", "_a.fye")
     )
     slices = tl.plan_slices(known, ["cik"], line.at, limit)
-    if slices is not None:
-        instants = tl.in_slices(instants, slices, ["cik"], line.at)
-    versions = tl.build(instants, line, sliced=slices is not None, folded=True)
+    versions = tl.build(tl.in_slices(instants, slices, ["cik"], line.at), line, folded=True)
     return versions.select(
         "cik", "name", "sic", "fye", F.col("opened_at").alias("valid_from_ts"),
         F.col("closed_at").alias("valid_to_ts"), F.col("seq").alias("version_seq"),

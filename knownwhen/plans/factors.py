@@ -79,16 +79,27 @@ def roa_comparison(pit: DataFrame, calendar: DataFrame, factor: Factor) -> DataF
         (F.col("naive_assets") != F.col("pit_assets")).alias("assets_revised"))
 
 
-def roa_deciles(comparison: DataFrame, largest: int | None = None) -> DataFrame:
+def roa_deciles(comparison: DataFrame) -> DataFrame:
     """Decile 1 is the highest ratio; equal ratios are ordered by company.
 
-    ``largest`` bounds the companies per date, see :func:`knownwhen.operators.ranking.ntile`.
+    Both views are stacked, so one sort and one stored table number them both.
     """
-    ranked = comparison
-    for view in ("pit", "naive"):
-        order = [F.col(f"{view}_roa").desc(), F.col("cik").asc()]
-        ranked = ntile(ranked, ["rebalance_dt"], order, 10, f"{view}_decile", largest)
-    return ranked.select(
+    views = F.array(*[F.struct(F.lit(v).alias("view"), F.col(f"{v}_roa").alias("roa"))
+                      for v in ("pit", "naive")])
+    stacked = comparison.select(
+        "rebalance_dt", "cik", "ni_revised", "assets_revised", F.inline(views))
+    order = [F.col("roa").desc(), F.col("cik").asc()]
+    ranked = ntile(stacked, ["view", "rebalance_dt"], order, 10, "decile")
+
+    def of(view: str, column: str) -> Column:
+        return F.max(F.when(F.col("view") == view, F.col(column)))
+
+    return ranked.groupBy("rebalance_dt", "cik").agg(
+        of("pit", "roa").alias("pit_roa"), of("naive", "roa").alias("naive_roa"),
+        of("pit", "decile").alias("pit_decile"), of("naive", "decile").alias("naive_decile"),
+        F.first("ni_revised").alias("ni_revised"),
+        F.first("assets_revised").alias("assets_revised"),
+    ).select(
         "rebalance_dt", "cik", "pit_roa", "naive_roa", "pit_decile", "naive_decile",
         (F.col("pit_decile") != F.col("naive_decile")).alias("decile_moved"),
         "ni_revised", "assets_revised")

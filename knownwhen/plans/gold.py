@@ -37,7 +37,7 @@ def fact_rows(facts: DataFrame) -> DataFrame:
 
 
 def pit_from_silver(facts: DataFrame, submissions: DataFrame, *,
-                    limit: int = tl.ROWS_PER_TASK, today: bool = False) -> DataFrame:
+                    limit: int = tl.SLICE_INSTANTS, today: bool = False) -> DataFrame:
     """Knowledge intervals from typed facts and submissions."""
     used = facts.select("adsh", "canonical_tag", "statement", "ddate", "qtrs", "uom", "value")
     return fundamental_pit(attach_filings(fact_rows(used), submissions), submissions,
@@ -45,19 +45,29 @@ def pit_from_silver(facts: DataFrame, submissions: DataFrame, *,
 
 
 def fundamental_pit(attributed: DataFrame, filings: DataFrame, *,
-                    limit: int = tl.ROWS_PER_TASK, today: bool = False) -> DataFrame:
+                    limit: int = tl.SLICE_INSTANTS, today: bool = False) -> DataFrame:
     """Knowledge intervals of ``attributed`` facts (see :func:`attach_filings`).
 
-    ``filings`` is only used to bound the largest key. With ``today`` the column
-    ``current_value`` carries each key's value in force now.
+    ``filings`` says which companies have to be cut into slices of time. With ``today``
+    the column ``current_value`` carries each key's value in force now.
     """
+    return described(_built(attributed, filings, limit, today), today)
+
+
+def _built(attributed: DataFrame, filings: DataFrame, limit: int, today: bool) -> DataFrame:
     entity = list(FACT_LINE.entity)
     slices = tl.plan_slices(filings, entity, FACT_LINE.at, limit)
     rows = attributed.select(*KEY, "value", "accepted_ts", "adsh", "form", "statement")
-    if slices is not None:
-        rows = tl.in_slices(rows, slices, entity, FACT_LINE.at)
-    intervals = tl.build(rows, FACT_LINE, sliced=slices is not None, final_state=today)
-    return described(intervals, today)
+    return tl.build(tl.in_slices(rows, slices, entity, FACT_LINE.at), FACT_LINE,
+                    final_state=today)
+
+
+def change_points(attributed: DataFrame, filings: DataFrame,
+                  limit: int = tl.SLICE_INSTANTS) -> DataFrame:
+    """First reports and changes, each with the value that it replaces."""
+    return _built(attributed, filings, limit, False).select(
+        *KEY, F.col("opened_at").alias("accepted_ts"), "adsh", "value",
+        F.col("prior").alias("prev_value"))
 
 
 def described(intervals: DataFrame, today: bool = False) -> DataFrame:

@@ -23,14 +23,12 @@ def _result(name: str, violation: Column, rows: DataFrame) -> DataFrame:
 
 
 def with_following(pit: DataFrame, filings: DataFrame,
-                   limit: int = tl.ROWS_PER_TASK) -> DataFrame:
+                   limit: int = tl.SLICE_INSTANTS) -> DataFrame:
     """Intervals with the start of the next interval of their key."""
     slices = tl.plan_slices(filings, ["cik"], "accepted_ts", limit)
     rows = pit.select(*KEY, "known_from_ts", "known_to_ts")
-    if slices is not None:
-        rows = tl.in_slices(rows, slices, ["cik"], "known_from_ts")
-    return tl.with_next(rows, KEY, "known_from_ts", ["known_to_ts"], "next_from",
-                        sliced=slices is not None)
+    rows = tl.in_slices(rows, slices, ["cik"], "known_from_ts")
+    return tl.with_next(rows, KEY, "known_from_ts", ["known_to_ts"], "next_from")
 
 
 def no_overlap(pit: DataFrame, filings: DataFrame) -> DataFrame:
@@ -104,7 +102,7 @@ def rebuilt(attributed: DataFrame, filings: DataFrame,
     Arrays never exceed a slice: companies with more than ``limit`` filings are cut
     into slices, and runs that continue across a cut are joined from slice edges.
     """
-    slices = tl.slice_days(filings, ["cik"], "accepted_ts", limit)
+    slices = tl.plan_slices(filings, ["cik"], "accepted_ts", limit)
     rows = tl.in_slices(attributed, slices, ["cik"], "accepted_ts")
     part = [*KEY, tl.SLICE]
     # Copies are folded first: largest value of a filing, then the last filing of an instant.

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+
+from knownwhen.operators.quality import watch
 
 
 @dataclass(frozen=True)
@@ -44,10 +47,28 @@ CATALOGUE = {t.name: t for t in [
 
 def publish(rows: DataFrame, root: str, name: str) -> str:
     """Overwrite a published table; returns its path."""
+    return _write(_clustered(rows, name), root, name)
+
+
+def publish_watched(rows: DataFrame, root: str, name: str, rules: Mapping[str, Column]
+                    ) -> dict[str, int]:
+    """Overwrite a published table and count ``rows`` and the breaches of each rule.
+
+    Rows are looked at after they are laid out, in the stage that writes them.
+    """
+    watched, seen = watch(_clustered(rows, name), rules)
+    _write(watched, root, name)
+    return seen.get
+
+
+def _clustered(rows: DataFrame, name: str) -> DataFrame:
+    by = CATALOGUE[name].cluster
+    return rows.repartitionByRange(*by).sortWithinPartitions(*by) if by else rows
+
+
+def _write(rows: DataFrame, root: str, name: str) -> str:
     table = CATALOGUE[name]
     path = f"{root}/{table.layer}/{table.name}"
-    if table.cluster:
-        rows = rows.repartitionByRange(*table.cluster).sortWithinPartitions(*table.cluster)
     rows.write.mode("overwrite").parquet(path)
     return path
 

@@ -218,7 +218,7 @@ def test_slices_are_bounded_and_keep_an_instant_together(spark):
     rows = [fact(i, f"2020-01-{1 + i % 28:02d} {i // 28:02d}:00:00", adsh=str(i))
             for i in range(280)]
     filings = filings_of(frame(spark, rows))
-    assert tl.plan_slices(filings, ["cik"], "accepted_ts", 280) is None
+    assert tl.plan_slices(filings, ["cik"], "accepted_ts", 280).count() == 0
     slices = tl.plan_slices(filings, ["cik"], "accepted_ts", 50)
     cut = tl.in_slices(filings, slices, ["cik"], "accepted_ts")
     sizes = [r["count"] for r in cut.groupBy(tl.SLICE).count().collect()]

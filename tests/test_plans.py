@@ -72,7 +72,7 @@ def test_spread_ranking_equals_the_window_function(spark, n):
         F.when(F.col("id") < n * 2, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 3)).alias("d"),
         (F.col("id") % 4).alias("x"), F.col("id").alias("cik"))
     order = [F.col("x").desc(), F.col("cik").asc()]
-    whole = ranking.ntile(rows, ["d"], order, 10, "tile", largest=n * 3)
+    whole = rows.withColumn("tile", F.ntile(10).over(Window.partitionBy("d").orderBy(*order)))
     spread = ranking.ntile(rows, ["d"], order, 10, "tile").select(*whole.columns)
     assert whole.exceptAll(spread).isEmpty() and spread.count() == n * 3
 

@@ -105,27 +105,24 @@ BLOCKS: dict[str, str] = {
     "grid": """
         SELECT c.rebalance_dt, p.* FROM pit p
         JOIN cal c ON p.known_from_ts <= c.rebalance_ts AND p.known_to_ts > c.rebalance_ts""",
-    "ranked_input": """
-        SELECT *, row_number() OVER (PARTITION BY rebalance_dt, cik, canonical_tag
-                                     ORDER BY ddate DESC) AS rn
-        FROM grid
-        WHERE ((canonical_tag = 'NET_INCOME' AND qtrs = 4) OR (canonical_tag = 'ASSETS' AND qtrs = 0))
-          AND ddate <= rebalance_dt AND ddate > rebalance_dt - INTERVAL 24 MONTH""",
-    "latest": f"""
-        SELECT r.rebalance_dt, r.cik, r.canonical_tag, r.ddate, r.value AS pit_value,
-               c.value AS naive_value
-        FROM ranked_input r LEFT JOIN pit c
-          ON c.is_current AND c.cik = r.cik AND c.canonical_tag = r.canonical_tag
-         AND c.ddate = r.ddate AND c.qtrs = r.qtrs AND c.uom = r.uom
-        WHERE r.rn = 1""",
+    "factor_pit": f"""
+        SELECT *, max(value) FILTER (is_current) OVER (PARTITION BY {KEY}) AS current_value
+        FROM pit
+        WHERE uom = 'USD' AND ((canonical_tag = 'NET_INCOME' AND qtrs = 4)
+                               OR (canonical_tag = 'ASSETS' AND qtrs = 0))""",
     "inputs": """
-        SELECT coalesce(n.rebalance_dt, a.rebalance_dt) AS rebalance_dt,
-               coalesce(n.cik, a.cik) AS cik, n.ddate AS ni_ddate, a.ddate AS assets_ddate,
-               n.pit_value AS pit_ni, a.pit_value AS pit_assets,
-               n.naive_value AS naive_ni, a.naive_value AS naive_assets
-        FROM (SELECT * FROM latest WHERE canonical_tag = 'NET_INCOME') n
-        FULL JOIN (SELECT * FROM latest WHERE canonical_tag = 'ASSETS') a
-          ON n.rebalance_dt = a.rebalance_dt AND n.cik = a.cik""",
+        SELECT rebalance_dt, cik, max(ddate) FILTER (is_ni) AS ni_ddate,
+               max(ddate) FILTER (NOT is_ni) AS assets_ddate,
+               arg_max(value, ddate) FILTER (is_ni) AS pit_ni,
+               arg_max(value, ddate) FILTER (NOT is_ni) AS pit_assets,
+               arg_max(current_value, ddate) FILTER (is_ni) AS naive_ni,
+               arg_max(current_value, ddate) FILTER (NOT is_ni) AS naive_assets
+        FROM (SELECT c.rebalance_dt, p.*, canonical_tag = 'NET_INCOME' AS is_ni
+              FROM factor_pit p JOIN cal c
+                ON p.known_from_ts <= c.rebalance_ts AND p.known_to_ts > c.rebalance_ts
+               AND p.ddate <= c.rebalance_dt
+               AND p.ddate > CAST(c.rebalance_dt - INTERVAL 24 MONTH AS DATE))
+        GROUP BY rebalance_dt, cik""",
     "roa": """
         SELECT *, CAST(pit_ni AS DOUBLE) / CAST(pit_assets AS DOUBLE) AS pit_roa,
                CAST(naive_ni AS DOUBLE) / CAST(naive_assets AS DOUBLE) AS naive_roa,
@@ -306,7 +303,7 @@ for _name, _year in (("snap_a", 1997), ("snap_b", 1998)):
 
 _FACT = ["filing", "cmap", "line", "fact"]
 _PIT = [*_FACT, "per_filing", "per_instant", "change", "spell", "measured", "pit"]
-_ROA = [*_PIT, "cal", "grid", "ranked_input", "latest", "inputs"]
+_ROA = [*_PIT, "cal", "factor_pit", "inputs"]
 _DEC = [*_ROA, "roa", "decile"]
 _NUM = ["raw_num", "raw_cmap", "typed_num", "outcome_num", "silver_num"]
 _SUB = ["raw_sub", "typed_sub", "silver_sub"]
@@ -375,12 +372,14 @@ def _rates(table: str, source: str, rules: dict[str, str]) -> str:
 _WELL_FORMED = f"regexp_matches(adsh, '{silver.ACCESSION_FORMAT}')"
 
 
-def _reconcile(table: str, source: str, breaks: tuple[str, ...]) -> str:
-    return (f"SELECT '{table}' AS \"table\", count(*) AS bronze, "
-            "count(*) FILTER (outcome = 'kept') AS silver, "
-            f"count(*) FILTER (outcome IN {breaks}) AS quarantine, "
-            f"count(*) FILTER (outcome <> 'kept' AND outcome NOT IN {breaks}) AS excluded, "
-            f"true AS reconciles FROM {source}")
+def _reconcile(table: str, bronze: str, silver_rows: str, broken: str, outcomes: str,
+               breaks: tuple[str, ...]) -> str:
+    return (f"SELECT *, bronze = silver + quarantine + excluded AS reconciles FROM ("
+            f"SELECT '{table}' AS \"table\", (SELECT count(*) FROM {bronze}) AS bronze, "
+            f"(SELECT count(*) FROM {silver_rows}) AS silver, "
+            f"(SELECT count(*) FROM {broken} WHERE _reject_reason IS NOT NULL) AS quarantine, "
+            f"(SELECT count(*) FROM {outcomes} WHERE outcome <> 'kept' "
+            f"AND outcome NOT IN {breaks}) AS excluded)")
 
 
 _BINS = " ".join(
@@ -533,9 +532,13 @@ ORACLES: dict[str, str] = {
     "exclusion_funnel": _sql(
         _NUM[:4], 'SELECT outcome, count(*) AS "rows" FROM outcome_num GROUP BY outcome'),
     "reconcile_layers": _sql(
-        [*_NUM[:4], "raw_sub", "typed_sub", "outcome_sub"],
-        _reconcile("num", "outcome_num", silver.FACT_BREAKS) + " UNION ALL "
-        + _reconcile("sub", "outcome_sub", silver.SUBMISSION_BREAKS)),
+        [*_NUM, *_SUB, "outcome_sub"],
+        _reconcile("num", "raw_num", "silver_num", "typed_num", "outcome_num",
+                   ("ddate_unparseable", "value_uncastable", "ddate_implausible"))
+        + " UNION ALL " + _reconcile(
+            "sub", "raw_sub", "silver_sub", "typed_sub", "outcome_sub",
+            ("accepted_unparseable", "period_unparseable", "cik_null",
+             "accepted_before_period"))),
     "quality_rates": _sql(
         ["raw_num", "typed_num", "raw_sub", "typed_sub"],
         _rates("num", "typed_num", {
@@ -551,9 +554,14 @@ ORACLES: dict[str, str] = {
             "accepted_after_period": "accepted_ts >= CAST(period_dt AS TIMESTAMP)",
             "adsh_well_formed": _WELL_FORMED})),
     "expect_warn": _sql(
-        _SUB, f'SELECT count(*) AS written, count(*) AS "rows", '
-        f"count(*) FILTER (NOT {_WELL_FORMED}) AS adsh_well_formed, "
-        "count(*) FILTER (fp IS NULL) AS fp_known FROM silver_sub"),
+        [*_SUB, *_PIT], " UNION ALL ".join(
+            f"SELECT '{table}' AS \"table\", '{rule}' AS rule, count(*) AS written, "
+            f"count(*) AS \"rows\", count(*) FILTER (NOT coalesce({ok}, false)) AS breaches "
+            f"FROM {source}" for table, source, rule, ok in (
+                ("sub", "silver_sub", "adsh_well_formed", _WELL_FORMED),
+                ("sub", "silver_sub", "fp_known", "fp IS NOT NULL"),
+                ("fact_fundamental_pit", "pit", "revision_seq_positive", "revision_seq >= 1"),
+                ("fact_fundamental_pit", "pit", "value_positive", "value > 0")))),
     "expect_fail": _sql(_SUB, "SELECT form, count(*) AS filings FROM silver_sub GROUP BY form"),
     "control_merge": _sql(["quarter_link", "control"], "SELECT * FROM control"),
     "control_transition": _sql(

@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from knownwhen.functions.values import quarter_of
-from knownwhen.operators import asof, bounds, dedup, quality
-from knownwhen.operators import timeline as tl
+from knownwhen.operators import asof, dedup, quality
 from knownwhen.plans import (
     concepts, control, dimensions, factors, gold, invariants, monitor, silver, snapshots)
-from knownwhen.plans.gold import FACT_LINE, KEY
+from knownwhen.plans.gold import KEY
 from knownwhen.sources import delimited, files, links, tables
 from knownwhen.sources import driver_tables as dt
 from knownwhen.sources.shared import new_folder, settle
@@ -62,10 +61,7 @@ def comparison(spark: SparkSession, d: str, filings: DataFrame) -> DataFrame:
 
 
 def deciles(spark: SparkSession, d: str) -> DataFrame:
-    filings = dt.filings(spark, d)
-    # No date can have more companies than ever filed.
-    companies = bounds.distinct_at_most(filings, ["cik"], tl.ROWS_PER_TASK)
-    return factors.roa_deciles(comparison(spark, d, filings), largest=companies)
+    return factors.roa_deciles(comparison(spark, d, dt.filings(spark, d)))
 
 
 def revisions(spark: SparkSession, d: str) -> DataFrame:
@@ -99,8 +95,8 @@ def dedup_per_instant(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def change_points(spark: SparkSession, d: str) -> DataFrame:
-    changes = tl.change_points(attributed(spark, d), FACT_LINE)
-    return changes.select(*KEY, "accepted_ts", "adsh", "value", F.col("_prior").alias("prev_value"))
+    filings = dt.filings(spark, d)
+    return gold.change_points(attributed(spark, d, filings), filings)
 
 
 @query
@@ -421,10 +417,26 @@ def exclusion_funnel(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def reconcile_layers(spark: SparkSession, d: str) -> DataFrame:
-    facts = silver.fact_outcomes(dt.raw_facts(spark, d), dt.raw_concept_map(spark))
-    subs = silver.submission_outcomes(dt.raw_submissions(spark, d))
-    return silver.reconciliation(facts, silver.FACT_BREAKS, "num").unionByName(
-        silver.reconciliation(subs, silver.SUBMISSION_BREAKS, "sub"))
+    """The layers are published, then what they hold is compared with the raw rows."""
+    root = new_folder(spark, "layers")
+    raw, mapping = dt.raw_facts(spark, d), dt.raw_concept_map(spark)
+    subs = _raw(dt.raw_submissions(spark, d))
+    for name, rows in (
+            ("num", silver.facts(_raw(raw), mapping)),
+            ("num_quarantine", silver.facts_quarantine(raw)),
+            ("exclusions", silver.exclusions(silver.fact_outcomes(raw, mapping))),
+            ("sub", silver.submissions(subs)),
+            ("sub_quarantine", silver.submissions_quarantine(subs))):
+        tables.publish(rows, root, name)
+
+    def read(name: str) -> DataFrame:
+        return tables.read_published(spark, root, name)
+
+    return silver.reconciliation(
+        "num", raw, read("num"), read("num_quarantine"), read("exclusions"), silver.FACT_BREAKS,
+    ).unionByName(silver.reconciliation(
+        "sub", subs, read("sub"), read("sub_quarantine"),
+        silver.exclusions(silver.submission_outcomes(subs)), silver.SUBMISSION_BREAKS))
 
 
 @query
@@ -439,18 +451,28 @@ def quality_rates(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def expect_warn(spark: SparkSession, d: str) -> DataFrame:
-    """Breaches counted while silver submissions are written; every row is kept."""
-    rules = {"adsh_well_formed": silver.submission_rules()["adsh_well_formed"],
-             "fp_known": F.col("fp").isNotNull()}
-    watched, seen = quality.watch(
-        silver.submissions(_raw(dt.raw_submissions(spark, d))), rules)
-    folder = new_folder(spark, "watched")
-    tables.publish(watched, folder, "sub")
-    breached = seen.get
-    return tables.read_published(spark, folder, "sub").agg(
-        F.count(F.lit(1)).alias("written")).select(
-        "written", *[F.lit(breached[name]).cast("bigint").alias(name)
-                     for name in ("rows", *rules)])
+    """Breaches counted while rows are written, also where the table is laid out in ranges;
+    every row is kept."""
+    root = new_folder(spark, "watched")
+    watched = {
+        "sub": (silver.submissions(_raw(dt.raw_submissions(spark, d))), {
+            "adsh_well_formed": silver.submission_rules()["adsh_well_formed"],
+            "fp_known": F.col("fp").isNotNull()}),
+        "fact_fundamental_pit": (pit(spark, d), {
+            "revision_seq_positive": F.col("revision_seq") >= 1,
+            "value_positive": F.col("value") > 0})}
+    out = None
+    for name, (rows, rules) in watched.items():
+        seen = tables.publish_watched(rows, root, name, rules)
+        written = tables.read_published(spark, root, name).agg(
+            F.count(F.lit(1)).alias("written"))
+        for rule in rules:
+            row = written.select(
+                F.lit(name).alias("table"), F.lit(rule).alias("rule"), "written",
+                F.lit(seen["rows"]).cast("bigint").alias("rows"),
+                F.lit(seen[rule]).cast("bigint").alias("breaches"))
+            out = row if out is None else out.unionByName(row)
+    return out
 
 
 @query
@@ -507,7 +529,8 @@ def control_merge(spark: SparkSession, d: str) -> DataFrame:
 def control_transition(spark: SparkSession, d: str) -> DataFrame:
     """Start everything open, finish the first halves of the years, fail the third quarters."""
     merged = _merged_control(spark, d)
-    started = control.start(merged, merged.select("quarter"))
+    every = merged.select("quarter")
+    started = control.start(merged, every.union(every))  # asked for twice, done once
     per_quarter = dt.filings(spark, d).groupBy(quarter_of("accepted_ts").alias("quarter")).agg(
         F.count(F.lit(1)).alias("n"))
     running = started.where("status = 'RUNNING'").select("quarter").join(per_quarter, "quarter")
@@ -518,7 +541,7 @@ def control_transition(spark: SparkSession, d: str) -> DataFrame:
         F.lit("2025-02-01 00:00:00").alias("completed_at"))
     failed = running.where(F.col("quarter").endswith("q3")).select(
         "quarter", F.concat(F.lit("can't read "), F.repeat(F.lit("x"), F.lit(1000))).alias("error"))
-    moved = control.fail(control.finish(started, done), failed)
+    moved = control.fail(control.finish(started, done.union(done)), failed.union(failed))
     return moved.select(
         "quarter", "status", "attempts", "bytes_downloaded", "files_extracted",
         F.col("row_counts")["sub.txt"].alias("sub_rows"), "last_error", "completed_at")
