@@ -14,11 +14,11 @@ words (a shorter text is one shingle). Two documents are linked when
 3. A pair's signatures are compared in batches. It is dropped once the posterior
    probability that its similarity reaches the threshold is below
    ``miss``; survivors are confirmed on the full sets.
-4. Buckets that still hold several components are compared inside cells: nodes
-   outside the bucket's largest component with all nodes, never within one
-   component, and only survivors leave the task. No bucket is capped. The
-   comparisons left grow with the square of a bucket only where its nodes are
-   not linked.
+4. Buckets that still hold several components are compared inside cells of at most
+   ``BLOCK`` by ``BLOCK`` nodes: those outside the bucket's largest component with
+   all, never within one component. Pairs never leave their cell; its nodes are
+   given their sets once and confirmed there. No bucket is capped. The comparisons
+   left grow with the square of a bucket only where its nodes are not linked.
 
 Defined results: null and empty texts and texts without words have an empty set
 and are linked with nothing. Rows with equal doc_id count as one document. A
@@ -197,49 +197,60 @@ def pruned(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT,
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT
-              ) -> DataFrame:
-    """The pairs that are links by their full sets, which are built again from the texts."""
+def sets_of(nodes: DataFrame, docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """(node, members): the full sets of the given nodes, built again from the texts.
+
+    Texts are found by a bitmap of fixed size, broadcast, instead of a shuffle. A few others
+    pass it by chance; nothing asks for them.
+    """
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(64 * FILTER_WORDS))
 
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in tx.slices(batches):
             yield pa.RecordBatch.from_arrays([
                 pa.array(rows["doc_id"], pa.int64()),
                 pa.array([shingles(t, words).tobytes() for t in rows["text"]], pa.binary())],
                 names=["node", "members"])
 
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = nodes.select(place("node").alias("place")).groupBy(
+        F.shiftright("place", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, int(place & 63))")).alias("bits"))
+    found = docs.withColumn("place", place("doc_id")).withColumn(
+        "word", F.shiftright("place", 6)).join(F.broadcast(bits), "word").filter(
+        F.expr("(shiftright(bits, int(place & 63)) & 1L) = 1L"))
+    return tx.stored(found.select("doc_id", "text").mapInArrow(run, "node long, members binary"),
+                     "near-sets")
+
+
+def _linked(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the other sets are linked with the first."""
+    sizes = np.array([len(x) for x in others])
+    joined = np.concatenate(others)
+    at = np.searchsorted(one, joined)
+    at[at == len(one)] = 0
+    both = np.add.reduceat((one[at] == joined).astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * both >= percent * (len(one) + sizes - both)
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, words: int = WORDS, percent: int = PERCENT
+              ) -> DataFrame:
+    """The pairs (a, b) that are links by their full sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in tx.slices(batches):
-            keep = []
-            for x, y in zip(rows["set_a"], rows["set_b"]):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= percent * (len(p) + len(q) - both) and both > 0)
+            keep = [bool(_linked(np.frombuffer(x, np.uint64), [np.frombuffer(y, np.uint64)],
+                                 percent)[0]) for x, y in zip(rows["set_a"], rows["set_b"])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([v for v, k in zip(rows[n], keep) if k], pa.int64()) for n in ("a", "b")],
                 names=["a", "b"])
 
-    # A bitmap of fixed size, broadcast, instead of a shuffle of all texts. What passes it by
-    # chance finds no pair below.
-    def places(column: str) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(64 * FILTER_WORDS))
-
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).select(
-        places("node").alias("place"))
-    bits = wanted.groupBy(F.shiftright("place", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, int(place & 63))")).alias("bits"))
-    found = docs.withColumn("place", places("doc_id")).withColumn(
-        "word", F.shiftright("place", 6)).join(F.broadcast(bits), "word").filter(
-        F.expr("(shiftright(bits, int(place & 63)) & 1L) = 1L"))
-    sets = tx.stored(found.select("doc_id", "text").mapInArrow(
-        sets_of, "node long, members binary"), "near-sets")
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")), docs, words)
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("set_a")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("members").alias("set_b")), "b"))
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(linked, "a long, b long")
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-# ------------------------------------------------------------------ candidates
-
 def _stars(bands: DataFrame) -> DataFrame:
     """Each node with the smallest node of each of its buckets."""
     firsts = bands.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("last"))
@@ -251,7 +262,7 @@ def _stars(bands: DataFrame) -> DataFrame:
 def _placed(nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, node, component) for every band of every node."""
     rows = nodes.select("node", "bands").join(labels, "node", "left")
-    return rows.select(F.explode("bands").alias("key"), "node",
+    return rows.select(F.posexplode("bands").alias("band", "key"), "node",
                        F.coalesce("component", "node").alias("component"))
 
 
@@ -277,79 +288,128 @@ def _between_components(nodes: DataFrame, labels: DataFrame) -> DataFrame:
                        ).distinct()
 
 
-def _block_pairs(nodes: DataFrame, labels: DataFrame, block: int = BLOCK,
-                 percent: int = PERCENT, miss: float = MISS) -> DataFrame:
-    """Surviving pairs of different components inside the buckets that hold several."""
+def _cells(nodes: DataFrame, labels: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(cell, node, component, role, band, n_shingles, sig): what has to be compared together.
+
+    A small bucket is one cell. In larger ones every part of the nodes outside the largest
+    component meets every part of all nodes. Roles: 1 one of all, 2 one of the others, 3 both.
+    """
     placed = _placed(nodes, labels)
     mixed = _mixed_buckets(_parts(placed)).select(
         "key", F.col("top.component").alias("major"),
         F.ceil(F.col("n") / block).cast("int").alias("all_parts"),
         F.ceil((F.col("n") - F.col("top.n")) / block).cast("int").alias("other_parts"))
     rows = placed.join(mixed, "key")
-    # A small bucket is one cell. In larger ones every part of the nodes outside the largest
-    # component meets every part of all nodes.
     spot = F.xxhash64("node")
     other = F.pmod(spot, F.col("other_parts")).cast("int")
     any_part = F.pmod(spot, F.col("all_parts")).cast("int")
 
-    def cells(i, j, role: int):
+    def cell(i, j, role: int):
         return F.struct(i.alias("i"), j.alias("j"), F.lit(role).alias("role"))
 
     zero = F.lit(0)
     as_any = F.transform(F.sequence(zero, F.col("other_parts") - 1),
-                         lambda i: cells(i, any_part, 1))
-    as_other = F.when(F.col("component") != F.col("major"), F.transform(
-        F.sequence(zero, F.col("all_parts") - 1), lambda j: cells(other, j, 2)))
-    in_cells = F.when(F.col("all_parts") == 1, F.array(cells(zero, zero, 3))).when(
+                         lambda i: cell(i, any_part, 1))
+    as_other = F.transform(F.sequence(zero, F.col("all_parts") - 1), lambda j: cell(other, j, 2))
+    cells = F.when(F.col("all_parts") == 1, F.array(cell(zero, zero, 3))).when(
         F.col("component") == F.col("major"), as_any).otherwise(F.concat(as_any, as_other))
-    rows = rows.select("key", "node", "component", F.explode(in_cells).alias("cell"))
-    rows = rows.select("node", "component", F.col("cell.role").alias("role"),
-                       F.xxhash64("key", "cell.i", "cell.j").alias("cell"))
-    rows = rows.join(nodes.select("node", "n_shingles", "sig"), "node")
-    rows = rows.repartition("cell").sortWithinPartitions("cell")
-    steps = least_matches(percent, miss=miss)
-
-    def compare(rows: pa.Table) -> pa.RecordBatch:
-        node = rows["node"].to_numpy()
-        comp = rows["component"].to_numpy()
-        size = rows["n_shingles"].to_numpy()
-        role = rows["role"].to_numpy()
-        sig = _signature_rows(rows["sig"])
+    rows = rows.select("key", "band", "node", "component", F.explode(cells).alias("cell"))
+    rows = rows.select(F.xxhash64("key", "cell.i", "cell.j").alias("cell"), "node", "component",
+                       F.col("cell.role").alias("role"), "band")
+    return rows.join(nodes.select("node", "n_shingles", "sig"), "node")
+
+
+def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by cell, as tables of whole cells."""
+    held: pa.Table | None = None  # the cell that may go on in the next batch
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        if held is not None:
+            rows = pa.concat_tables([held, rows])
         cell = rows["cell"].to_numpy()
-        cuts = np.flatnonzero(np.diff(cell)) + 1
-        found_a, found_b = [], []
-        for begin, end in zip([0, *cuts], [*cuts, len(cell)]):
-            if end - begin < 2:
-                continue
-            others = np.flatnonzero(role[begin:end] & 2) + begin
-            every = np.flatnonzero(role[begin:end] & 1) + begin
-            i, j = np.repeat(others, len(every)), np.tile(every, len(others))
-            want = (comp[i] != comp[j]) & ((role[i] != 3) | (node[i] < node[j]))
-            want &= np.minimum(size[i], size[j]) * 100 >= np.maximum(size[i], size[j]) * percent
-            i, j = i[want], j[want]
-            keep = surviving(sig[i], sig[j], steps)
-            found_a.append(np.minimum(node[i[keep]], node[j[keep]]))
-            found_b.append(np.maximum(node[i[keep]], node[j[keep]]))
-        empty = np.empty(0, np.int64)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([empty, *found_a])),
-             pa.array(np.concatenate([empty, *found_b]))], names=["a", "b"])
+        differs = np.flatnonzero(cell != cell[-1])
+        last = int(differs[-1]) + 1 if len(differs) else 0
+        if last:
+            yield rows.slice(0, last)
+        held = rows.slice(last)
+    if held is not None and held.num_rows:
+        yield held
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None  # the cell that may go on in the next batch
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            if held is not None:
-                rows = pa.concat_tables([held, rows])
-            cell = rows["cell"].to_numpy()
-            last = int(np.flatnonzero(cell != cell[-1])[-1]) + 1 if (cell != cell[-1]).any() else 0
-            if last:
-                yield compare(rows.slice(0, last))
-            held = rows.slice(last)
-        if held is not None and held.num_rows:
-            yield compare(held)
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+def _ranges(cell: np.ndarray) -> Iterator[tuple[int, int]]:
+    cuts = np.flatnonzero(np.diff(cell)) + 1
+    return zip([0, *cuts], [*cuts, len(cell)])
+
+
+def _links_in_cells(cells: DataFrame, docs: DataFrame, words: int = WORDS,
+                    percent: int = PERCENT, miss: float = MISS) -> DataFrame:
+    """Links (a, b) between different components inside the cells.
+
+    Pairs never leave their cell: what goes on are its nodes, once each, with the partners
+    whose signatures leave a chance of a link; they meet again with their full sets.
+    """
+    steps = least_matches(percent, miss=miss)
+    candidates = "cell long, node long, partners array<long>"
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_cell(batches):
+            node, comp = rows["node"].to_numpy(), rows["component"].to_numpy()
+            size, role = rows["n_shingles"].to_numpy(), rows["role"].to_numpy()
+            sig, cell, band = _signature_rows(rows["sig"]), rows["cell"].to_numpy(), rows["band"]
+            out_cell, out_node, out_partners = [], [], []
+            for begin, end in _ranges(cell):
+                others = np.flatnonzero(role[begin:end] & 2) + begin
+                every = np.flatnonzero(role[begin:end] & 1) + begin
+                i, j = np.repeat(others, len(every)), np.tile(every, len(others))
+                want = (comp[i] != comp[j]) & ((role[i] != 3) | (node[i] < node[j]))
+                want &= (np.minimum(size[i], size[j]) * 100
+                         >= np.maximum(size[i], size[j]) * percent)
+                i, j = i[want], j[want]
+                keep = surviving(sig[i], sig[j], steps)
+                i, j = i[keep], j[keep]
+                if not len(i):
+                    continue
+                # A pair is looked at in the first band that it shares only.
+                same = (sig[i] == sig[j]).reshape(len(i), -1, BAND_ROWS).all(axis=2)
+                first = same.argmax(axis=1) == band[begin].as_py()
+                i, j = i[first], j[first]
+                for k in np.unique(np.concatenate([i, j])):
+                    out_cell.append(cell[begin])
+                    out_node.append(node[k])
+                    out_partners.append(node[j[i == k]])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out_cell, pa.int64()), pa.array(out_node, pa.int64()),
+                 pa.array(out_partners, pa.list_(pa.int64()))], names=["cell", "node", "partners"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_cell(batches):
+            cell, node = rows["cell"].to_numpy(), rows["node"].to_numpy()
+            found_a, found_b = [], []
+            for begin, end in _ranges(cell):
+                part = rows.slice(begin, end - begin)
+                full: dict[int, list[np.ndarray]] = {}  # rows that share an id have several sets
+                for n, data in zip(node[begin:end].tolist(), part["members"].to_pylist()):
+                    full.setdefault(n, []).append(np.frombuffer(data, np.uint64))
+                done = set()
+                for n, partners in zip(node[begin:end].tolist(), part["partners"].to_pylist()):
+                    if not partners or n in done:
+                        continue
+                    done.add(n)
+                    names = [m for m in partners for _ in full[m]]
+                    others = [x for m in partners for x in full[m]]
+                    for one in full[n]:
+                        for m in np.array(names)[_linked(one, others, percent)].tolist():
+                            found_a.append(min(n, m))
+                            found_b.append(max(n, m))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
+
+    compared = cells.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(
+        compare, candidates)
+    compared = tx.stored(compared, "near-cells", few=True)
+    sets = sets_of(compared.select("node"), docs, words)
+    whole = compared.join(sets, "node").repartition("cell").sortWithinPartitions("cell", "node")
+    return whole.mapInArrow(verify, "a long, b long").distinct()
 
 
 # ------------------------------------------------------------------ components
@@ -414,7 +474,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = components(edges)
     edges = edges.union(links(pruned(_between_components(nodes, labels), nodes, percent, miss)))
     labels = components(edges)
-    more = links(_block_pairs(nodes, labels, percent=percent, miss=miss))
+    more = tx.stored(_links_in_cells(_cells(nodes, labels), docs, words, percent, miss),
+                     "near-links", few=True)
     if not more.isEmpty():
         labels = components(edges.union(more))
 
