@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from knownwhen.functions.values import any_of, first_match, share
 from knownwhen.plans.silver import STANDARD_TAXONOMY, UNIT_IN_SCOPE, is_consolidated
@@ -60,15 +61,23 @@ def statement_of(tag: str) -> Column:
 def candidates(raw_facts: DataFrame, common_from: float = COMMON_FROM) -> DataFrame:
     """Tags that appear in at least ``common_from`` of the filings with usable facts.
 
-    (tag, filing) pairs are made distinct once; both counts are taken from them.
+    Filings per tag and in total are counted in one pass over the facts.
     """
     usable = raw_facts.where(
         is_consolidated() & (F.col("uom") == UNIT_IN_SCOPE)
         & F.col("version").startswith(STANDARD_TAXONOMY) & F.col("value").isNotNull())
-    pairs = usable.select("tag", "adsh").distinct()
-    per_tag = pairs.groupBy("tag").agg(F.count("adsh").alias("filings"))
-    total = pairs.agg(F.count_distinct("adsh"))
-    return per_tag.where(F.col("filings") >= total.scalar() * common_from)
+    counts = _filings_per(usable.select("adsh", "tag"), [["tag"]])
+    total = F.max(F.when(F.col("_level") == 1, F.col("filings"))).over(Window.partitionBy())
+    return counts.withColumn("_total", total).where(
+        (F.col("_level") == 0) & (F.col("filings") >= F.col("_total") * common_from)
+    ).select("tag", "filings")
+
+
+def _filings_per(rows: DataFrame, sets: list[list[str]]) -> DataFrame:
+    """Distinct filings for each set of columns and in total; ``_level`` is the grouping id."""
+    columns = list(dict.fromkeys(c for s in sets for c in s))
+    return rows.groupingSets([[F.col(c) for c in s] for s in [*sets, []]], *columns).agg(
+        F.grouping_id().alias("_level"), F.count_distinct("adsh").alias("filings"))
 
 
 def build_map(decided: DataFrame, found: DataFrame) -> DataFrame:
@@ -110,18 +119,19 @@ def lineage(concept_map: DataFrame) -> DataFrame:
 
 def coverage(raw_facts: DataFrame, concept_map: DataFrame) -> DataFrame:
     """Share of filings with a concept, by its best single tag and by all its tags."""
+    mapping = concept_map.select("src_tag", "canonical_tag")
     pairs = raw_facts.select("adsh", F.col("tag").alias("src_tag")).distinct()
-    mapped = pairs.join(concept_map.select("src_tag", "canonical_tag"), "src_tag")
-    by_tag = (
-        mapped.groupBy("canonical_tag", "src_tag").agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy("canonical_tag").agg(F.max("_n").alias("filings_best_tag"))
-    )
-    by_concept = mapped.select("canonical_tag", "adsh").distinct().groupBy("canonical_tag").agg(
-        F.count(F.lit(1)).alias("filings_mapped"))
-    total = pairs.agg(F.count_distinct("adsh"))
-    return (
-        by_concept.join(by_tag, "canonical_tag").withColumn("filings", total.scalar())
-        .select("canonical_tag", "filings", "filings_best_tag", "filings_mapped",
-                share(F.col("filings_best_tag"), F.col("filings")).alias("pct_best_tag"),
-                share(F.col("filings_mapped"), F.col("filings")).alias("pct_mapped"))
-    )
+    levels = _filings_per(pairs.join(mapping, "src_tag", "left"),
+                          [["canonical_tag", "src_tag"], ["canonical_tag"]])
+
+    def at(level: int) -> Column:
+        return F.when(F.col("_level") == level, F.col("filings"))
+
+    per_concept = levels.withColumn("_all", F.max(at(3)).over(Window.partitionBy())).where(
+        F.col("canonical_tag").isNotNull()).groupBy("canonical_tag").agg(
+        F.max("_all").alias("filings"), F.max(at(0)).alias("filings_best_tag"),
+        F.max(at(1)).alias("filings_mapped"))
+    return per_concept.select(
+        "canonical_tag", "filings", "filings_best_tag", "filings_mapped",
+        share(F.col("filings_best_tag"), F.col("filings")).alias("pct_best_tag"),
+        share(F.col("filings_mapped"), F.col("filings")).alias("pct_mapped"))

@@ -31,3 +31,13 @@ def company_scd2(filings: DataFrame, limit: int = tl.SLICE_INSTANTS) -> DataFram
         "cik", "name", "sic", "fye", F.col("opened_at").alias("valid_from_ts"),
         F.col("closed_at").alias("valid_to_ts"), F.col("seq").alias("version_seq"),
         (F.col("closed_at") == open_end()).alias("is_current"))
+
+
+def current_names(filings: DataFrame) -> DataFrame:
+    """(cik, company): the name each company has today, as :func:`company_scd2` would say.
+
+    Two aggregates; the versions before are not built.
+    """
+    last = filings.where(F.col("cik").isNotNull()).groupBy("cik", "accepted_ts").agg(
+        F.min(COMPANY_LINE.stated()).alias("_a"))
+    return last.groupBy("cik").agg(F.max_by("_a.name", "accepted_ts").alias("company"))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from knownwhen.functions.values import ratio, share
-from knownwhen.operators.asof import as_of_grid, quarter_ends
+from knownwhen.operators.asof import Quarters, as_of_grid
 from knownwhen.operators.ranking import ntile
+from knownwhen.plans.gold import KEY
 
 
 @dataclass(frozen=True)
@@ -28,26 +29,35 @@ class Factor:
         return (F.col("canonical_tag") == self.bottom[0]) & (F.col("qtrs") == self.bottom[1])
 
 
-def calendar_between(spark: SparkSession, first: str, last: str) -> DataFrame:
-    bounds = spark.range(1).select(
-        F.lit(first).cast("date").alias("first"), F.lit(last).cast("date").alias("last"))
-    return quarter_ends(bounds, "first", "last")
+# The calendar of the published experiment.
+STUDY_FROM, STUDY_TO = "2012-03-31", "2025-12-31"
 
 
-def calendar_of(filings: DataFrame, at: str = "accepted_ts") -> DataFrame:
+def study_calendar() -> Quarters:
+    return Quarters.between(STUDY_FROM, STUDY_TO)
+
+
+def calendar_of(filings: DataFrame, at: str = "accepted_ts") -> Quarters:
     """The quarter ends the filings span."""
-    bounds = filings.agg(F.min(at).alias("first"), F.max(at).alias("last"))
-    return quarter_ends(bounds, "first", "last")
+    return Quarters.of(filings, at)
 
 
-def observed(pit: DataFrame, calendar: DataFrame, factor: Factor) -> DataFrame:
+def observed(pit: DataFrame, calendar: Quarters, factor: Factor) -> DataFrame:
     """Intervals of either input on every date they could be used on."""
     wanted = pit.where((factor.is_top() | factor.is_bottom()) & (F.col("uom") == factor.unit))
     recent = F.col("ddate") > F.add_months("rebalance_dt", -factor.months_back)
-    return as_of_grid(wanted, calendar, F.col("ddate") <= F.col("rebalance_dt"), recent)
+    return as_of_grid(
+        wanted, calendar, F.col("ddate") <= F.col("rebalance_dt"), recent,
+        first=F.col("ddate"), last=F.add_months("ddate", factor.months_back + 1))
+
+
+def with_current_value(pit: DataFrame) -> DataFrame:
+    """Published intervals with each key's value in force today."""
+    now = pit.where("is_current").select(*KEY, F.col("value").alias("current_value"))
+    return pit.join(now, KEY, "left")
 
 
-def latest_inputs(pit: DataFrame, calendar: DataFrame, factor: Factor) -> DataFrame:
+def latest_inputs(pit: DataFrame, calendar: Quarters, factor: Factor) -> DataFrame:
     """Per date and company the newest period of both inputs, side by side.
 
     ``pit`` needs ``current_value``. One aggregate serves both inputs and both
@@ -65,7 +75,7 @@ def latest_inputs(pit: DataFrame, calendar: DataFrame, factor: Factor) -> DataFr
     )
 
 
-def roa_comparison(pit: DataFrame, calendar: DataFrame, factor: Factor) -> DataFrame:
+def roa_comparison(pit: DataFrame, calendar: Quarters, factor: Factor) -> DataFrame:
     """Both ratios for companies with both inputs. Same companies, same periods; only values differ."""
     both = latest_inputs(pit, calendar, factor).where(
         F.col("pit_ni").isNotNull() & F.col("naive_ni").isNotNull()

@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from knownwhen.functions.values import open_end
 from knownwhen.operators import timeline as tl
 from knownwhen.plans.gold import KEY
+from knownwhen.sources.shared import settle
 
 
 def _result(name: str, violation: Column, rows: DataFrame) -> DataFrame:
@@ -100,7 +101,8 @@ def rebuilt(attributed: DataFrame, filings: DataFrame,
     """Intervals computed from one sorted array per (key, slice), without look-back windows.
 
     Arrays never exceed a slice: companies with more than ``limit`` filings are cut
-    into slices, and runs that continue across a cut are joined from slice edges.
+    into slices, and runs that continue across a cut are joined from slice edges. The
+    arrays are stored once, since runs and edges are both read from them.
     """
     slices = tl.plan_slices(filings, ["cik"], "accepted_ts", limit)
     rows = tl.in_slices(attributed, slices, ["cik"], "accepted_ts")
@@ -119,8 +121,8 @@ def rebuilt(attributed: DataFrame, filings: DataFrame,
     linked = runs.select(
         *part, "runs", F.col("runs")[0]["value"].alias("_head"),
         F.element_at("runs", -1)["value"].alias("_tail"))
-    first, later = _slice_links(linked)
-    opened = linked.join(first, part, "left").join(later, part, "left").select(
+    stored = settle(linked, "rebuilt")
+    opened = stored.join(_slice_links(stored), part, "left").select(
         *part, F.filter(
             "runs", lambda x, i: (i > 0) | ~F.coalesce("_continues", F.lit(False))
         ).alias("runs"), "_reopens")
@@ -132,7 +134,7 @@ def rebuilt(attributed: DataFrame, filings: DataFrame,
         .alias("known_to_ts"))
 
 
-def _slice_links(linked: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _slice_links(linked: DataFrame) -> DataFrame:
     """For sliced keys: does a slice continue the run before it, and when does the next one open?"""
     order = Window.partitionBy(*KEY).orderBy(tl.SLICE)
     edges = linked.where(F.col(tl.SLICE).isNotNull()).select(
@@ -141,9 +143,8 @@ def _slice_links(linked: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.get("runs", F.lit(1))["accepted_ts"].alias("_two"))
     after = order.rowsBetween(1, Window.unboundedFollowing)
     opens = F.when(F.col("_continues"), F.col("_two")).otherwise(F.col("_one"))
-    later = edges.select(
-        *KEY, tl.SLICE, F.first(opens, ignorenulls=True).over(after).alias("_reopens"))
-    return edges.select(*KEY, tl.SLICE, "_continues"), later
+    return edges.select(*KEY, tl.SLICE, "_continues",
+                        F.first(opens, ignorenulls=True).over(after).alias("_reopens"))
 
 
 def equivalence(pit: DataFrame, again: DataFrame) -> DataFrame:

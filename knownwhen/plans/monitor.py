@@ -33,13 +33,13 @@ def restatement_monitor(revisions: DataFrame, companies: DataFrame, above: float
                         top: int = 200) -> DataFrame:
     """The largest restatements of figures above ``above``, with the company's name today.
 
-    Only the chosen rows are joined to the names; equal changes are ordered by key.
+    ``companies`` has (cik, company). Only the chosen rows are joined to the names; equal
+    changes are ordered by key.
     """
     rank = [F.abs("pct_change").desc(), "cik", "canonical_tag", "ddate", "qtrs", "uom",
             "revised_at_ts"]
     largest = revisions.where(F.abs("prev_value") > above).orderBy(*rank).limit(top)
-    names = companies.where("is_current").select("cik", F.col("name").alias("company"))
-    return largest.join(names, "cik", "left").orderBy(*rank).select(
+    return largest.join(companies, "cik", "left").orderBy(*rank).select(
         "company", "canonical_tag", "ddate", "qtrs", "prev_value", "revised_value",
         rounded(F.col("pct_change") * 100, 1).alias("pct_change"), "revised_at_ts",
         "source_form")

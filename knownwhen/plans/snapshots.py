@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from knownwhen.functions.values import first_match, is_blank, ratio, share
+from knownwhen.functions.values import first_match, ratio, share
 from knownwhen.operators.dedup import best_row
+from knownwhen.plans.silver import (
+    REASON, UNIT_IN_SCOPE, is_consolidated, is_standard_tag, typed_facts, typed_submissions)
 
 KEY = ["cik", "canonical_tag", "ddate", "qtrs"]
 CHANGED_ABOVE_PCT = 1.0
@@ -20,36 +22,59 @@ SAME_BAND = (0.999, 1.001)
 SCALE_POWERS = (-3, -2, -1, 1, 2, 3)
 
 
-def in_window(filings: DataFrame, first: str, until: str, at: str = "accepted_ts") -> DataFrame:
-    """Filings accepted from ``first`` up to, not including, ``until``."""
-    start, end = (F.lit(x).cast("timestamp_ntz") for x in (first, until))
-    return filings.where((F.col(at) >= start) & (F.col(at) < end))
+def within(window: tuple[str, str], at: str = "accepted_ts") -> Column:
+    """From the first day up to, not including, the second."""
+    start, end = (F.lit(x).cast("timestamp_ntz") for x in window)
+    return (F.col(at) >= start) & (F.col(at) < end)
 
 
-def comparable(facts: DataFrame, concepts: list[str]) -> DataFrame:
-    """Known USD values of the chosen concepts; company-wide totals where that is recorded."""
-    kept = facts.where(
-        (F.col("uom") == "USD") & F.col("canonical_tag").isin(*concepts)
-        & F.col("value").isNotNull())
-    for breakdown in {"coreg", "segments"} & set(facts.columns):
-        kept = kept.where(is_blank(breakdown))
-    return kept
+def comparable(facts: DataFrame, concept_map: DataFrame, concepts: list[str]) -> DataFrame:
+    """Sound USD values of the chosen concepts as the whole company states them.
 
+    ``facts`` are raw: breakdowns by segment or co-registrant and filers' own tags are
+    left out, since comparing them with totals is what makes false changes.
+    """
+    kept = typed_facts(facts).where(
+        F.col(REASON).isNull() & is_consolidated() & is_standard_tag()
+        & (F.col("uom") == UNIT_IN_SCOPE) & F.col("value_dec").isNotNull())
+    mapping = concept_map.where(F.col("canonical_tag").isin(*concepts)).select(
+        F.col("src_tag").alias("tag"), "canonical_tag")
+    return kept.join(mapping, "tag").select(
+        "adsh", "canonical_tag", F.col("ddate_dt").alias("ddate"), F.col("qtrs_i").alias("qtrs"),
+        F.col("value_dec").alias("value"))
+
+
+def filed(submissions: DataFrame) -> DataFrame:
+    """Who filed and when, from raw submissions."""
+    return typed_submissions(submissions).where(
+        F.col("cik").isNotNull() & F.col("accepted_ts").isNotNull()).select(
+        "adsh", "cik", "accepted_ts")
 
-def resolve(attributed: DataFrame, concepts: list[str]) -> DataFrame:
+
+def resolve(attributed: DataFrame) -> DataFrame:
     """The latest accepted value per key; at one instant the last filing, then the larger value."""
-    rows = comparable(attributed, concepts).select(*KEY, "value", "adsh", "accepted_ts")
+    rows = attributed.select(*KEY, "value", "adsh", "accepted_ts")
     return best_row(rows, KEY, ["accepted_ts", "adsh", "value"])
 
 
-def diff(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Keys in both snapshots with the change between them, ``pct`` in percent."""
-    def side(rows: DataFrame, suffix: str) -> DataFrame:
-        return rows.select(*KEY, *[
-            F.col(c).alias(f"{c}_{suffix}") for c in ("value", "adsh", "accepted_ts")])
+def diff(attributed: DataFrame, first: tuple[str, str], second: tuple[str, str]) -> DataFrame:
+    """Keys told in both windows with the change between them, ``pct`` in percent.
 
+    Both windows, (from, until) each, are resolved in one aggregate over the facts.
+    """
+    told = F.struct("accepted_ts", "adsh", "value")
+
+    def latest(window: tuple[str, str]) -> Column:
+        return F.max(F.when(within(window), told))
+
+    both = attributed.where(within(first) | within(second)).groupBy(*KEY).agg(
+        latest(first).alias("_a"), latest(second).alias("_b")).where(
+        F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    sides = both.select(*KEY, *[
+        F.col(f"_{s}.{c}").alias(f"{c}_{s}")
+        for s in ("a", "b") for c in ("value", "adsh", "accepted_ts")])
     a, b = F.col("value_a").cast("double"), F.col("value_b").cast("double")
-    return side(before, "a").join(side(after, "b"), KEY).withColumns({
+    return sides.withColumns({
         "delta": F.col("value_b") - F.col("value_a"),
         "pct": ratio(F.abs(b - a), F.abs(a)) * 100,
         "factor": F.abs(ratio("value_b", "value_a")),
@@ -61,11 +86,18 @@ def _is_changed() -> Column:
     return F.coalesce(F.col("pct") > CHANGED_ABOVE_PCT, F.lit(False))
 
 
-def rates(diffs: DataFrame, by: str) -> DataFrame:
-    """Facts and share materially changed per group."""
+def rates(diffs: DataFrame, *by: str) -> DataFrame:
+    """Facts and share materially changed for each value of each column, in one pass.
+
+    ``grouped`` is the value; values of all columns but the first carry its name.
+    """
     n = F.count(F.lit(1))
-    return diffs.groupBy(by).agg(n.alias("n"), share(F.count_if(_is_changed()), n, 1)
-                                 .alias("chg_pct"))
+    counted = diffs.groupingSets([[F.col(c)] for c in by], *by).agg(
+        F.grouping_id().alias("_level"), n.alias("n"),
+        share(F.count_if(_is_changed()), n, 1).alias("chg_pct"))
+    label = F.coalesce(F.col(by[0]).cast("string"), *[
+        F.concat(F.lit(f"{c} "), F.col(c).cast("string")) for c in by[1:]])
+    return counted.select(label.alias("grouped"), "n", "chg_pct")
 
 
 def sign_differs() -> Column:

@@ -11,8 +11,9 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
+from knownwhen.operators import quality
 from knownwhen.plans import silver
 from knownwhen.sources.delimited import LAYOUT, stream_raw
 
@@ -56,6 +57,11 @@ def run(source: DataFrame, feed: Feed) -> None:
     query.awaitTermination()
 
 
+def raw(spark: SparkSession, raw_root: str, kind: str, layout: str = LAYOUT) -> DataFrame:
+    """New raw files of one kind as a stream."""
+    return stream_raw(spark, raw_root, kind, layout)
+
+
 def ingest(spark: SparkSession, raw_root: str, kind: str, feed: Feed,
            layout: str = LAYOUT) -> None:
     run(stream_raw(spark, raw_root, kind, layout), feed)
@@ -67,17 +73,35 @@ def follow(spark: SparkSession, upstream: Feed) -> DataFrame:
     return spark.readStream.schema(schema).parquet(upstream.sink)
 
 
-def run_routed(source: DataFrame, steps: Mapping[str, Step], feed: Feed) -> None:
+def follow_routed(spark: SparkSession, upstream: Feed, name: str) -> DataFrame:
+    """One sink of a routed feed as a stream."""
+    path = f"{upstream.sink}/{name}"
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).parquet(path).drop("batch")
+
+
+def run_routed(source: DataFrame, steps: Mapping[str, Step], feed: Feed,
+               contracts: Mapping[str, tuple[Mapping[str, Column], Mapping[str, Column]]] = {}
+               ) -> dict[str, dict[str, int]]:
     """Send one pass over ``source`` to several sinks.
 
     A batch is written under its own number with overwrite, so a repeated batch
-    replaces itself in every sink.
+    replaces itself in every sink. ``contracts`` gives rules (to count, to stop at) for
+    sinks; returned are the rows and the breaches that this run wrote to each.
     """
+    counts: dict[str, dict[str, int]] = {}
+
     def write(batch: DataFrame, number: int) -> None:
         held = batch.persist()
         try:
             for name, step in steps.items():
-                step(held).write.mode("overwrite").parquet(f"{feed.sink}/{name}/batch={number}")
+                warn, fail = contracts.get(name, ({}, {}))
+                rows = quality.enforce(step(held), fail) if fail else step(held)
+                watched, seen = quality.watch(rows, warn)
+                watched.write.mode("overwrite").parquet(f"{feed.sink}/{name}/batch={number}")
+                total = counts.setdefault(name, dict.fromkeys(("rows", *warn), 0))
+                for key, n in seen.get.items():
+                    total[key] += n
         finally:
             held.unpersist()
 
@@ -86,6 +110,7 @@ def run_routed(source: DataFrame, steps: Mapping[str, Step], feed: Feed) -> None
         .option("checkpointLocation", feed.checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    return counts
 
 
 def routed_rows(spark: SparkSession, feed: Feed, name: str) -> DataFrame:

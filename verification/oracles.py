@@ -299,7 +299,14 @@ for _name, _year in (("snap_a", 1997), ("snap_b", 1998)):
         SELECT {SNAP_KEY}, value, adsh, accepted_ts FROM (
           SELECT *, row_number() OVER (PARTITION BY {SNAP_KEY}
                                        ORDER BY accepted_ts DESC, adsh DESC, value DESC) AS rn
-          FROM fact WHERE year(accepted_ts) = {_year}) WHERE rn = 1"""
+          FROM told WHERE year(accepted_ts) = {_year}) WHERE rn = 1"""
+BLOCKS["told"] = """
+    SELECT s.cik_n AS cik, m.canonical_tag, n.ddate_dt AS ddate, n.qtrs_i AS qtrs,
+           n.value_dec AS value, n.adsh, s.accepted_ts
+    FROM typed_num n JOIN raw_cmap m ON n.tag = m.src_tag JOIN typed_sub s ON n.adsh = s.adsh
+    WHERE n._reject_reason IS NULL AND trim(coalesce(segments, '')) = ''
+      AND trim(coalesce(coreg, '')) = '' AND version LIKE 'us-gaap%' AND uom = 'USD'
+      AND value_dec IS NOT NULL AND s.cik_n IS NOT NULL AND s.accepted_ts IS NOT NULL"""
 
 _FACT = ["filing", "cmap", "line", "fact"]
 _PIT = [*_FACT, "per_filing", "per_instant", "change", "spell", "measured", "pit"]
@@ -308,13 +315,55 @@ _DEC = [*_ROA, "roa", "decile"]
 _NUM = ["raw_num", "raw_cmap", "typed_num", "outcome_num", "silver_num"]
 _SUB = ["raw_sub", "typed_sub", "silver_sub"]
 _MAP = ["raw_num", "tag_name", "named", "usable", "candidate", "curated", "full_map"]
-_DIFF = [*_FACT, "snap_a", "snap_b", "diff"]
+_TOLD = ["raw_num", "raw_cmap", "typed_num", "raw_sub", "typed_sub", "told"]
+_DIFF = [*_TOLD, "snap_a", "snap_b", "diff"]
 
 
-def _sql(blocks: list[str], select: str) -> str:
+def _sql(blocks: list[str], select: str, **instead: str) -> str:
+    """``instead`` gives other SQL for some of the blocks."""
     if not blocks:
         return select
-    return "WITH " + ",\n".join(f"{b} AS ({BLOCKS[b]})" for b in blocks) + "\n" + select
+    return "WITH " + ",\n".join(
+        f"{b} AS ({instead.get(b, BLOCKS.get(b, ''))})" for b in blocks) + "\n" + select
+
+
+# The gold tables as they follow from the silver ones.
+_FROM_SILVER = dict(
+    fact="""SELECT s.cik, n.canonical_tag, n.ddate, n.qtrs, n.uom, n.value, n.adsh, s.form,
+                   s.accepted_ts, n.statement
+            FROM silver_num n JOIN silver_sub s ON n.adsh = s.adsh""",
+    registrant="SELECT cik, accepted_ts, name, sic, fye FROM silver_sub",
+    cal=BLOCKS["cal"].replace("o_orderdate", "accepted_ts").replace("orders", "silver_sub"))
+
+
+def _published() -> str:
+    """Rows of every table, with the breaches of each rule that only warns."""
+    plain = ["sub_quarantine", "num_quarantine", "concept_map", "exclusions", "fact_revision",
+             "dim_company_scd2", "dim_concept", "dim_rebalance_date", "fact_roa_comparison",
+             "fact_roa_ranked", "agg_bias_by_quarter"]
+    source = {
+        "sub_raw": "raw_sub", "num_raw": "raw_num", "tag_raw": _TAGS, "pre_raw": _PRES,
+        "sub": "silver_sub", "num": "silver_num",
+        "sub_quarantine": "(SELECT * FROM typed_sub WHERE _reject_reason IS NOT NULL)",
+        "num_quarantine": "(SELECT * FROM typed_num WHERE _reject_reason IS NOT NULL)",
+        "concept_map": "raw_cmap", "exclusions": "(SELECT DISTINCT outcome FROM outcome_num)",
+        "fact_fundamental_pit": "pit", "fact_revision": "revision", "dim_company_scd2": "company",
+        "dim_concept": "(SELECT DISTINCT canonical_tag, statement FROM raw_cmap)",
+        "dim_rebalance_date": "cal", "fact_roa_comparison": "roa", "fact_roa_ranked": "decile",
+        "agg_bias_by_quarter": "bias"}
+    rules = [
+        ("sub_raw", "adsh_not_null", "adsh IS NOT NULL"),
+        ("num_raw", "adsh_not_null", "adsh IS NOT NULL"),
+        ("tag_raw", "tag_not_null", "tag IS NOT NULL"),
+        ("pre_raw", "adsh_not_null", "adsh IS NOT NULL"),
+        ("sub", "adsh_well_formed", _WELL_FORMED), ("num", "value_not_null", "value IS NOT NULL"),
+        ("num", "qtrs_valid", "qtrs IN (0, 1, 4)"),
+        ("fact_fundamental_pit", "revision_seq_positive", "revision_seq >= 1")]
+    counted = [f"SELECT '{t}' AS \"table\", count(*) AS \"rows\", '{r}' AS rule, "
+               f"count(*) FILTER (NOT coalesce({ok}, false)) AS breaches FROM {source[t]}"
+               for t, r, ok in rules]
+    counted += [f"SELECT '{t}', count(*), NULL, NULL FROM {source[t]}" for t in plain]
+    return " UNION ALL ".join(counted)
 
 
 def _check(name: str, violation: str, rows: str) -> str:
@@ -510,6 +559,17 @@ ORACLES: dict[str, str] = {
         FROM raw_sub GROUP BY quarter UNION ALL
         SELECT 'num', quarter, count(*), count(DISTINCT adsh) FROM raw_num GROUP BY quarter"""),
     "silver_stream": _sql(_NUM, "SELECT * EXCLUDE (footnote) FROM silver_num"),
+    "submission_stream": _sql(
+        _SUB, "SELECT adsh, cik, form, CAST(NULL AS VARCHAR) AS reason, quarter FROM silver_sub "
+        "UNION ALL SELECT adsh, cik_n, form, _reject_reason, quarter FROM typed_sub "
+        "WHERE _reject_reason IS NOT NULL"),
+    "publish_all": _sql(
+        [*_NUM, *_SUB, *_PIT[3:], "revision", "registrant", "company", "cal", "factor_pit",
+         "inputs", "roa", "decile", "bias"], _published(), **_FROM_SILVER),
+    "header_profile": _sql(
+        ["raw_sub", "raw_num"], " UNION ALL ".join(
+            f"SELECT DISTINCT '{kind}' AS kind, quarter, '{','.join(raw_columns(kind))}' "
+            f"AS columns FROM raw_{kind}" for kind in ("sub", "num"))),
     "full_refresh": _sql(
         _NUM, "SELECT canonical_tag, count(*) AS facts, CAST(sum(value) AS DECIMAL(38,4)) AS total "
         "FROM silver_num GROUP BY canonical_tag"),
@@ -590,7 +650,7 @@ ORACLES: dict[str, str] = {
                  AS zip_url
           FROM (SELECT unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS h FROM pages))
         WHERE regexp_extract(zip_url, '([a-z]+)$', 1) <> ''""",
-    "snapshot_resolve": _sql([*_FACT, "snap_b"], "SELECT * FROM snap_b"),
+    "snapshot_resolve": _sql([*_TOLD, "snap_b"], "SELECT * FROM snap_b"),
     "snapshot_diff": _sql(_DIFF, "SELECT * EXCLUDE (factor) FROM diff"),
     "snapshot_rates": _sql(
         _DIFF, f"SELECT canonical_tag AS grouped, {_RATE} FROM diff GROUP BY 1 UNION ALL "

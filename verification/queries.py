@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from knownwhen.functions.values import quarter_of
 from knownwhen.operators import asof, dedup, quality
 from knownwhen.plans import (
-    concepts, control, dimensions, factors, gold, invariants, monitor, silver, snapshots)
+    concepts, control, dimensions, factors, gold, invariants, monitor, publishing, silver,
+    snapshots)
 from knownwhen.plans.gold import KEY
 from knownwhen.sources import delimited, files, links, tables
 from knownwhen.sources import driver_tables as dt
@@ -179,7 +180,7 @@ def concept_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def rebalance_calendar(spark: SparkSession, d: str) -> DataFrame:
-    return factors.calendar_of(dt.filings(spark, d))
+    return factors.calendar_of(dt.filings(spark, d)).dates(spark)
 
 
 @query
@@ -225,7 +226,7 @@ def fact_explorer(spark: SparkSession, d: str) -> DataFrame:
 @query
 def restatement_monitor(spark: SparkSession, d: str) -> DataFrame:
     return monitor.restatement_monitor(
-        revisions(spark, d), dimensions.company_scd2(dt.registrants(spark, d)), MONITOR_ABOVE)
+        revisions(spark, d), dimensions.current_names(dt.registrants(spark, d)), MONITOR_ABOVE)
 
 
 # ---------------------------------------------------------------- checks
@@ -258,7 +259,7 @@ def key_sample(spark: SparkSession, d: str) -> DataFrame:
 @query
 def equivalence_check(spark: SparkSession, d: str) -> DataFrame:
     filings = dt.filings(spark, d)
-    rows = attributed(spark, d, filings)
+    rows = settle(attributed(spark, d, filings), "attributed")
     return invariants.equivalence(
         gold.fundamental_pit(rows, filings), invariants.rebuilt(rows, filings))
 
@@ -359,6 +360,45 @@ def silver_stream(spark: SparkSession, d: str) -> DataFrame:
                        "value", "version", "quarter")
 
 
+@query
+def submission_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Submissions as a stream into silver and quarantine."""
+    root, layout = _files(spark, d, "sub")
+    bronze = feeds.Feed(new_folder(spark, "bronze"), "sub_raw")
+    feeds.ingest(spark, root, "sub", bronze, layout)
+    routed = feeds.Feed(new_folder(spark, "silver"), "sub")
+    feeds.run_routed(feeds.follow(spark, bronze), feeds.submission_steps(), routed)
+    kept = feeds.routed_rows(spark, routed, "sub").select(
+        "adsh", "cik", "form", F.lit(None).cast("string").alias("reason"), "quarter")
+    broken = feeds.routed_rows(spark, routed, "sub_quarantine").select(
+        "adsh", F.col("cik").cast("bigint"), "form", F.col(silver.REASON).alias("reason"),
+        "quarter")
+    return kept.unionByName(broken)
+
+
+@query
+def publish_all(spark: SparkSession, d: str) -> DataFrame:
+    """Raw files to all published tables: rows written, and breaches of each contract."""
+    root, layout = _files(spark, d, "sub", "num", "tag", "pre")
+    full_map = dt.raw_concept_map(spark).select(
+        "src_tag", "canonical_tag", "statement", F.lit("MANUAL").alias("mapping_method"),
+        F.lit("HIGH").alias("confidence"), F.lit("").alias("note"))
+    return publishing.publish_all(
+        spark, root, new_folder(spark, "published"), full_map, FACTOR, layout)
+
+
+@query
+def header_profile(spark: SparkSession, d: str) -> DataFrame:
+    """The column names that raw files of each kind start with."""
+    root, layout = _files(spark, d, "sub", "num")
+    out = None
+    for kind in ("sub", "num"):
+        found = files.headers(spark, layout.format(root=root, kind=kind)).select(
+            F.lit(kind).alias("kind"), "quarter", F.concat_ws(",", "columns").alias("columns"))
+        out = found if out is None else out.unionByName(found)
+    return out.distinct()
+
+
 @query
 def full_refresh(spark: SparkSession, d: str) -> DataFrame:
     """After a code change the feed is rebuilt from the start in a new version."""
@@ -567,20 +607,22 @@ def link_discovery(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- snapshots
 
-def _snapshot(spark: SparkSession, d: str, year: int) -> DataFrame:
-    filings = snapshots.in_window(dt.filings(spark, d), f"{year}-01-01", f"{year + 1}-01-01")
-    facts = gold.fact_rows(dt.source_facts(spark, d)).join(dt.concept_map(spark), "src_tag")
-    dated = gold.attach_filings(facts, filings).withColumn("ddate", dt.period_end())
-    return snapshots.resolve(dated, CONCEPT_NAMES)
+YEARS = (("1997-01-01", "1998-01-01"), ("1998-01-01", "1999-01-01"))
+
+
+def _told(spark: SparkSession, d: str) -> DataFrame:
+    facts = snapshots.comparable(
+        dt.raw_facts(spark, d), dt.raw_concept_map(spark), CONCEPT_NAMES)
+    return facts.join(snapshots.filed(_raw(dt.raw_submissions(spark, d))), "adsh")
 
 
 def _diff(spark: SparkSession, d: str) -> DataFrame:
-    return snapshots.diff(_snapshot(spark, d, 1997), _snapshot(spark, d, 1998))
+    return snapshots.diff(_told(spark, d), *YEARS)
 
 
 @query
 def snapshot_resolve(spark: SparkSession, d: str) -> DataFrame:
-    return _snapshot(spark, d, 1998)
+    return snapshots.resolve(_told(spark, d).where(snapshots.within(YEARS[1])))
 
 
 @query
@@ -590,11 +632,7 @@ def snapshot_diff(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def snapshot_rates(spark: SparkSession, d: str) -> DataFrame:
-    diffs = _diff(spark, d)
-    by_tag = snapshots.rates(diffs, "canonical_tag").withColumnRenamed("canonical_tag", "grouped")
-    by_qtrs = snapshots.rates(diffs, "qtrs").withColumn(
-        "grouped", F.concat(F.lit("qtrs "), F.col("qtrs").cast("string"))).drop("qtrs")
-    return by_tag.unionByName(by_qtrs)
+    return snapshots.rates(_diff(spark, d), "canonical_tag", "qtrs")
 
 
 @query
