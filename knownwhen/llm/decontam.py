@@ -33,8 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from knownwhen.llm import frames as fr
 from knownwhen.llm import text as tx
-from knownwhen.sources.shared import settle
+from knownwhen.sources.shared import scratch, settle
 
 WINDOW = 10
 SEGMENT_WORDS = 1_000_000
@@ -237,8 +238,8 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
             item_col: str = "item_id", item_text: str = "text", size: int = WINDOW,
             limit: int = QUERY_WORDS) -> DataFrame:
     """Per document: n_words, hits (positions of its hit words), items (ids as sorted strings)."""
-    tx.bounded_batches(docs.sparkSession)
-    docs = tx.documents(docs, id_col, text_col)
+    fr.bounded_batches(docs.sparkSession)
+    docs = fr.documents(docs, id_col, text_col)
     blocks = lambda: query_blocks(items, item_col, item_text, size, limit)
     vocabulary: set[bytes] | None = set()
     for block in blocks():
@@ -246,16 +247,21 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
         if len(vocabulary) > limit:  # too many to send out: index every word
             vocabulary = None
             break
-    index = segments(docs, vocabulary).withColumn("segment", F.monotonically_increasing_id())
-    index = settle(index, "postings")
-    parts = [_searched(index, block) for block in blocks()] or [_searched(index, [])]
+    with scratch(docs.sparkSession):
+        index = segments(docs, vocabulary).withColumn("segment", F.monotonically_increasing_id())
+        found = _all_hits(settle(index, "postings"), blocks())
+        return fr.stored(found.drop("segment", "no"), "hits", outlive=True)
+
+
+def _all_hits(index: DataFrame, blocks: Iterable[list]) -> DataFrame:
+    parts = [_searched(index, block) for block in blocks] or [_searched(index, [])]
     if len(parts) == 1:
-        return parts[0].drop("segment", "no")
+        return parts[0]
     # A document's hits of each block of the query set, put together.
     return reduce(DataFrame.union, parts).groupBy("segment", "no").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")).drop("segment", "no")
+        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, **columns) -> DataFrame:

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from knownwhen.llm import frames as fr
 from knownwhen.llm import text as tx
 
 #: Share of the best path's score from which a path is content.
@@ -227,7 +228,7 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
               html_col: str = "html", threshold: float = THRESHOLD) -> DataFrame:
     """(page_id, url, text, n_chars) per row of ``pages``."""
-    tx.bounded_batches(pages.sparkSession)
+    fr.bounded_batches(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in tx.slices(batches, 128):

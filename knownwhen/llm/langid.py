@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from knownwhen.llm import frames as fr
 from knownwhen.llm import text as tx
 
 BITS = 15
@@ -254,7 +255,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
                 pa.array([s[1] for s in said], pa.float64())],
                 names=["doc_id", "lang_pred", "score"])
 
-    rows = tx.documents(docs, id_col, text_col)
+    rows = fr.documents(docs, id_col, text_col)
     return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, lang_pred string, score double")
 
@@ -262,7 +263,7 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
 def accepted(docs: DataFrame, model: Model | None, least_score: float,
              text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, whole, whose language is known with at least ``least_score``."""
-    tx.bounded_batches(docs.sparkSession)
+    fr.bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,6 +288,6 @@ def learnable(docs: DataFrame) -> DataFrame:
 
 def languages(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score): learnt from the rows that are not held out."""
-    tx.bounded_batches(docs.sparkSession)
+    fr.bounded_batches(docs.sparkSession)
     said = identify(docs, train(learnable(docs)))
     return said.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

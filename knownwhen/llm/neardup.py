@@ -36,8 +36,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from knownwhen.llm import frames as fr
 from knownwhen.llm import text as tx
-from knownwhen.sources.shared import settle
+from knownwhen.sources.shared import scratch, settle
 
 WORDS = 5
 PERCENT = 75
@@ -219,7 +220,7 @@ def sets_of(nodes: DataFrame, docs: DataFrame, words: int = WORDS) -> DataFrame:
     found = docs.withColumn("place", place("doc_id")).withColumn(
         "word", F.shiftright("place", 6)).join(F.broadcast(bits), "word").filter(
         F.expr("(shiftright(bits, int(place & 63)) & 1L) = 1L"))
-    return tx.stored(found.select("doc_id", "text").mapInArrow(run, "node long, members binary"),
+    return fr.stored(found.select("doc_id", "text").mapInArrow(run, "node long, members binary"),
                      "near-sets")
 
 
@@ -406,7 +407,7 @@ def _links_in_cells(cells: DataFrame, docs: DataFrame, words: int = WORDS,
 
     compared = cells.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(
         compare, candidates)
-    compared = tx.stored(compared, "near-cells", few=True)
+    compared = fr.stored(compared, "near-cells", few=True)
     sets = sets_of(compared.select("node"), docs, words)
     whole = compared.join(sets, "node").repartition("cell").sortWithinPartitions("cell", "node")
     return whole.mapInArrow(verify, "a long, b long").distinct()
@@ -448,19 +449,24 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = WORDS, percent: int = PERCENT, miss: float = MISS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``, written and read back."""
-    tx.bounded_batches(docs.sparkSession)
-    docs = tx.documents(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    fr.bounded_batches(docs.sparkSession)
+    docs = fr.documents(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    with scratch(docs.sparkSession):
+        return fr.stored(_grouped(docs, words, percent, miss), "near-duplicates", outlive=True)
+
+
+def _grouped(docs: DataFrame, words: int, percent: int, miss: float) -> DataFrame:
     rows = settle(features(docs, words), "near-features")
     usable = rows.filter("n_shingles > 0 and doc_id is not null")
     groups = usable.groupBy("fp_hi", "fp_lo").agg(F.min("doc_id").alias("node"))
     # Rows that repeat a doc_id give one node row per set.
     nodes = usable.select("fp_hi", "fp_lo", F.col("doc_id").alias("node"), "n_shingles", "sig",
                           "bands").join(groups, ["fp_hi", "fp_lo", "node"], "left_semi")
-    nodes = tx.stored(nodes.dropDuplicates(["fp_hi", "fp_lo", "node"]), "near-nodes")
+    nodes = fr.stored(nodes.dropDuplicates(["fp_hi", "fp_lo", "node"]), "near-nodes")
 
     def links(pairs: DataFrame) -> DataFrame:
-        tried = tx.stored(pairs, "near-pairs", few=True)
-        return tx.stored(confirmed(tried, docs, words, percent), "near-links", few=True)
+        tried = fr.stored(pairs, "near-pairs", few=True)
+        return fr.stored(confirmed(tried, docs, words, percent), "near-links", few=True)
 
     # Rows that share a doc_id are one document: tie their sets' nodes together.
     of = usable.select("doc_id", "fp_hi", "fp_lo").join(groups, ["fp_hi", "fp_lo"]).select(
@@ -470,11 +476,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     same = of.join(ends, "doc_id").filter("node <> a").select("a", F.col("node").alias("b"))
     few = nodes.select("node", F.explode(F.slice("bands", 1, FIRST_BANDS)).alias("key"))
     edges = links(pruned(_stars(few), nodes, percent, miss)).union(
-        tx.stored(same, "near-links", few=True))
+        fr.stored(same, "near-links", few=True))
     labels = components(edges)
     edges = edges.union(links(pruned(_between_components(nodes, labels), nodes, percent, miss)))
     labels = components(edges)
-    more = tx.stored(_links_in_cells(_cells(nodes, labels), docs, words, percent, miss),
+    more = fr.stored(_links_in_cells(_cells(nodes, labels), docs, words, percent, miss),
                      "near-links", few=True)
     if not more.isEmpty():
         labels = components(edges.union(more))
@@ -484,5 +490,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     component = F.when(known, F.coalesce("component", "node")).otherwise(F.col("doc_id"))
     out = out.select("doc_id", "n_shingles", component.alias("component_id"))
-    return tx.stored(out.withColumn("kept", F.coalesce(
-        F.col("doc_id") == F.col("component_id"), F.lit(True))), "near-duplicates")
+    return out.withColumn("kept", F.coalesce(
+        F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from knownwhen.llm import frames as fr
 from knownwhen.llm import text as tx
 
 BASE = ("email", "ip", "card", "phone")
@@ -282,8 +283,8 @@ def listed(found: Spans, kinds: tuple[str, ...]) -> str:
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) per row of ``docs``."""
-    tx.bounded_batches(docs.sparkSession)
-    docs = tx.documents(docs, id_col, text_col)
+    fr.bounded_batches(docs.sparkSession)
+    docs = fr.documents(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = automaton()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from knownwhen.llm import (
     decontam, html_text, langid, mixing, neardup, pii, sharding, tokenfile, topk, warc)
 from knownwhen.llm.oracles import ORACLES  # noqa: F401 - read by the entry
-from knownwhen.llm.text import table
+from knownwhen.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 

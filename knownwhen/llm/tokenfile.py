@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from knownwhen.llm import frames as fr
 from knownwhen.llm import text as tx
 from knownwhen.sources.shared import settle
 
@@ -317,5 +318,5 @@ def documents(blocks: DataFrame) -> DataFrame:
 def written(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
             end: int = END, block: int = BLOCK) -> DataFrame:
     """Write the blocks to the shared folder; returns them as read from there."""
-    tx.bounded_batches(docs.sparkSession)
-    return settle(encoded(tx.documents(docs, id_col, text_col), tokenizer, end, block), "tokens")
+    fr.bounded_batches(docs.sparkSession)
+    return settle(encoded(fr.documents(docs, id_col, text_col), tokenizer, end, block), "tokens")

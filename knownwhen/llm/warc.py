@@ -33,6 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from knownwhen.llm import frames as fr
 from knownwhen.llm import text as tx
 from knownwhen.sources.shared import new_folder
 
@@ -109,11 +110,11 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
           compression: str = "gzip") -> str:
     """Write the archives to the shared folder; returns their path."""
     spark = pages.sparkSession
-    tx.bounded_batches(spark)
+    fr.bounded_batches(spark)
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"),
                         F.col(url_col).cast("string").alias("url"),
                         F.col(payload_col).alias("payload"))
-    away = revisits(tx.stored(chunks(rows, size), "warc-chunks"), least).select(
+    away = revisits(fr.stored(chunks(rows, size), "warc-chunks"), least).select(
         F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "to_page")
     digest = F.sha1(F.coalesce(F.col("payload"), F.lit("")).cast("binary"))
     decided = rows.withColumn("digest", digest)
