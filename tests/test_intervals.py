@@ -225,17 +225,56 @@ def test_slices_are_bounded_and_keep_an_instant_together(spark):
     assert sum(sizes) == 280 and max(sizes) <= 50 + 10 and len(sizes) >= 5
 
 
-def test_interval_plan_shuffles_once_per_step(spark, small):
-    from verification.queries import knowledge_intervals
-    plan = knowledge_intervals(spark, small)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2
-    assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_as_of_grid_broadcasts_only_the_calendar(spark, small):
-    from verification.queries import asof_grid
-    plan = asof_grid(spark, small)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastNestedLoopJoin" in plan and "CartesianProduct" not in plan
+def test_interval_plans(spark, small):
+    """With and without broadcasts; the second shuffles facts and filings, as a cluster would."""
+    from verification.queries import knowledge_intervals
+    plan = _plan(knowledge_intervals(spark, small))
+    assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(knowledge_intervals(spark, small))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastExchange" not in plan and "CartesianProduct" not in plan
+
+
+def test_grid_joins_nothing(spark, small):
+    from verification.queries import asof_grid, bias_window
+    for query in (asof_grid, bias_window):
+        assert "NestedLoop" not in _plan(query(spark, small))
+
+
+def test_plans_are_made_without_a_job(spark, small, monkeypatch):
+    """No count decides a plan: nothing runs before the query's own action."""
+    from knownwhen.sources import driver_tables
+    from verification import queries
+    read = {n: driver_tables.table(spark, small, n) for n in ("orders", "lineitem")}
+    monkeypatch.setattr(driver_tables, "table", lambda spark, folder, name: read[name])
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("knowledge_intervals", "change_points", "scd2_build", "inv_i3_no_gap", "asof_grid",
+                 "snapshot_rates", "concept_coverage"):
+        spark.sparkContext.setJobGroup(f"plan {name}", name)
+        queries.QUERIES[name](spark, small)
+        assert list(tracker.getJobIdsForGroup(f"plan {name}")) == []
+    spark.sparkContext.setJobGroup("tests", "tests")
+
+
+@pytest.mark.parametrize("limit", [5, 50])
+def test_full_days_are_cut_too(spark, limit):
+    rows = [fact(i % 7, f"2020-01-{1 + i // 100:02d} {i % 24:02d}:{i % 60:02d}:00", adsh=str(i))
+            for i in range(300)]
+    got = intervals(spark, rows, limit=limit).collect()
+    assert as_by_hand(got) == by_hand(rows)
+    filings = filings_of(frame(spark, rows))
+    slices = tl.plan_slices(filings, ["cik"], "accepted_ts", limit)
+    cut = tl.in_slices(filings, slices, ["cik"], "accepted_ts")
+    sizes = [r["count"] for r in cut.groupBy(tl.SLICE).count().collect()]
+    assert max(sizes) <= 3 * limit and len(sizes) >= 300 // (3 * limit)
 
 
 def test_as_of_reaches_the_scan(spark, small):

@@ -2,11 +2,14 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from knownwhen.functions.revisions import relative_change
 from knownwhen.functions.values import rounded
-from knownwhen.operators import ranking
+from knownwhen.operators import ranking, upsert
+from knownwhen.operators.asof import Quarters, as_of_grid
 from knownwhen.plans import (
     concepts, control, dimensions, factors, gold, invariants, monitor, silver, snapshots)
 from knownwhen.sources import driver_tables as dt
@@ -16,8 +19,8 @@ from tests.helpers import fact, frame, filings_of, intervals
 
 
 def test_calendar_ends_on_true_month_ends(spark):
-    days = [r.rebalance_dt for r in factors.calendar_between(
-        spark, "2012-03-31", "2025-12-31").orderBy("rebalance_dt").collect()]
+    days = [r.rebalance_dt for r in factors.study_calendar().dates(spark).orderBy(
+        "rebalance_dt").collect()]
     assert len(days) == 56 and days[0] == date(2012, 3, 31) and days[-1] == date(2025, 12, 31)
     assert {(d.month, d.day) for d in days} == {(3, 31), (6, 30), (9, 30), (12, 31)}
 
@@ -44,7 +47,7 @@ def roa_rows():
 
 def test_comparison_sees_only_what_was_known(spark):
     pit = intervals(spark, roa_rows(), today=True)
-    calendar = factors.calendar_between(spark, "2021-03-31", "2021-06-30")
+    calendar = Quarters.between("2021-03-31", "2021-06-30")
     got = {(r.rebalance_dt.month, r.cik): r for r in factors.roa_comparison(
         pit, calendar, factors.Factor()).collect()}
     assert set(got) == {(3, 1), (6, 1), (6, 2), (3, 4), (6, 4)}
@@ -162,11 +165,10 @@ def test_control_table_life(spark):
 # ---------------------------------------------------------------- snapshots
 
 def diffs(spark, pairs):
-    def side(index, year):
-        rows = [fact(p[index], f"{year}-02-01", cik=i, adsh=f"{i:04d}-{year}-1")
-                for i, p in enumerate(pairs)]
-        return snapshots.resolve(frame(spark, rows), ["REVENUE"])
-    return snapshots.diff(side(0, 2022), side(1, 2024))
+    rows = [fact(p[index], f"{year}-02-01", cik=i, adsh=f"{i:04d}-{year}-1")
+            for i, p in enumerate(pairs) for index, year in ((0, 2022), (1, 2024))]
+    return snapshots.diff(frame(spark, rows), ("2022-01-01", "2023-01-01"),
+                          ("2024-01-01", "2025-01-01"))
 
 
 PAIRS = [(100, 100), (100, 101.5), (0, 5), (100, -100), (1000, 1_000_000), (5, 0), (200, 203)]
@@ -189,13 +191,46 @@ def test_snapshot_reports(spark):
     assert snapshots.largest_revisions(d, 1).first().cik == 4
 
 
-def test_snapshot_keeps_the_latest_and_only_totals(spark):
+def test_snapshot_keeps_the_latest(spark):
     rows = frame(spark, [fact(1, "2022-01-01", adsh="a"), fact(2, "2022-01-01", adsh="b"),
-                         fact(3, "2021-01-01", adsh="c"), fact(9, "2022-03-01", adsh="d")])
-    rows = rows.withColumn("segments", F.when(F.col("adsh") == "d", "Seg=A").otherwise(" "))
-    assert [int(r.value) for r in snapshots.resolve(rows, ["REVENUE"]).collect()] == [2]
-    window = snapshots.in_window(filings_of(rows), "2022-01-01", "2022-03-01")
-    assert {r.adsh for r in window.collect()} == {"a", "b"}
+                         fact(3, "2021-01-01", adsh="c")])
+    assert [int(r.value) for r in snapshots.resolve(rows).collect()] == [2]
+    inside = snapshots.within(("2022-01-01", "2022-03-01"))
+    assert {r.adsh for r in rows.where(inside).collect()} == {"a", "b"}
+
+
+@pytest.mark.parametrize("changes,kept", [
+    ({}, True), ({"segments": "Seg=A"}, False), ({"coreg": "Sub"}, False), ({"segments": " "}, True),
+    ({"version": "0001-24"}, False), ({"uom": "EUR"}, False), ({"value": None}, False),
+    ({"tag": "Other"}, False), ({"ddate": "9999"}, False)])
+def test_snapshot_compares_only_totals_in_standard_tags(spark, changes, kept):
+    row = {"adsh": "a", "tag": "Revenues", "version": "us-gaap/2023", "ddate": "20231231",
+           "qtrs": "4", "uom": "USD", "segments": None, "coreg": None, "value": "5"} | changes
+    facts = spark.createDataFrame([tuple(row.values())], ", ".join(f"{c} string" for c in row))
+    mapping = spark.createDataFrame([("Revenues", "REVENUE")], "src_tag string, canonical_tag string")
+    assert snapshots.comparable(facts, mapping, ["REVENUE"]).count() == int(kept)
+    row.pop("segments")
+    facts = spark.createDataFrame([tuple(row.values())], ", ".join(f"{c} string" for c in row))
+    with pytest.raises(AnalysisException, match="segments"):
+        snapshots.comparable(facts, mapping, ["REVENUE"])
+
+
+def test_grid_of_intervals_at_quarter_edges(spark):
+    pit = intervals(spark, [fact(1, "2021-03-31"), fact(2, "2021-06-30 00:00:01"),
+                            fact(3, "2021-09-30 00:00:00"), fact(9, "2030-01-01", cik=2)])
+    grid = as_of_grid(pit, Quarters.between("2020-12-31", "2021-12-31"))
+    got = sorted((r.rebalance_dt.month, int(r.value)) for r in grid.collect())
+    assert got == [(3, 1), (6, 1), (9, 3), (12, 3)]
+
+
+def test_updates_and_offers_never_multiply_rows(spark):
+    known = spark.createDataFrame([("a", 1), ("b", 1)], "k string, n int")
+    updates = spark.createDataFrame([("a", 5), ("a", 7), ("a", None), ("c", 9)], "k string, m int")
+    got = upsert.apply_updates(known, updates, ["k"], {"n": "new.m"})
+    assert sorted(map(tuple, got.collect())) == [("a", 7), ("b", 1)]
+    offers = spark.createDataFrame([("c", 2), ("c", 3), ("a", 9)], "k string, n int")
+    got = upsert.insert_missing(known, offers, ["k"])
+    assert sorted(map(tuple, got.collect())) == [("a", 1), ("b", 1), ("c", 3)]
 
 
 def test_filing_path(spark):

@@ -88,10 +88,46 @@ def test_first_causes_add_up_as_published(spark, medium):
         "accepted_before_period": 66, "form": 2921, "kept": 11809}
 
 
-def test_layers_reconcile(spark, small):
-    got = silver.reconciliation(silver.submission_outcomes(dt.raw_submissions(spark, small)),
-                                silver.SUBMISSION_BREAKS, "sub").first()
-    assert got.reconciles and got.bronze == got.silver + got.quarantine + got.excluded == 1500
+def reconciled(raw_rows, mapping, kept=None):
+    outcomes = silver.exclusions(silver.fact_outcomes(raw_rows, mapping))
+    return silver.reconciliation(
+        "num", raw_rows, silver.facts(raw_rows, mapping) if kept is None else kept,
+        silver.facts_quarantine(raw_rows), outcomes, silver.FACT_BREAKS).first()
+
+
+def test_layers_reconcile_only_if_every_row_is_there_once(spark):
+    mapping = spark.createDataFrame([("Assets", "ASSETS", "BS")],
+                                    "src_tag string, canonical_tag string, statement string")
+    rows = raw(spark, "num", num(), num(ddate="x"), num(uom="EUR"), num(tag="Other"))
+    got = reconciled(rows, mapping)
+    assert got.reconciles and got[1:5] == (4, 1, 1, 2)
+    lost = reconciled(rows, mapping, silver.facts(rows, mapping).limit(0))
+    assert not lost.reconciles and lost.silver == 0
+    two = mapping.union(spark.createDataFrame([("Assets", "CASH", "BS")], mapping.schema))
+    assert not reconciled(rows, two).reconciles
+
+
+def test_breaches_are_counted_once_on_a_clustered_table(spark):
+    root = tempfile.mkdtemp(prefix="knownwhen-watched-")
+    rows = spark.range(1000).select(
+        (F.col("id") % 50).alias("cik"), F.lit("2020-12-31").cast("date").alias("ddate"),
+        F.col("id").cast("timestamp").alias("revised_at_ts"), "id")
+    seen = tables.publish_watched(rows, root, "fact_revision", {"small": F.col("id") < 900})
+    assert seen == {"rows": 1000, "small": 100}
+    assert tables.read_published(spark, root, "fact_revision").count() == 1000
+
+
+def test_a_broken_contract_stops_the_whole_run(spark, small):
+    from knownwhen.plans import publishing
+    from verification import queries
+    root, layout = queries._files(spark, small, "sub", "num", "tag", "pre")
+    rules = publishing.contracts() | {
+        "sub": publishing.Contract(fail={"no_tens": ~F.col("form").startswith("10-Q")})}
+    out = tempfile.mkdtemp(prefix="knownwhen-run-")
+    with pytest.raises(Exception, match="contract broken: no_tens"):
+        publishing.publish_all(spark, root, out, dt.raw_concept_map(spark).withColumns({
+            "mapping_method": F.lit("SELF"), "confidence": F.lit("HIGH")}),
+            queries.FACTOR, layout, rules)
 
 
 def test_warnings_count_and_keep_rows(spark):
