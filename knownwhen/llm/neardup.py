@@ -48,7 +48,7 @@ BATCH = 32
 #: Chance, by the posterior, that a dropped pair was a link.
 MISS = 1e-7
 #: Members of a bucket that one task compares with as many others.
-BLOCK = 128
+BLOCK = 512
 #: Bands of the first round.
 FIRST_BANDS = 4
 #: Words of 64 bits of the filter that finds the documents of candidate pairs.
@@ -158,13 +158,16 @@ def least_matches(percent: int = PERCENT, hashes: int = HASHES, batch: int = BAT
     return out
 
 
-def surviving(a: np.ndarray, b: np.ndarray, steps: list[tuple[int, int]]) -> np.ndarray:
-    """Positions of the pairs (rows of a and b) that no batch of the signature drops."""
-    alive = np.arange(len(a))
-    matches = np.zeros(len(a), np.int32)
+def surviving(a: np.ndarray, b: np.ndarray, steps: list[tuple[int, int]],
+              i: np.ndarray | None = None, j: np.ndarray | None = None) -> np.ndarray:
+    """Positions of the pairs, rows i of a and j of b, that no batch of the signature drops."""
+    i = np.arange(len(a)) if i is None else i
+    j = np.arange(len(b)) if j is None else j
+    alive = np.arange(len(i))
+    matches = np.zeros(len(i), np.int32)
     begin = 0
     for n, least in steps:
-        same = (a[alive, begin:n] == b[alive, begin:n]).sum(axis=1, dtype=np.int32)
+        same = (a[i[alive], begin:n] == b[j[alive], begin:n]).sum(axis=1, dtype=np.int32)
         matches = matches + same
         keep = matches >= least
         alive, matches, begin = alive[keep], matches[keep], n
@@ -366,7 +369,7 @@ def _links_in_cells(cells: DataFrame, docs: DataFrame, words: int = WORDS,
                 want &= (np.minimum(size[i], size[j]) * 100
                          >= np.maximum(size[i], size[j]) * percent)
                 i, j = i[want], j[want]
-                keep = surviving(sig[i], sig[j], steps)
+                keep = surviving(sig, sig, steps, i, j)
                 i, j = i[keep], j[keep]
                 if not len(i):
                     continue
