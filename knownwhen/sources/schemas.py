@@ -6,18 +6,26 @@ from pyspark.sql import types as T
 
 # The columns of the four published files, in file order.
 RAW_COLUMNS = {
-    "sub": "adsh cik name sic countryba stprba cityba zipba bas1 bas2 baph countryma stprma "
-           "cityma zipma mas1 mas2 countryinc stprinc ein former changed afs wksi fye form "
-           "period fy fp filed accepted prevrpt detail instance nciks aciks",
-    "num": "adsh tag version ddate qtrs uom segments coreg value footnote",
-    "tag": "tag version custom abstract datatype iord crdr tlabel doc",
-    "pre": "adsh report line stmt inpth rfile tag version plabel negating",
+    "sub": [
+        "adsh", "cik", "name", "sic", "countryba", "stprba", "cityba", "zipba", "bas1",
+        "bas2", "baph", "countryma", "stprma", "cityma", "zipma", "mas1", "mas2",
+        "countryinc", "stprinc", "ein", "former", "changed", "afs", "wksi", "fye", "form",
+        "period", "fy", "fp", "filed", "accepted", "prevrpt", "detail", "instance", "nciks",
+        "aciks"],
+    "num": [
+        "adsh", "tag", "version", "ddate", "qtrs", "uom", "segments", "coreg", "value",
+        "footnote"],
+    "tag": [
+        "tag", "version", "custom", "abstract", "datatype", "iord", "crdr", "tlabel", "doc"],
+    "pre": [
+        "adsh", "report", "line", "stmt", "inpth", "rfile", "tag", "version", "plabel",
+        "negating"],
 }
 RESCUED = "_rescued_data"
 
 
 def raw_columns(kind: str) -> list[str]:
-    return RAW_COLUMNS[kind].split()
+    return RAW_COLUMNS[kind]
 
 
 def raw_schema(kind: str) -> T.StructType:
