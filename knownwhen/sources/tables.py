@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from knownwhen.operators.quality import watch
 
@@ -61,6 +62,17 @@ def publish_watched(rows: DataFrame, root: str, name: str, rules: Mapping[str, C
     return seen.get
 
 
+def create_if_absent(spark: SparkSession, root: str, name: str, schema: StructType) -> bool:
+    """An empty table with the schema's column comments, unless it is there; says which."""
+    table = CATALOGUE[name]
+    path = f"{root}/{table.layer}/{table.name}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return False
+    spark.createDataFrame([], schema).write.parquet(path)
+    return True
+
+
 def _clustered(rows: DataFrame, name: str) -> DataFrame:
     by = CATALOGUE[name].cluster
     return rows.repartitionByRange(*by).sortWithinPartitions(*by) if by else rows

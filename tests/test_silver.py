@@ -256,3 +256,12 @@ def test_publish_overwrites_and_clusters(spark):
         tables.publish(rows, root, "fact_revision")
     assert tables.read_published(spark, root, "fact_revision").count() == 1000
     assert tables.describe(spark).where("layer = 'gold'").count() == 8
+
+
+def test_a_table_is_created_once_and_keeps_its_comments(spark):
+    from knownwhen.sources.schemas import CONTROL
+    root = tempfile.mkdtemp(prefix="knownwhen-create-")
+    assert tables.create_if_absent(spark, root, "ingest_control", CONTROL)
+    assert not tables.create_if_absent(spark, root, "ingest_control", CONTROL)
+    read = tables.read_published(spark, root, "ingest_control")
+    assert read.count() == 0 and read.schema["quarter"].metadata["comment"] == "such as 2024q1"

@@ -15,7 +15,7 @@ from knownwhen.plans import (
 from knownwhen.plans.gold import KEY
 from knownwhen.sources import delimited, files, links, tables
 from knownwhen.sources import driver_tables as dt
-from knownwhen.sources.schemas import RESCUED, raw_columns
+from knownwhen.sources.schemas import CONTROL, RESCUED, raw_columns
 from knownwhen.sources.shared import new_folder, settle
 from knownwhen.streaming import feeds
 
@@ -564,7 +564,16 @@ _CONTROL_SHOWN = ["quarter", "zip_url", "status", "attempts", "last_error", "dis
 
 @query
 def control_merge(spark: SparkSession, d: str) -> DataFrame:
-    return _merged_control(spark, d).select(*_CONTROL_SHOWN)
+    """The table is created on the first run only; what is discovered again changes nothing."""
+    root = new_folder(spark, "control")
+    for _ in range(2):
+        tables.create_if_absent(spark, root, "ingest_control", CONTROL)
+        held = tables.read_published(spark, root, "ingest_control")
+        known = control.merge_discovered(held, _known_control(spark, d))
+        merged = control.merge_discovered(
+            known, control.offer(_links(spark, d), "2025-01-01 00:00:00"))
+        tables.publish(settle(merged, "control"), root, "ingest_control")
+    return tables.read_published(spark, root, "ingest_control").select(*_CONTROL_SHOWN)
 
 
 @query
