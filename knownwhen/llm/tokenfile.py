@@ -48,7 +48,7 @@ BLOCK = 8192
 END = 1
 PERCENTILES = (90, 95, 99, 100)
 #: Pieces of text whose ids a Python worker remembers at least, and twice as many at most.
-MEMORY = 400_000
+MEMORY = 200_000
 
 _SCHEMA = ("shard int, block int, first long, n int, base int, width int, packed binary, "
            "exc_at binary, exc_value binary, "
