@@ -31,6 +31,14 @@ def attach_filings(facts: DataFrame, filings: DataFrame) -> DataFrame:
     return facts.join(filings.select("adsh", "cik", "accepted_ts", "form"), "adsh")
 
 
+def sliced_filings(filings: DataFrame, limit: int = tl.SLICE_INSTANTS) -> DataFrame:
+    """Filings with the slice of time their facts belong to; a small table learns it, so that
+    facts get it from the join with their filings."""
+    known = filings.select("adsh", "cik", "accepted_ts", "form")
+    slices = tl.plan_slices(known, list(FACT_LINE.entity), FACT_LINE.at, limit)
+    return tl.in_slices(known, slices, list(FACT_LINE.entity), FACT_LINE.at)
+
+
 def fact_rows(facts: DataFrame) -> DataFrame:
     """Facts worth joining: no unknown values, copies folded."""
     return fold_copies(facts.where(F.col("value").isNotNull()), "value")
@@ -40,32 +48,26 @@ def pit_from_silver(facts: DataFrame, submissions: DataFrame, *,
                     limit: int = tl.SLICE_INSTANTS, today: bool = False) -> DataFrame:
     """Knowledge intervals from typed facts and submissions."""
     used = facts.select("adsh", "canonical_tag", "statement", "ddate", "qtrs", "uom", "value")
-    return fundamental_pit(attach_filings(fact_rows(used), submissions), submissions,
-                           limit=limit, today=today)
+    joined = fact_rows(used).join(sliced_filings(submissions, limit), "adsh")
+    return fundamental_pit(joined, today=today)
 
 
-def fundamental_pit(attributed: DataFrame, filings: DataFrame, *,
-                    limit: int = tl.SLICE_INSTANTS, today: bool = False) -> DataFrame:
-    """Knowledge intervals of ``attributed`` facts (see :func:`attach_filings`).
+def fundamental_pit(attributed: DataFrame, *, today: bool = False) -> DataFrame:
+    """Knowledge intervals of facts joined with :func:`sliced_filings`.
 
-    ``filings`` says which companies have to be cut into slices of time. With ``today``
-    the column ``current_value`` carries each key's value in force now.
+    With ``today`` the column ``current_value`` carries each key's value in force now.
     """
-    return described(_built(attributed, filings, limit, today), today)
+    return described(_built(attributed, today), today)
 
 
-def _built(attributed: DataFrame, filings: DataFrame, limit: int, today: bool) -> DataFrame:
-    entity = list(FACT_LINE.entity)
-    slices = tl.plan_slices(filings, entity, FACT_LINE.at, limit)
-    rows = attributed.select(*KEY, "value", "accepted_ts", "adsh", "form", "statement")
-    return tl.build(tl.in_slices(rows, slices, entity, FACT_LINE.at), FACT_LINE,
-                    final_state=today)
+def _built(attributed: DataFrame, today: bool) -> DataFrame:
+    rows = attributed.select(*KEY, "value", "accepted_ts", "adsh", "form", "statement", tl.SLICE)
+    return tl.build(rows, FACT_LINE, final_state=today)
 
 
-def change_points(attributed: DataFrame, filings: DataFrame,
-                  limit: int = tl.SLICE_INSTANTS) -> DataFrame:
+def change_points(attributed: DataFrame) -> DataFrame:
     """First reports and changes, each with the value that it replaces."""
-    return _built(attributed, filings, limit, False).select(
+    return _built(attributed, False).select(
         *KEY, F.col("opened_at").alias("accepted_ts"), "adsh", "value",
         F.col("prior").alias("prev_value"))
 

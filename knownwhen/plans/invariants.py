@@ -96,16 +96,14 @@ def of_keys(rows: DataFrame, keys: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- second build
 
-def rebuilt(attributed: DataFrame, filings: DataFrame,
-            limit: int = 50_000) -> DataFrame:
+def rebuilt(attributed: DataFrame) -> DataFrame:
     """Intervals computed from one sorted array per (key, slice), without look-back windows.
 
-    Arrays never exceed a slice: companies with more than ``limit`` filings are cut
-    into slices, and runs that continue across a cut are joined from slice edges. The
-    arrays are stored once, since runs and edges are both read from them.
+    ``attributed`` is joined with sliced filings, so arrays never exceed a slice, and runs
+    that continue across a cut are joined from slice edges. The arrays are stored once,
+    since runs and edges are both read from them.
     """
-    slices = tl.plan_slices(filings, ["cik"], "accepted_ts", limit)
-    rows = tl.in_slices(attributed, slices, ["cik"], "accepted_ts")
+    rows = attributed
     part = [*KEY, tl.SLICE]
     # Copies are folded first: largest value of a filing, then the last filing of an instant.
     instants = (

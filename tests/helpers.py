@@ -5,6 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from knownwhen.operators import timeline as tl
 from knownwhen.plans import gold
 
 FACT = ("cik bigint, canonical_tag string, ddate string, qtrs int, uom string, "
@@ -27,9 +28,13 @@ def filings_of(facts):
     return facts.select("adsh", "cik", "accepted_ts", "form").distinct()
 
 
-def intervals(spark, rows, **options):
-    facts = frame(spark, rows)
-    return gold.fundamental_pit(facts, filings_of(facts), **options)
+def in_slices(facts, limit=tl.SLICE_INSTANTS):
+    slices = tl.plan_slices(filings_of(facts), ["cik"], "accepted_ts", limit)
+    return tl.in_slices(facts, slices, ["cik"], "accepted_ts")
+
+
+def intervals(spark, rows, limit=tl.SLICE_INSTANTS, **options):
+    return gold.fundamental_pit(in_slices(frame(spark, rows), limit), **options)
 
 
 def timeline(spark, rows, **options):

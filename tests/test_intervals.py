@@ -10,7 +10,7 @@ from knownwhen.operators import asof, dedup
 from knownwhen.operators import timeline as tl
 from knownwhen.plans import gold, invariants
 from tests.helpers import (
-    OPEN, as_by_hand, by_hand, fact, filings_of, frame, intervals, timeline)
+    OPEN, as_by_hand, by_hand, fact, filings_of, frame, in_slices, intervals, timeline)
 
 
 def values(rows):
@@ -179,8 +179,7 @@ def test_both_plans_agree_with_a_hand_scan(spark, seed, limit):
 @pytest.mark.parametrize("limit", [3, 50_000])
 def test_second_build_agrees(spark, limit):
     rows = _random_rows(9)
-    facts = frame(spark, rows)
-    again = invariants.rebuilt(facts, filings_of(facts), limit)
+    again = invariants.rebuilt(in_slices(frame(spark, rows), limit))
     result = invariants.equivalence(intervals(spark, rows), again).first()
     assert result.keys_built == result.keys_rebuilt == result.keys_in_both > 0
     assert (result.keys_differing, result.keys_only_built, result.keys_only_rebuilt) == (0, 0, 0)

@@ -41,25 +41,33 @@ def mapped_facts(spark: SparkSession, d: str) -> DataFrame:
     return dt.source_facts(spark, d).join(dt.concept_map(spark), "src_tag")
 
 
-def attributed(spark: SparkSession, d: str, filings: DataFrame | None = None) -> DataFrame:
-    """Facts with concept and filing. Copies are folded before anything is joined."""
-    folded = gold.fact_rows(dt.source_facts(spark, d)).join(dt.concept_map(spark), "src_tag")
-    if filings is None:
-        filings = dt.filings(spark, d)
-    joined = gold.attach_filings(folded.drop("src_tag"), filings)
+def _folded(spark: SparkSession, d: str) -> DataFrame:
+    """Facts with their concept. Copies are folded before anything is joined."""
+    rows = gold.fact_rows(dt.source_facts(spark, d)).join(dt.concept_map(spark), "src_tag")
+    return rows.drop("src_tag")
+
+
+def _dated(joined: DataFrame) -> DataFrame:
     return joined.withColumn("ddate", dt.period_end()).drop("years_back")
 
 
-def pit(spark: SparkSession, d: str, filings: DataFrame | None = None,
-        today: bool = False) -> DataFrame:
-    if filings is None:
-        filings = dt.filings(spark, d)
-    return gold.fundamental_pit(attributed(spark, d, filings), filings, today=today)
+def attributed(spark: SparkSession, d: str) -> DataFrame:
+    """Facts with concept and filing."""
+    return _dated(gold.attach_filings(_folded(spark, d), dt.filings(spark, d)))
+
+
+def sliced(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the slice of time each fact belongs to."""
+    return _dated(_folded(spark, d).join(gold.sliced_filings(dt.filings(spark, d)), "adsh"))
+
+
+def pit(spark: SparkSession, d: str, today: bool = False) -> DataFrame:
+    return gold.fundamental_pit(sliced(spark, d), today=today)
 
 
 def comparison(spark: SparkSession, d: str, filings: DataFrame) -> DataFrame:
     return factors.roa_comparison(
-        pit(spark, d, filings, today=True), factors.calendar_of(filings), FACTOR)
+        pit(spark, d, today=True), factors.calendar_of(filings), FACTOR)
 
 
 def deciles(spark: SparkSession, d: str) -> DataFrame:
@@ -97,8 +105,7 @@ def dedup_per_instant(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def change_points(spark: SparkSession, d: str) -> DataFrame:
-    filings = dt.filings(spark, d)
-    return gold.change_points(attributed(spark, d, filings), filings)
+    return gold.change_points(sliced(spark, d))
 
 
 @query
@@ -127,7 +134,7 @@ def fundamental_as_of(spark: SparkSession, d: str) -> DataFrame:
 @query
 def asof_grid(spark: SparkSession, d: str) -> DataFrame:
     filings = dt.filings(spark, d)
-    return asof.as_of_grid(pit(spark, d, filings), factors.calendar_of(filings)).select(
+    return asof.as_of_grid(pit(spark, d), factors.calendar_of(filings)).select(
         "rebalance_dt", *KEY, "value", "revision_seq")
 
 
@@ -188,7 +195,7 @@ def rebalance_calendar(spark: SparkSession, d: str) -> DataFrame:
 def factor_input_asof(spark: SparkSession, d: str) -> DataFrame:
     filings = dt.filings(spark, d)
     return factors.latest_inputs(
-        pit(spark, d, filings, today=True), factors.calendar_of(filings), FACTOR)
+        pit(spark, d, today=True), factors.calendar_of(filings), FACTOR)
 
 
 @query
@@ -235,7 +242,7 @@ def restatement_monitor(spark: SparkSession, d: str) -> DataFrame:
 def _invariant(name: str) -> None:
     def run(spark: SparkSession, d: str) -> DataFrame:
         filings = dt.filings(spark, d)
-        return invariants.CHECKS[name](pit(spark, d, filings), filings)
+        return invariants.CHECKS[name](pit(spark, d), filings)
     run.__name__ = name
     query(run)
 
@@ -247,7 +254,7 @@ for _name in invariants.CHECKS:
 @query
 def invariant_report(spark: SparkSession, d: str) -> DataFrame:
     filings = dt.filings(spark, d)
-    return invariants.report(settle(pit(spark, d, filings), "pit"), filings)
+    return invariants.report(settle(pit(spark, d), "pit"), filings)
 
 
 @query
@@ -259,10 +266,8 @@ def key_sample(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def equivalence_check(spark: SparkSession, d: str) -> DataFrame:
-    filings = dt.filings(spark, d)
-    rows = settle(attributed(spark, d, filings), "attributed")
-    return invariants.equivalence(
-        gold.fundamental_pit(rows, filings), invariants.rebuilt(rows, filings))
+    rows = settle(sliced(spark, d), "attributed")
+    return invariants.equivalence(gold.fundamental_pit(rows), invariants.rebuilt(rows))
 
 
 # ---------------------------------------------------------------- raw files and silver
