@@ -31,7 +31,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,17 +47,16 @@ BLOCK = 8192
 END = 1
 PERCENTILES = (90, 95, 99, 100)
 #: Pieces of text whose ids a Python worker remembers at least, and twice as many at most.
-MEMORY = 200_000
+MEMORY = 400_000
 
 _SCHEMA = ("shard int, block int, first long, n int, base int, width int, packed binary, "
            "exc_at binary, exc_value binary, "
            "docs array<struct<doc_id:long,start:long,n:int>>, chain long")
 #: Blanks at which a text may be cut. Rarer white space stays inside a word.
 _BLANK = re.compile(r"[ \t\r\n]+")
-#: The tokenizer's pre-tokens of lower-case Latin-1 text: endings, letters, one digit, others.
-_TOKENS = re.compile(
-    r"'(?:s|t|re|ve|m|ll|d)|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
-    r"|[^\t-\r \x85\xa0a-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+")
+#: Bytes of Latin-1 text that are cut into pre-tokens at a time.
+PART = 1 << 20
+_BASE = 0x9E3779B97F4A7C15
 
 
 # ------------------------------------------------------------------ tokenizing
@@ -68,10 +66,11 @@ class WordIds:
 
     Texts of Latin-1 characters are cut into the tokenizer's own pre-tokens here: such
     characters are in normal form already, and their lower case depends on nothing else.
-    Other texts, and those that name special tokens, are cut at blanks only.
+    They are cut and hashed many at a time, and a pre-token is looked up once for all its
+    places. Other texts, and those that name special tokens, are cut at blanks only.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -79,8 +78,14 @@ class WordIds:
         self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends[number] = token.endswith("</w>")
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}  # met before the last ``MEMORY`` new pieces
+        self.memory = memory
+        self.new: dict[int | str, bytes] = {}
+        self.old: dict[int | str, bytes] = {}  # met before the last ``memory`` new pieces
+        self.kind, self.lower = _latin_tables()
+        draw = np.random.default_rng(20260102).integers(1, 1 << 62, 256, dtype=np.int64)
+        self.value = draw.astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        self.power = np.cumprod(np.full(PART + 1, _BASE, np.uint64))
+        self.inverse = np.cumprod(np.full(PART + 1, pow(_BASE, -1, 1 << 64), np.uint64))
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(
@@ -99,34 +104,124 @@ class WordIds:
             begin = stop
         return out
 
-    def _learn(self, parts: set[str], encode) -> None:
-        unknown = []
-        for part in parts.difference(self.new):
-            known = self.old.get(part)
-            if known is None:
-                unknown.append(part)
-            else:
-                self.new[part] = known
-        for at in range(0, len(unknown), 4096):
-            some = unknown[at:at + 4096]
-            self.new.update(zip(some, encode(some)))
+    def _known(self, keys: list, part_of, encode) -> list[bytes]:
+        """The ids of pieces by their keys; ``part_of`` gives the text of an unknown one."""
+        got = [self.new.get(k) for k in keys]
+        unknown: dict = {}
+        for i, ids in enumerate(got):
+            if ids is None:
+                got[i] = self.old.get(keys[i])
+                if got[i] is None:
+                    unknown.setdefault(keys[i], i)
+                else:
+                    self.new[keys[i]] = got[i]
+        fresh = list(unknown.values())
+        for at in range(0, len(fresh), 4096):
+            some = fresh[at:at + 4096]
+            for i, ids in zip(some, encode([part_of(i) for i in some])):
+                self.new[keys[i]] = ids
+        return [self.new[k] if ids is None else ids for k, ids in zip(keys, got)] if fresh else got
+
+    def _of_part(self, data: bytes, cuts: np.ndarray) -> list[np.ndarray]:
+        """Ids of Latin-1 bytes, split where texts end at ``cuts``."""
+        text = self.lower[np.frombuffer(data, np.uint8)]
+        begin, end = _pre_tokens(text, self.kind)
+        # A token's hash: its bytes' values times powers by place, from running sums.
+        sums = np.zeros(len(text) + 1, np.uint64)
+        np.cumsum(self.value[text] * self.power[:len(text)], out=sums[1:])
+        hashes = (sums[end] - sums[begin]) * self.inverse[begin]
+        hashes ^= (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        keys, first, places = np.unique(hashes, return_index=True, return_inverse=True)
+        plain, first = text.tobytes(), first.tolist()
+        got = self._known(keys.tolist(), lambda i: plain[begin[first[i]]:end[first[i]]].decode(
+            "latin-1"), self._encode_tokens)
+        sizes = np.fromiter(map(len, got), np.int64, len(got)) >> 2
+        ids = np.frombuffer(b"".join(got), np.uint32)
+        long = sizes[places]
+        stops = np.concatenate([[0], np.cumsum(long)])
+        shift = np.repeat((np.cumsum(sizes) - sizes)[places] - stops[:-1], long)
+        out = ids[shift + np.arange(int(stops[-1]))]
+        return np.split(out, stops[np.searchsorted(begin, cuts)][:-1])
 
     def of(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.new) > MEMORY:
+        if len(self.new) > self.memory:
             self.old, self.new = self.new, {}
-        tokens: list[list[str] | None] = []
-        words: list[list[str] | None] = []
-        for text in texts:
-            plain = _is_latin(text) if text else True
-            tokens.append(_TOKENS.findall(text.lower()) if text and plain else [] if plain else None)
-            words.append(None if plain else _BLANK.split(text))
-        self._learn(set(chain.from_iterable(t for t in tokens if t)), self._encode_tokens)
-        # Words are kept under a key that no pre-token has.
-        self._learn({f" {w}" for w in chain.from_iterable(w for w in words if w)}, self._encode)
-        get = self.new.__getitem__
-        return [np.frombuffer(b"".join(
-            map(get, t) if t is not None else [get(f" {x}") for x in w]), np.uint32)
-            for t, w in zip(tokens, words)]
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        held: list[tuple[int, bytes]] = []
+        size = 0
+
+        def flush() -> None:
+            if held:
+                cuts = np.cumsum([len(d) + 1 for _, d in held])
+                parts = self._of_part(b"\n".join(d for _, d in held), cuts)
+                for (k, _), ids in zip(held, parts):
+                    out[k].append(ids)
+                held.clear()
+
+        for k, text in enumerate(texts):
+            if not text:
+                continue
+            if not _is_latin(text):
+                words = [w for w in _BLANK.split(text) if w]
+                out[k].append(np.frombuffer(b"".join(self._known(
+                    words, words.__getitem__, self._encode)), np.uint32))
+                continue
+            for part in tx.pieces(text.encode("latin-1"), PART // 2):
+                if len(part) >= PART:  # one endless word
+                    if held and held[-1][0] == k:
+                        flush()
+                        size = 0
+                    out[k].append(np.frombuffer(self._encode([part.decode("latin-1")])[0],
+                                                np.uint32))
+                    continue
+                if size + len(part) + 1 > PART:
+                    flush()
+                    size = 0
+                held.append((k, part))
+                size += len(part) + 1
+        flush()
+        nothing = np.empty(0, np.uint32)
+        return [np.concatenate([nothing, *parts]) for parts in out]
+
+
+def _latin_tables() -> tuple[np.ndarray, np.ndarray]:
+    """Of every Latin-1 character: 0 white space, 1 letter, 2 number, 3 other; its lower case."""
+    kind, lower = np.full(256, 3, np.uint8), np.arange(256, dtype=np.uint8)
+    for c in range(256):
+        if chr(c) in "\t\n\v\f\r \x85\xa0":
+            kind[c] = 0
+        elif chr(c).isalpha():
+            kind[c] = 1
+        elif chr(c).isnumeric():
+            kind[c] = 2
+        if chr(c).isupper():
+            lower[c] = ord(chr(c).lower())
+    return kind, lower
+
+
+def _pre_tokens(text: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the pre-tokens: runs of letters, single numbers, runs of others, and
+    an apostrophe with one of the endings s, t, m, d, re, ve, ll."""
+    kind = kinds[text]
+    edge = np.ones(len(text) + 1, bool)
+    edge[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    begin = np.flatnonzero(edge[:-1] & (kind != 0))
+    end = np.flatnonzero(edge[1:] & (kind != 0)) + 1
+    mark = np.flatnonzero((text[begin] == ord("'")) & (end - begin == 1))
+    mark = mark[mark + 1 < len(begin)]
+    mark = mark[(begin[mark + 1] == end[mark]) & (kind[begin[mark + 1]] == 1)]
+    if len(mark):
+        at = begin[mark + 1]
+        one, two = text[at], text[np.minimum(at + 1, len(text) - 1)]
+        pair = (end[mark + 1] - at >= 2) & (
+            (np.isin(one, [ord("r"), ord("v")]) & (two == ord("e")))
+            | ((one == ord("l")) & (two == ord("l"))))
+        taken = np.where(np.isin(one, [ord(c) for c in "stmd"]), 1, np.where(pair, 2, 0))
+        end[mark] += taken
+        begin[mark + 1] += taken
+        left = begin < end
+        begin, end = begin[left], end[left]
+    return begin, end
 
 
 def _is_latin(text: str) -> bool:
@@ -139,14 +234,15 @@ def _is_latin(text: str) -> bool:
     return True
 
 
-def _word_ids(path: str) -> WordIds:
+def _word_ids(path: str, memory: int) -> WordIds:
     """One per Python worker, kept from task to task."""
     import tokenizers
 
     kept = tokenizers.__dict__.setdefault("_known_word_ids", {})
-    if path not in kept:
-        kept[path] = WordIds(path)
-    return kept[path]
+    if (path, memory) not in kept:
+        kept.clear()
+        kept[path, memory] = WordIds(path, memory)
+    return kept[path, memory]
 
 
 # ------------------------------------------------------------------ blocks
@@ -219,18 +315,19 @@ class _Shard:
             yield from self.close()
 
 
-def encoded(docs: DataFrame, tokenizer: str, end: int = END, block: int = BLOCK) -> DataFrame:
+def encoded(docs: DataFrame, tokenizer: str, end: int = END, block: int = BLOCK,
+            memory: int = MEMORY) -> DataFrame:
     """The blocks of all documents (doc_id, text), ranges of doc_id by ranges of doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, shard = _word_ids(tokenizer), _Shard(TaskContext.get().partitionId(), block)
+        ids, shard = _word_ids(tokenizer, memory), _Shard(TaskContext.get().partitionId(), block)
         tail = np.array([end], np.uint32)
 
         def batch(rows: list[dict]) -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist(rows, schema=_arrow())
 
         out: list[dict] = []
-        for rows in tx.slices(batches, 64):
+        for rows in tx.slices(batches, 512):
             for doc_id, found in zip(rows["doc_id"], ids.of(rows["text"])):
                 out.extend(shard.add(doc_id, np.concatenate([found, tail])))
             if len(out) >= 64:
@@ -316,7 +413,8 @@ def documents(blocks: DataFrame) -> DataFrame:
 
 
 def written(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-            end: int = END, block: int = BLOCK) -> DataFrame:
+            end: int = END, block: int = BLOCK, memory: int = MEMORY) -> DataFrame:
     """Write the blocks to the shared folder; returns them as read from there."""
     fr.bounded_batches(docs.sparkSession)
-    return settle(encoded(fr.documents(docs, id_col, text_col), tokenizer, end, block), "tokens")
+    return settle(encoded(fr.documents(docs, id_col, text_col), tokenizer, end, block,
+                          memory), "tokens")

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -56,7 +57,6 @@ def test_base_spans_on_awkward_rows(awkward, crowded, nothing):
 
 @pytest.mark.parametrize("letters", ["0123456789.@+- ()ab", "1.", "4 -", "+1 ()", "a@.b"])
 def test_base_spans_of_all_short_and_random_strings(letters):
-    import random
     anchors, draw = pii.automaton(), random.Random(letters)
     texts = ["".join(t) for n in range(4) for t in itertools.product(letters[:8], repeat=n)]
     texts += ["".join(draw.choice(letters) for _ in range(draw.randint(4, 50)))
@@ -154,8 +154,19 @@ def test_word_memory_gives_the_ids_of_whole_texts():
     texts = ["Don't STOP\n\n\nme  now", "a b c", "é ́x", "x\x1cy \x85 z",
              "<|endoftext|> a<|startoftext|>b", "ΑΣ ΑΣ.", "İstanbul", "́", " lead trail ",
              "日本語 テキスト", "1234 a1b2", "tab\tnew\rline"]
-    got = tokenfile.WordIds(PATH).of(texts)
-    assert [list(map(int, g)) + [1] for g in got] == direct_ids(texts)
+    texts += ["it's we're I'll they've I'm you'd O'Neil 'tis 's" + "'s x'rex a'l a'll 'll",
+              "a" * 3000, "'", "'" * 2, "'s", "x '", "ÀÉß Straße ×÷ ªº µ²½ 1/2", "a\xa0b\x85c"]
+    draw = random.Random(8)
+    letters = [chr(c) for c in range(1, 256)] + list("'" * 4 + "sstrevmld   .,$ΣςİſﬁÅ漢")
+    texts += ["".join(draw.choice(letters) for _ in range(draw.randint(0, 30))) for _ in range(3000)]
+    whole = tokenfile.PART
+    for part in (whole, 64):
+        tokenfile.PART = part
+        try:
+            got = tokenfile.WordIds(PATH, 500).of(texts)
+        finally:
+            tokenfile.PART = whole
+        assert [list(map(int, g)) + [1] for g in got] == direct_ids(texts)
 
 
 @pytest.mark.parametrize("ids", [[5], [0, 2 ** 32 - 1], [7] * 100, list(range(5000)),
