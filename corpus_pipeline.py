@@ -18,6 +18,8 @@ from knownwhen.sources.shared import settle
 
 #: Documents whose language is less certain than this go.
 LEAST_SCORE = 0.4
+#: Pieces of text a token worker remembers; it shares its process with the stages before.
+TOKEN_MEMORY = 150_000
 
 
 def _key() -> Column:
@@ -58,7 +60,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token file, and what it says of every document."""
-    blocks = tokenfile.written(docs, public_tokenizers.path("word_bpe_49k.json"))
+    blocks = tokenfile.written(
+        docs, public_tokenizers.path("word_bpe_49k.json"), memory=TOKEN_MEMORY)
     return tokenfile.documents(blocks)
 
 
