@@ -12,7 +12,9 @@ lengths), and paths above a threshold relative to the best are content. The cont
 area is the smallest article, main or other container that holds the content paths;
 all its blocks count, short ones too. Nodes that are by their tag, class, id or role
 no main text (menus, headers, footers, sidebars, notices, adverts, forms, reader
-comments) are never part of it, scripts and styles are no text at all.
+comments) are never part of it, scripts and styles are no text at all. A name counts
+only as a whole ("sidebar", "sidebar-left", not "no-sidebar"), and a mark doesn't hold
+for a node around the page's text (``_release``).
 
 Defined results: null, empty and text-free pages have an empty text. Broken markup
 is read as far as it goes: missing end tags end with their parent, stray ones are
@@ -67,44 +69,131 @@ comment comments complementary consent contentinfo cookie cookies disclaimer dis
 login masthead menu menubar modal nav navbar navigation newsletter notice notices notification pager
 pagination popup promo promoted related replies reply respond search share sharing sidebar signup
 skip social sponsor sponsored subscribe teaser toolbar tracking widget""".split())
+#: Words that may stand beside those in one name: of place, of make, of the text it belongs to.
+_BESIDE = set("""area articles bar block bottom box button buttons container global inner left
+link links list main middle page post posts primary right secondary section site slot top unit
+wrap wrapper article entry""".split())
+_OF_TEXT = set("article entry main page post".split())
+#: Words that never name a node around other text than their own.
+_ONLY_ASIDE = set("""ad ads advert adverts advertisement advertising breadcrumb breadcrumbs consent
+contentinfo cookie cookies disqus menu menubar nav navbar navigation pager pagination""".split())
+_PROSE = set("article main section p blockquote pre h1 h2 h3 h4 h5 h6".split())
 _PUNCTUATION = set(string.punctuation) | set("。、，！？；：…«»“”„’–—¿¡")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "aside", "path")
+    __slots__ = ("tag", "parent", "mark", "aside", "path", "inside", "mass", "articles", "main",
+                 "prose")
 
-    def __init__(self, tag: str, parent: _Node | None, aside: bool):
-        self.tag, self.parent, self.aside = tag, parent, aside
+    def __init__(self, tag: str, parent: _Node | None, attributes: str = ""):
+        self.tag, self.parent = tag, parent
         self.path = f"{parent.path}/{tag}" if parent else tag
+        self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
+        self.mark = _mark(tag, attributes, self.inside) if parent else ""
+        self.aside = False
+        self.mass, self.articles, self.main, self.prose = 0, 0, False, False
 
 
-def _is_aside(tag: str, attributes: str, parent: _Node) -> bool:
-    if tag in _ASIDE_TAGS:
-        return True
-    above = parent
-    inside = False
-    while above:
-        inside = inside or above.tag in ("article", "main")
-        above = above.parent
-    if tag == "header" and not inside:
-        return True
-    if not attributes or tag in ("body", "html"):
-        return False
-    if _HIDDEN.search(attributes):
-        return True
+def _names(attributes: str) -> set[str]:
+    """The words of those class, id and role names that say nothing else."""
     words = set()
     for found in _LABEL.finditer(attributes):
-        words.update(_WORD.findall((found[1] or found[2] or found[3] or "").lower()))
-    if inside:
-        words.discard("header")
-    return bool(words & _ASIDE_WORDS) and tag not in ("article", "main") or bool(
-        words & {"comment", "comments"})
+        for name in (found[1] or found[2] or found[3] or "").lower().split():
+            parts = set(_WORD.findall(name))
+            if parts <= _ASIDE_WORDS | _BESIDE:
+                words |= parts & _ASIDE_WORDS - ({"header"} if parts & _OF_TEXT else set())
+    return words
+
+
+def _mark(tag: str, attributes: str, inside: bool) -> str:
+    """Why a node is no main text: hidden, comment, only (an aside of its own) or wrap (a mark
+    that nodes around the text have, too); empty for all others."""
+    if attributes and tag not in ("body", "html"):
+        if _HIDDEN.search(attributes):
+            return "hidden"
+        words = _names(attributes)
+        if words & {"comment", "comments"}:
+            return "comment"
+        if inside:
+            words.discard("header")
+        if tag in ("article", "main"):
+            words = set()
+    else:
+        words = set()
+    if tag in _ASIDE_TAGS - {"form", "fieldset"} or words & _ONLY_ASIDE:
+        return "only"
+    return "wrap" if words or tag in _ASIDE_TAGS or tag == "header" and not inside else ""
+
+
+def _release(nodes: list[_Node], found: list[tuple[_Node, str]]) -> None:
+    """Set ``aside``: a node is one by its own mark or by that of a node around it. Marks don't
+    hold for nodes
+
+    * around the page's <main>;
+    * that hold, with prose in them, more than half of the page's text (by length and
+      punctuation; in its articles for a mark of an aside of its own);
+    * around articles, if all such articles hold more than half of it;
+    * with prose in them, if nothing but marked nodes has any.
+
+    Outside of a <main>, only the first is looked at. Hidden nodes and reader comments stay.
+    """
+    dead: dict[int, str | None] = {}  # hidden, comments, and asides down to an article
+    for node in nodes:
+        above = node.parent and dead[id(node.parent)]
+        ends = node.tag == "main" or node.tag == "article" and above == "only"
+        own = node.mark if node.mark in ("hidden", "comment", "only") else ""
+        dead[id(node)] = "hidden" if above == "hidden" else own or ("" if ends else above)
+    for node, text in found:
+        if not dead[id(node)]:
+            node.mass += len(text) * (1 + sum(map(text.count, _PUNCTUATION)))
+    for node in reversed(nodes):
+        node.main |= node.tag == "main" and node.mass > 0
+        node.prose |= node.tag in _PROSE and node.mass > 0
+        if node.tag == "article":
+            node.articles = node.mass
+        above = node.parent
+        if above:
+            above.mass += node.mass
+            above.articles += node.articles
+            above.main |= node.main
+            above.prose |= node.prose
+    total, has_main = nodes[0].mass, nodes[0].main
+    in_main: set[int] = set()
+    marked = []
+    for node in nodes:
+        if node.tag == "main" and node.mass or node.parent and id(node.parent) in in_main:
+            in_main.add(id(node))
+        if not node.mark or node.mark == "hidden":
+            continue
+        if node.main:
+            node.mark = ""
+        elif node.mark != "comment" and (id(node) in in_main or not has_main):
+            share = node.mass if node.mark == "wrap" and node.prose else node.articles
+            if 2 * share > total:
+                node.mark = ""
+            else:
+                marked.append(node)
+
+    def settle() -> None:
+        for node in nodes:
+            node.aside = bool(node.mark) or node.parent is not None and node.parent.aside
+
+    settle()
+    tops = [n for n in marked if n.articles and not n.parent.aside]
+    if 2 * sum(n.articles for n in tops) > total:
+        for node in marked:
+            node.mark = "" if node.articles else node.mark
+        settle()
+    if all(node.aside for node, _ in found):
+        for node in marked:
+            node.mark = "" if node.mark == "wrap" and node.prose else node.mark
+        settle()
 
 
 def blocks(page: str) -> list[tuple[_Node, str]]:
     """The blocks of text in page order, each with its innermost block-level node."""
-    root = _Node("", None, False)
-    at, out, held = root, [], []
+    root = _Node("", None)
+    at, out, held, nodes = root, [], [], [root]
 
     def end_block() -> None:
         if held:
@@ -154,10 +243,12 @@ def blocks(page: str) -> list[tuple[_Node, str]]:
                 at = last.parent
         elif tag[0] == "h" and tag[1:].isdigit() and at.tag[:1] == "h" and at.tag[1:].isdigit():
             at = at.parent
-        at = _Node(tag, at, at.aside or _is_aside(tag, found[4] or "", at))
+        at = _Node(tag, at, found[4] or "")
+        nodes.append(at)
     if place < len(page):
         held.append(page[place:])
     end_block()
+    _release(nodes, out)
     return out
 
 

@@ -92,6 +92,44 @@ def test_small_and_broken_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+STORY = ("<h1>A headline</h1><p>First text, with marks. More of it, and more.</p>"
+         "<p>Second one; it goes on, for a while.</p>")
+TOLD = ("A headline\n\nFirst text, with marks. More of it, and more.\n\n"
+        "Second one; it goes on, for a while.")
+MENU = "<nav><a href=/>Home</a></nav>"
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<div class='content-sidebar-wrap'>", "<div id=page class='no-sidebar'>", "<form action=/>",
+    "<div class='site has-header widget'>", "<div class=sidebar>", "<div id=form><div class=share>",
+    "<section class='banner'>", "<form><div class=no-comments>"])
+@pytest.mark.parametrize("inner", ["", "<article>", "<main>", "<main><article>"])
+def test_marked_wrappers_keep_the_text(wrapper, inner):
+    page = f"<body>{MENU}{wrapper}{inner}{STORY}</body>"
+    assert html_text.main_text(page) == TOLD
+    page = f"<body>{MENU}<div class='ad'>Buy, buy!</div>{wrapper}<nav>x</nav>{inner}{STORY}"
+    assert html_text.main_text(page) == TOLD
+
+
+def test_articles_in_marked_nodes_keep_the_text():
+    page = "".join(f"<div class=widget><article><p>Text {i}, of it.</p></article></div>"
+                   for i in range(3))
+    assert html_text.main_text(page) == "Text 0, of it.\n\nText 1, of it.\n\nText 2, of it."
+    page = page.replace("article", "section")
+    assert html_text.main_text(page) == "Text 0, of it.\n\nText 1, of it.\n\nText 2, of it."
+
+
+@pytest.mark.parametrize("mark", [
+    "div class=sidebar", "div class='sidebar-left'", "div id=cookie-notice", "div class='site-footer'",
+    "div class='post-comments'", "div class='x share-buttons'", "form", "aside", "footer"])
+def test_marked_nodes_beside_the_text_are_no_text(mark):
+    more = f"<{mark}><p>Other things, quite some.</p></{mark.split()[0]}>"
+    assert html_text.main_text(f"<body>{MENU}<div>{STORY}{more}</div></body>") == TOLD
+    assert html_text.main_text(f"<body><div class=no-sidebar>{more}<main>{STORY}</main>") == TOLD
+    comments = "<div id=comments>" + "<article><p>I, too, say so; yes, I do!</p></article>" * 40
+    assert html_text.main_text(f"<body><article>{STORY}</article>{comments}</div></body>") == TOLD
+
+
 def test_a_very_long_page_takes_time_in_proportion():
     body = "".join(f"<p>Sentence number {i}, with a comma.</p>" for i in range(20000))
     out = html_text.main_text(f"<body><article>{body}</article></body>")
