@@ -8,9 +8,12 @@ it; inline tags don't count. For each path the page is summed up:
 
 Both sequences, in the order in which paths first appear, are smoothed with a
 Gaussian window, fused into one score (their product, times the spread of the text
-lengths), and paths above a threshold relative to the best are content. The content
-area is the smallest article, main or other container that holds the content paths;
-all its blocks count, short ones too. Nodes that are by their tag, class, id or role
+lengths), and paths above a threshold relative to the best are content. The core of
+the page is the smallest article, main or other container that holds the content
+paths; all its blocks count, short ones too. The content area is the widest container
+around it: the outermost article or main, or a node further up that has a heading
+before it; the whole page if there is neither article nor main around the core. What
+lies there beside the core counts, too, but for lists of links. Nodes that are by their tag, class, id or role
 no main text (menus, headers, footers, sidebars, notices, adverts, forms, reader
 comments) are never part of it, scripts and styles are no text at all. A name counts
 only as a whole ("sidebar", "sidebar-left", not "no-sidebar"), and a mark doesn't hold
@@ -47,6 +50,7 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*>", re.S | re.I)
 _LABEL = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_HREF = re.compile(r"\bhref\b", re.I)
 _WORD = re.compile(r"[a-z]+")
 
 _BLOCK = set("""address article aside blockquote body button caption center dd details dialog dir
@@ -78,15 +82,16 @@ _OF_TEXT = set("article entry main page post".split())
 _ONLY_ASIDE = set("""ad ads advert adverts advertisement advertising breadcrumb breadcrumbs consent
 contentinfo cookie cookies disqus menu menubar nav navbar navigation pager pagination""".split())
 _PROSE = set("article main section p blockquote pre h1 h2 h3 h4 h5 h6".split())
+_HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 _PUNCTUATION = set(string.punctuation) | set("。、，！？；：…«»“”„’–—¿¡")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "mark", "aside", "path", "inside", "mass", "articles", "main",
-                 "prose")
+    __slots__ = ("tag", "parent", "depth", "mark", "aside", "path", "inside", "mass", "articles",
+                 "main", "prose")
 
     def __init__(self, tag: str, parent: _Node | None, attributes: str = ""):
-        self.tag, self.parent = tag, parent
+        self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 0
         self.path = f"{parent.path}/{tag}" if parent else tag
         self.inside = parent is not None and (parent.inside or parent.tag in ("article", "main"))
         self.mark = _mark(tag, attributes, self.inside) if parent else ""
@@ -125,7 +130,7 @@ def _mark(tag: str, attributes: str, inside: bool) -> str:
     return "wrap" if words or tag in _ASIDE_TAGS or tag == "header" and not inside else ""
 
 
-def _release(nodes: list[_Node], found: list[tuple[_Node, str]]) -> None:
+def _release(nodes: list[_Node], found: list[tuple[_Node, str, int]]) -> None:
     """Set ``aside``: a node is one by its own mark or by that of a node around it. Marks don't
     hold for nodes
 
@@ -143,7 +148,7 @@ def _release(nodes: list[_Node], found: list[tuple[_Node, str]]) -> None:
         ends = node.tag == "main" or node.tag == "article" and above == "only"
         own = node.mark if node.mark in ("hidden", "comment", "only") else ""
         dead[id(node)] = "hidden" if above == "hidden" else own or ("" if ends else above)
-    for node, text in found:
+    for node, text, _ in found:
         if not dead[id(node)]:
             node.mass += len(text) * (1 + sum(map(text.count, _PUNCTUATION)))
     for node in reversed(nodes):
@@ -184,28 +189,38 @@ def _release(nodes: list[_Node], found: list[tuple[_Node, str]]) -> None:
         for node in marked:
             node.mark = "" if node.articles else node.mark
         settle()
-    if all(node.aside for node, _ in found):
+    if all(node.aside for node, _, _ in found):
         for node in marked:
             node.mark = "" if node.mark == "wrap" and node.prose else node.mark
         settle()
 
 
-def blocks(page: str) -> list[tuple[_Node, str]]:
-    """The blocks of text in page order, each with its innermost block-level node."""
+def blocks(page: str) -> list[tuple[_Node, str, int]]:
+    """The blocks of text in page order, each with its innermost block-level node and, if it is
+    mostly links, their number."""
     root = _Node("", None)
     at, out, held, nodes = root, [], [], [root]
+    link: _Node | None = None  # the node in which a link has begun
+    linked: list[str] = []
+    links = 0
 
     def end_block() -> None:
+        nonlocal links
         if held:
             words = " ".join(html.unescape("".join(held)).split())
+            most = linked and 2 * len("".join("".join(linked).split())) >= len("".join(words.split()))
             held.clear()
+            linked.clear()
             if words:
-                out.append((at, words))
+                out.append((at, words, max(1, links) if most else 0))
+        links = 0
 
     place = 0
     for found in _TOKEN.finditer(page):
         if found.start() > place:
             held.append(page[place:found.start()])
+            if link:
+                linked.append(held[-1])
         place = found.end()
         tag = (found[3] or "").lower()
         if not tag:
@@ -214,6 +229,9 @@ def blocks(page: str) -> list[tuple[_Node, str]]:
             if tag in ("br", "hr"):
                 held.append(" ")
             continue
+        if tag == "a":
+            link = at if not found[2] and _HREF.search(found[4] or "") else None
+            links += link is not None
         if tag not in _BLOCK:
             continue
         end_block()
@@ -223,6 +241,7 @@ def blocks(page: str) -> list[tuple[_Node, str]]:
                 node = node.parent
             if node:
                 at = node.parent
+                link = link if link and link.depth <= at.depth else None
             continue
         if tag in ("html", "body"):
             node = at
@@ -243,21 +262,24 @@ def blocks(page: str) -> list[tuple[_Node, str]]:
                 at = last.parent
         elif tag[0] == "h" and tag[1:].isdigit() and at.tag[:1] == "h" and at.tag[1:].isdigit():
             at = at.parent
+        link = link if link and link.depth <= at.depth else None
         at = _Node(tag, at, found[4] or "")
         nodes.append(at)
     if place < len(page):
         held.append(page[place:])
+        if link:
+            linked.append(held[-1])
     end_block()
     _release(nodes, out)
     return out
 
 
-def path_scores(found: list[tuple[_Node, str]]) -> dict[str, float]:
+def path_scores(found: list[tuple[_Node, str, int]]) -> dict[str, float]:
     """The fused, smoothed score of every tag path."""
     texts: dict[str, list[int]] = {}
     marks: dict[str, int] = {}
     nodes: dict[str, set[int]] = {}
-    for node, text in found:
+    for node, text, _ in found:
         texts.setdefault(node.path, []).append(len(text))
         marks[node.path] = marks.get(node.path, 0) + sum(map(text.count, _PUNCTUATION))
         nodes.setdefault(node.path, set()).add(id(node))
@@ -290,30 +312,52 @@ def _ancestors(node: _Node) -> list[_Node]:
 def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     if not page:
         return ""
-    found = [(node, text) for node, text in blocks(page) if not node.aside]
+    found = [block for block in blocks(page) if not block[0].aside]
     score = path_scores(found)
     if not score:
         return ""
     least = threshold * max(score.values())
-    chosen = [_ancestors(node) for node, _ in found if score[node.path] >= least]
-    area = chosen[0]
+    chosen = [_ancestors(node) for node, _, _ in found if score[node.path] >= least]
+    core = chosen[0]
     for line in chosen[1:]:
         same = 0
-        while same < min(len(area), len(line)) and area[same] is line[same]:
+        while same < min(len(core), len(line)) and core[same] is line[same]:
             same += 1
-        area = area[:same]
-    named = [i for i, node in enumerate(area) if node.tag in ("article", "main")]
+        core = core[:same]
+    named = [i for i, node in enumerate(core) if node.tag in ("article", "main")]
     if named:
-        area = area[:named[-1] + 1]
-    elif area[-1].tag in _LEAVES and len(area) > 1:
-        while len(area) > 1 and area[-1].tag in _LEAVES:
-            area = area[:-1]
-    top = area[-1]
-    inside: dict[int, bool] = {}
-    for node, _ in found:
-        if id(node) not in inside:
-            inside[id(node)] = any(x is top for x in _ancestors(node))
-    return "\n\n".join(text for node, text in found if inside[id(node)])
+        core = core[:named[-1] + 1]
+    elif core[-1].tag in _LEAVES and len(core) > 1:
+        while len(core) > 1 and core[-1].tag in _LEAVES:
+            core = core[:-1]
+    return "\n\n".join(_area(found, core, named[0] if named else 0))
+
+
+def _area(found: list[tuple[_Node, str, int]], core: list[_Node], level: int) -> list[str]:
+    """The texts of the widest container around the core, without the lists of links beside the
+    core. It is the node of the core's line at ``level``, or one above it that has a heading
+    before that node."""
+    # Per node: where it leaves the core's line, what it belongs to there, if it is a heading.
+    known: dict[int, tuple[int, int, bool]] = {id(n): (i, 0, False) for i, n in enumerate(core)}
+    at: list[tuple[int, int, bool]] = []
+    links: dict[int, int] = {}
+    for number, (node, _, n) in enumerate(found):
+        up = []
+        while id(node) not in known:
+            up.append(node)
+            node = node.parent
+        for node in reversed(up):
+            place, part, heading = known[id(node.parent)]
+            known[id(node)] = (place, part or id(node), heading or node.tag in _HEADINGS)
+        place, part, heading = known[id(node)]
+        at.append((place, part or -1 - number, heading))
+        links[at[-1][1]] = links.get(at[-1][1], 0) + n
+    begin = next(i for i, (place, _, _) in enumerate(at) if place >= level)
+    above = [place for (place, _, heading), block in zip(at[:begin], found)
+             if heading and not block[2]]
+    level = min([level, *above])
+    return [text for (place, part, _), (_, text, n) in zip(at, found)
+            if place >= level and (place == len(core) - 1 or not n or links[part] < 2)]
 
 
 def extracted(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",

@@ -130,6 +130,30 @@ def test_marked_nodes_beside_the_text_are_no_text(mark):
     assert html_text.main_text(f"<body><article>{STORY}</article>{comments}</div></body>") == TOLD
 
 
+LONG = "".join(f"<p>Paragraph {i}{', and more of it' * i}.</p>" for i in range(9))
+LINKS = "<div><ul><li><a href=/a>One thing</a><li><a href=/b>Another thing</a></ul></div>"
+
+
+@pytest.mark.parametrize("page", [
+    "<div><h1>Title</h1><p>lead</p><div>{}</div><p>The end</p></div>",
+    "<body><ul><li><a href=/>Home</a><li><a href=/b>B</a></ul><div><h1>Title</h1><h2>lead</h2></div>"
+    "<div><div>{}</div><p>The end</p></div><p><a href=/>Home</a> <a href=/c>C</a></p></body>",
+    "<main><h1>Title</h1><p>lead</p><article>{}</article>" + LINKS + "<p>The end</p></main>",
+    "<body>" + LINKS + "<p>not this</p><div><h1>Title</h1><p>lead</p><article>{}<p>The end</p>"
+    "</article></div><p>nor this</p></body>",
+    "<main><article><h1>Title</h1>lead<section>{}</section></article>The end</main><div>x</div>"])
+def test_headline_lead_and_end_beside_the_paragraphs(page):
+    out = html_text.main_text(page.format(LONG)).split("\n\n")
+    assert out[:3] == ["Title", "lead", "Paragraph 0."] and out[-1] == "The end"
+    assert len(out) == 12
+
+
+def test_links_in_the_core_and_single_ones_are_text():
+    page = f"<div><p><a href=/s>Source</a></p><div>{LONG}{LINKS}</div><p>a <a name=x>b<p>c</div>"
+    out = html_text.main_text(page).split("\n\n")
+    assert out[0] == "Source" and out[10:] == ["One thing", "Another thing", "a b", "c"]
+
+
 def test_a_very_long_page_takes_time_in_proportion():
     body = "".join(f"<p>Sentence number {i}, with a comma.</p>" for i in range(20000))
     out = html_text.main_text(f"<body><article>{body}</article></body>")
