@@ -5,7 +5,8 @@
 * Document frequencies come from *all* training documents, in one distributed pass.
 * Weights are trained by follow-the-regularised-leader (FTRL-proximal) with an
   elastic-net penalty, on a bounded sample of the labelled rows: about
-  ``PER_LANGUAGE`` documents of every language, chosen by a hash, whole texts.
+  ``PER_LANGUAGE`` documents of every language, fewer of each if there are many
+  languages, chosen by a hash, whole texts. No language is left out.
 * A part of that sample is held back to fit one temperature, so that the score of
   a prediction is a calibrated probability.
 
@@ -33,10 +34,14 @@ BITS = 15
 ORDERS = (1, 2, 3)
 #: Labelled documents of each language in the training sample, about.
 PER_LANGUAGE = 400
-#: All languages together never bring more than so many.
+#: All languages together bring no more than about so many: with many languages each brings
+#: fewer, but not less than ``LEAST_ROWS`` different ones (or all that it has).
 SAMPLE_LIMIT = 20_000
+LEAST_ROWS = 5
 #: Every so many-th sample row fits the temperature instead of the weights.
 CALIBRATION = 5
+#: Documents draw a place below this, by a hash; the first places are taken.
+PLACES = 1 << 30
 PIECE = 1 << 18
 UNKNOWN = "und"
 
@@ -156,69 +161,96 @@ def fitted_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return math.exp((low + high) / 2)
 
 
-def _frequencies(docs: DataFrame, bits: int) -> tuple[np.ndarray, int]:
-    """Of all training documents: in how many each n-gram stands, and how many there are."""
+def _frequencies(docs: DataFrame, bits: int
+                 ) -> tuple[np.ndarray, int, dict[str, tuple[int, list[int]]]]:
+    """Of all training documents: in how many each n-gram stands, how many there are, and for
+    each language how many it has and the first places that they drew."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, seen, total = _letters(), np.zeros(1 << bits, np.int64), 0
+        sizes: dict[str, int] = {}
+        first: dict[str, list[int]] = {}
         for rows in tx.slices(batches):
-            for text in rows["text"]:
+            for lang, text, place in zip(rows["lang"], rows["text"], rows["place"]):
                 if has_letter(text):
                     seen += ngram_counts(text, letters, bits) > 0
                     total += 1
+                    sizes[lang] = sizes.get(lang, 0) + 1
+                    first[lang] = sorted({*first.get(lang, ()), place})[:LEAST_ROWS]
         used = np.flatnonzero(seen)
+        grams, names = len(used) + 1, list(sizes)
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.append(used, -1)), pa.array(np.append(seen[used], total))],
-            names=["gram", "n"])
-
-    rows = docs.mapInArrow(run, "gram long, n long").groupBy("gram").agg(
-        F.sum("n").alias("n")).collect()  # at most 2 ** bits + 1 rows
-    df, total = np.zeros(1 << bits), 0
-    for gram, n in rows:
-        if gram < 0:
+            pa.array([*used, -1, *[None] * len(names)], pa.int64()),
+            pa.array([*seen[used], total, *sizes.values()], pa.int64()),
+            pa.array([None] * grams + names, pa.string()),
+            pa.array([None] * grams + [first[x] for x in names], pa.list_(pa.int64()))],
+            names=["gram", "n", "lang", "places"])
+
+    rows = docs.select("lang", "text", _place().alias("place")).mapInArrow(
+        run, "gram long, n long, lang string, places array<long>").groupBy("gram", "lang").agg(
+        F.sum("n").alias("n"), F.slice(F.array_sort(F.array_distinct(F.flatten(
+            F.collect_list("places")))), 1, LEAST_ROWS).alias("places")
+        ).collect()  # at most 2 ** bits + 1 rows, and one for each language
+    df, total, sizes = np.zeros(1 << bits), 0, {}
+    for gram, lang, n, places in rows:
+        if gram is None:
+            sizes[lang] = (n, places)
+        elif gram < 0:
             total = n
         else:
             df[gram] = n
-    return df, total
+    return df, total, sizes
 
 
-def _sample(docs: DataFrame, per_language: int, bits: int) -> list[tuple[str, bytes, bytes]]:
+def _place() -> Column:
+    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(PLACES))
+
+
+def _sample(docs: DataFrame, sizes: dict[str, tuple[int, list[int]]], per_language: int,
+            bits: int) -> list[tuple[str, bytes, bytes]]:
     """(language, n-gram numbers, counts) of a bounded choice of the training documents."""
-    sizes = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(
-        SAMPLE_LIMIT // max(1, per_language)).collect()}
     if not sizes:
         return []
+    each = min(per_language, max(LEAST_ROWS, SAMPLE_LIMIT // len(sizes)))
+    share = {lang: math.ceil(PLACES * min(1.0, each / n)) for lang, (n, _) in sizes.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters = _letters()
+        letters, extra = _letters(), set()
         for rows in tx.slices(batches):
             out = []
-            for lang, text in zip(rows["lang"], rows["text"]):
-                if has_letter(text):
+            for lang, text, place in zip(rows["lang"], rows["text"], rows["place"]):
+                if not has_letter(text):
+                    continue
+                # Past the share only the first places count, each once for all its repeats.
+                past = place if place >= share[lang] else None
+                if past is None or (lang, past) not in extra:
+                    extra.add((lang, past))
                     counts = ngram_counts(text, letters, bits)
                     used = np.flatnonzero(counts).astype(np.int32)
-                    out.append((lang, used.tobytes(), counts[used].astype(np.int32).tobytes()))
-            columns = zip(*out) if out else ([], [], [])
+                    out.append((lang, past, used.tobytes(),
+                                counts[used].astype(np.int32).tobytes()))
+            columns = zip(*out) if out else ([], [], [], [])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.binary(), pa.binary()))],
-                names=["lang", "grams", "counts"])
+                [pa.array(c, t) for c, t in zip(
+                    columns, (pa.string(), pa.int64(), pa.binary(), pa.binary()))],
+                names=["lang", "past", "grams", "counts"])
 
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items()
-                           for x in (lang, min(1.0, per_language / n))])
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = docs.filter(draw < share[F.col("lang")])
-    rows = chosen.select("lang", "text").mapInArrow(
-        run, "lang string, grams binary, counts binary").collect()
-    return sorted((r["lang"], bytes(r["grams"]), bytes(r["counts"])) for r in rows)
+    ends = F.create_map(*[F.lit(x) for lang, (_, first) in sizes.items()
+                          for x in (lang, max(share[lang], first[-1] + 1))])
+    chosen = docs.withColumn("place", _place()).filter(F.col("place") < ends[F.col("lang")])
+    rows = chosen.select("lang", "text", "place").mapInArrow(
+        run, "lang string, past long, grams binary, counts binary").collect()
+    taken = [r for r in rows if r["past"] is None]
+    taken += {(r["lang"], r["past"]): r for r in rows if r["past"] is not None}.values()
+    return sorted((r["lang"], bytes(r["grams"]), bytes(r["counts"])) for r in taken)
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, bits: int = BITS) -> Model | None:
     """A model from all rows of (doc_id, text, lang); None if there is nothing to learn from."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()
                          & F.col("doc_id").isNotNull())
-    df, total = _frequencies(usable, bits)
-    sample = _sample(usable, per_language, bits)
+    df, total, sizes = _frequencies(usable, bits)
+    sample = _sample(usable, sizes, per_language, bits)
     if not sample:
         return None
     languages = sorted({lang for lang, _, _ in sample})

@@ -208,6 +208,38 @@ def test_held_out_accuracy(spark, medium):
     assert len(right) > 100 and sum(right) / len(right) > 0.98
 
 
+def spoken(spark, languages, rows):
+    """Languages of two letters each: (doc_id, text, lang)."""
+    made = []
+    for k in range(languages):
+        a, b = chr(0x4E00 + 2 * k), chr(0x4E01 + 2 * k)
+        made += [(1000 * k + i, f"{a * (i % 5 + 1)} {b * 3} {a}{b}{a}", f"l{k:03}")
+                 for i in range(rows + 20 * (k < 50))]
+    return spark.createDataFrame(made, "doc_id long, text string, lang string")
+
+
+def test_more_languages_than_the_sample_has_room_for_at_full_size(spark):
+    docs = spoken(spark, 60, 6)
+    model = langid.train(docs)
+    assert len(model.languages) == 60
+    said = langid.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert all(r["lang"] == r["lang_pred"] for r in said)
+
+
+@pytest.mark.parametrize("limit", [1, 200])
+def test_the_sample_shrinks_and_no_language_goes(spark, monkeypatch, limit):
+    monkeypatch.setattr(langid, "SAMPLE_LIMIT", limit)
+    docs = spoken(spark, 20, 80)
+    rows = langid._sample(docs, langid._frequencies(docs, 12)[2], 400, 12)
+    of = Counter(lang for lang, _, _ in rows)
+    assert len(of) == 20 and min(of.values()) >= langid.LEAST_ROWS
+    assert len(rows) < 2 * max(limit, 20 * langid.LEAST_ROWS)
+    same = spark.createDataFrame([(1, "ab", "x")] * 500 + [(2, None, "y"), (3, "12", "z")],
+                                 "doc_id long, text string, lang string")
+    rows = langid._sample(same, langid._frequencies(same, 12)[2], 4, 12)
+    assert {lang for lang, _, _ in rows} == {"x"} and len(rows) in (1, 500)
+
+
 def test_counts_do_not_depend_on_pieces():
     letters = langid._letters()
     text = prose(5, 300) + " Ünï 漢字 \U0001f600"
