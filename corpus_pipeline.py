@@ -33,11 +33,14 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    kept = neardup.near_duplicates(docs).filter(F.col("kept") & F.col("doc_id").isNotNull())
-    one = docs.join(kept.select("doc_id").distinct(), "doc_id", "left_semi")
-    return one.dropDuplicates(["doc_id"]).select(docs.columns).union(
-        docs.filter("doc_id is null"))
+    """One document of each group of near copies stays: that of the smallest id, null last."""
+    keyed = docs.withColumn("_key", _key())
+    groups = neardup.near_duplicates(keyed, id_col="_key").select(
+        F.col("doc_id").alias("_key"), F.col("component_id").alias("_group")).distinct()
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "_key", *rest, "text")
+    one = keyed.join(groups, "_key").groupBy("_group").agg(F.min(order).alias("_one"))
+    return one.select("_one.*").select(docs.columns)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
