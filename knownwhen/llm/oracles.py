@@ -181,3 +181,109 @@ SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+ORACLES["op11_digest_index"] = r"""
+WITH d AS (
+    SELECT doc_id, length(coalesce(text, '')) AS n,
+           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256,
+           row_number() OVER () AS row
+    FROM documents),
+g AS (
+    SELECT *, first_value(doc_id) OVER best AS keep_id, row_number() OVER best AS place,
+           count(*) OVER (PARTITION BY text_sha256) AS group_size
+    FROM d WINDOW best AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST, row))
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM g
+"""
+
+# Every pair of sources over every kept term, without a tree and without zero shares apart.
+ORACLES["op12_source_divergence"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents),
+used AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+kept AS (
+    SELECT lang, term, count(*) AS n FROM used GROUP BY lang, term
+    HAVING count(DISTINCT row) >= 3),
+per AS (
+    SELECT lang, source, term, count(*) AS n FROM used JOIN kept USING (lang, term)
+    GROUP BY lang, source, term),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+groups AS (
+    SELECT g.lang, g.source, coalesce(t.n, 0) AS n
+    FROM (SELECT DISTINCT lang, source FROM d) g
+    LEFT JOIN (SELECT lang, source, sum(n) AS n FROM per GROUP BY lang, source) t
+         USING (lang, source)),
+p AS (
+    SELECT g.lang, g.source, k.term, coalesce(per.n, 0) AS n,
+           (1 + 1000000000::HUGEINT * (coalesce(per.n, 0) + 1) // (g.n + l.v)::HUGEINT) AS p,
+           (1 + 1000000000::HUGEINT * (k.n + 1) // (l.n + l.v)::HUGEINT) AS q
+    FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang)
+    LEFT JOIN per ON per.lang = g.lang AND per.source = g.source AND per.term = k.term),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item,
+           sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+    GROUP BY ALL),
+every AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part
+                                 ORDER BY value DESC, encode(item)) AS rank FROM every)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+# All pairs of equal words at most a quarter of the text apart; what lies next to each other at
+# one distance is a stretch, and of stretches over the same words the shortest period counts.
+ORACLES["op13_periodic_runs"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+           xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+               list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+               lambda crc, byte: list_reduce(
+                   list_prepend(xor(crc, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                   lambda x, step: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384::BIGINT
+                                                    ELSE 0::BIGINT END)))) AS h
+    FROM documents),
+plan AS (
+    SELECT *, len(words)::BIGINT AS n,
+           CASE WHEN h % 10 = 0 AND len(words) > 0 THEN (h // 10) % len(words) END AS a
+    FROM d),
+w AS (
+    SELECT row, n, i, words[1 + CASE WHEN a IS NULL OR i < a THEN i
+                                     ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END
+                           ] AS word
+    FROM (SELECT *, unnest(range(n)) AS i FROM plan)),
+stretch AS (
+    SELECT row, q, min(i) AS s, max(i) + 1 + q AS e FROM (
+        SELECT *, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS island FROM (
+            SELECT x.row, x.i, y.i - x.i AS q
+            FROM w x JOIN w y ON x.row = y.row AND x.word = y.word AND y.i > x.i
+                             AND 4 * (y.i - x.i) <= x.n))
+    GROUP BY row, q, island HAVING max(i) + 1 + q - min(i) >= greatest(6, 4 * q)),
+run AS (
+    SELECT * FROM stretch r WHERE NOT EXISTS (
+        SELECT 1 FROM stretch o WHERE o.row = r.row AND o.q < r.q AND o.s <= r.s AND o.e >= r.e)),
+listed AS (
+    SELECT row, count(*) AS n_runs, string_agg(s || ',' || (e - s) || ',' || q || chr(10), ''
+                                               ORDER BY s, q) AS lines,
+           arg_min(struct_pack(s := s, length := e - s, q := q),
+                   struct_pack(short := s - e, s := s, q := q)) AS top
+    FROM run GROUP BY row),
+kept AS (
+    SELECT row, string_agg(word, ' ' ORDER BY i) AS text FROM w
+    WHERE NOT EXISTS (SELECT 1 FROM run r WHERE r.row = w.row AND w.i >= r.s + r.q AND w.i < r.e)
+    GROUP BY row)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, top.s::BIGINT AS start,
+       top.length::BIGINT AS length, top.q::BIGINT AS period,
+       (1000 * top.length // top.q)::BIGINT AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed USING (row) LEFT JOIN kept USING (row)
+"""

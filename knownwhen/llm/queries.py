@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from knownwhen.llm import (
-    decontam, html_text, langid, mixing, neardup, pii, sharding, tokenfile, topk, warc)
+    decontam, digest_index, divergence, html_text, langid, mixing, neardup, pii, runs, sharding,
+    tokenfile, topk, warc)
 from knownwhen.llm.oracles import ORACLES  # noqa: F401 - read by the entry
 from knownwhen.llm.frames import table
 
@@ -70,3 +73,29 @@ def op9_decontamination(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op10_vector_sharding(spark: SparkSession, d: str) -> DataFrame:
     return sharding.sharded(table(spark, d, "documents"))
+
+
+@query
+def op11_digest_index(spark: SparkSession, d: str) -> DataFrame:
+    return digest_index.exact_duplicates(table(spark, d, "documents"))
+
+
+@query
+def op12_source_divergence(spark: SparkSession, d: str) -> DataFrame:
+    return divergence.audited(table(spark, d, "documents"))
+
+
+def _planted(doc_id: int | None, n: int) -> np.ndarray | None:
+    """One document in ten (by the checksum of its id) repeats a stretch of its words to its end."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return None
+    begin = h // 10 % n
+    period = 1 + (n - begin) // (3 + h // 10 % 8)
+    at = np.arange(n)
+    return np.where(at < begin, at, begin + (at - begin) % period)
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    return runs.digests(runs.periodic_runs(table(spark, d, "documents"), order=_planted))

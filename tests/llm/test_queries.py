@@ -15,7 +15,7 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) < set(contract.queries()) and "pipeline" in contract.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
