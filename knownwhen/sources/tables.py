@@ -1,14 +1,20 @@
-"""Published tables: their names, what they hold, and how they are laid out."""
+"""Published tables: their names, what they hold, and how they are laid out.
+
+Every version of a table is a folder of its own, and its log names the current one, so a
+table is replaced as a whole or not at all, and a change may read the table it replaces.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from knownwhen.operators.quality import watch
+from knownwhen.sources.versions import ConcurrentChange, Log
 
 
 @dataclass(frozen=True)
@@ -46,14 +52,27 @@ CATALOGUE = {t.name: t for t in [
 ]}
 
 
-def publish(rows: DataFrame, root: str, name: str) -> str:
-    """Overwrite a published table; returns its path."""
-    return _write(_clustered(rows, name), root, name)
+def log_of(spark: SparkSession, root: str, name: str) -> Log:
+    return Log(spark, f"{root}/{CATALOGUE[name].layer}/{name}")
+
+
+def version_of(spark: SparkSession, root: str, name: str) -> int:
+    """The current version of a table, 0 if it was never published."""
+    return log_of(spark, root, name).latest()[0]
+
+
+def publish(rows: DataFrame, root: str, name: str, based_on: int | None = None) -> str:
+    """Replace a published table; returns the folder of its rows.
+
+    ``based_on`` is the version that the rows were made from (by default the current one):
+    if another one was published since, nothing changes and :class:`ConcurrentChange` is raised.
+    """
+    return _write(_clustered(rows, name), root, name, based_on)
 
 
 def publish_watched(rows: DataFrame, root: str, name: str, rules: Mapping[str, Column]
                     ) -> dict[str, int]:
-    """Overwrite a published table and count ``rows`` and the breaches of each rule.
+    """Replace a published table and count ``rows`` and the breaches of each rule.
 
     Rows are looked at after they are laid out, in the stage that writes them.
     """
@@ -62,14 +81,31 @@ def publish_watched(rows: DataFrame, root: str, name: str, rules: Mapping[str, C
     return seen.get
 
 
+def update(spark: SparkSession, root: str, name: str, change: Callable[[DataFrame], DataFrame],
+           attempts: int = 5) -> int:
+    """Publish ``change`` of the current rows; returns the new version.
+
+    Where somebody else was faster, the change is made again from what they published.
+    """
+    for left in reversed(range(attempts)):
+        version = version_of(spark, root, name)
+        try:
+            publish(change(read_published(spark, root, name)), root, name, version)
+            return version + 1
+        except ConcurrentChange:
+            if not left:
+                raise
+    raise ValueError("at least one attempt is needed")
+
+
 def create_if_absent(spark: SparkSession, root: str, name: str, schema: StructType) -> bool:
     """An empty table with the schema's column comments, unless it is there; says which."""
-    table = CATALOGUE[name]
-    path = f"{root}/{table.layer}/{table.name}"
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+    if version_of(spark, root, name):
+        return False
+    try:
+        publish(spark.createDataFrame([], schema), root, name, 0)
+    except ConcurrentChange:
         return False
-    spark.createDataFrame([], schema).write.parquet(path)
     return True
 
 
@@ -78,16 +114,27 @@ def _clustered(rows: DataFrame, name: str) -> DataFrame:
     return rows.repartitionByRange(*by).sortWithinPartitions(*by) if by else rows
 
 
-def _write(rows: DataFrame, root: str, name: str) -> str:
-    table = CATALOGUE[name]
-    path = f"{root}/{table.layer}/{table.name}"
-    rows.write.mode("overwrite").parquet(path)
-    return path
+def _write(rows: DataFrame, root: str, name: str, based_on: int | None = None) -> str:
+    log = log_of(rows.sparkSession, root, name)
+    version = log.latest()[0] if based_on is None else based_on
+    folder = f"rows-{uuid.uuid4().hex}"
+    rows.write.parquet(f"{log.path}/{folder}")
+    log.commit(version, {"folder": folder})
+    return f"{log.path}/{folder}"
+
+
+def folder_of(spark: SparkSession, root: str, name: str, version: int | None = None) -> str:
+    """Where the rows of a table's current (or an earlier, kept) version are."""
+    log = log_of(spark, root, name)
+    number = version or log.latest()[0]
+    if not number:
+        raise LookupError(f"{name} was never published under {root}")
+    return f"{log.path}/{log.state(number)['folder']}"
 
 
-def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    table = CATALOGUE[name]
-    return spark.read.parquet(f"{root}/{table.layer}/{table.name}")
+def read_published(spark: SparkSession, root: str, name: str,
+                   version: int | None = None) -> DataFrame:
+    return spark.read.parquet(folder_of(spark, root, name, version))
 
 
 def describe(spark: SparkSession) -> DataFrame:

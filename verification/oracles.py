@@ -655,6 +655,20 @@ ORACLES: dict[str, str] = {
                 ("fact_fundamental_pit", "pit", "revision_seq_positive", "revision_seq >= 1"),
                 ("fact_fundamental_pit", "pit", "value_positive", "value > 0")))),
     "expect_fail": _sql(_SUB, "SELECT form, count(*) AS filings FROM silver_sub GROUP BY form"),
+    "company_function": _sql(
+        ["registrant", "company"], f"""
+        SELECT t.cik, t.name, t.sic, t.fye, n.name AS name_now, n.version_seq AS versions
+        FROM company t JOIN company n USING (cik)
+        WHERE n.is_current AND t.valid_from_ts <= TIMESTAMP '{q.AS_OF}'
+          AND t.valid_to_ts > TIMESTAMP '{q.AS_OF}'"""),
+    "catalog_tables": _sql(
+        [*_PIT, "revision", "quarter_link", "control"], " UNION ALL ".join(
+            f"SELECT '{name}' AS name, '{layer}' AS layer, '{comment}' AS comment, "
+            f"CAST(2 AS INTEGER) AS version, count(*) AS \"rows\" FROM {source}"
+            for name, layer, comment, source in (
+                ("fact_fundamental_pit", "gold", "Knowledge intervals per fact", "pit"),
+                ("fact_revision", "gold", "Restatements", "revision"),
+                ("ingest_control", "ops", "One row per quarter to fetch", "control")))),
     "control_merge": _sql(["quarter_link", "control"], "SELECT * FROM control"),
     "control_transition": _sql(
         ["quarter_link", "control"], """
@@ -710,3 +724,5 @@ ORACLES: dict[str, str] = {
         _SUB, "SELECT adsh, cik, 'https://example.org/data/' || cik || '/' "
         "|| replace(adsh, '-', '') || '/' AS path FROM silver_sub"),
 }
+ORACLES["as_of_function"] = ORACLES["fundamental_as_of"]
+ORACLES["intervals_incremental"] = ORACLES["knowledge_intervals"]

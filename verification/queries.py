@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from knownwhen.functions.values import quarter_of
 from knownwhen.operators import asof, dedup, quality
 from knownwhen.plans import (
-    concepts, control, dimensions, factors, gold, invariants, monitor, publishing, silver,
-    snapshots)
+    concepts, control, dimensions, factors, gold, incremental, invariants, monitor, publishing,
+    silver, snapshots)
 from knownwhen.plans.gold import KEY
-from knownwhen.sources import delimited, files, links, tables
+from knownwhen.sources import catalog, delimited, files, links, tables
 from knownwhen.sources import driver_tables as dt
 from knownwhen.sources.schemas import CONTROL, RESCUED, raw_columns
 from knownwhen.sources.shared import new_folder, settle
@@ -138,6 +138,18 @@ def asof_grid(spark: SparkSession, d: str) -> DataFrame:
         "rebalance_dt", *KEY, "value", "revision_seq")
 
 
+@query
+def intervals_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """Filings arrive in four batches without regard to time, so most of the later ones are late;
+    after each the stored intervals are spliced, never rebuilt."""
+    rows = attributed(spark, d)
+    store = incremental.IntervalStore(spark, new_folder(spark, "intervals"), parts=16)
+    batch = F.pmod(F.xxhash64("adsh"), F.lit(8))
+    for share in ([0, 1, 2, 3, 4], [5], [6], [7]):
+        store.take(rows.where(batch.isin(share)))
+    return store.intervals()
+
+
 # ---------------------------------------------------------------- dimensions and concepts
 
 @query
@@ -541,6 +553,59 @@ def publish_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_published(spark, folder, "fact_fundamental_pit")
 
 
+# ---------------------------------------------------------------- catalog
+
+def _registered(spark: SparkSession, root: str) -> str:
+    """The database in which the tables under ``root`` can be selected from."""
+    database = "kw_" + root.rsplit("-", 1)[-1]
+    catalog.register(spark, root, database=database)
+    catalog.create_views(spark, database)
+    catalog.create_functions(spark, database)
+    return database
+
+
+@query
+def as_of_function(spark: SparkSession, d: str) -> DataFrame:
+    """The as-of question in SQL, as a table function over the published table."""
+    root = new_folder(spark, "gold")
+    tables.publish(pit(spark, d), root, "fact_fundamental_pit")
+    _registered(spark, root)
+    return spark.sql(
+        f"SELECT {', '.join(KEY)}, value, known_from_ts, source_adsh, revision_seq "
+        f"FROM fundamental_as_of(TIMESTAMP '{AS_OF}')")
+
+
+@query
+def company_function(spark: SparkSession, d: str) -> DataFrame:
+    """Company attributes at one instant beside today's, by function and view."""
+    root = new_folder(spark, "gold")
+    tables.publish(dimensions.company_scd2(dt.registrants(spark, d)), root, "dim_company_scd2")
+    database = _registered(spark, root)
+    return spark.sql(
+        f"SELECT t.cik, t.name, t.sic, t.fye, n.name AS name_now, n.version_seq AS versions "
+        f"FROM company_as_of(TIMESTAMP '{AS_OF}') t JOIN {database}.current_company n "
+        f"ON t.cik = n.cik")
+
+
+@query
+def catalog_tables(spark: SparkSession, d: str) -> DataFrame:
+    """What the catalog says of published tables, with the rows a SELECT finds in each. Tables
+    are published twice: entries move on to the second version."""
+    root, database = new_folder(spark, "gold"), ""
+    for _ in range(2):
+        held = tables.publish(pit(spark, d), root, "fact_fundamental_pit")
+        tables.publish(gold.fact_revision(spark.read.parquet(held)), root, "fact_revision")
+        tables.publish(_merged_control(spark, d), root, "ingest_control")
+        database = _registered(spark, root)
+    counted = None
+    for name, layer, comment, version in catalog.described(spark, database):
+        row = spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("name"), F.lit(layer).alias("layer"),
+            F.lit(comment).alias("comment"), F.lit(version).alias("version"), "rows")
+        counted = row if counted is None else counted.unionByName(row)
+    return counted
+
+
 # ---------------------------------------------------------------- control table
 
 def _links(spark: SparkSession, d: str) -> DataFrame:
@@ -569,24 +634,34 @@ _CONTROL_SHOWN = ["quarter", "zip_url", "status", "attempts", "last_error", "dis
 
 @query
 def control_merge(spark: SparkSession, d: str) -> DataFrame:
-    """The table is created on the first run only; what is discovered again changes nothing."""
+    """The table is created on the first run only; what is discovered again changes nothing.
+    Discoveries are offered as a temporary view, and the result is read from the catalog."""
     root = new_folder(spark, "control")
     for _ in range(2):
         tables.create_if_absent(spark, root, "ingest_control", CONTROL)
-        held = tables.read_published(spark, root, "ingest_control")
-        known = control.merge_discovered(held, _known_control(spark, d))
-        merged = control.merge_discovered(
-            known, control.offer(_links(spark, d), "2025-01-01 00:00:00"))
-        tables.publish(settle(merged, "control"), root, "ingest_control")
-    return tables.read_published(spark, root, "ingest_control").select(*_CONTROL_SHOWN)
+        for offered in (_known_control(spark, d),
+                        control.offer(_links(spark, d), "2025-01-01 00:00:00")):
+            offered.createOrReplaceTempView("offered_quarter")
+            tables.update(spark, root, "ingest_control", lambda held: control.merge_discovered(
+                held, spark.table("offered_quarter")))
+    shown = ", ".join(_CONTROL_SHOWN)
+    return spark.sql(f"SELECT {shown} FROM {_registered(spark, root)}.ingest_control")
 
 
 @query
 def control_transition(spark: SparkSession, d: str) -> DataFrame:
-    """Start everything open, finish the first halves of the years, fail the third quarters."""
-    merged = _merged_control(spark, d)
+    """Start everything open, finish the first halves of the years, fail the third quarters.
+    Each step is a published version of its own."""
+    root = new_folder(spark, "control")
+    tables.publish(_merged_control(spark, d), root, "ingest_control")
+    merged = tables.read_published(spark, root, "ingest_control")
     every = merged.select("quarter")
-    started = control.start(merged, every.union(every))  # asked for twice, done once
+
+    def change(step: Callable[[DataFrame, DataFrame], DataFrame], rows: DataFrame) -> DataFrame:
+        tables.update(spark, root, "ingest_control", lambda held: step(held, rows))
+        return tables.read_published(spark, root, "ingest_control")
+
+    started = change(control.start, every.union(every))  # asked for twice, done once
     per_quarter = dt.filings(spark, d).groupBy(quarter_of("accepted_ts").alias("quarter")).agg(
         F.count(F.lit(1)).alias("n"))
     running = started.where("status = 'RUNNING'").select("quarter").join(per_quarter, "quarter")
@@ -597,8 +672,8 @@ def control_transition(spark: SparkSession, d: str) -> DataFrame:
         F.lit("2025-02-01 00:00:00").alias("completed_at"))
     failed = running.where(F.col("quarter").endswith("q3")).select(
         "quarter", F.concat(F.lit("can't read "), F.repeat(F.lit("x"), F.lit(1000))).alias("error"))
-    moved = control.fail(control.finish(started, done.union(done)), failed.union(failed))
-    return moved.select(
+    change(control.finish, done.union(done))
+    return change(control.fail, failed.union(failed)).select(
         "quarter", "status", "attempts", "bytes_downloaded", "files_extracted",
         F.col("row_counts")["sub.txt"].alias("sub_rows"), "last_error", "completed_at")
 
