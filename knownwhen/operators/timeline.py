@@ -133,7 +133,9 @@ def build(rows: DataFrame, line: Timeline, final_state: bool = False,
                 local.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
         })
     )
-    joined = found.join(_across_slices(found, line, part), part, "left")
+    across = _across_slices(found, line, part)
+    same = [F.col(c) == F.col(f"_of_{c}") for c in part]
+    joined = found.join(across, same, "left").drop(*[f"_of_{c}" for c in part])
     # A slice whose first state equals the one carried in opens nothing there.
     repeats = F.coalesce(F.col("_repeats"), F.lit(False))
     first = F.col("_nth") == 1
@@ -162,18 +164,24 @@ def fold_instants(rows: DataFrame, line: Timeline, part: list[str]) -> DataFrame
 
 
 def _across_slices(found: DataFrame, line: Timeline, part: list[str]) -> DataFrame:
-    """One row per (key, slice) of the sliced entities: what its neighbours tell it."""
+    """One row per (key, slice) of the sliced entities: what its neighbours tell it.
+
+    Which rows are sliced, and the key to join by, are values of the aggregate: conditions
+    on these can't be pushed below the exchange that feeds ``found``. So both sides of the
+    join share that exchange, and the rows beneath are read and joined once.
+    """
     state = line.stated()
     edges = (
-        found.where(F.col(SLICE).isNotNull())
-        .groupBy(*part)
+        found.groupBy(*part)
         .agg(
+            *[F.max(c).alias(f"_of_{c}") for c in part],
             F.min_by(state, line.at).alias("_first"),
             F.max_by(state, line.at).alias("_last"),
             F.count("*").alias("_changes"),
             F.min(line.at).alias("_first_at"),
             F.min("_next").alias("_second_at"),
         )
+        .where(F.col(f"_of_{SLICE}").isNotNull())
     )
     slices = Window.partitionBy(*line.key).orderBy(SLICE)
     earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
@@ -186,7 +194,7 @@ def _across_slices(found: DataFrame, line: Timeline, part: list[str]) -> DataFra
         .withColumn("_starts", F.when(F.col("_repeats"), F.col("_second_at"))
                     .otherwise(F.col("_first_at")))
         .select(
-            *part, "_carried", "_repeats",
+            *[f"_of_{c}" for c in part], "_carried", "_repeats",
             F.sum(F.col("_changes") - F.col("_repeats").cast("int")).over(earlier)
              .alias("_changes_before"),
             F.first("_starts", ignorenulls=True).over(later).alias("_next_slice_change"),

@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -14,7 +15,7 @@ from knownwhen.plans import (
     concepts, control, dimensions, factors, gold, invariants, monitor, silver, snapshots)
 from knownwhen.sources import driver_tables as dt
 from knownwhen.sources.shared import settle
-from verification.queries import _raw
+from verification.queries import _raw, knowledge_intervals
 from tests.helpers import fact, frame, filings_of, intervals
 
 
@@ -265,3 +266,20 @@ def test_rounding_ties_follow_the_decimal_value(spark):
     got = [r.pct for r in df.select(
         rounded(relative_change("b", "a") * 100, 2).alias("pct")).collect()]
     assert got[:2] == [24.98, 12.5] and got[2] > 1e41
+
+
+def test_intervals_read_facts_once(spark, small):
+    """Without broadcasts: seven exchanges for facts and intervals, two for the concept map, and
+    those of the small filings table."""
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for name, value in held.items():
+        spark.conf.set(name, value)
+    try:
+        plan = knowledge_intervals(spark, small)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in held:
+            spark.conf.unset(name)
+    scans = re.findall(r"FileScan parquet \[(\w+?)_", plan)
+    assert scans.count("l") == 1 and scans.count("o") == 2  # filings, and their slices
+    exchanges = re.findall(r"(?<!Reused)Exchange \w+partitioning\((\w+)", plan)
+    assert len([e for e in exchanges]) <= 16 and "ReusedExchange" in plan

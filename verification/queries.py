@@ -478,8 +478,8 @@ def exclusion_funnel(spark: SparkSession, d: str) -> DataFrame:
 def reconcile_layers(spark: SparkSession, d: str) -> DataFrame:
     """The layers are published, then what they hold is compared with the raw rows."""
     root = new_folder(spark, "layers")
-    raw, mapping = dt.raw_facts(spark, d), dt.raw_concept_map(spark)
-    subs = _raw(dt.raw_submissions(spark, d))
+    raw, mapping = settle(dt.raw_facts(spark, d), "bronze-num"), dt.raw_concept_map(spark)
+    subs = _raw(settle(dt.raw_submissions(spark, d), "bronze-sub"))
     for name, rows in (
             ("num", silver.facts(_raw(raw), mapping)),
             ("num_quarantine", silver.facts_quarantine(raw)),
