@@ -66,14 +66,23 @@ class Run:
         self.counts[name] = tables.publish_watched(rows, self.root, name, contract.warn)
         return tables.read_published(self.spark, self.root, name)
 
-    def stream(self, source: DataFrame, feed: feeds.Feed,
+    def bronze(self, raw_root: str, kind: str, feed: feeds.Feed, layout: str) -> None:
+        """Take new raw files in, each by its own header; files that don't fit are counted."""
+        contract = self._of(f"{kind}_raw")
+        seen = feeds.ingest_by_header(self.spark, raw_root, kind, feed, layout,
+                                      contract=(contract.warn, contract.fail))
+        self.counts[f"{kind}_raw"] = seen[f"{kind}_raw"]
+
+    def stream(self, upstream: feeds.Feed, name: str, feed: feeds.Feed,
                steps: Mapping[str, feeds.Step]) -> dict[str, DataFrame]:
-        """Send a stream to tables under their contracts; returns them as written."""
-        seen = feeds.run_routed(source, steps, feed, {
-            name: (self._of(name).warn, self._of(name).fail) for name in steps})
-        for name, counts in seen.items():
-            self.counts[name] = counts
-        return {name: feeds.routed_rows(self.spark, feed, name) for name in steps}
+        """Send one sink of a feed on to tables under their contracts; returns them as written."""
+        seen = feeds.run_routed(
+            feeds.new_batches(self.spark, upstream), steps, feed,
+            {n: (self._of(n).warn, self._of(n).fail) for n in steps},
+            feeds.batches_of(upstream, name))
+        for table, counts in seen.items():
+            self.counts[table] = counts
+        return {n: feeds.routed_rows(self.spark, feed, n) for n in steps}
 
     def report(self) -> DataFrame:
         """(table, rows, rule, breaches): one row per rule, or one without a rule."""
@@ -96,14 +105,13 @@ def publish_all(spark: SparkSession, raw_root: str, root: str, concept_map: Data
     bronze: dict[str, feeds.Feed] = {}
     for kind in ("sub", "num", "tag", "pre"):
         bronze[kind] = feeds.Feed(f"{root}/bronze", f"{kind}_raw")
-        run.stream(feeds.raw(spark, raw_root, kind, layout), bronze[kind],
-                   {f"{kind}_raw": lambda rows: rows})
+        run.bronze(raw_root, kind, bronze[kind], layout)
     mapping = run.publish("concept_map", concept_map)
 
-    subs = run.stream(feeds.follow_routed(spark, bronze["sub"], "sub_raw"),
-                      feeds.Feed(f"{root}/silver", "sub"), feeds.submission_steps())["sub"]
-    facts = run.stream(feeds.follow_routed(spark, bronze["num"], "num_raw"),
-                       feeds.Feed(f"{root}/silver", "num"), feeds.fact_steps(mapping))["num"]
+    subs = run.stream(bronze["sub"], "sub_raw", feeds.Feed(f"{root}/silver", "sub"),
+                      feeds.submission_steps())["sub"]
+    facts = run.stream(bronze["num"], "num_raw", feeds.Feed(f"{root}/silver", "num"),
+                       feeds.fact_steps(mapping))["num"]
     raw_facts = feeds.routed_rows(spark, bronze["num"], "num_raw")
     run.publish("exclusions", silver.exclusions(silver.fact_outcomes(raw_facts, mapping)))
 

@@ -18,13 +18,13 @@ LAYOUT = "{root}/quarter=*/{kind}.txt"
 # Quoting and escaping are off: a stray quote in a label is part of the label.
 # Column pruning in the parser is off because a pruned parser cannot tell that
 # a line has the wrong number of fields.
-_OPTIONS = {
+OPTIONS = {
     "sep": "\t", "header": "true", "quote": "", "escape": "", "multiLine": "false",
     "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RESCUED, "columnPruning": "false",
 }
 
 
-def _with_provenance(raw: DataFrame) -> DataFrame:
+def with_provenance(raw: DataFrame) -> DataFrame:
     return raw.select(
         "*", F.current_timestamp().alias("_ingested_at"),
         F.col("_metadata.file_path").alias("_source_file"),
@@ -33,14 +33,14 @@ def _with_provenance(raw: DataFrame) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, root: str, kind: str, layout: str = LAYOUT) -> DataFrame:
-    reader = spark.read.format("csv").options(**_OPTIONS).schema(raw_schema(kind))
-    return _with_provenance(reader.load(layout.format(root=root, kind=kind)))
+    reader = spark.read.format("csv").options(**OPTIONS).schema(raw_schema(kind))
+    return with_provenance(reader.load(layout.format(root=root, kind=kind)))
 
 
 def stream_raw(spark: SparkSession, root: str, kind: str, layout: str = LAYOUT) -> DataFrame:
     """The same rows as :func:`read_raw`, each file delivered once per checkpoint."""
-    reader = spark.readStream.format("csv").options(**_OPTIONS).schema(raw_schema(kind))
-    return _with_provenance(reader.load(layout.format(root=root, kind=kind)))
+    reader = spark.readStream.format("csv").options(**OPTIONS).schema(raw_schema(kind))
+    return with_provenance(reader.load(layout.format(root=root, kind=kind)))
 
 
 def write_raw(rows: DataFrame, root: str, kind: str) -> str:

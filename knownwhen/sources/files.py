@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from knownwhen.functions.values import quarter_token
 
 
-def _lines(spark: SparkSession, glob: str) -> DataFrame:
-    return spark.read.text(glob).select(
+def _lines(spark: SparkSession, glob: str | Sequence[str]) -> DataFrame:
+    return spark.read.text(glob if isinstance(glob, str) else list(glob)).select(
         "value", F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"))
 
 
-def row_counts(spark: SparkSession, glob: str) -> DataFrame:
+def row_counts(spark: SparkSession, glob: str | Sequence[str]) -> DataFrame:
     """Rows per file: lines without the header, never below zero."""
     return (
         _lines(spark, glob).groupBy("file").agg(F.count(F.lit(1)).alias("lines"))
@@ -35,7 +37,7 @@ def manifest(spark: SparkSession, globs: dict[str, str]) -> DataFrame:
     return per_name.groupBy("quarter").agg(F.map_from_entries(entries).alias("row_counts"))
 
 
-def headers(spark: SparkSession, glob: str, sep: str = "\t") -> DataFrame:
+def headers(spark: SparkSession, glob: str | Sequence[str], sep: str = "\t") -> DataFrame:
     """The column names each file starts with."""
     # Only blocks at offset 0 can hold a header; ids count up within a block.
     first = (

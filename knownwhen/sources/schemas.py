@@ -22,6 +22,13 @@ RAW_COLUMNS = {
         "negating"],
 }
 RESCUED = "_rescued_data"
+# Columns without which a file says nothing; others may be missing from it.
+REQUIRED = {
+    "sub": ["adsh", "cik", "form", "period", "accepted"],
+    "num": ["adsh", "tag", "version", "ddate", "qtrs", "uom", "value"],
+    "tag": ["tag", "version"],
+    "pre": ["adsh", "stmt", "tag", "version"],
+}
 
 
 def raw_columns(kind: str) -> list[str]:

@@ -669,6 +669,19 @@ ORACLES: dict[str, str] = {
                 ("fact_fundamental_pit", "gold", "Knowledge intervals per fact", "pit"),
                 ("fact_revision", "gold", "Restatements", "revision"),
                 ("ingest_control", "ops", "One row per quarter to fetch", "control")))),
+    "stream_bounded": _sql(
+        ["raw_num", "raw_cmap", "typed_num", "outcome_num"],
+        "SELECT adsh, quarter, outcome FROM outcome_num WHERE outcome = 'kept' UNION ALL "
+        "SELECT adsh, quarter, _reject_reason FROM outcome_num WHERE _reject_reason IS NOT NULL"),
+    "bronze_header_route": _sql(["raw_num"], """
+        SELECT quarter, count(*) AS "rows",
+               CASE WHEN right(quarter, 1) <> '4' THEN count(*) FILTER (adsh LIKE '%-%') END
+                 AS adshs,
+               CASE WHEN right(quarter, 1) <> '4' THEN count(value) END AS "values",
+               CASE right(quarter, 1) WHEN '4' THEN NULL WHEN '3' THEN count(segments) ELSE 0 END
+                 AS rescued,
+               CASE WHEN right(quarter, 1) = '4' THEN 'missing_column' END AS reason
+        FROM raw_num GROUP BY quarter"""),
     "control_merge": _sql(["quarter_link", "control"], "SELECT * FROM control"),
     "control_transition": _sql(
         ["quarter_link", "control"], """

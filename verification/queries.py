@@ -13,7 +13,7 @@ from knownwhen.plans import (
     concepts, control, dimensions, factors, gold, incremental, invariants, monitor, publishing,
     silver, snapshots)
 from knownwhen.plans.gold import KEY
-from knownwhen.sources import catalog, delimited, files, links, tables
+from knownwhen.sources import catalog, delimited, files, headers, links, tables
 from knownwhen.sources import driver_tables as dt
 from knownwhen.sources.schemas import CONTROL, RESCUED, raw_columns
 from knownwhen.sources.shared import new_folder, settle
@@ -379,6 +379,49 @@ def silver_stream(spark: SparkSession, d: str) -> DataFrame:
                        "value", "version", "quarter")
 
 
+@query
+def stream_bounded(spark: SparkSession, d: str) -> DataFrame:
+    """Raw files to typed facts and quarantine, 24 files and two batches at a time; each hop
+    runs twice and finds nothing new. Files are read by their header."""
+    root, layout = _files(spark, d, "num")
+    bronze = feeds.Feed(new_folder(spark, "bronze"), "num_raw")
+    routed = feeds.Feed(new_folder(spark, "silver"), "num")
+    for _ in range(2):
+        feeds.ingest_by_header(spark, root, "num", bronze, layout, most=24)
+        feeds.run_routed(feeds.new_batches(spark, bronze, most=2),
+                         feeds.fact_steps(dt.raw_concept_map(spark)), routed,
+                         load=feeds.batches_of(bronze, "num_raw"))
+    kept = feeds.routed_rows(spark, routed, "num").select(
+        "adsh", "quarter", F.lit("kept").alias("outcome"))
+    return kept.unionByName(feeds.routed_rows(spark, routed, "num_quarantine").select(
+        "adsh", "quarter", F.col(silver.REASON).alias("outcome")))
+
+
+@query
+def bronze_header_route(spark: SparkSession, d: str) -> DataFrame:
+    """Files whose columns are swapped, missing, extra or repeated, depending on the quarter:
+    rows are mapped by name, other columns kept aside, files that don't fit listed."""
+    root, rows = new_folder(spark, "headers"), dt.raw_facts(spark, d)
+    known = raw_columns("num")
+    swapped = ["tag", "adsh", *known[2:-1]]  # and without the footnote
+    heads = {"q1": known, "q2": swapped, "q3": [*known, "note"],
+             "q4": [c for c in known if c != "value"]}
+    for end, head in heads.items():
+        (rows.where(F.col("quarter").endswith(end)).withColumn("note", F.col("segments"))
+         .select(*head, "quarter").write.mode("append").partitionBy("quarter")
+         .options(sep="\t", header="true", quote="", escape="", emptyValue="", nullValue="",
+                  ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+         .csv(f"{root}/num"))
+    glob = f"{root}/num/quarter=*"
+    read = headers.read_by_header(spark, glob, "num").groupBy("quarter").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("adsh").contains("-")).alias("adshs"),
+        F.count("value").alias("values"), F.count(RESCUED).alias("rescued"),
+        F.lit(None).cast("string").alias("reason"))
+    left = headers.not_read(spark, glob, "num").groupBy("quarter", "reason").agg(
+        F.sum("rows").alias("rows"))
+    return read.unionByName(left, allowMissingColumns=True)
+
+
 @query
 def submission_stream(spark: SparkSession, d: str) -> DataFrame:
     """Submissions as a stream into silver and quarantine."""
