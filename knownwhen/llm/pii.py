@@ -55,6 +55,8 @@ _NAME = _ALNUM | frozenset("._%+-")
 _LABEL = _ALNUM | frozenset("-")
 _PHONE = _DIGITS | frozenset(" ().-")
 
+_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+
 Spans = dict[str, list[tuple[int, int]]]
 
 
@@ -146,7 +148,9 @@ def _is_phone(text: str, begin: int, end: int) -> bool:
     return 9 <= sum(c in _DIGITS for c in text[begin:end]) <= 15
 
 
-def _url(text: str, begin: int, body: int) -> tuple[int, int] | None:
+def _url(text: str, begin: int, body: int, after: int) -> tuple[int, int] | None:
+    if begin < after:
+        return None
     if begin and text[begin - 1].isalnum():
         return None
     end = body
@@ -184,17 +188,17 @@ def _iban(text: str, digits: int) -> tuple[int, int] | None:
     return None
 
 
-def _account(text: str, at: int) -> tuple[int, int] | None:
+def _account(text: str, at: int, after: int) -> tuple[int, int] | None:
     """A number that an announcing word, ending at ``at``, is followed by."""
     stop = min(len(text), at + 16)
     while at < stop and text[at] not in _DIGITS:
         if text[at] == "\n" or not (text[at] in " :#=.-" or text[at] in _ALNUM):
             return None
         at += 1
-    if at >= stop:
+    if at >= stop or at < after:
         return None
     end, digits, last = at, 0, at
-    while end < len(text) and end - at < 34 and (text[end] in _DIGITS or text[end] in " -"):
+    while end < len(text) and (text[end] in _DIGITS or text[end] in " -"):
         if text[end] in _DIGITS:
             digits, last = digits + 1, end + 1
         elif end + 1 < len(text) and text[end + 1] not in _DIGITS:
@@ -203,7 +207,7 @@ def _account(text: str, at: int) -> tuple[int, int] | None:
     return (at, last) if digits >= 5 and last - at >= 6 else None
 
 
-def _secret(text: str, at: int) -> tuple[int, int] | None:
+def _secret(text: str, at: int, after: int) -> tuple[int, int] | None:
     """What stands behind the equals sign or colon after an announcing word."""
     end = len(text)
     while at < end and text[at] in " \t\"'":
@@ -213,6 +217,8 @@ def _secret(text: str, at: int) -> tuple[int, int] | None:
     at += 1
     while at < end and text[at] in " \t\"'":
         at += 1
+    if at < after:
+        return None
     stop = at
     while stop < end and not text[stop].isspace() and text[stop] not in "\"'`,;":
         stop += 1
@@ -222,15 +228,14 @@ def _secret(text: str, at: int) -> tuple[int, int] | None:
 # ------------------------------------------------------------------ finder
 
 def automaton():
-    """All anchors: single signs, digits, schemes and announcing words."""
+    """All anchors, lower-case: single signs, digits, schemes and announcing words."""
     import ahocorasick
 
     found = ahocorasick.Automaton()
     for word, kind in [("@", "at"), ("+", "plus"), *[(d, "digit") for d in sorted(_DIGITS)],
                        *[(s, "scheme") for s in SCHEMES], *[(c, "account") for c in ACCOUNT_CUES],
                        *[(c, "secret") for c in SECRET_CUES]]:
-        for form in {word, word.upper(), word.capitalize()}:
-            found.add_word(form, (kind, len(form)))
+        found.add_word(word, (kind, len(word)))
     found.make_automaton()
     return found
 
@@ -247,7 +252,9 @@ def spans(text: str | None, anchors) -> Spans:
             found[kind].append(span)
             after[kind] = span[1]
 
-    for last, (kind, length) in anchors.iter(text):
+    # Only A-Z, so that places stay what they are.
+    folded = text.lower() if text.isascii() else text.translate(_LOWER)
+    for last, (kind, length) in anchors.iter(folded):
         begin = last - length + 1
         if kind == "digit":
             if begin >= after["ip"]:
@@ -269,11 +276,11 @@ def spans(text: str | None, anchors) -> Spans:
                     if _is_phone(text, *span):
                         found["phone"].append(span)
         elif kind == "scheme":
-            add("url", _url(text, begin, last + 1))
+            add("url", _url(text, begin, last + 1, after["url"]))
         elif kind == "account":
-            add("account", _account(text, last + 1))
+            add("account", _account(text, last + 1, after["account"]))
         else:
-            add("secret", _secret(text, last + 1))
+            add("secret", _secret(text, last + 1, after["secret"]))
     return found
 
 
@@ -282,7 +289,8 @@ def listed(found: Spans, kinds: tuple[str, ...]) -> str:
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) per row of ``docs``."""
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) per row of ``docs``, and the
+    numbers of added spans, n_url, n_iban, n_account, n_secret."""
     fr.bounded_batches(docs.sparkSession)
     docs = fr.documents(docs, id_col, text_col)
 
@@ -295,9 +303,12 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 pa.array(rows["doc_id"], pa.int64()),
                 *[pa.array([len(f[k]) for f in found], pa.int64()) for k in BASE],
                 pa.array(base, pa.string()),
-                pa.array([listed(f, (*BASE, *MORE)) for f in found], pa.string())],
-                names=["doc_id", *[f"n_{k}" for k in BASE], "base_sha256", "spans"])
+                pa.array([listed(f, (*BASE, *MORE)) for f in found], pa.string()),
+                *[pa.array([len(f[k]) for f in found], pa.int64()) for k in MORE]],
+                names=["doc_id", *[f"n_{k}" for k in BASE], "base_sha256", "spans",
+                       *[f"n_{k}" for k in MORE]])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, "
-             "base_sha256 string, spans string")
+             "base_sha256 string, spans string, "
+             "n_url long, n_iban long, n_account long, n_secret long")

@@ -3,8 +3,9 @@
 Groups of equal texts are placed as a whole. What is packed is a list of *items*
 whose length has a fixed bound, whatever the corpus:
 
-* a group that fills more than ``SPLIT`` of a shard in any measure is cut into
-  parts by a hash of its documents' ids (few such groups can exist);
+* only a group above a shard's capacity in some measure is cut, by a hash of its
+  documents' ids, into ``PARTS`` parts a shard (few such groups can exist, and none of
+  them could stay together);
 * a group above ``1 / FINE`` of a shard is an item of its own (there are at most
   3 * shards * FINE of them, since each measure can be used up only once);
 * all smaller groups are dealt by hash into ``PIECES`` items.
@@ -29,13 +30,14 @@ from knownwhen.llm.mixing import _bits, n_words, running
 from knownwhen.sources.shared import settle
 
 SHARDS = 16
-SPLIT = 0.5
+SPLIT = 1.0
 FINE = 256
 PIECES = 4096
 #: Parts that a group of one shard's capacity is cut into.
 PARTS = 16
-#: How much a byte, a word and a row count when an item looks for its shard.
-IMPORTANCE = (1.0, 0.25, 0.25)
+#: How much bytes, words and rows count when an item looks for its shard: bytes are the law,
+#: and a group that fills a shard by rows must not leave it short of bytes.
+IMPORTANCE = (1.0, 0.05, 0.05)
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

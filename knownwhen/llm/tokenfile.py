@@ -28,6 +28,7 @@ first in order. Repeated rows are encoded each time.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -56,7 +57,8 @@ _SCHEMA = ("shard int, block int, first long, n int, base int, width int, packed
 _BLANK = re.compile(r"[ \t\r\n]+")
 #: Bytes of Latin-1 text that are cut into pre-tokens at a time.
 PART = 1 << 20
-_BASE = 0x9E3779B97F4A7C15
+#: Fixed value: the rule by which the tokenizer file cuts pre-tokens, as its JSON has it.
+PRE_TOKENS = json.dumps("'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
 
 
 # ------------------------------------------------------------------ tokenizing
@@ -66,26 +68,27 @@ class WordIds:
 
     Texts of Latin-1 characters are cut into the tokenizer's own pre-tokens here: such
     characters are in normal form already, and their lower case depends on nothing else.
-    They are cut and hashed many at a time, and a pre-token is looked up once for all its
-    places. Other texts, and those that name special tokens, are cut at blanks only.
+    They are cut many at a time, and a pre-token is looked up once for all its places. Other
+    texts, and those that name special tokens, are cut at blanks only. Both follow from the
+    tokenizer's rule for pre-tokens, so a file with another rule is refused.
     """
 
     def __init__(self, path: str, memory: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        rules = json.loads(self.tokenizer.to_str())["pre_tokenizer"]
+        if PRE_TOKENS not in json.dumps(rules):
+            raise ValueError(f"{path} cuts its pre-tokens by another rule than {PRE_TOKENS}")
         # The last token of every pre-token, and no other, has this mark.
         self.ends = np.zeros(1 + max(self.tokenizer.get_vocab().values()), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends[number] = token.endswith("</w>")
         self.memory = memory
-        self.new: dict[int | str, bytes] = {}
-        self.old: dict[int | str, bytes] = {}  # met before the last ``memory`` new pieces
+        self.new: dict[int | bytes | str, bytes] = {}
+        self.old: dict[int | bytes | str, bytes] = {}  # met before the last ``memory`` new pieces
         self.kind, self.lower = _latin_tables()
-        draw = np.random.default_rng(20260102).integers(1, 1 << 62, 256, dtype=np.int64)
-        self.value = draw.astype(np.uint64) * np.uint64(2) + np.uint64(1)
-        self.power = np.cumprod(np.full(PART + 1, _BASE, np.uint64))
-        self.inverse = np.cumprod(np.full(PART + 1, pow(_BASE, -1, 1 << 64), np.uint64))
+        self.mask = (np.uint64(1) << (np.uint64(8) * np.arange(8, dtype=np.uint64))) - np.uint64(1)
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(
@@ -126,15 +129,29 @@ class WordIds:
         """Ids of Latin-1 bytes, split where texts end at ``cuts``."""
         text = self.lower[np.frombuffer(data, np.uint8)]
         begin, end = _pre_tokens(text, self.kind)
-        # A token's hash: its bytes' values times powers by place, from running sums.
-        sums = np.zeros(len(text) + 1, np.uint64)
-        np.cumsum(self.value[text] * self.power[:len(text)], out=sums[1:])
-        hashes = (sums[end] - sums[begin]) * self.inverse[begin]
-        hashes ^= (end - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        keys, first, places = np.unique(hashes, return_index=True, return_inverse=True)
-        plain, first = text.tobytes(), first.tolist()
-        got = self._known(keys.tolist(), lambda i: plain[begin[first[i]]:end[first[i]]].decode(
-            "latin-1"), self._encode_tokens)
+        plain, size = text.tobytes(), end - begin
+        # A token of up to seven bytes is told apart by these and their number, a longer one by
+        # itself, so different tokens never share a key.
+        short = size < 8
+        padded = np.concatenate((text, np.zeros(8, np.uint8)))
+        windows = np.lib.stride_tricks.sliding_window_view(padded, 8)[begin[short]]
+        codes = np.ascontiguousarray(windows).view(np.uint64)[:, 0]
+        codes = (codes & self.mask[size[short]]) | (size[short].astype(np.uint64) << np.uint64(56))
+        codes, first, of = np.unique(codes, return_index=True, return_inverse=True)
+        at = np.flatnonzero(short)[first].tolist()
+        known: dict[bytes, int] = {}
+        words = [known.setdefault(plain[b:e], len(known)) for b, e in zip(
+            begin[~short].tolist(), end[~short].tolist())]
+        places = np.empty(len(begin), np.int64)
+        places[short], places[~short] = of, np.array(words, np.int64) + len(codes)
+        keys: list[int | bytes] = [*codes.tolist(), *known]
+
+        def part_of(k: int) -> str:
+            key = keys[k]
+            word = key if isinstance(key, bytes) else plain[begin[at[k]]:end[at[k]]]
+            return word.decode("latin-1")
+
+        got = self._known(keys, part_of, self._encode_tokens)
         sizes = np.fromiter(map(len, got), np.int64, len(got)) >> 2
         ids = np.frombuffer(b"".join(got), np.uint32)
         long = sizes[places]

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -77,6 +78,25 @@ def test_added_spans():
     assert shown["account"][-1] == "12345678"
 
 
+def test_cue_words_in_any_case_and_long_numbers():
+    anchors = pii.automaton()
+    for cue in ("API Key: ", "Api_Key=", "ToKeN = ", "PASSWORD:"):
+        found = pii.spans(f"x {cue}abcdefgh12 y", anchors)
+        assert [b - a for a, b in found["secret"]] == [10], cue
+    number = "7" * 40
+    found = pii.spans(f"account {number}.", anchors)
+    assert found["account"] == [(8, 48)]
+    assert pii.spans("İ token=abcdefgh12", anchors)["secret"] == [(8, 18)]
+
+
+@pytest.mark.parametrize("unit", ["http://", "token=", "password:'", "account 1 ", "a@b.", "+1 2"])
+def test_crafted_texts_of_a_megabyte_take_seconds(unit):
+    text, anchors = unit * ((1 << 20) // len(unit)), pii.automaton()
+    begin = time.process_time()
+    pii.spans(text, anchors)
+    assert time.process_time() - begin < 20  # hours when every cue reads on to the end
+
+
 # ------------------------------------------------------------------ mixing
 
 def test_mix_of_awkward_rows(awkward, crowded, nothing):
@@ -339,3 +359,42 @@ def test_a_group_larger_than_a_shard_is_split(spark):
         sums[r["shard"]] += r["size"]
     mean = sum(sums.values()) / 16
     assert len(sums) == 16 and all(abs(x - mean) < 0.15 * mean for x in sums.values())
+
+
+# ------------------------------------------------------------------ exact token ids
+
+def test_words_that_share_a_polynomial_hash_keep_their_own_ids():
+    from tokenizers import Tokenizer
+
+    whole, words = Tokenizer.from_file(PATH), []
+    for letters in (1024, 4096):
+        word = "a"
+        while len(word) < letters:
+            word += word.translate(str.maketrans("ab", "ba"))
+        words += [word, word.translate(str.maketrans("ab", "ba"))]
+    words += ["abcdefg", "abcdefgh", "abcdefg\x00", "abc\x00", "abc\x00\x00", "\x00", "\x00\x00"]
+    texts = [" ".join(words), " ".join(reversed(words)), *words]
+    got = tokenfile.WordIds(PATH, 500).of(texts)
+    for text, ids in zip(texts, got):
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text[:40]
+
+
+def test_a_tokenizer_with_another_rule_is_refused(tmp_path):
+    with open(PATH) as f:
+        other = f.read().replace("'s|'t|", "'s|")
+    (tmp_path / "other.json").write_text(other)
+    with pytest.raises(ValueError):
+        tokenfile.WordIds(str(tmp_path / "other.json"), 10)
+
+
+# ------------------------------------------------------------------ groups that fit a shard
+
+def test_a_group_that_fits_a_shard_stays_together(spark):
+    rows = [(i, "same text" if i < 1000 else f"text {i % 10}{i:05d}", None, None, None)
+            for i in range(16_000)]
+    got = sharding.sharded(spark.createDataFrame(rows, DOC_SCHEMA)).collect()
+    assert len({r["shard"] for r in got if r["doc_id"] < 1000}) == 1
+    sizes = Counter()
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+    assert max(sizes.values()) <= 1.02 * min(sizes.values())
