@@ -669,6 +669,16 @@ ORACLES: dict[str, str] = {
                 ("fact_fundamental_pit", "gold", "Knowledge intervals per fact", "pit"),
                 ("fact_revision", "gold", "Restatements", "revision"),
                 ("ingest_control", "ops", "One row per quarter to fetch", "control")))),
+    "table_digest": _sql(_PIT, f"""
+        SELECT {KEY}, CAST(value + changed AS DECIMAL(28,4)) AS value, known_from_ts, known_to_ts,
+               CAST(1 - changed AS BIGINT) AS in_a, CAST(changed AS BIGINT) AS in_b
+        FROM pit, (VALUES (0), (1)) c(changed)
+        WHERE cik % 70 = 1 AND revision_seq = 1
+           OR cik % 50 = 0 AND revision_seq = 2 AND changed = 0"""),
+    "distinct_filings": _sql(
+        ["raw_num", "tag_name", "named", "usable"],
+        "SELECT tag AS \"grouped\", count(DISTINCT adsh) AS items FROM usable GROUP BY tag "
+        "UNION ALL SELECT 'all', count(DISTINCT adsh) FROM usable"),
     "stream_bounded": _sql(
         ["raw_num", "raw_cmap", "typed_num", "outcome_num"],
         "SELECT adsh, quarter, outcome FROM outcome_num WHERE outcome = 'kept' UNION ALL "

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from knownwhen.functions.values import quarter_of
-from knownwhen.operators import asof, dedup, quality
+from knownwhen.operators import asof, dedup, digests, quality
 from knownwhen.plans import (
-    concepts, control, dimensions, factors, gold, incremental, invariants, monitor, publishing,
-    silver, snapshots)
+    concepts, control, dimensions, distinct, factors, gold, incremental, invariants, monitor,
+    publishing, silver, snapshots)
 from knownwhen.plans.gold import KEY
 from knownwhen.sources import catalog, delimited, files, headers, links, tables
 from knownwhen.sources import driver_tables as dt
@@ -282,6 +282,33 @@ def equivalence_check(spark: SparkSession, d: str) -> DataFrame:
     return invariants.equivalence(gold.fundamental_pit(rows), invariants.rebuilt(rows))
 
 
+@query
+def table_digest(spark: SparkSession, d: str) -> DataFrame:
+    """A copy of the intervals that lacks some and has others changed: found by digests, and
+    compared by row only in the parts where these differ."""
+    held = settle(pit(spark, d), "pit")
+    columns = [*KEY, "value", "known_from_ts", "known_to_ts"]
+    lost = (F.col("cik") % 50 == 0) & (F.col("revision_seq") == 2)
+    changed = (F.col("cik") % 70 == 1) & (F.col("revision_seq") == 1)
+    copy = settle(held.where(~lost).withColumn("value", F.when(
+        changed, F.col("value") + 1).otherwise(F.col("value")).cast("decimal(28,4)")), "copy")
+    return digests.differences(held.select(*columns), copy.select(*columns), KEY)
+
+
+@query
+def distinct_filings(spark: SparkSession, d: str) -> DataFrame:
+    """Different filings per tag and in all, merged from the bitmaps of three deliveries."""
+    rows = settle(dt.named_facts(spark, d).where(
+        silver.is_consolidated() & silver.is_standard_tag() & (F.col("uom") == "USD")
+        & F.col("value").isNotNull()).select("adsh", "tag", "quarter"), "usable")
+    store = distinct.DistinctStore(spark, new_folder(spark, "distinct"))
+    year = F.substring("quarter", 1, 4).cast("int")
+    for part in range(3):
+        store.take(f"part {part}", rows.where(year % 3 == part), "tag", "adsh")
+    return store.counts().unionByName(
+        store.total().select(F.lit("all").alias("grouped"), "items"))
+
+
 # ---------------------------------------------------------------- raw files and silver
 
 def _raw(rows: DataFrame) -> DataFrame:
