@@ -425,9 +425,11 @@ LABELS = 1_000_000
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(node, component): the smallest node reachable over undirected (a, b) edges.
 
-    Labels move over edges and then jump to their own label's label, so rounds
-    grow with the logarithm of the longest path. Every round is written to the
-    shared folder; only one number per round reaches the driver.
+    In each round a node takes the smallest of its own label, its neighbours' labels and
+    its label's label, and hands its neighbours' smallest on to the node that labels it, so
+    whole trees hang on to smaller ones: a path of 1,000 nodes takes about a dozen rounds in
+    any order, one of 100,000 about 30. Every round is written to the shared folder; only
+    one number per round reaches the driver.
     """
     both = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).union(
         edges.select("b", "a")).distinct()
@@ -435,14 +437,20 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     files = 1 + both.count() // LABELS
     now = settle(both.groupBy("x").agg(F.min("y").alias("near")).select(
         F.col("x").alias("node"), F.least("x", "near").alias("component")).coalesce(files), label)
+    unknown = F.lit(None).cast("long")
     while True:
         seen = now.select(F.col("node").alias("y"), F.col("component").alias("other"))
         near = both.join(seen, "y").groupBy("x").agg(F.min("other").alias("near"))
-        moved = now.join(near, now["node"] == near["x"]).select(
-            "node", F.col("component").alias("before"), F.least("component", "near").alias("to"))
-        up = now.select(F.col("node").alias("to"), F.col("component").alias("top"))
-        after = settle(moved.join(up, "to").select(
-            "node", "before", F.least("to", "top").alias("component")).coalesce(files), label)
+        both_ends = F.explode(F.array(
+            F.struct("node", F.col("component").alias("before"), F.least("component", "near").alias("to")),
+            F.struct(F.col("component").alias("node"), unknown.alias("before"), F.col("near").alias("to"))))
+        offers = now.join(near, now["node"] == near["x"]).select(both_ends.alias("o")).select("o.*")
+        up = now.select(F.col("node").alias("component"), F.col("component").alias("to"))
+        jumps = now.filter("node <> component").join(up, "component").select(
+            "node", unknown.alias("before"), "to")
+        after = offers.union(jumps).groupBy("node").agg(
+            F.max("before").alias("before"), F.min("to").alias("component"))
+        after = settle(after.coalesce(files), label)
         changed = after.filter("before <> component").limit(1).count()
         now = after.select("node", "component")
         if not changed:

@@ -95,3 +95,34 @@ def test_pruning_keeps_what_may_be_a_link():
     b[1, ::4] = 1   # 75 percent of the hashes agree
     b[2, ::2] = 1   # half of them
     assert list(nd.surviving(a, b, steps)) == [0, 1]
+
+
+def test_components_of_long_paths_take_few_rounds(spark, monkeypatch):
+    rounds = []
+    settle = nd.settle
+    monkeypatch.setattr(nd, "settle", lambda df, label, **k: rounds.append(label) or settle(df, label, **k))
+    n = 1000
+    orders = {"one then down": [0, *range(n - 1, 0, -1)], "shuffled": random.Random(5).sample(range(n), n)}
+    for order in orders.values():
+        rounds.clear()
+        edges = spark.createDataFrame(list(zip(order, order[1:])), "a long, b long")
+        found = nd.components(edges, "path").collect()
+        assert sorted((r["node"], r["component"]) for r in found) == [(i, 0) for i in range(n)]
+        assert rounds.count("path") - 1 <= 15
+
+
+def test_components_equal_a_search(spark):
+    rng = random.Random(9)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
+    top = list(range(400))
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for a, b in pairs:
+        top[max(find(a), find(b))] = min(find(a), find(b))
+    found = nd.components(spark.createDataFrame(pairs, "a long, b long")).collect()
+    assert sorted((r["node"], r["component"]) for r in found) == sorted(
+        (i, find(i)) for i in {x for pair in pairs for x in pair})
