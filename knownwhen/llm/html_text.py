@@ -16,12 +16,15 @@ before it; the whole page if there is neither article nor main around the core.
 lies there beside the core counts, too, but for lists of links. Nodes that are by their tag, class, id or role
 no main text (menus, headers, footers, sidebars, notices, adverts, forms, reader
 comments) are never part of it, scripts and styles are no text at all. A name counts
-only as a whole ("sidebar", "sidebar-left", not "no-sidebar"), and a mark doesn't hold
-for a node around the page's text (``_release``).
+as a whole ("sidebar", "sidebar-left", "menu-x", not "no-sidebar"), one with "comment" among
+its words always ("user-comments-list"), and a mark doesn't hold for a node around the page's
+text (``_release``). Comments without such a name are known by what they repeat: neighbouring
+nodes of one tag, each with a line "Reply", or a list below a heading "Comments".
 
 Defined results: null, empty and text-free pages have an empty text. Broken markup
 is read as far as it goes: missing end tags end with their parent, stray ones are
-passed over. A page is one row; repeated rows are read each time.
+passed over, an element that is never closed hides none of the page but unclosed code. Time
+grows with the length of the page, whatever is in it. A page is one row; repeated rows are read each time.
 """
 
 from __future__ import annotations
@@ -42,16 +45,24 @@ from knownwhen.llm import text as tx
 #: Share of the best path's score from which a path is content.
 THRESHOLD = 0.05
 SMOOTH = (0.25, 0.5, 0.25)
-
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|template|noscript|svg|iframe|textarea|select|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)>"
-    r"|<[!?/][^>]*>", re.S | re.I)
+#: Nodes nested deeper become siblings, as in browsers.
+DEPTH = 512
+
+_TAG = re.compile(
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)>")
+_PLAIN_TAG_BEGIN = re.compile(r"<[/!?]?[a-zA-Z]")
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+#: Elements whose content is no text of the page, up to their end tag; code goes on to the
+#: body or the end of the page without one, of the others only the start tag is passed over.
+_RAW = set("script style template noscript svg iframe textarea select title".split())
+_CODE = {"script", "style"}
+_RAW_END = re.compile(rf"</({'|'.join(sorted(_RAW))})(?=[\s/>])", re.I)
+_BODY = re.compile(r"</head(?=[\s>])|<body(?=[\s>])", re.I)
 _LABEL = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _HREF = re.compile(r"\bhref\b", re.I)
 _WORD = re.compile(r"[a-z]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 _BLOCK = set("""address article aside blockquote body button caption center dd details dialog dir
 div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html legend li main
@@ -77,6 +88,16 @@ skip social sponsor sponsored subscribe teaser toolbar tracking widget""".split(
 _BESIDE = set("""area articles bar block bottom box button buttons container global inner left
 link links list main middle page post posts primary right secondary section site slot top unit
 wrap wrapper article entry""".split())
+#: Words of a name that say that something is there or not, of a node around all of it.
+_STATES = set("no not has with without is hide show open opened closed enabled disabled on off".split())
+#: Words of a name that reader comments have, whatever else it says.
+_COMMENT_WORDS = set("comment comments commentlist disqus".split())
+_COUNTS = set("count counts counter number link".split())
+#: The line above reader comments, and the short lines that only they repeat.
+_COMMENT_HEAD = re.compile(
+    r"(?:\d+\s+|all\s+|reader(?:s|'s|s')?\s+|user\s+|leave a\s+|add a\s+|post a\s+)*"
+    r"(?:comments?|replies|responses)\s*(?:\(\d+\)|:)?", re.I)
+_REPLY = re.compile(r"(?:reply|quote|report|like|upvote|permalink|flag)(?:\s*\(?\d+\)?)?", re.I)
 _OF_TEXT = set("article entry main page post".split())
 #: Words that never name a node around other text than their own.
 _ONLY_ASIDE = set("""ad ads advert adverts advertisement advertising breadcrumb breadcrumbs consent
@@ -100,13 +121,21 @@ class _Node:
 
 
 def _names(attributes: str) -> set[str]:
-    """The words of those class, id and role names that say nothing else."""
+    """The words of those class, id and role names that say nothing else, "comments" for names
+    with a word of reader comments in them, and "wrap" for those that begin like an aside."""
     words = set()
     for found in _LABEL.finditer(attributes):
-        for name in (found[1] or found[2] or found[3] or "").lower().split():
-            parts = set(_WORD.findall(name))
-            if parts <= _ASIDE_WORDS | _BESIDE:
+        for name in (found[1] or found[2] or found[3] or "").split():
+            line = _WORD.findall(_CAMEL.sub("-", name).lower())
+            parts = {w for w in line if len(w) > 2 or w in _ASIDE_WORDS | _STATES}
+            if parts & _STATES:
+                continue
+            if parts & _COMMENT_WORDS and not parts & _COUNTS:
+                words.add("comments")
+            elif parts <= _ASIDE_WORDS | _BESIDE:
                 words |= parts & _ASIDE_WORDS - ({"header"} if parts & _OF_TEXT else set())
+            elif line[0] in _ONLY_ASIDE:
+                words.add("wrap")
     return words
 
 
@@ -117,7 +146,7 @@ def _mark(tag: str, attributes: str, inside: bool) -> str:
         if _HIDDEN.search(attributes):
             return "hidden"
         words = _names(attributes)
-        if words & {"comment", "comments"}:
+        if words & _COMMENT_WORDS:
             return "comment"
         if inside:
             words.discard("header")
@@ -130,6 +159,111 @@ def _mark(tag: str, attributes: str, inside: bool) -> str:
     return "wrap" if words or tag in _ASIDE_TAGS or tag == "header" and not inside else ""
 
 
+def _mark_comments(found: list[tuple[_Node, str, int]]) -> None:
+    """Mark reader comments that no name gives away: at least two neighbouring nodes of one tag
+    below one parent, each with a short line like "Reply" of its own, or all that come after a
+    heading "Comments" below its parent, if two or more of one tag do."""
+    below: dict[int, list[_Node]] = {}  # the nodes with text under a node, in page order
+    texts: dict[int, int] = {}
+    seen: set[int] = set()
+    replies: set[int] = set()
+    headed: set[int] = set()
+    heads: set[int] = set()
+
+    def lines(node: _Node, marked: set[int]) -> None:
+        while node.parent and id(node) not in marked:
+            marked.add(id(node))
+            node = node.parent
+
+    for node, text, _ in found:
+        texts[id(node)] = texts.get(id(node), 0) + 1
+        if node.tag in _HEADINGS:
+            lines(node, headed)
+            if node.tag != "h1" and len(text) < 60 and _COMMENT_HEAD.fullmatch(text):
+                heads.add(id(node))
+        if len(text) < 40 and _REPLY.fullmatch(text) and node.parent:
+            lines(node.parent if node.tag in _LEAVES else node, replies)
+        while node.parent and id(node) not in seen:
+            seen.add(id(node))
+            below.setdefault(id(node.parent), []).append(node)
+            node = node.parent
+    for nodes in below.values():
+        alike: dict[str, list[_Node]] = {}
+        for n in nodes:
+            if (id(n) in replies and id(n) not in headed and n.tag not in ("article", "main", "body")
+                    and texts.get(id(n), 0) + len(below.get(id(n), ())) > 1):
+                alike.setdefault(n.tag, []).append(n)
+        for same in alike.values():
+            if len(same) > 1:
+                for node in same:
+                    node.mark = node.mark or "comment"
+        head = next((i for i, n in enumerate(nodes) if id(n) in heads), len(nodes))
+        rest = nodes[head + 1:]
+        tags = {n.tag for n in rest}
+        if tags <= {"ul", "ol"} and len(rest) == 1 or (
+                len(rest) > 1 and len(tags) == 1 and not tags & _LEAVES
+                and not any(id(n) in headed for n in rest)):
+            for node in nodes[head:]:
+                node.mark = node.mark or "comment"
+
+
+def _tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """Where each tag, comment or raw element begins and ends, its slash, name and attributes
+    (no name for what is passed over). One pass: nothing is looked for again that wasn't found."""
+    raw_ends: dict[str, list[int]] = {}
+    for end in _RAW_END.finditer(page):
+        raw_ends.setdefault(end[1].lower(), []).append(end.start())
+    for ends in raw_ends.values():
+        ends.reverse()
+    last, quoted = page.rfind(">"), True
+
+    def closed(at: int) -> int:
+        return page.find(">", at) + 1 or len(page)
+
+    at = page.find("<")
+    while 0 <= at:
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4) + 3
+            end = end if end > 2 else len(page)
+            yield at, end, "", "", ""
+        elif at > last:  # a tag that the page ends in
+            if _PLAIN_TAG_BEGIN.match(page, at):
+                yield at, len(page), "", "", ""
+                return
+            end = at + 1
+        else:
+            found = _TAG.match(page, at) if quoted else _PLAIN_TAG.match(page, at)
+            if not found and page[at + 1:at + 2] in ("!", "?", "/"):
+                end = closed(at)
+                found = _PLAIN_TAG.match(page, at)
+                yield at, end, *(("/", found[2].lower(), "") if found else ("", "", ""))
+            elif not found and not page[at + 1:at + 2].isalpha():
+                end = at + 1
+            else:
+                if not found:  # its quotes never end: from here on, tags end at the next >
+                    quoted, found = False, _PLAIN_TAG.match(page, at)
+                if not found:
+                    at = page.find("<", at + 1)
+                    continue
+                end, tag = found.end(), found[2].lower()
+                ends = raw_ends.get(tag, []) if tag in _RAW and not found[1] else None
+                if ends is None:
+                    yield at, end, found[1], tag, found[3]
+                else:
+                    while ends and ends[-1] < end:
+                        ends.pop()
+                    if ends:
+                        end = closed(ends[-1])
+                    elif tag in _CODE:
+                        body = _BODY.search(page, end)
+                        end = body.start() if body else len(page)
+                    elif tag == "title":
+                        end = page.find("<", end)
+                        end = end if end >= 0 else len(page)
+                    yield at, end, "", "", ""
+        at = page.find("<", end)
+
+
 def _release(nodes: list[_Node], found: list[tuple[_Node, str, int]]) -> None:
     """Set ``aside``: a node is one by its own mark or by that of a node around it. Marks don't
     hold for nodes
@@ -216,13 +350,12 @@ def blocks(page: str) -> list[tuple[_Node, str, int]]:
         links = 0
 
     place = 0
-    for found in _TOKEN.finditer(page):
-        if found.start() > place:
-            held.append(page[place:found.start()])
+    for begin, end, slash, tag, attributes in _tags(page):
+        if begin > place:
+            held.append(page[place:begin])
             if link:
                 linked.append(held[-1])
-        place = found.end()
-        tag = (found[3] or "").lower()
+        place = end
         if not tag:
             continue
         if tag in _VOID:
@@ -230,12 +363,12 @@ def blocks(page: str) -> list[tuple[_Node, str, int]]:
                 held.append(" ")
             continue
         if tag == "a":
-            link = at if not found[2] and _HREF.search(found[4] or "") else None
+            link = at if not slash and _HREF.search(attributes) else None
             links += link is not None
         if tag not in _BLOCK:
             continue
         end_block()
-        if found[2]:
+        if slash:
             node = at
             while node and node.tag != tag:
                 node = node.parent
@@ -263,13 +396,17 @@ def blocks(page: str) -> list[tuple[_Node, str, int]]:
         elif tag[0] == "h" and tag[1:].isdigit() and at.tag[:1] == "h" and at.tag[1:].isdigit():
             at = at.parent
         link = link if link and link.depth <= at.depth else None
-        at = _Node(tag, at, found[4] or "")
+        if at.depth >= DEPTH:
+            at = at.parent
+            link = link if link and link.depth <= at.depth else None
+        at = _Node(tag, at, attributes)
         nodes.append(at)
     if place < len(page):
         held.append(page[place:])
         if link:
             linked.append(held[-1])
     end_block()
+    _mark_comments(out)
     _release(nodes, out)
     return out
 

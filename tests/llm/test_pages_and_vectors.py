@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -214,3 +215,82 @@ def test_query_blocks(spark):
     rows = spark.createDataFrame([(i, [float(i)]) for i in range(7)], "vec_id long, v array<double>")
     rows = rows.select("vec_id", F.transform("v", lambda x: x.cast("long")).alias("v"))
     assert [len(ids) for ids, _ in topk.query_blocks(rows, 3)] == [3, 3, 1]
+
+
+READERS = ("<p>I agree, said a reader. Very much so, indeed, yes.</p>",
+           "<p>Nonsense, all of it! Where did you get that from?</p>")
+
+
+@pytest.mark.parametrize("comments", [
+    f"<div class=comment-body>{READERS[0]}</div><div class=comment-body>{READERS[1]}</div>",
+    f"<div id='user-comments-list'>{READERS[0]}{READERS[1]}</div>",
+    f"<section class=articleComments><div>{READERS[0]}</div></section>",
+    f"<div id=disqus_thread>{READERS[0]}</div>",
+    f"<h3>2 comments</h3><ul><li>{READERS[0]}<li>{READERS[1]}</ul>",
+    f"<section><h2>Comments (2)</h2><div>{READERS[0]}</div><div>{READERS[1]}</div></section>",
+    "<ol>" + "".join(f"<li><p>Reader {i}</p>{r}<p>Reply</p>" for i, r in enumerate(READERS)) + "</ol>",
+    "".join(f"<div><b>Reader {i}</b>{r}<a href=#r>Reply</a></div>" for i, r in enumerate(READERS)),
+    "<div><ul><li>" + "<li>".join(f"{r}<p>Reply<ul><li>{r}<p>Reply</ul>" for r in READERS) + "</ul></div>"])
+@pytest.mark.parametrize("page", [
+    "<body>{menu}<article>{story}</article>{comments}</body>",
+    "<body>{menu}<article>{story}{comments}</article></body>",
+    "<body>{menu}<main>{story}</main>{comments}</body>",
+    "<body>{menu}<div class=page><div>{story}</div>{comments}</div></body>"])
+def test_reader_comments_go_with_or_without_a_name(page, comments):
+    assert html_text.main_text(page.format(menu=MENU, story=STORY, comments=comments)) == TOLD
+
+
+@pytest.mark.parametrize("aside", [
+    "<div class=cookie-consent-banner-v2><p>We use cookies. Fine?</p></div>",
+    "<div class='menu-x'><p>Home, away, and more.</p></div>", "<div class=navBar>Home</div>",
+    "<ul id=nav-2><li>Home</ul>", "<div class='ad-slot-7'>Buy, buy, buy!</div>"])
+def test_asides_by_other_forms_of_their_names(aside):
+    assert html_text.main_text(f"<body>{aside}<article>{STORY}</article>{aside}</body>") == TOLD
+    assert html_text.main_text(f"<body>{aside}<div>{STORY}</div></body>") == TOLD
+
+
+@pytest.mark.parametrize("page", [
+    "<article class=comments-open>{}</article>", "<div class=has-comments><article>{}</article></div>",
+    "<article>{}</article><a class=comment-count></a>", "<div class=menu-open-left>{}</div>",
+    "<title>abc</head><body>{}", "<svg><path d=x>{}", "<noscript><p></p>{}", "<select><option></option>{}",
+    "<iframe src=x>{}", "<textarea></textarea>{}<textarea>", "<script>if (a < b) '<p>no</p>'</script >{}",
+    "<SCRIPT>x</SCRIPT>{}<style>p", "<!-->x-->{}", "<!doctype html>{}<!-- open", "<?xml?>{}</>",
+    "<head><script>var a = 1;</head><body>{}", "<p title=\"x>y\"></p>{}", "{}<p class='open"])
+def test_pages_that_keep_all_their_text(page):
+    assert html_text.main_text(f"<body>{page.format(STORY)}") == TOLD
+
+
+def test_an_article_about_comments_stays():
+    body = "<h1>Comments</h1><div>One, of them.</div><div>Two, of them.</div>"
+    assert html_text.main_text(f"<body>{body}</body>") == "Comments\n\nOne, of them.\n\nTwo, of them."
+    body = "<h2>Replies</h2><p>They came, late.</p><p>None was, in fact, polite.</p>"
+    assert "None was" in html_text.main_text(f"<body><article>{STORY}{body}</article></body>")
+
+
+@pytest.mark.parametrize("piece", [
+    "<script ", "<!-- ", "<a \"", "<a '\" ", "<!x ", "</script ", "<title>", "<svg>", "<div>Reply",
+    "<li><p>Reply", "<p '>", "<", "</", "<ul><li>x", "<div class=comment>", "<p \"'>x"])
+def test_time_grows_with_the_page(piece):
+    page = piece * (300_000 // len(piece))
+    begin = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - begin < 15
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_pages_built_from_known_articles(seed):
+    rng = random.Random(seed)
+    part = [f"{prose(seed * 99 + i, rng.randint(8, 60))}." for i in range(rng.randint(3, 9))]
+    lead, rest = part[0], part[1:]
+    wrap = rng.choice(["<article>{}</article>", "<main>{}</main>", "<div class=post-body>{}</div>",
+                       "<main><article>{}</article></main>", "<div><div>{}</div></div>"])
+    leaf = rng.choice(["<p>{}</p>", "<div>{}</div>", "<p>{}"])
+    body = f"<h1>{lead}</h1>" + "".join(leaf.format(x) for x in rest)
+    noise = ["<nav><a href=/>Home</a> <a href=/x>Away</a></nav>", "<div class=sidebar>Popular posts, here.</div>",
+             "<div class='ad'>Buy this, now!</div>", "<form><input>Name<button>Go</button></form>",
+             "<aside>Related: other things.</aside>", "<style>p{{}}</style>",
+             "<div class=comment-list><div>I agree, so much.</div></div>"]
+    before = "<header>A site</header>" + "".join(rng.sample(noise, 3))
+    after = "".join(rng.sample(noise, 4)) + "<footer>The end.</footer>"
+    page = f"<html><head><title>{lead}</title></head><body>{before}{wrap.format(body)}{after}</body></html>"
+    assert html_text.main_text(page) == "\n\n".join(part)
