@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def _breach(rule: Column) -> Column:
+def breaches_of(rule: Column) -> Column:
     """A rule that is false or unknown is breached."""
     return ~F.coalesce(rule, F.lit(False))
 
@@ -20,7 +20,7 @@ def watch(rows: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, Obse
     follow before the write; :func:`knownwhen.sources.tables.publish` sees to that.
     """
     seen = Observation()
-    counts = [F.count_if(_breach(rule)).alias(name) for name, rule in rules.items()]
+    counts = [F.count_if(breaches_of(rule)).alias(name) for name, rule in rules.items()]
     return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
 
 
@@ -28,7 +28,7 @@ def breach_counts(rows: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """One row per rule: rows looked at, breaches, and the rate; a single pass."""
     counted = rows.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(_breach(rule)).alias(f"_{name}") for name, rule in rules.items()])
+        *[F.count_if(breaches_of(rule)).alias(f"_{name}") for name, rule in rules.items()])
     per_rule = F.array(*[
         F.struct(F.lit(name).alias("rule"), F.col(f"_{name}").alias("breaches"))
         for name in rules])
@@ -47,6 +47,6 @@ def enforce(rows: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """
     keep = F.lit(True)
     for name, rule in rules.items():
-        keep = F.when(_breach(rule), F.raise_error(F.lit(f"contract broken: {name}"))
+        keep = F.when(breaches_of(rule), F.raise_error(F.lit(f"contract broken: {name}"))
                       .cast("boolean")).otherwise(keep)
     return rows.where(keep)

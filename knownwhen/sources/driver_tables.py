@@ -197,3 +197,15 @@ def raw_presentation(spark: SparkSession, folder: str) -> DataFrame:
         "plabel": F.concat(F.lit('As "shown": '), F.col("tag")), "negating": F.lit("0"),
     }
     return shown.select(*[filled[c].alias(c) for c in raw_columns("pre")], "quarter")
+
+
+def named_presentation(spark: SparkSession, folder: str) -> DataFrame:
+    """Where filings show spelled-out tags; some show one elsewhere, on two statements or on none."""
+    shown = named_facts(spark, folder).select("adsh", "tag").distinct()
+    usual = F.when(F.col("tag").startswith("Assets"), "BS").when(
+        F.col("tag").startswith("Proceeds"), "CF").otherwise("IS")
+    last = F.substring("adsh", -1, 1)
+    places = F.when(last == "1", F.array(F.lit("BS"))).when(
+        last == "2", F.array(usual, F.lit("EQ"))).when(
+        last == "3", F.array(F.lit(" "))).otherwise(F.array(usual))
+    return shown.select("adsh", "tag", F.explode(places).alias("stmt"))

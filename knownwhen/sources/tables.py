@@ -48,6 +48,7 @@ CATALOGUE = {t.name: t for t in [
     Published("fact_roa_comparison", "gold", "Return on assets, then and now"),
     Published("fact_roa_ranked", "gold", "Decile under each view"),
     Published("agg_bias_by_quarter", "gold", "How much the two rankings disagree"),
+    Published("quality_run", "ops", "Rows and breaches of each rule per run"),
     Published("ingest_control", "ops", "One row per quarter to fetch"),
 ]}
 

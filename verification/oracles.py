@@ -354,6 +354,42 @@ def _sql(blocks: list[str], select: str, **instead: str) -> str:
         f"{b} AS ({instead.get(b, BLOCKS.get(b, ''))})" for b in blocks) + "\n" + select
 
 
+def _guess(tag: str) -> str:
+    return "CASE " + " ".join(
+        f"WHEN regexp_matches(lower({tag}), '{words}') THEN '{name}'" for name, words in WORDS
+    ) + " ELSE 'IS' END"
+
+
+def _chi(n: str, b: str, n0: str, b0: str) -> str:
+    """Chi-square of two rates."""
+    n, b, n0, b0 = (f"({x})::DOUBLE" for x in (n, b, n0, b0))
+    return (f"CASE WHEN {n0} IS NULL THEN NULL ELSE coalesce("
+            f"({b} * {n0} - {b0} * {n}) * ({b} * {n0} - {b0} * {n}) * ({n} + {n0}) "
+            f"/ nullif({n} * {n0} * ({b} + {b0}) * (({n} + {n0}) - ({b} + {b0})), 0e0), 0e0) END")
+
+
+_RUNS = " UNION ALL ".join(
+    f"SELECT quarter AS run, '{rule}' AS rule, count(*) AS \"rows\", "
+    f"count(*) FILTER (NOT coalesce({ok}, false)) AS breaches FROM typed_num GROUP BY quarter"
+    for rule, ok in {
+        "ddate_not_null": "ddate_dt IS NOT NULL",
+        "ddate_plausible": "ddate_dt >= DATE '1990-01-01'",
+        "value_castable": "value IS NULL OR value_dec IS NOT NULL",
+        "value_not_null": "value_dec IS NOT NULL",
+        "qtrs_valid": "qtrs_i IN (0, 1, 4)",
+        "reported_before_1995": "ddate_dt < DATE '1995-01-01'"}.items())
+BLOCKS["placed_line"] = """
+    SELECT DISTINCT adsh, tag, trim(unnest(CASE right(adsh, 1)
+        WHEN '1' THEN ['BS'] WHEN '2' THEN [usual, 'EQ'] WHEN '3' THEN [' '] ELSE [usual] END)) AS stmt
+    FROM (SELECT DISTINCT adsh, tag, CASE WHEN tag LIKE 'Assets%' THEN 'BS'
+                 WHEN tag LIKE 'Proceeds%' THEN 'CF' ELSE 'IS' END AS usual FROM named)"""
+BLOCKS["tag_vote"] = """
+    SELECT tag, stmt AS statement, votes, votes / (sum(votes) OVER (PARTITION BY tag))::DOUBLE AS share
+    FROM (SELECT l.tag, l.stmt, CAST(sum(n) AS BIGINT) AS votes FROM placed_line l
+          JOIN (SELECT adsh, tag, count(*) AS n FROM named GROUP BY adsh, tag) f
+            ON f.adsh = l.adsh AND f.tag = l.tag WHERE l.stmt <> '' GROUP BY l.tag, l.stmt)
+    QUALIFY row_number() OVER (PARTITION BY tag ORDER BY votes DESC, stmt) = 1"""
+
 # The gold tables as they follow from the silver ones.
 _FROM_SILVER = dict(
     fact="""SELECT s.cik, n.canonical_tag, n.ddate, n.qtrs, n.uom, n.value, n.adsh, s.form,
@@ -504,6 +540,16 @@ ORACLES: dict[str, str] = {
                       f"SELECT rebalance_dt, {KEY}, value, revision_seq FROM grid"),
     "scd2_build": _sql(["registrant", "company"], "SELECT * FROM company"),
     "concept_candidates": _sql(_MAP[:5], "SELECT * FROM candidate"),
+    "concept_statement_vote": _sql(
+        [*_MAP[:3], "placed_line", "tag_vote"], f"""
+        SELECT tag, statement, votes, share, guessed, statement = guessed AS agrees
+        FROM (SELECT *, {_guess('tag')} AS guessed FROM tag_vote)"""),
+    "concept_map_placed": _sql(
+        [*_MAP, "placed_line", "tag_vote"], """
+        SELECT src_tag, canonical_tag, mapping_method,
+               CASE WHEN mapping_method = 'SELF' AND canonical_tag = src_tag AND v.share > 0.5e0
+                    THEN v.statement ELSE m.statement END AS statement
+        FROM full_map m LEFT JOIN tag_vote v ON v.tag = m.src_tag"""),
     "concept_map_build": _sql(_MAP, "SELECT * FROM full_map"),
     "dim_concept": _sql(
         _MAP, "SELECT canonical_tag, statement, count(*) AS n_source_tags, "
@@ -645,6 +691,30 @@ ORACLES: dict[str, str] = {
             "cik_not_null": "cik_n IS NOT NULL",
             "accepted_after_period": "accepted_ts >= CAST(period_dt AS TIMESTAMP)",
             "adsh_well_formed": _WELL_FORMED})),
+    "quality_jumps": _sql(
+        ["raw_num", "typed_num"], f"""
+        SELECT run, rule, "rows", breaches, breaches / "rows"::DOUBLE AS rate,
+               b0 / n0::DOUBLE AS earlier_rate, chi AS chi_square,
+               coalesce(chi >= 10.83e0 AND abs(breaches / "rows"::DOUBLE - b0 / n0::DOUBLE)
+                        >= (b0 / n0::DOUBLE) * 0.25e0, false) AS jumped
+        FROM (SELECT *, {_chi('"rows"', "breaches", "n0", "b0")} AS chi FROM (
+          SELECT *, sum("rows") OVER w AS n0, sum(breaches) OVER w AS b0 FROM ({_RUNS})
+          WINDOW w AS (PARTITION BY rule ORDER BY run
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))"""),
+    "quality_change_points": _sql(
+        ["raw_num", "typed_num"], f"""
+        SELECT rule, run, chi AS chi_square, b0 / n0::DOUBLE AS rate_before,
+               b1 / n1::DOUBLE AS rate_after,
+               chi >= 10.83e0 AND abs(b1 / n1::DOUBLE - b0 / n0::DOUBLE)
+                   >= (b0 / n0::DOUBLE) * 0.25e0 AS changed
+        FROM (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY chi DESC, run) AS nth FROM (
+          SELECT *, {_chi("n1", "b1", "n0", "b0")} AS chi FROM (
+            SELECT late.rule, late.run, sum(r."rows") FILTER (r.run < late.run) AS n0,
+                   sum(r.breaches) FILTER (r.run < late.run) AS b0,
+                   sum(r."rows") FILTER (r.run >= late.run) AS n1,
+                   sum(r.breaches) FILTER (r.run >= late.run) AS b1
+            FROM ({_RUNS}) late JOIN ({_RUNS}) r USING (rule) GROUP BY late.rule, late.run)
+          WHERE n0 IS NOT NULL)) WHERE nth = 1"""),
     "expect_warn": _sql(
         [*_SUB, *_PIT], " UNION ALL ".join(
             f"SELECT '{table}' AS \"table\", '{rule}' AS rule, count(*) AS written, "

@@ -11,7 +11,7 @@ from knownwhen.functions.values import quarter_of
 from knownwhen.operators import asof, dedup, digests, quality
 from knownwhen.plans import (
     concepts, control, dimensions, distinct, factors, gold, incremental, invariants, monitor,
-    publishing, silver, snapshots)
+    presentation, publishing, quality_history, silver, snapshots)
 from knownwhen.plans.gold import KEY
 from knownwhen.sources import catalog, delimited, files, headers, links, tables
 from knownwhen.sources import driver_tables as dt
@@ -167,6 +167,23 @@ def concept_candidates(spark: SparkSession, d: str) -> DataFrame:
     return concepts.candidates(dt.named_facts(spark, d))
 
 
+@query
+def concept_statement_vote(spark: SparkSession, d: str) -> DataFrame:
+    """Statements by the presentation lines of spelled-out tags, weighted by reported facts."""
+    facts = dt.named_facts(spark, d)
+    votes = presentation.statement_votes(dt.named_presentation(spark, d), facts)
+    return presentation.statement_vote(votes)
+
+
+@query
+def concept_map_placed(spark: SparkSession, d: str) -> DataFrame:
+    facts = dt.named_facts(spark, d)
+    voted = presentation.statement_vote(
+        presentation.statement_votes(dt.named_presentation(spark, d), facts))
+    return presentation.placed(concept_map(spark, d), voted).select(
+        "src_tag", "canonical_tag", "statement", "mapping_method")
+
+
 @query
 def concept_map_build(spark: SparkSession, d: str) -> DataFrame:
     folder = new_folder(spark, "concepts")
@@ -578,6 +595,28 @@ def quality_rates(spark: SparkSession, d: str) -> DataFrame:
         subs.select(F.lit("sub").alias("table"), "*"))
 
 
+def _quality_runs(spark: SparkSession, d: str) -> DataFrame:
+    """The ledger after every quarter was recorded, the early ones twice."""
+    root = new_folder(spark, "quality")
+    counts = settle(quality_history.run_counts(
+        silver.typed_facts(dt.raw_facts(spark, d)),
+        {**silver.fact_rules(), "reported_before_1995": F.col("ddate_dt") < F.lit("1995-01-01")},
+        "quarter"), "quality-counts")
+    quality_history.record(counts.where("run < '1995'"), root)
+    quality_history.record(counts, root)
+    return quality_history.ledger(spark, root)
+
+
+@query
+def quality_jumps(spark: SparkSession, d: str) -> DataFrame:
+    return quality_history.jumps(_quality_runs(spark, d))
+
+
+@query
+def quality_change_points(spark: SparkSession, d: str) -> DataFrame:
+    return quality_history.change_points(_quality_runs(spark, d))
+
+
 @query
 def expect_warn(spark: SparkSession, d: str) -> DataFrame:
     """Breaches counted while rows are written, also where the table is laid out in ranges;
