@@ -7,13 +7,15 @@ table is replaced as a whole or not at all, and a change may read the table it r
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from knownwhen.operators.quality import watch
+from knownwhen.sources.layout import along_curve
+from knownwhen.sources.shared import scratch, settle
 from knownwhen.sources.versions import ConcurrentChange, Log
 
 
@@ -71,6 +73,17 @@ def publish(rows: DataFrame, root: str, name: str, based_on: int | None = None)
     return _write(_clustered(rows, name), root, name, based_on)
 
 
+def publish_along_curve(rows: DataFrame, root: str, name: str, columns: Sequence[str],
+                        files: int | None = None) -> str:
+    """Replace a published table, laid out so that each of ``columns`` prunes files.
+
+    The rows are settled first: they are made once, though the layout reads them three times.
+    """
+    with scratch(rows.sparkSession):
+        settled = settle(rows, "curve")
+        return _write(along_curve(settled, columns, files=files), root, name)
+
+
 def publish_watched(rows: DataFrame, root: str, name: str, rules: Mapping[str, Column]
                     ) -> dict[str, int]:
     """Replace a published table and count ``rows`` and the breaches of each rule.

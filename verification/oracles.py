@@ -529,6 +529,10 @@ ORACLES: dict[str, str] = {
         f"SELECT {KEY}, accepted_ts, adsh, value, prev_value FROM change"),
     "knowledge_intervals": _sql(_PIT, "SELECT * FROM pit"),
     "publish_roundtrip": _sql(_PIT, "SELECT * FROM pit"),
+    "layout_curve": _sql(_PIT, " UNION ALL ".join(
+        f"SELECT '{c}' AS ranged_by, canonical_tag, count(*) AS n, sum(value) AS total, "
+        f"min(known_from_ts) AS first_known FROM pit WHERE {c} BETWEEN '{a}' AND '{b}' GROUP BY ALL"
+        for c, (a, b) in q.RANGES.items())),
     "revision_class": _sql(
         _PIT, "SELECT canonical_tag, change_class, count(*) AS n, min(pct_change) AS min_pct, "
         "max(pct_change) AS max_pct FROM pit GROUP BY ALL"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -662,6 +663,26 @@ def publish_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_published(spark, folder, "fact_fundamental_pit")
 
 
+# Ranges of one column each, that a layout should let a reader find without the rest.
+RANGES = {"cik": ("100", "199"), "ddate": ("1994-12-31", "1995-12-31"),
+          "known_from_ts": ("1996-01-01 00:00:00", "1996-03-31 00:00:00")}
+
+
+@query
+def layout_curve(spark: SparkSession, d: str) -> DataFrame:
+    """Ranges of company, period and publication, read from intervals laid out along a curve."""
+    root = new_folder(spark, "gold")
+    tables.publish_along_curve(pit(spark, d), root, "fact_fundamental_pit", list(RANGES))
+    rows = tables.read_published(spark, root, "fact_fundamental_pit")
+    answers = [
+        rows.where(F.col(c).between(*[F.lit(x).cast(rows.schema[c].dataType) for x in ends]))
+        .groupBy(F.lit(c).alias("ranged_by"), "canonical_tag")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"),
+             F.min("known_from_ts").alias("first_known"))
+        for c, ends in RANGES.items()]
+    return reduce(DataFrame.union, answers)
+
+
 # ---------------------------------------------------------------- catalog
 
 def _registered(spark: SparkSession, root: str) -> str:
