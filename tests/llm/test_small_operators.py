@@ -323,6 +323,53 @@ def test_phrases_and_proximity_in_an_index_of_all_words(spark):
     assert {row["doc_ids"][int(d)] for d in seg.document(near)} == {1, 3}
 
 
+def nearby(docs, items, distance):
+    """Places of an item's first word that have all its words within a distance, by a scan."""
+    out = []
+    for i, text in docs:
+        w, places, names = (text or "").split(), set(), set()
+        for name, item in items:
+            first, *others = item.split()
+            for k in range(len(w)):
+                about = w[max(0, k - distance):k + distance + 1]
+                if w[k] == first and set(others) <= set(about):
+                    places.add(k)
+                    names.add(str(name))
+        out.append((i, len(w), sorted(places), sorted(names)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 5])
+def test_proximity_equals_a_scan(spark, limit):
+    rng = random.Random(4)
+    docs = [(i, " ".join(rng.choices("abcdefgh", k=rng.randrange(0, 30)))) for i in range(60)]
+    docs += [(None, None), (3, "a b"), (3, "a b")]
+    items = [(1, "a b"), (2, "c d e"), (3, "h h a"), (4, "z a"), (5, "f")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for distance in (1, 4):
+        got = decontam.matches(df, bench, limit=limit, distance=distance)
+        assert rows_of(got) == nearby(docs, items, distance)
+
+
+def test_words_that_share_a_bit_of_the_map_change_nothing(spark, monkeypatch):
+    docs = [(i, prose(i, 80)) for i in range(20)]
+    items = [(9, " ".join(docs[4][1].split()[10:30]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert decontam.word_map([], 4) == bytes(2)
+    full = decontam.word_map
+    monkeypatch.setattr(decontam, "word_map", lambda texts: full(texts, 3))
+    assert rows_of(decontam.decontaminated(df, bench)) == windows_hit(docs, items)
+
+
+def test_only_phrases_without_a_missing_word_are_visited():
+    block = decontam._Phrases([((b"a", b"b"), ["1"]), ((b"c",), ["2"]), ((b"b", b"z"), ["3"])])
+    assert list(block.possible([b"a", b"b", b"q"], [3, 1, 2])) == [0]
+    assert list(block.possible([], [])) == []
+    assert list(decontam._Phrases([]).possible([b"a"], [1])) == []
+
+
 # ------------------------------------------------------------------ sharding
 
 def test_shards_of_awkward_rows(awkward, crowded, nothing):
