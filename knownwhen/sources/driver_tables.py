@@ -41,6 +41,19 @@ def registrants(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def renamed_registrants(spark: SparkSession, folder: str) -> DataFrame:
+    """Filings of companies of which some share a tax number or give a former name."""
+    cik, at = F.col("o_custkey"), F.col("o_orderdate")
+    renamed = (cik % 7 == 3) & (cik % 50 >= 7)
+    return table(spark, folder, "orders").select(
+        cik.alias("cik"), at.alias("accepted_ts"),
+        F.concat(F.lit("Company "), cik.cast("string")).alias("name"),
+        F.when(cik % 35 == 0, F.floor(cik / 70).cast("string")).when(cik % 11 == 0, " ").alias("ein"),
+        F.when(renamed, F.concat(F.lit(" COMPANY  "), (cik - 7).cast("string"))).alias("former"),
+        F.when(renamed & (F.col("o_orderkey") % 2 == 0), F.date_sub(at.cast("date"), 30))
+        .alias("changed"))
+
+
 def concept_map(spark: SparkSession) -> DataFrame:
     rows = ", ".join(f"('{s}', '{c}', '{st}')" for s, c, st in CONCEPTS)
     return spark.sql(f"SELECT * FROM VALUES {rows} AS m(src_tag, canonical_tag, statement)")

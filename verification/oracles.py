@@ -821,5 +821,40 @@ ORACLES: dict[str, str] = {
         _SUB, "SELECT adsh, cik, 'https://example.org/data/' || cik || '/' "
         "|| replace(adsh, '-', '') || '/' AS path FROM silver_sub"),
 }
+ORACLES["company_lineage"] = f"""
+    WITH RECURSIVE said AS (
+        SELECT o_custkey AS cik, o_orderdate AS told_at, 'Company ' || o_custkey AS name,
+               CASE WHEN o_custkey % 35 = 0 THEN o_custkey // 70 END AS ein,
+               CASE WHEN o_custkey % 7 = 3 AND o_custkey % 50 >= 7
+                    THEN 'Company ' || (o_custkey - 7) END AS former,
+               CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderdate AS DATE) - 30 END AS changed
+        FROM orders),
+    firm AS (SELECT DISTINCT cik, name, ein, former FROM said),
+    tied AS (
+        SELECT a.cik AS a, b.cik AS b FROM firm a JOIN firm b
+        ON a.ein = b.ein OR a.former = b.name OR b.former = a.name OR a.former = b.former),
+    reached AS (
+        SELECT DISTINCT cik, cik AS other FROM said
+        UNION SELECT r.cik, t.b FROM reached r JOIN tied t ON r.other = t.a),
+    member AS (SELECT cik, min(other) AS entity FROM reached GROUP BY cik),
+    told AS (
+        SELECT cik, name, CAST(told_at AS TIMESTAMP) AS told_at FROM said
+        UNION SELECT cik, name, CAST(changed AS TIMESTAMP) FROM said
+        WHERE former IS NOT NULL AND changed < told_at),
+    instant AS (
+        SELECT entity, told_at, name, cik FROM (
+            SELECT *, row_number() OVER (PARTITION BY entity, told_at ORDER BY name, cik) AS nth
+            FROM told JOIN member USING (cik)) WHERE nth = 1),
+    opened AS (
+        SELECT * FROM (
+            SELECT *, lag(name) OVER w AS name0, lag(cik) OVER w AS cik0,
+                   row_number() OVER w AS nth
+            FROM instant WINDOW w AS (PARTITION BY entity ORDER BY told_at))
+        WHERE nth = 1 OR name <> name0 OR cik <> cik0)
+    SELECT entity, name, cik, told_at AS valid_from_ts,
+           coalesce(lead(told_at) OVER e, {OPEN}) AS valid_to_ts,
+           CAST(row_number() OVER e AS INTEGER) AS version_seq,
+           lead(told_at) OVER e IS NULL AS is_current
+    FROM opened WINDOW e AS (PARTITION BY entity ORDER BY told_at)"""
 ORACLES["as_of_function"] = ORACLES["fundamental_as_of"]
 ORACLES["intervals_incremental"] = ORACLES["knowledge_intervals"]

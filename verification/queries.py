@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from knownwhen.functions.values import quarter_of
 from knownwhen.operators import asof, dedup, digests, quality
 from knownwhen.plans import (
-    concepts, control, dimensions, distinct, factors, gold, incremental, invariants, monitor,
-    presentation, publishing, quality_history, silver, snapshots)
+    concepts, control, dimensions, distinct, factors, gold, incremental, invariants, lineage,
+    monitor, presentation, publishing, quality_history, silver, snapshots)
 from knownwhen.plans.gold import KEY
 from knownwhen.sources import catalog, delimited, files, headers, links, tables
 from knownwhen.sources import driver_tables as dt
@@ -663,6 +663,12 @@ def publish_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_published(spark, folder, "fact_fundamental_pit")
 
 
+@query
+def company_lineage(spark: SparkSession, d: str) -> DataFrame:
+    """Names over time of companies that are one under several numbers."""
+    return lineage.entity_names(dt.renamed_registrants(spark, d))
+
+
 # Ranges of one column each, that a layout should let a reader find without the rest.
 RANGES = {"cik": ("100", "199"), "ddate": ("1994-12-31", "1995-12-31"),
           "known_from_ts": ("1996-01-01 00:00:00", "1996-03-31 00:00:00")}
