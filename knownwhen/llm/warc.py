@@ -1,16 +1,16 @@
 """WARC archives through a chunked record table.
 
 1. ``chunks``: a payload becomes rows (record, chunk) of at most ``CHUNK`` bytes,
-   each with the length and the SHA-1 of the payload up to there; the last row of
-   a record therefore has the digest of the whole.
+   each with these bytes and with the length and the SHA-1 of the payload up to there.
+   They are cut out of the batch that Spark hands over, so that Python holds some
+   chunks at a time and never a copy of a whole payload; all later steps see chunks.
 2. Of records with equal payloads of ``LEAST`` bytes or more, the one with the
    largest id is the response, the others are revisits of it. This is decided on
-   ids, lengths and digests alone.
+   ids, lengths and digests alone, in a chunk table without the bytes.
 3. ``write``: every chunk is one WARC record. The chunks after the first are
-   ``continuation`` records of a segmented record (WARC 1.1, section 6.9), so the
-   writer never holds a copy of a whole payload. Spark's text writer puts the
-   records into (compressed) files, with the blank lines between records as its
-   line separator.
+   ``continuation`` records of a segmented record (WARC 1.1, section 6.9), so they
+   may lie in any order and file. Spark's text writer puts the records into
+   (compressed) files, with the blank lines between records as its line separator.
 4. ``read``: files are split at the head lines of records and read in parallel.
    Chunks of one record are put in order and digested one after the other.
 
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from knownwhen.llm import frames as fr
@@ -45,12 +45,17 @@ HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-_CHUNKS = "page_id long, chunk int, last boolean, bytes_so_far long, sha1_so_far string"
+_CHUNKS = pa.schema([
+    ("page_id", pa.int64()), ("url", pa.string()), ("copy", pa.int64()), ("chunk", pa.int32()),
+    ("last", pa.bool_()), ("bytes_so_far", pa.int64()), ("sha1_so_far", pa.string()),
+    ("total", pa.int64()), ("digest", pa.string()), ("data", pa.binary())])
+_CHUNKS_SQL = ("page_id long, url string, copy long, chunk int, last boolean, bytes_so_far long, "
+               "sha1_so_far string, total long, digest string, data binary")
 _READ = ("record string, segment int, page_id long, record_type string, refers_to long, "
          "payload_bytes long, payload_digest string, part binary")
 
 
-def cut(data: bytes, size: int = CHUNK) -> Iterator[bytes]:
+def cut(data: bytes | memoryview, size: int = CHUNK) -> Iterator[bytes | memoryview]:
     """Parts of at most ``size`` bytes, none of which holds a record's head line."""
     begin = 0
     for found in [*re.finditer(re.escape(HEAD), data), None]:
@@ -63,36 +68,47 @@ def cut(data: bytes, size: int = CHUNK) -> Iterator[bytes]:
             begin = stop
 
 
-def chunk_rows(data: bytes, size: int = CHUNK) -> Iterator[dict]:
-    """The rows of one record, with what is known of the payload so far."""
+def chunk_rows(data: bytes | memoryview, size: int = CHUNK) -> Iterator[dict]:
+    """The rows of one record, with what is known of the payload so far and of the whole."""
+    whole = hashlib.sha1(data).hexdigest()
     digest, length = hashlib.sha1(), 0
     for number, part in enumerate(cut(data, size)):
-        digest.update(part)
         length += len(part)
-        yield {"chunk": number, "last": length == len(data), "data": part,
-               "bytes_so_far": length, "sha1_so_far": digest.hexdigest()}
+        last = length == len(data)
+        if not last:
+            digest.update(part)
+        yield {"chunk": number, "last": last, "bytes_so_far": length,
+               "sha1_so_far": whole if last else digest.hexdigest(),
+               "total": len(data), "digest": whole, "data": part}
 
 
-def chunks(pages: DataFrame, size: int = CHUNK) -> DataFrame:
-    """The chunked record table of (page_id, url, payload), without the payload's bytes."""
+def chunks(pages: DataFrame, size: int = CHUNK, with_data: bool = True) -> DataFrame:
+    """The chunked record table of (page_id, url, binary payload).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in tx.slices(batches, 64):
-            out = [{"page_id": page_id} | {k: v for k, v in row.items() if k != "data"}
-                   for page_id, payload in zip(rows["page_id"], rows["payload"])
-                   for row in chunk_rows(_bytes(payload), size)]
-            yield pa.RecordBatch.from_pylist(out, schema=_chunk_schema())
-
-    return pages.mapInArrow(run, _CHUNKS)
-
-
-def _bytes(payload: str | None) -> bytes:
-    return (payload or "").encode("utf-8", "surrogatepass")
+    ``copy`` tells rows apart that repeat both id and payload.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        copy = TaskContext.get().partitionId() << 33
+        out: dict[str, list] = {n: [] for n in _CHUNKS.names}
+        held = 0
+        for batch in batches:
+            payloads = batch.column(2)
+            for i, (page_id, url) in enumerate(zip(batch.column(0).to_pylist(),
+                                                   batch.column(1).to_pylist())):
+                copy += 1
+                for row in chunk_rows(memoryview(payloads[i].as_buffer()), size):
+                    row |= {"page_id": page_id, "url": url, "copy": copy,
+                            "data": bytes(row["data"]) if with_data else None}
+                    for name, values in out.items():
+                        values.append(row[name])
+                    held += 256 + (len(row["data"]) if with_data else 0)
+                    if held >= 4 * size:
+                        yield pa.RecordBatch.from_pydict(out, schema=_CHUNKS)
+                        out, held = {n: [] for n in _CHUNKS.names}, 0
+        yield pa.RecordBatch.from_pydict(out, schema=_CHUNKS)
 
-def _chunk_schema() -> pa.Schema:
-    return pa.schema([("page_id", pa.int64()), ("chunk", pa.int32()), ("last", pa.bool_()),
-                      ("bytes_so_far", pa.int64()), ("sha1_so_far", pa.string())])
+    return pages.mapInArrow(run, _CHUNKS_SQL)
 
 
 def revisits(table: DataFrame, least: int = LEAST) -> DataFrame:
@@ -111,74 +127,62 @@ def write(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """Write the archives to the shared folder; returns their path."""
     spark = pages.sparkSession
     fr.bounded_batches(spark)
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"),
-                        F.col(url_col).cast("string").alias("url"),
-                        F.col(payload_col).alias("payload"))
-    away = revisits(fr.stored(chunks(rows, size), "warc-chunks"), least).select(
+    escaped = F.col(url_col).cast("string")
+    for code in [*range(33), 127]:  # what would end a header line or a word of it
+        escaped = F.replace(escaped, F.lit(chr(code)), F.lit(f"%{code:02X}"))
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), escaped.alias("url"),
+                        F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload"))
+    known = chunks(rows, size, with_data=False).select(
+        "page_id", "last", "bytes_so_far", "sha1_so_far")
+    away = revisits(fr.stored(known, "warc-chunks"), least).select(
         F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "to_page")
-    digest = F.sha1(F.coalesce(F.col("payload"), F.lit("")).cast("binary"))
-    decided = rows.withColumn("digest", digest)
-    decided = decided.join(away, (decided["page_id"] == away["_page"])
-                           & (decided["digest"] == away["_digest"]), "left").select(
-        "page_id", "url", "payload", "digest", "to_page")
-
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        copy = TaskContext.get().partitionId() << 33
-        for rows in tx.slices(batches, 32):
-            out: list[bytes] = []
-            held = 0
-            for i in range(len(rows["page_id"])):
-                row = {k: rows[k][i] for k in rows if k != "payload"} | {"copy": copy + i}
-                data = _bytes(rows["payload"][i])
-                for part in chunk_rows(data, size):
-                    out.append(_record(row | part, len(data)))
-                    held += len(out[-1])
-                    if held >= 4 * size:
-                        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
-                        out, held = [], 0
-                    if row["to_page"] is not None:
-                        break  # a revisit has a head only
-            copy += len(rows["page_id"])
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
-
-    lines = decided.mapInArrow(records, "value binary").select(F.col("value").cast("string"))
+    table = chunks(rows, size)
+    decided = table.join(away, (table["page_id"] == away["_page"])
+                         & (table["digest"] == away["_digest"]), "left")
+    decided = decided.filter("to_page IS NULL OR chunk = 0")  # a revisit has a head only
     path = new_folder(spark, "warc")
+    lines = decided.select(_record().cast("string").alias("value"))
     lines.write.options(lineSep=BLANK, compression=compression).text(path)
     return path
 
 
-def _name(page_id: int | None, digest: str, chunk: int = 0) -> str:
-    return f"<urn:page:{'' if page_id is None else page_id}:{digest}:{chunk}>"
-
-
-def _record(row: dict, total: int) -> bytes:
-    """One WARC record without the blank lines that end it."""
-    revisit, first = row["to_page"] is not None, row["chunk"] == 0
-    kind = "revisit" if revisit else "response" if first else "continuation"
-    body = b"" if revisit else (HTTP if first else b"") + row["data"]
-    name = _name(row["page_id"], row["digest"])
-    head = [("WARC-Type", kind),
-            ("WARC-Record-ID", _name(row["page_id"], row["digest"], row["chunk"])),
-            ("WARC-Date", DATE)]
-    if row["url"] is not None:
-        head.append(("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", lambda c: f"%{ord(c[0]):02X}",
-                                               row["url"])))
-    if first:
-        head += [("WARC-Payload-Digest", f"sha1:{row['digest']}"), ("X-Payload-Length", str(total))]
-    if revisit:
-        head += [("WARC-Profile", PROFILE),
-                 ("WARC-Refers-To", _name(row["to_page"], row["digest"]))]
-    elif not first or not row["last"]:
-        head += [("WARC-Segment-Number", str(row["chunk"] + 1)), ("X-Copy", str(row["copy"]))]
-        if not first:
-            head.append(("WARC-Segment-Origin-ID", name))
-        if row["last"]:
-            head.append(("WARC-Segment-Total-Length", str(len(HTTP) + total)))
-    if first:
-        head.append(("Content-Type", "application/http; msgtype=response"))
-    head.append(("Content-Length", str(len(body))))
-    lines = "".join(f"{k}: {v}\r\n" for k, v in head).encode("utf-8", "surrogatepass")
-    return HEAD + lines + b"\r\n" + body
+def _name(page: str, chunk: Column) -> Column:
+    number = F.coalesce(F.col(page).cast("string"), F.lit(""))
+    return F.concat(F.lit("<urn:page:"), number, F.lit(":"), F.col("digest"), F.lit(":"),
+                    chunk.cast("string"), F.lit(">"))
+
+
+def _record() -> Column:
+    """The WARC record of a chunk without the blank lines that end it, as bytes."""
+    revisit, first, last = F.col("to_page").isNotNull(), F.col("chunk") == 0, F.col("last")
+    segment = ~revisit & ~(first & last)
+    body = F.when(revisit, F.lit(b"")).when(
+        first, F.concat(F.lit(HTTP), F.col("data"))).otherwise(F.col("data"))
+
+    def line(field: str, value: Column | str, where: Column | None = None) -> Column:
+        """A header line, null (and left out) where it doesn't apply."""
+        text = F.concat(F.lit(f"{field}: "), F.lit(value))
+        return text if where is None else F.when(where, text)
+
+    head = F.concat_ws(
+        "\r\n", F.lit(HEAD.decode().strip()),
+        line("WARC-Type", F.when(revisit, "revisit").when(first, "response")
+             .otherwise("continuation")),
+        line("WARC-Record-ID", _name("page_id", F.col("chunk"))),
+        line("WARC-Date", DATE),
+        line("WARC-Target-URI", F.col("url")),
+        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest")), first),
+        line("X-Payload-Length", F.col("total").cast("string"), first),
+        line("WARC-Profile", PROFILE, revisit),
+        line("WARC-Refers-To", _name("to_page", F.lit(0)), revisit),
+        line("WARC-Segment-Number", (F.col("chunk") + 1).cast("string"), segment),
+        line("X-Copy", F.col("copy").cast("string"), segment),
+        line("WARC-Segment-Origin-ID", _name("page_id", F.lit(0)), ~first),
+        line("WARC-Segment-Total-Length", (F.col("total") + len(HTTP)).cast("string"),
+             segment & last),
+        line("Content-Type", "application/http; msgtype=response", first),
+        line("Content-Length", F.octet_length(body).cast("string")))
+    return F.concat(head.cast("binary"), F.lit(BLANK.encode()), body)
 
 
 def parsed(line: bytes) -> tuple[dict[str, str], bytes]:

@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -66,6 +67,35 @@ def test_parts_hold_no_head_line():
             for p in parts)
 
 
+def test_chunk_rows_carry_bytes_and_digests_so_far(spark):
+    page = "\u00fc" * 700 + warc.HEAD.decode() + "x" * 900
+    rows = spark.createDataFrame([(1, None, page), (1, "u", page), (2, "u", "")],
+                                 "page_id long, url string, p string")
+    got = warc.chunks(rows.selectExpr("page_id", "url", "CAST(p AS BINARY) p"), 512).collect()
+    by_copy = {}
+    for r in sorted(got, key=lambda r: r.chunk):
+        by_copy.setdefault(r.copy, []).append(r)
+    assert sorted(len(v) for v in by_copy.values()) == [1, 5, 5]  # 1,403 bytes up to the cut head line, 907 after it
+    for record in by_copy.values():
+        data = b""
+        for n, r in enumerate(record):
+            data += r.data
+            assert r.chunk == n and len(r.data) <= 512 and r.bytes_so_far == len(data)
+            assert r.sha1_so_far == hashlib.sha1(data).hexdigest()
+            assert r.last == (n == len(record) - 1)
+        assert record[0].digest == record[-1].sha1_so_far and record[0].total == len(data)
+        assert data.decode() == (page if record[0].page_id == 1 else "")
+
+
+def test_chunks_of_a_large_payload_take_little_memory():
+    whole = memoryview(bytes(64 << 20))
+    tracemalloc.start()
+    total = sum(len(bytes(r["data"])) for r in warc.chunk_rows(whole))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert total == 64 << 20 and peak < 4 * warc.CHUNK
+
+
 # ------------------------------------------------------------------ main text
 
 PAGE = """<html><head><title>T</title><style>p{}</style><script>var a="<p>no</p>";</script></head>
