@@ -13,8 +13,10 @@ nodes' local scores. For a block of queries (bounded, sent to all tasks):
    scores, dropped if that stays below the cutoff, and otherwise scored exactly.
    A task passes on its ``k`` best per query; the best of all tasks are the result.
 
-Scores are sums of products of whole numbers, exact in any order. Ties go to the
-smaller id. Queries run against all rows in blocks; the blocks are the only loop.
+Scores are sums of products of whole numbers, exact in any order as long as they fit a
+long. Ties go to the smaller id. Queries run against all rows in blocks; the blocks are the
+only loop, and a block's result is written before the next one is read, so the driver holds
+the queries of one block, however many there are.
 
 Defined results: vectors that are null, empty or hold null or non-finite
 components, and rows without an id, take no part. Only vectors of equal length are
@@ -32,6 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from knownwhen.sources.shared import new_folder
+
 K = 10
 NODES = 2
 SCALE = 1024
@@ -41,6 +45,7 @@ QUERY_BLOCK = 2048
 ROWS = 2048
 
 _FOUND = "query long, vec_id long, score long"
+_RANKED = "query_id long, rank int, vec_id long, score long"
 
 
 def scaled(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -193,15 +198,20 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 
 
 def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id",
-          vector_col: str = "embedding", k: int = K, nodes: int = NODES) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query's k best other rows. ``is_query``: a
-    condition on the vectors' columns."""
+          vector_col: str = "embedding", k: int = K, nodes: int = NODES,
+          block_size: int = QUERY_BLOCK) -> DataFrame:
+    """(query_id, rank, vec_id, score): each query's k best other rows, written and read back.
+    ``is_query``: a condition on the vectors' columns."""
     spark = vectors.sparkSession
     rows = scaled(vectors, id_col, vector_col)
-    out = spark.createDataFrame([], _FOUND)
-    for names, block in query_blocks(scaled(vectors.filter(is_query), id_col, vector_col)):
+    folder = new_folder(spark, "top-k")
+    spark.createDataFrame([], _RANKED).write.parquet(folder)
+    queries = scaled(vectors.filter(is_query), id_col, vector_col)
+    for names, block in query_blocks(queries, block_size):
         first = _ranked(gathered(rows, names, block, k, nodes), k)
         # A row a query; queries with fewer than k candidates have no cutoff.
         cutoffs = {r["query"]: r["score"] for r in first.filter(F.col("rank") == k).collect()}
-        out = out.union(resolved(rows, names, block, cutoffs, k, nodes))
-    return _ranked(out, k).select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
+        best = _ranked(resolved(rows, names, block, cutoffs, k, nodes), k)
+        best.select(F.col("query").alias("query_id"), "rank", "vec_id", "score").write.mode(
+            "append").parquet(folder)
+    return spark.read.schema(_RANKED).parquet(folder)

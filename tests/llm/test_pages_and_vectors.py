@@ -241,6 +241,13 @@ def test_top_k_of_awkward_vectors(spark):
     topk.QUERY_BLOCK = blocks
 
 
+def test_top_k_in_blocks_equals_a_scan(spark):
+    draw = random.Random(6)
+    rows = [(i, [float(draw.randrange(-3, 4)) for _ in range(5)]) for i in range(0, 1000, 10)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    assert rows_of(topk.top_k(df, F.col("vec_id") % 100 == 0, block_size=4)) == brute(rows)
+
+
 def test_query_blocks(spark):
     rows = spark.createDataFrame([(i, [float(i)]) for i in range(7)], "vec_id long, v array<double>")
     rows = rows.select("vec_id", F.transform("v", lambda x: x.cast("long")).alias("v"))
