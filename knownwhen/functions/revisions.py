@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from knownwhen.functions._cols import ColumnOrName, col_of
-from knownwhen.functions.values import any_of, first_match, ratio
+from knownwhen.functions.values import any_of, computed_once, first_match, ratio
 
 # Fixed values.
 MATERIAL_FROM = 0.005
@@ -52,22 +52,31 @@ def magnitude_kept(before: ColumnOrName, after: ColumnOrName) -> Column:
 def with_revision(rows: DataFrame, before: str, after: str) -> DataFrame:
     """Add ``pct_change`` and ``change_class`` for ``before`` being replaced by ``after``.
 
-    The doubles and the quotients are projected first: the class tests them many
-    times over, and wide decimals are slow to convert.
+    The class tests the doubles and the quotients many times over, and wide decimals are slow
+    to convert, so these are worked out once.
     """
-    measured = rows.withColumns({
-        "_before": F.col(before).cast("double"), "_after": F.col(after).cast("double"),
-    }).withColumns({
-        "_factor": size_ratio("_before", "_after"),
-        "pct_change": relative_change("_before", "_after"),
-    })
-    named = first_match(
-        {
-            FIRST_REPORT: F.col(before).isNull(),
-            UNIT_SCALE: near_power_of_ten("_factor"),
-            IMMATERIAL: F.col("pct_change") < MATERIAL_FROM,
-            SIGN_FLIP: sign_reversed("_before", "_after") & magnitude_kept("_before", "_after"),
-        },
-        otherwise=RESTATEMENT,
-    )
-    return measured.withColumn("change_class", named).drop("_before", "_after", "_factor")
+    pair = F.struct(F.col(before).cast("double").alias("before"),
+                    F.col(after).cast("double").alias("after"))
+
+    def measured(p: Column) -> Column:
+        return F.struct(
+            p["before"].alias("before"), p["after"].alias("after"),
+            size_ratio(p["before"], p["after"]).alias("factor"),
+            relative_change(p["before"], p["after"]).alias("change"))
+
+    def named(m: Column) -> Column:
+        return first_match(
+            {
+                UNIT_SCALE: near_power_of_ten(m["factor"]),
+                IMMATERIAL: m["change"] < MATERIAL_FROM,
+                SIGN_FLIP: sign_reversed(m["before"], m["after"])
+                & magnitude_kept(m["before"], m["after"]),
+            },
+            otherwise=RESTATEMENT)
+
+    told = F.col(before).isNotNull()
+    change_class = computed_once(pair, lambda p: computed_once(measured(p), named))
+    return rows.withColumns({
+        "pct_change": F.when(told, computed_once(
+            pair, lambda p: relative_change(p["before"], p["after"]))),
+        "change_class": F.when(told, change_class).otherwise(FIRST_REPORT)})

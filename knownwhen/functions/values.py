@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column
@@ -46,6 +46,15 @@ def first_match(rules: Mapping[str, Column], otherwise: str | None = None) -> Co
     return chain.otherwise(F.lit(otherwise))
 
 
+def computed_once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often it is used.
+
+    A named column doesn't do that: a filter that is pushed below the projection takes the
+    whole expression with it, once for every use.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 

@@ -40,6 +40,9 @@ class Timeline:
     state: tuple[str, ...]
     tie: tuple[str, ...] = field(default=())
     entity: tuple[str, ...] = field(default=())
+    # Columns of the key that rows are dealt out by, if not all: one that holds a constant
+    # would make Spark deal them out again for the windows.
+    dealt_by: tuple[str, ...] = field(default=())
 
     def order(self) -> list[Column]:
         return [F.col(self.at).asc(), *[F.col(c).asc() for c in self.tie]]
@@ -77,8 +80,9 @@ def plan_slices(events: DataFrame, entity: list[str], at: str,
     return (
         per_day
         .withColumn("_total", F.sum("_events").over(days))
-        .withColumn("_before", F.coalesce(F.sum("_instants").over(before), F.lit(0)))
         .where(F.col("_total") > limit)
+        # Only days of the few large entities are put in order.
+        .withColumn("_before", F.coalesce(F.sum("_instants").over(before), F.lit(0)))
         .select(*entity, "_day", parts.alias("_parts"),
                 F.floor(F.col("_before") / limit).alias("_run"))
     )
@@ -121,38 +125,61 @@ def build(rows: DataFrame, line: Timeline, final_state: bool = False,
     columns is given as a struct. ``folded`` rows have one row per key and instant.
     """
     part = [*line.key, SLICE]
-    # Copies of one instant are folded before they can meet in one task.
-    instants = rows if folded else fold_instants(line.reports(rows), line, part)
-    local = Window.partitionBy(*part).orderBy(line.at)
-    found = (
-        where_state_changes(line.reports(instants), line, local)
-        .withColumns({
-            "_nth": F.row_number().over(local),
-            "_next": F.lead(line.at).over(local),
-            "_local_final": F.last(line.stated()).over(
-                local.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        })
-    )
-    across = _across_slices(found, line, part)
+    # The one exchange: folding, windows and edges all run on rows dealt out like this.
+    dealt = line.reports(rows).repartition(*(line.dealt_by or line.key), SLICE)
+    # A condition on the partition can't be pushed below the exchange, so all three readers
+    # share it, and rows of the other kind go before anything is sorted.
+    slice_of = F.when(F.spark_partition_id() >= 0, F.col(SLICE))
+    whole = _changes(dealt.where(slice_of.isNull()), line, part, folded)
+    sliced = _changes(dealt.where(slice_of.isNotNull()), line, part, folded)
+    again = _changes(dealt.where(slice_of.isNotNull()), line, part, folded)
     same = [F.col(c) == F.col(f"_of_{c}") for c in part]
-    joined = found.join(across, same, "left").drop(*[f"_of_{c}" for c in part])
+    joined = sliced.join(_across_slices(again, line, part), same, "left").drop(
+        *[f"_of_{c}" for c in part])
     # A slice whose first state equals the one carried in opens nothing there.
     repeats = F.coalesce(F.col("_repeats"), F.lit(False))
     first = F.col("_nth") == 1
-    out = (
-        joined.where(~(first & repeats))
-        .withColumns({
-            "seq": (F.col("_nth") - repeats.cast("int")
-                    + F.coalesce(F.col("_changes_before"), F.lit(0))).cast("int"),
-            "closed_at": F.coalesce("_next", "_next_slice_change", open_end()),
-            "prior": F.when(first, F.col("_carried")).otherwise(F.col("_prior")),
-            "final": F.coalesce("_key_final", "_local_final"),
-        })
-        .withColumnRenamed(line.at, "opened_at")
-        .drop("_nth", "_next", "_local_final", "_prior", "_repeats", "_changes_before",
-              "_next_slice_change", "_carried", "_key_final", SLICE)
+    rest = [c for c in rows.columns if c not in {SLICE, line.at}]
+
+    def intervals(found: DataFrame, seq: Column, closed_at: Column, prior: Column,
+                  final: Column) -> DataFrame:
+        return found.select(
+            F.col(line.at).alias("opened_at"), *rest, seq.cast("int").alias("seq"),
+            F.coalesce(closed_at, open_end()).alias("closed_at"), prior.alias("prior"),
+            *([final.alias("final")] if final_state else []))
+
+    return intervals(
+        whole, F.col("_nth"), F.col("_next"), F.col("_prior"), F.col("_local_final"),
+    ).unionByName(intervals(
+        joined.where(~(first & repeats)),
+        F.col("_nth") - repeats.cast("int") + F.coalesce(F.col("_changes_before"), F.lit(0)),
+        F.coalesce("_next", "_next_slice_change"),
+        F.when(first, F.col("_carried")).otherwise(F.col("_prior")),
+        F.coalesce("_key_final", "_local_final")))
+
+
+def _changes(dealt: DataFrame, line: Timeline, part: list[str], folded: bool) -> DataFrame:
+    """First reports and changes of each (key, slice), numbered, with the instant of the next."""
+    instants = dealt if folded else last_of_instants(dealt, line, part)
+    local = Window.partitionBy(*part).orderBy(line.at)
+    return where_state_changes(instants, line, local).withColumns({
+        "_nth": F.row_number().over(local),
+        "_next": F.lead(line.at).over(local),
+        "_local_final": F.last(line.stated()).over(
+            local.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+    })
+
+
+def last_of_instants(rows: DataFrame, line: Timeline, part: list[str]) -> DataFrame:
+    """The same rows as :func:`fold_instants`, by the order in which windows need them anyway."""
+    rest = [c for c in rows.columns if c not in {*part, line.at, *line.tie}]
+    order = Window.partitionBy(*part).orderBy(line.at, *line.tie, *rest)
+    more = F.lead(F.lit(True), 1, False).over(order)
+    return (
+        rows.withColumns({"_later": F.lead(line.at).over(order), "_more": more})
+        .where(~(F.col("_more") & F.col("_later").eqNullSafe(F.col(line.at))))
+        .drop("_later", "_more")
     )
-    return out if final_state else out.drop("final")
 
 
 def fold_instants(rows: DataFrame, line: Timeline, part: list[str]) -> DataFrame:
@@ -164,24 +191,14 @@ def fold_instants(rows: DataFrame, line: Timeline, part: list[str]) -> DataFrame
 
 
 def _across_slices(found: DataFrame, line: Timeline, part: list[str]) -> DataFrame:
-    """One row per (key, slice) of the sliced entities: what its neighbours tell it.
-
-    Which rows are sliced, and the key to join by, are values of the aggregate: conditions
-    on these can't be pushed below the exchange that feeds ``found``. So both sides of the
-    join share that exchange, and the rows beneath are read and joined once.
-    """
+    """One row per (key, slice) of the sliced entities: what its neighbours tell it."""
     state = line.stated()
-    edges = (
-        found.groupBy(*part)
-        .agg(
-            *[F.max(c).alias(f"_of_{c}") for c in part],
-            F.min_by(state, line.at).alias("_first"),
-            F.max_by(state, line.at).alias("_last"),
-            F.count("*").alias("_changes"),
-            F.min(line.at).alias("_first_at"),
-            F.min("_next").alias("_second_at"),
-        )
-        .where(F.col(f"_of_{SLICE}").isNotNull())
+    edges = found.groupBy(*part).agg(
+        F.min_by(state, line.at).alias("_first"),
+        F.max_by(state, line.at).alias("_last"),
+        F.count("*").alias("_changes"),
+        F.min(line.at).alias("_first_at"),
+        F.min("_next").alias("_second_at"),
     )
     slices = Window.partitionBy(*line.key).orderBy(SLICE)
     earlier = slices.rowsBetween(Window.unboundedPreceding, -1)
@@ -194,7 +211,7 @@ def _across_slices(found: DataFrame, line: Timeline, part: list[str]) -> DataFra
         .withColumn("_starts", F.when(F.col("_repeats"), F.col("_second_at"))
                     .otherwise(F.col("_first_at")))
         .select(
-            *[f"_of_{c}" for c in part], "_carried", "_repeats",
+            *[F.col(c).alias(f"_of_{c}") for c in part], "_carried", "_repeats",
             F.sum(F.col("_changes") - F.col("_repeats").cast("int")).over(earlier)
              .alias("_changes_before"),
             F.first("_starts", ignorenulls=True).over(later).alias("_next_slice_change"),

@@ -17,7 +17,8 @@ from knownwhen.operators.dedup import fold_copies
 KEY = ["cik", "canonical_tag", "ddate", "qtrs", "uom"]
 FACT_LINE = tl.Timeline(
     key=tuple(KEY), at="accepted_ts", state=("value",),
-    tie=("adsh", "value", "statement"), entity=("cik",))
+    tie=("adsh", "value", "statement"), entity=("cik",),
+    dealt_by=("cik", "canonical_tag", "ddate", "qtrs"))
 
 PIT_COLUMNS = [
     *KEY, "value", "known_from_ts", "known_to_ts", "is_current", "source_adsh",
