@@ -5,9 +5,9 @@ curve rows that are near in *every* column lie in the same files.
 
 Each column is cut at quantiles of all its rows (one aggregate, ``2 ** bits - 1`` numbers a
 column), so a column's ranges hold about as many rows each, however its values are spread. A
-balanced tree of comparisons gives a row's range; its leaves are the ranges' numbers with
-their bits already spread out, so the place on the curve is a sum of one look-up per column
-and stays in generated code.
+binary search gives a row's range, and a list the ranges' numbers with their bits already
+spread out, so the place on the curve is a sum of one look-up per column. (Written out as a
+tree of comparisons it is a method too long for the JVM to compile.)
 
 Columns are numbers, dates or timestamps; nulls come first. A value that fills several
 ranges is one range: rows of one company then differ by the other columns only, and since
@@ -51,12 +51,15 @@ def _spread(number: int, bits: int, step: int, shift: int) -> int:
 
 
 def _range_code(value: Column, at: Sequence, codes: Sequence[int], kind: DataType) -> Column:
+    """The code of the range, whose number is how many cuts are not above the value: a binary
+    search, one step per bit."""
     if not at:
         return F.lit(codes[0])
-    mid = len(at) // 2
-    return F.when(value < F.lit(str(at[mid])).cast(kind),
-                  _range_code(value, at[:mid], codes[:mid + 1], kind)).otherwise(
-        _range_code(value, at[mid + 1:], codes[mid + 1:], kind))
+    cuts = F.array(*[F.lit(str(x)).cast(kind) for x in at])
+    steps = F.array(*[F.lit(2 ** b) for b in reversed(range(len(at).bit_length()))])
+    number = F.aggregate(steps, F.lit(0), lambda i, step: i + F.when(
+        F.coalesce(F.get(cuts, i + step - 1) <= value, F.lit(False)), step).otherwise(0))
+    return F.get(F.array(*[F.lit(c).cast("long") for c in codes]), number)
 
 
 def along_curve(rows: DataFrame, columns: Sequence[str], bits: int = BITS,
