@@ -106,10 +106,13 @@ def _every(column: str, n: int, rest: int = 0) -> Column:
 
 
 def _accession(order_key: str) -> Column:
-    well_formed = F.concat(
-        F.format_string("%010d", F.col(order_key)), F.lit("-00-"),
-        F.format_string("%06d", F.col(order_key) % 1000000))
-    return F.when(_every(order_key, 199), F.col(order_key).cast("string")).otherwise(well_formed)
+    key = F.col(order_key)
+    # Formatting numbers costs more than all else here, so usual keys are only padded.
+    padded = F.concat(F.lpad(key.cast("string"), 10, "0"), F.lit("-00-"),
+                      F.lpad((key % 1000000).cast("string"), 6, "0"))
+    well_formed = F.when(key.between(0, 9_999_999_999), padded).otherwise(F.concat(
+        F.format_string("%010d", key), F.lit("-00-"), F.format_string("%06d", key % 1000000)))
+    return F.when(_every(order_key, 199), key.cast("string")).otherwise(well_formed)
 
 
 def _day_text(year: Column) -> Column:
