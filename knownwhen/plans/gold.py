@@ -6,6 +6,8 @@ A row says: for this key, this value was the public figure from
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,7 +75,7 @@ def change_points(attributed: DataFrame) -> DataFrame:
         F.col("prior").alias("prev_value"))
 
 
-def described(intervals: DataFrame, today: bool = False) -> DataFrame:
+def described(intervals: DataFrame, today: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     return with_revision(intervals, "prior", "value").select(
         *KEY, "value",
         F.col("opened_at").alias("known_from_ts"),
@@ -85,7 +87,7 @@ def described(intervals: DataFrame, today: bool = False) -> DataFrame:
         F.col("seq").alias("revision_seq"),
         F.col("prior").alias("prev_value"),
         "change_class", "pct_change", "statement",
-        *([F.col("final").alias("current_value")] if today else []),
+        *([F.col("final").alias("current_value")] if today else []), *keep,
     )
 
 

@@ -24,11 +24,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from knownwhen.operators import timeline as tl
 from knownwhen.plans import gold
 from knownwhen.plans.gold import FACT_LINE, KEY
-from knownwhen.sources.shared import settle
 from knownwhen.sources.versions import Log
 
 PARTS = 64
@@ -36,6 +36,8 @@ PART = "part"
 # Rows that lie together in the files of a part.
 CLUSTER = ["cik", "ddate", "canonical_tag", "qtrs"]
 
+_HELD, _OLD, _NEW = 0, 1, 2
+
 REPORT = [*KEY, "accepted_ts", "adsh", "value", "statement", "form"]
 
 
@@ -63,11 +65,12 @@ class IntervalStore:
                   if parts is None or int(p) in parts for f in found]
         return self.spark.read.parquet(*chosen) if chosen else None
 
-    def _write(self, rows: DataFrame, kind: str, parts: list[int]) -> dict[str, list[str]]:
+    def _write(self, laid: DataFrame, kind: str) -> str:
+        """Write rows that :func:`_laid` has dealt out; returns their folder."""
         folder = f"{kind}-{uuid.uuid4().hex}"
-        laid = rows.repartitionByRange(PART, *CLUSTER).sortWithinPartitions(PART, *CLUSTER)
-        laid.write.partitionBy(PART).parquet(f"{self.root}/{folder}")
-        return {str(p): [f"{folder}/{PART}={p}"] for p in parts}
+        laid.sortWithinPartitions(PART, *CLUSTER).write.partitionBy(PART).parquet(
+            f"{self.root}/{folder}")
+        return folder
 
     def take(self, facts: DataFrame) -> int:
         """Fit a batch in; returns the version, the old one if the batch is empty.
@@ -80,23 +83,30 @@ class IntervalStore:
         known_reports, known_intervals = state.get("reports", {}), state.get("intervals", {})
 
         said = FACT_LINE.reports(facts).select(*REPORT)
-        new = settle(tl.fold_instants(said, FACT_LINE, KEY).select(*REPORT).withColumn(
-            PART, self._part(parts)), "new-reports")
+        folded = tl.fold_instants(said, FACT_LINE, KEY).select(*REPORT, self._part(parts).alias(PART))
+        # Reports go to where they stay, and are read from there.
+        added = self._write(_laid(folded), "reports")
+        new = self.spark.read.schema(folded.schema).parquet(f"{self.root}/{added}")
         touched = sorted(r[0] for r in new.select(PART).distinct().collect())  # <= parts
         if not touched:
             return version
 
         old_reports = self._read(known_reports, touched)
         old_intervals = self._read(known_intervals, touched)
-        rows = gold.described(rethread(new, old_reports, self.limit)) if old_intervals is None \
-            else spliced(new, old_reports, old_intervals, self.limit)
-        written = self._write(rows.withColumn(PART, self._part(parts)), "intervals", touched)
-        added = self._write(new, "reports", touched)
+        if old_intervals is None:
+            built = gold.described(rethread(new, old_reports, self.limit))
+            laid = _laid(built.withColumn(PART, self._part(parts)))
+        else:
+            copied, renewed = spliced(
+                new, old_reports.withColumn(PART, self._part(parts)),
+                old_intervals.withColumn(PART, self._part(parts)), self.limit)
+            laid = copied.unionByName(_laid(renewed.withColumn(PART, self._part(parts))))
+        written = self._write(laid, "intervals")
         return self.log.commit(version, {
-            "parts": parts, "intervals": known_intervals | written,
+            "parts": parts,
+            "intervals": known_intervals | {str(p): [_in(written, p)] for p in touched},
             "reports": known_reports | {
-                p: known_reports.get(p, []) + found for p, found in added.items()}})
-
+                str(p): [*known_reports.get(str(p), []), _in(added, p)] for p in touched}})
 
     def compact(self, folders: int = 8) -> int:
         """Fold the reports of parts that lie in more than ``folders`` folders into one each."""
@@ -107,47 +117,72 @@ class IntervalStore:
             return version
         rows = tl.fold_instants(self._read(known, long), FACT_LINE, KEY).select(
             *REPORT, self._part(state["parts"]).alias(PART))
+        folder = self._write(_laid(rows), "reports")
         return self.log.commit(version, state | {
-            "reports": known | self._write(rows, "reports", long)})
+            "reports": known | {str(p): [_in(folder, p)] for p in long}})
 
     @staticmethod
     def _part(parts: int) -> Column:
         return F.pmod(F.xxhash64("cik"), F.lit(parts)).cast("int")
 
 
+def _laid(rows: DataFrame) -> DataFrame:
+    return rows.repartitionByRange(PART, *CLUSTER)
+
+
+def _in(folder: str, part: int) -> str:
+    return f"{folder}/{PART}={part}"
+
+
 def rethread(new: DataFrame, old: DataFrame | None, limit: int) -> DataFrame:
     """Intervals of reports, built from the start of their lines."""
     both = new.select(*REPORT) if old is None else new.select(*REPORT).unionByName(
         old.select(*REPORT))
-    return tl.build(_sliced(both, limit), FACT_LINE)
-
-
-def spliced(new: DataFrame, old: DataFrame, intervals: DataFrame, limit: int) -> DataFrame:
-    """``intervals`` of some companies after ``new`` reports came to the ``old`` ones."""
-    first = new.groupBy(*KEY).agg(F.min("accepted_ts").alias("_first"))
-    marked = intervals.join(first, KEY, "left")
+    return tl.build(_sliced(both, both, limit), FACT_LINE)
+
+
+def spliced(new: DataFrame, old: DataFrame, intervals: DataFrame, limit: int
+            ) -> tuple[DataFrame, DataFrame]:
+    """``intervals`` of some companies after ``new`` reports came to the ``old`` ones: those that
+    are copied, with their part and laid out as stored, and those that are made anew.
+
+    All three tables have their part. They go through one exchange, by the order of the stored
+    files: there every row learns the first new instant of its key, and what is copied stays.
+    Only lines that go on are dealt out once more.
+    """
+    def reports(rows: DataFrame, kind: int) -> DataFrame:
+        return rows.select(PART, *REPORT, F.lit(kind).alias("_kind"))
+
+    held = intervals.select(
+        PART, *KEY, F.col("known_from_ts").alias("accepted_ts"), F.col("source_adsh").alias("adsh"),
+        "value", "statement", F.col("source_form").alias("form"), F.lit(_HELD).alias("_kind"),
+        F.col("known_to_ts").alias("_to"), F.col("revision_seq").alias("_seq"),
+        F.col("prev_value").alias("_prev"))
+    every = _laid(reports(old, _OLD).unionByName(reports(new, _NEW)).unionByName(
+        held, allowMissingColumns=True))
+    of_key = Window.partitionBy(PART, *CLUSTER, *[c for c in KEY if c not in CLUSTER])
+    is_held = F.col("_kind") == _HELD
     # Copied as they are: other keys, and what was over before anything new was said.
-    copied = marked.where(F.col("_first").isNull() | (F.col("known_to_ts") < F.col("_first")))
+    copied = is_held & (F.col("_first").isNull() | (F.col("_to") < F.col("_first")))
     # The interval that the first new instant falls into or ends, as a report of itself.
-    carried = settle(marked.where(
-        (F.col("known_from_ts") < F.col("_first")) & (F.col("known_to_ts") >= F.col("_first"))
-    ).select(
-        *KEY, F.col("known_from_ts").alias("accepted_ts"), F.col("source_adsh").alias("adsh"),
-        "value", "statement", F.col("source_form").alias("form"),
-        F.col("revision_seq").alias("_seq"), F.col("prev_value").alias("_prev")), "carried")
-    later = old.join(first, KEY).where(F.col("accepted_ts") >= F.col("_first"))
-    line = carried.select(*REPORT).unionByName(later.select(*REPORT)).unionByName(
-        new.select(*REPORT))
-    built = tl.build(_sliced(line, limit), FACT_LINE).join(
-        carried.select(*KEY, "_seq", "_prev"), KEY, "left")
-    goes_on = (F.col("seq") == 1) & F.col("_seq").isNotNull()
+    carried = is_held & (F.col("accepted_ts") < F.col("_first")) & (F.col("_to") >= F.col("_first"))
+    marked = every.withColumn("_first", F.min(
+        F.when(F.col("_kind") == _NEW, F.col("accepted_ts"))).over(of_key))
+    line = marked.withColumn("_base", F.max(F.when(carried, F.struct("_seq", "_prev"))).over(
+        of_key)).where(carried | (~is_held & (F.col("accepted_ts") >= F.col("_first"))))
+    built = tl.build(_sliced(line.select(*REPORT, "_base"), reports(old, _OLD).unionByName(
+        reports(new, _NEW)), limit), FACT_LINE)
+    goes_on = (F.col("seq") == 1) & F.col("_base").isNotNull()
     renewed = built.withColumns({
-        "prior": F.when(goes_on, F.col("_prev")).otherwise(F.col("prior")),
-        "seq": (F.col("seq") + F.coalesce(F.col("_seq"), F.lit(1)) - 1).cast("int")})
-    return copied.select(*gold.PIT_COLUMNS).unionByName(gold.described(renewed))
+        "prior": F.when(goes_on, F.col("_base._prev")).otherwise(F.col("prior")),
+        "seq": (F.col("seq") + F.coalesce(F.col("_base._seq"), F.lit(1)) - 1).cast("int")})
+    stay = marked.where(copied).withColumnsRenamed(
+        {"accepted_ts": "opened_at", "_to": "closed_at", "_seq": "seq", "_prev": "prior"})
+    return gold.described(stay, keep=[PART]), gold.described(renewed)
 
 
-def _sliced(line: DataFrame, limit: int) -> DataFrame:
-    events = line.select("cik", "accepted_ts", "adsh").distinct()
+def _sliced(line: DataFrame, reports: DataFrame, limit: int) -> DataFrame:
+    """``line`` with slices planned by the filings of all ``reports``."""
+    events = reports.select("cik", "accepted_ts", "adsh").distinct()
     slices = tl.plan_slices(events, ["cik"], "accepted_ts", limit)
     return tl.in_slices(line, slices, ["cik"], "accepted_ts")

@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from knownwhen.operators import timeline as tl
-from knownwhen.plans import gold
+from knownwhen.plans import gold, incremental
 from knownwhen.plans.gold import FACT_LINE, KEY
 from tests.helpers import as_by_hand, by_hand, fact, frame, in_slices, timeline
 from verification import queries
@@ -66,3 +66,44 @@ def test_sliced_and_whole_lines_in_one_table(spark):
     now = {(r.cik, r.current_value) for r in gold.fundamental_pit(rows, today=True).collect()}
     last = {k[0]: v for k, v, _, end, _, _ in by_hand(told) if end.year == 9999}
     assert now == set(last.items())
+
+
+def test_stored_tables_and_batch_go_through_one_exchange(spark, tmp_path, monkeypatch):
+    store = incremental.IntervalStore(spark, str(tmp_path), parts=4)
+    draw = random.Random(3)
+    told = [fact(draw.randint(1, 3), f"2021-0{draw.randint(1, 9)}-01", adsh=f"{n}",
+                 cik=draw.randint(1, 5)) for n in range(60)]
+    store.take(frame(spark, told[:40]))
+    plans, plain = [], incremental.spliced
+
+    def noted(*args):
+        found = plain(*args)
+        plans.append(plan_of(lambda: found[0].unionByName(
+            found[1].withColumn(incremental.PART, F.lit(0))), spark))
+        return found
+
+    monkeypatch.setattr(incremental, "spliced", noted)
+    store.take(frame(spark, told[40:]))
+    assert as_by_hand(store.intervals().collect()) == by_hand(told)
+    # What is copied and the lines that go on read the same exchange of intervals and reports.
+    assert len(re.findall(r"[-+] Exchange rangepartitioning\(", plans[0])) == 1
+    assert "ReusedExchange" in plans[0]
+
+
+def test_raw_rows_of_four_kinds_of_files_are_joined_once(spark, small, monkeypatch):
+    plain, held = queries.settle, []
+    monkeypatch.setattr(queries, "settle", lambda df, label: held.append(label) or plain(df, label))
+    queries.bronze_header_route(spark, small)
+    assert held == ["raw-num"]
+
+
+def test_groups_of_wide_rows_are_dealt_to_small_tasks(spark, small):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for run in (queries.dedup_per_filing, queries.concept_coverage):
+        spark.conf.unset(name)
+        run(spark, small)
+        assert spark.conf.get(name) == "16m"
+    spark.conf.set(name, "2m")  # what a session asks for stays
+    queries.dedup_per_instant(spark, small)
+    assert spark.conf.get(name) == "2m"
+    spark.conf.unset(name)
