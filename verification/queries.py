@@ -446,7 +446,8 @@ def stream_bounded(spark: SparkSession, d: str) -> DataFrame:
 def bronze_header_route(spark: SparkSession, d: str) -> DataFrame:
     """Files whose columns are swapped, missing, extra or repeated, depending on the quarter:
     rows are mapped by name, other columns kept aside, files that don't fit listed."""
-    root, rows = new_folder(spark, "headers"), dt.raw_facts(spark, d)
+    # Joined once, not for each of the four kinds of files.
+    root, rows = new_folder(spark, "headers"), settle(dt.raw_facts(spark, d), "raw-num")
     known = raw_columns("num")
     swapped = ["tag", "adsh", *known[2:-1]]  # and without the footnote
     heads = {"q1": known, "q2": swapped, "q3": [*known, "note"],
