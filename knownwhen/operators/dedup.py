@@ -6,12 +6,23 @@ folded before it is shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_TASK_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+def bounded_tasks(spark: SparkSession, size: str = "16m") -> None:
+    """From now on this session merges shuffled partitions up to ``size`` only, unless it was
+    told another size: a task that sorts or hashes wide rows holds many times what it reads."""
+    if spark.conf.get(_TASK_SIZE, None) is None:
+        spark.conf.set(_TASK_SIZE, size)
+
+
 def best_row(rows: DataFrame, by: list[str], rank: list[Column | str]) -> DataFrame:
     """Per ``by`` group the row that is largest in ``rank``; other columns break ties."""
+    bounded_tasks(rows.sparkSession)
     names = [f"_r{i}" for i in range(len(rank))]
     ranked = rows.withColumns({
         n: r if isinstance(r, Column) else F.col(r) for n, r in zip(names, rank)})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from knownwhen.functions.values import any_of, first_match, share
+from knownwhen.operators.dedup import bounded_tasks
 from knownwhen.plans.silver import STANDARD_TAXONOMY, UNIT_IN_SCOPE, is_consolidated
 from knownwhen.sources.schemas import CONCEPT_MAP
 
@@ -119,6 +120,7 @@ def lineage(concept_map: DataFrame) -> DataFrame:
 
 def coverage(raw_facts: DataFrame, concept_map: DataFrame) -> DataFrame:
     """Share of filings with a concept, by its best single tag and by all its tags."""
+    bounded_tasks(raw_facts.sparkSession)
     mapping = concept_map.select("src_tag", "canonical_tag")
     pairs = raw_facts.select("adsh", F.col("tag").alias("src_tag")).distinct()
     levels = _filings_per(pairs.join(mapping, "src_tag", "left"),
