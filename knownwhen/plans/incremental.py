@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -166,10 +167,13 @@ def spliced(new: DataFrame, old: DataFrame, intervals: DataFrame, limit: int
     copied = is_held & (F.col("_first").isNull() | (F.col("_to") < F.col("_first")))
     # The interval that the first new instant falls into or ends, as a report of itself.
     carried = is_held & (F.col("accepted_ts") < F.col("_first")) & (F.col("_to") >= F.col("_first"))
-    marked = every.withColumn("_first", F.min(
-        F.when(F.col("_kind") == _NEW, F.col("accepted_ts"))).over(of_key))
+    # Keys with a null are equal to none: what is held of them stays, what is new is added.
+    whole_key = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in KEY])
+    marked = every.withColumn("_first", F.when(whole_key, F.min(
+        F.when(F.col("_kind") == _NEW, F.col("accepted_ts"))).over(of_key)))
     line = marked.withColumn("_base", F.max(F.when(carried, F.struct("_seq", "_prev"))).over(
-        of_key)).where(carried | (~is_held & (F.col("accepted_ts") >= F.col("_first"))))
+        of_key)).where(carried | (F.col("_kind") == _NEW) | (
+            (F.col("_kind") == _OLD) & (F.col("accepted_ts") >= F.col("_first"))))
     built = tl.build(_sliced(line.select(*REPORT, "_base"), reports(old, _OLD).unionByName(
         reports(new, _NEW)), limit), FACT_LINE)
     goes_on = (F.col("seq") == 1) & F.col("_base").isNotNull()

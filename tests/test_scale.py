@@ -107,3 +107,12 @@ def test_groups_of_wide_rows_are_dealt_to_small_tasks(spark, small):
     queries.dedup_per_instant(spark, small)
     assert spark.conf.get(name) == "2m"
     spark.conf.unset(name)
+
+
+def test_late_facts_of_keys_with_a_null_are_added_to_what_is_held(spark, tmp_path):
+    store = incremental.IntervalStore(spark, str(tmp_path), parts=2)
+    store.take(frame(spark, [fact(1, "2021-01-01", cik=None), fact(1, "2021-01-01", cik=2)]))
+    store.take(frame(spark, [fact(2, "2021-02-01", cik=None), fact(2, "2021-02-01", cik=2)]))
+    got = sorted((str(r.cik), int(r.value), r.revision_seq, r.is_current)
+                 for r in store.intervals().collect())
+    assert got == [("2", 1, 1, False), ("2", 2, 2, True), ("None", 1, 1, True), ("None", 2, 1, True)]
