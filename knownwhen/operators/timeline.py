@@ -116,21 +116,25 @@ def where_state_changes(rows: DataFrame, line: Timeline, window: WindowSpec) ->
 
 
 def build(rows: DataFrame, line: Timeline, final_state: bool = False,
-          folded: bool = False) -> DataFrame:
+          folded: bool = False, lying: bool = False) -> DataFrame:
     """Intervals for every key of ``rows``, which carry the slice of :func:`in_slices`.
 
     Adds ``opened_at``, ``closed_at`` (open end when still in force), ``seq``
     and ``prior`` (the replaced state, NULL for the first report); with
     ``final_state`` also ``final``, the state in force today. A state of several
     columns is given as a struct. ``folded`` rows have one row per key and instant.
+    Rows of a key that are ``lying`` together stay where they are, but for sliced ones: those
+    come back in ranges of key and time, for their key may be more than one task should write.
     """
     part = [*line.key, SLICE]
+    said, by = line.reports(rows), [*(line.dealt_by or line.key), SLICE]
     # The one exchange: folding, windows and edges all run on rows dealt out like this.
-    dealt = line.reports(rows).repartition(*(line.dealt_by or line.key), SLICE)
+    dealt = (said.where(F.col(SLICE).isNotNull()) if lying else said).repartition(*by)
     # A condition on the partition can't be pushed below the exchange, so all three readers
     # share it, and rows of the other kind go before anything is sorted.
     slice_of = F.when(F.spark_partition_id() >= 0, F.col(SLICE))
-    whole = _changes(dealt.where(slice_of.isNull()), line, part, folded)
+    unsliced = said.where(F.col(SLICE).isNull()) if lying else dealt.where(slice_of.isNull())
+    whole = _changes(unsliced, line, part, folded)
     sliced = _changes(dealt.where(slice_of.isNotNull()), line, part, folded)
     again = _changes(dealt.where(slice_of.isNotNull()), line, part, folded)
     same = [F.col(c) == F.col(f"_of_{c}") for c in part]
@@ -148,14 +152,15 @@ def build(rows: DataFrame, line: Timeline, final_state: bool = False,
             F.coalesce(closed_at, open_end()).alias("closed_at"), prior.alias("prior"),
             *([final.alias("final")] if final_state else []))
 
-    return intervals(
-        whole, F.col("_nth"), F.col("_next"), F.col("_prior"), F.col("_local_final"),
-    ).unionByName(intervals(
+    cut = intervals(
         joined.where(~(first & repeats)),
         F.col("_nth") - repeats.cast("int") + F.coalesce(F.col("_changes_before"), F.lit(0)),
         F.coalesce("_next", "_next_slice_change"),
         F.when(first, F.col("_carried")).otherwise(F.col("_prior")),
-        F.coalesce("_key_final", "_local_final")))
+        F.coalesce("_key_final", "_local_final"))
+    return intervals(
+        whole, F.col("_nth"), F.col("_next"), F.col("_prior"), F.col("_local_final"),
+    ).unionByName(cut.repartitionByRange(*line.key, "opened_at") if lying else cut)
 
 
 def _changes(dealt: DataFrame, line: Timeline, part: list[str], folded: bool) -> DataFrame:

@@ -116,3 +116,47 @@ def test_late_facts_of_keys_with_a_null_are_added_to_what_is_held(spark, tmp_pat
     got = sorted((str(r.cik), int(r.value), r.revision_seq, r.is_current)
                  for r in store.intervals().collect())
     assert got == [("2", 1, 1, False), ("2", 2, 2, True), ("None", 1, 1, True), ("None", 2, 1, True)]
+
+
+def test_what_is_stored_is_spliced_where_it_lies(spark, tmp_path, monkeypatch):
+    store = incremental.IntervalStore(spark, str(tmp_path), parts=2)
+    told = [fact(n % 3, f"2021-0{1 + n % 7}-01", adsh=f"{n}", cik=n % 4) for n in range(40)]
+    store.take(frame(spark, told[::2]))
+    plans, plain = [], incremental.spliced
+
+    def noted(*args):
+        with monkeypatch.context() as patch:  # no key is long, so no line is dealt out by slices
+            patch.setattr(incremental, "_sliced", lambda line, *_: line.withColumn(
+                tl.SLICE, F.lit(None).cast("bigint")))
+            plans.extend(plan_of(lambda df=df: df, spark) for df in plain(*args))
+        return plain(*args)
+
+    monkeypatch.setattr(incremental, "spliced", noted)
+    store.take(frame(spark, told[1::2]))
+    assert as_by_hand(store.intervals().collect()) == by_hand(told)
+    assert len(plans) == 2 and not any("Exchange " in p for p in plans)
+    # Files are named to Spark only while a batch is taken, and their rows look as they did.
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("knownwhen_")]
+    assert not any(c.metadata for c in store.intervals().schema)
+
+
+def test_more_reports_are_expected_in_more_buckets(spark, tmp_path):
+    store = incremental.IntervalStore(
+        spark, str(tmp_path), parts=1, expected=10 * incremental.BUCKET_REPORTS)
+    store.take(frame(spark, [fact(1, "2021-01-01")]))
+    assert store.log.latest()[1]["buckets"] == 10
+
+
+def test_stores_without_buckets_are_taken_on(spark, tmp_path):
+    store = incremental.IntervalStore(spark, str(tmp_path), parts=2)
+    told = [fact(n % 3, f"2021-0{1 + n % 7}-01", adsh=f"{n}", cik=n % 4) for n in range(40)]
+    store.take(frame(spark, told[::2]))
+    version, state = store.log.latest()
+    for kind in ("reports", "intervals"):
+        folder = next(iter(state[kind].values()))[0].split("/")[0]
+        spark.read.parquet(f"{tmp_path}/{folder}").write.partitionBy("part").parquet(
+            f"{tmp_path}/{kind}-plain")
+        state[kind] = {p: [f"{kind}-plain/part={p}"] for p in state[kind]}
+    store.log.commit(version, {k: v for k, v in state.items() if k != "buckets"})
+    store.take(frame(spark, told[1::2]))
+    assert as_by_hand(store.intervals().collect()) == by_hand(told)

@@ -144,7 +144,8 @@ def intervals_incremental(spark: SparkSession, d: str) -> DataFrame:
     """Filings arrive in four batches without regard to time, so most of the later ones are late;
     after each the stored intervals are spliced, never rebuilt."""
     rows = attributed(spark, d)
-    store = incremental.IntervalStore(spark, new_folder(spark, "intervals"), parts=16)
+    store = incremental.IntervalStore(spark, new_folder(spark, "intervals"), parts=16,
+                                      expected=dt.table(spark, d, "lineitem").count())
     batch = F.pmod(F.xxhash64("adsh"), F.lit(8))
     for share in ([0, 1, 2, 3, 4], [5], [6], [7]):
         store.take(rows.where(batch.isin(share)))
